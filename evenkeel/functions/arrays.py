@@ -62,10 +62,8 @@ def valid_items(items: Column, flag: str | None = "valid", probe: str | None = N
 
 def sum_pool(vectors: Column, width: int) -> Column:
     """Position-wise sum over an array of equally long arrays."""
-    return F.array(*[
-        F.aggregate(vectors, F.lit(0.0), lambda acc, v, i=i: acc + F.get(v, F.lit(i)).cast("double"))
-        for i in range(width)
-    ])
+    zeros = F.array_repeat(F.lit(0.0), width)
+    return F.aggregate(vectors, zeros, lambda acc, v: F.zip_with(acc, v, lambda a, x: a + x.cast("double")))
 
 
 def mean_pool(vectors: Column, width: int) -> Column:

@@ -52,12 +52,12 @@ def permuted_features(df: DataFrame, features: str, names: Sequence[str], key: s
     own = global_rank(df.withColumn("_hash", shuffled(F.col(key), seed)), "__r").drop("_hash")
     other = df.select(key, F.col(features).alias("__other")).withColumn("_hash", shuffled(F.col(key), seed + 1))
     other = global_rank(other, "__r").select("__r", "__other")
+
+    def swapped(j: int):
+        return F.transform(F.col(features), lambda x, i: F.when(i == j, F.get("__other", F.lit(j))).otherwise(x))
+
     variants = F.array(*[
-        F.struct(
-            F.lit(n).alias("feature"),
-            F.transform(F.col(features), lambda x, i, j=j: F.when(i == j, F.get("__other", F.lit(j))).otherwise(x)).alias("__f"),
-        )
-        for j, n in enumerate(names)
+        F.struct(F.lit(n).alias("feature"), swapped(j).alias("__f")) for j, n in enumerate(names)
     ], F.struct(F.lit("none").alias("feature"), F.col(features).alias("__f")))
     rest = [c for c in df.columns if c != features]
     return own.join(other, "__r").select(*rest, F.inline(variants)).withColumnRenamed("__f", features)

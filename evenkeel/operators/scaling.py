@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions.numeric import finite_or, is_finite, missing_to
 
-STAT_COLUMNS = ("variable", "shift", "scale", "default", "n")
 # Fixed value: added to an item value before its logarithm when statistics are taken.
 LOG_OFFSET = 1e-8
 
@@ -23,36 +22,59 @@ def is_unscaled(name: str) -> bool:
     return is_flag(name) or "weight" in name
 
 
+def finite_statistics(df: DataFrame, variables: Sequence[str]) -> DataFrame:
+    """``(variable, shift, scale, n, n_rows)`` of the finite values, in a single scan."""
+    values = [finite_or(F.col(v), None) for v in variables]
+    row = df.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[a for i, x in enumerate(values) for a in (
+            F.count(x).alias(f"__c{i}"), F.avg(x).alias(f"__m{i}"), F.stddev_pop(x).alias(f"__s{i}"))],
+    )
+    entries = F.array(*[
+        F.struct(F.lit(v).alias("variable"), F.col(f"__m{i}").alias("shift"), F.col(f"__s{i}").alias("scale"),
+                 F.col(f"__c{i}").alias("n"))
+        for i, v in enumerate(variables)
+    ])
+    return row.select("n_rows", F.inline(entries)).select("variable", "shift", "scale", "n", "n_rows")
+
+
+def fill_statistics(finite: DataFrame, defaults: Mapping[str, float] | None = None) -> DataFrame:
+    """``(variable, shift, scale, default, n)`` after non-finite values take the default.
+
+    The default is the given one or the mean of the finite values. Mean and deviation
+    of the filled column follow exactly from those of its finite part.
+    """
+    given = F.lit(None).cast("double")
+    for v, d in (defaults or {}).items():
+        given = F.when(F.col("variable") == v, F.lit(float(d))).otherwise(given)
+    n, c = F.col("n_rows").cast("double"), F.col("n").cast("double")
+    default = F.coalesce(given, F.col("shift"))
+    shift = F.col("shift") + (n - c) * (default - F.col("shift")) / n
+    spread = c * (F.pow("scale", 2.0) + F.pow(F.col("shift") - shift, 2.0)) + (n - c) * F.pow(default - shift, 2.0)
+    return finite.select(
+        "variable", shift.alias("shift"), F.sqrt(spread / n).alias("scale"), default.alias("default"),
+        F.col("n_rows").alias("n"),
+    )
+
+
 def row_statistics(df: DataFrame, variables: Sequence[str], defaults: Mapping[str, float] | None = None) -> DataFrame:
-    """``(variable, shift, scale, default, n)`` in a single scan.
+    """Scaling statistics of row variables.
 
-    NaN and infinity are filled with the default, which is the given one or the mean
-    of the finite values; shift and scale are mean and population deviation of the
-    filled column. They follow exactly from count, mean and variance of the finite
-    part, so the column is not read a second time.
+    NaN and infinity take the default; shift and scale are mean and population
+    deviation. Flags get (0, 1, no default); labels and weights are left out.
     """
-    defaults = defaults or {}
     used = [v for v in variables if "weight" not in v and "label" not in v]
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, v in enumerate(used):
-        if not is_flag(v):
-            x = finite_or(F.col(v), None)
-            aggs += [F.count(x).alias(f"__c{i}"), F.avg(x).alias(f"__m{i}"), F.var_pop(x).alias(f"__v{i}")]
-    row = df.agg(*aggs)
-    n = F.col("__n").cast("double")
-    entries = []
-    for i, v in enumerate(used):
-        if is_flag(v):
-            shift, scale, default = F.lit(0.0), F.lit(1.0), F.lit(None).cast("double")
-        else:
-            c, mean, var = F.col(f"__c{i}"), F.col(f"__m{i}"), F.col(f"__v{i}")
-            default = F.lit(float(defaults[v])) if v in defaults else mean
-            shift = mean + (n - c) * (default - mean) / n
-            scale = F.sqrt((c * (var + F.pow(mean - shift, 2.0)) + (n - c) * F.pow(default - shift, 2.0)) / n)
-        entries.append(F.struct(
-            F.lit(v).alias("variable"), shift.alias("shift"), scale.alias("scale"), default.alias("default"),
+    measured = [v for v in used if not is_flag(v)]
+    flags = [v for v in used if is_flag(v)]
+    out = fill_statistics(finite_statistics(df, measured), defaults)
+    if flags:
+        counted = df.agg(F.count(F.lit(1)).alias("n"))
+        names = F.explode(F.array(*[F.lit(v) for v in flags]))
+        out = out.unionByName(counted.select(
+            names.alias("variable"), F.lit(0.0).alias("shift"), F.lit(1.0).alias("scale"),
+            F.lit(None).cast("double").alias("default"), "n",
         ))
-    return row.select(F.col("__n").alias("n"), F.inline(F.array(*entries))).select(*STAT_COLUMNS)
+    return out
 
 
 def item_statistics(df: DataFrame, items: str, variables: Sequence[str], log_variables: Sequence[str] = (),
@@ -77,9 +99,12 @@ def item_statistics(df: DataFrame, items: str, variables: Sequence[str], log_var
     ])))
 
 
-def merge_statistics(parts: DataFrame, keys: Sequence[str] = ("variable",)) -> DataFrame:
-    """One statistic per variable from any number of partial ones (n, shift, scale)."""
-    keys = list(keys)
+def merge_statistics(parts: DataFrame, keys: Sequence[str] = ("variable",), totals: Sequence[str] = ()) -> DataFrame:
+    """One statistic per variable from any number of partial ones (n, shift, scale).
+
+    Further count columns named in ``totals`` are added up.
+    """
+    keys, totals = list(keys), list(totals)
     n = F.col("n").cast("double")
     means = parts.groupBy(*keys).agg(
         F.sum("n").cast("bigint").alias("__total"), (F.sum(n * F.col("shift")) / F.sum(n)).alias("__mean"),
@@ -87,10 +112,10 @@ def merge_statistics(parts: DataFrame, keys: Sequence[str] = ("variable",)) -> D
     spread = n * (F.pow(F.col("scale"), 2.0) + F.pow(F.col("shift") - F.col("__mean"), 2.0))
     return (
         parts.join(means, keys).groupBy(*keys, "__mean", "__total")
-        .agg(F.sum(spread).alias("__spread"))
+        .agg(F.sum(spread).alias("__spread"), *[F.sum(t).cast("bigint").alias(t) for t in totals])
         .select(
             *keys, F.col("__mean").alias("shift"), F.sqrt(F.col("__spread") / F.col("__total")).alias("scale"),
-            F.col("__total").alias("n"),
+            F.col("__total").alias("n"), *totals,
         )
     )
 

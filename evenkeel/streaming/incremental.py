@@ -8,8 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.functions.numeric import finite_or
-from evenkeel.operators.scaling import merge_statistics, row_statistics
+from evenkeel.operators.scaling import fill_statistics, finite_statistics, merge_statistics
 from evenkeel.session import shared_dir
 
 
@@ -27,7 +26,7 @@ def _run_folder(spark: SparkSession) -> str:
 
 
 def streamed_statistics(stream: DataFrame, prepare: Callable[[DataFrame], DataFrame], variables: Sequence[str],
-                        folder: str | None = None) -> DataFrame:
+                        defaults: Mapping[str, float] | None = None, folder: str | None = None) -> DataFrame:
     """Scaling statistics of all rows seen so far.
 
     Every micro-batch writes its own statistics under its batch number, so a repeated
@@ -37,20 +36,15 @@ def streamed_statistics(stream: DataFrame, prepare: Callable[[DataFrame], DataFr
     folder = folder or _run_folder(spark)
 
     def store(batch: DataFrame, number: int) -> None:
-        rows = prepare(batch)
-        counted = rows.select(*[finite_or(F.col(v), None).alias(v) for v in variables])
-        per_variable = [row_statistics(counted.filter(F.col(v).isNotNull()), [v]) for v in variables]
-        parts = per_variable[0]
-        for p in per_variable[1:]:
-            parts = parts.unionByName(p)
-        parts.filter(F.col("n") > 0).coalesce(1).write.mode("overwrite").parquet(f"{folder}/parts/batch={number}")
+        part = finite_statistics(prepare(batch), variables).filter(F.col("n") > 0)
+        part.write.mode("overwrite").parquet(f"{folder}/parts/batch={number}")
 
     run = (
         stream.writeStream.foreachBatch(store).option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True).start()
     )
     run.awaitTermination()
-    return merge_statistics(spark.read.parquet(f"{folder}/parts"))
+    return fill_statistics(merge_statistics(spark.read.parquet(f"{folder}/parts"), totals=["n_rows"]), defaults)
 
 
 def prepared_stream(stream: DataFrame, steps: Sequence[Callable[[DataFrame], DataFrame]]) -> DataFrame:
@@ -72,7 +66,3 @@ def run_to_table(stream: DataFrame, folder: str | None = None) -> DataFrame:
     run.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
 
-
-def running_counts(stream: DataFrame, prepare: Callable[[DataFrame], DataFrame], aggregates: Mapping[str, str]) -> DataFrame:
-    """Named SQL aggregates over the stream (for the complete output mode)."""
-    return prepare(stream).agg(*[F.expr(e).alias(n) for n, e in aggregates.items()])

@@ -1,0 +1,56 @@
+"""G: batches, training inputs and pooled item sets."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from evenkeel.functions import arrays
+from evenkeel.operators import features, items as it, scaling
+from evenkeel.operators.resampling import ResamplingOptions
+from evenkeel.plans.training_set import training_feed
+from evenkeel.queries.base import BASE, ITEMS, LAB, NAMES, labelled, r, records, rounded, rows
+from evenkeel.queries.merge_queries import AXES, BIN_SQL
+from evenkeel.queries.registry import query
+
+
+@query("g01_batches", f"""WITH {LAB}, n AS (SELECT row_key, row_number() OVER (ORDER BY md5('11|' || row_key)) - 1 AS n FROM lab)
+SELECT row_key, n // 500 AS batch, (n % 500)::INTEGER AS step FROM n WHERE n < 20000""")
+def _(spark, sf):
+    return features.batches(labelled(spark, sf).select("row_key"), "row_key", 11, 500, 20000)
+
+
+@query("g02_training_inputs", f"""WITH {LAB}, b AS (SELECT *, {BIN_SQL} AS bin FROM lab), h AS (SELECT class, bin, count(*) AS n FROM b WHERE bin IS NOT NULL GROUP BY ALL),
+w AS (SELECT h.class, h.bin, coalesce(t.n, 0)::DOUBLE / h.n AS w FROM h LEFT JOIN h t ON t.bin = h.bin AND t.class = 'heavy'),
+s AS (SELECT avg(price) AS m, stddev_pop(price) AS d FROM lab)
+SELECT b.row_key, b.label, {r('coalesce(nullif(w, 0), 1)', 9)} AS weight, unnest([0, 1]) AS feature_no, round(unnest([(price - m) / d, CASE WHEN isnan(mass) THEN 0.0::DOUBLE ELSE mass END]), 6) + 0.0 AS value
+FROM b LEFT JOIN w ON w.class = b.class AND w.bin = b.bin, s""")
+def _(spark, sf):
+    df = labelled(spark, sf)
+    stats = scaling.collect_statistics(scaling.row_statistics(df, ["price"]))
+    options = ResamplingOptions("weighting", NAMES, AXES, target_class="heavy")
+    feed = training_feed(df, ["price", "tax", "mass"], stats, options, excluded=["tax"])
+    return feed.select(
+        "row_key", "label", rounded("weight", 9).alias("weight"), F.posexplode("inputs").alias("feature_no", "value")
+    ).withColumn("value", rounded("value"))
+
+
+@query("g03_pooled_items", f"""WITH {ITEMS}, v AS (SELECT * FROM oi WHERE NOT isnan(frac)), m AS (SELECT event, max(discount * 10) AS top FROM v GROUP BY event),
+p AS (SELECT v.event, sum(quantity) AS sq, avg(tax) AS mt, sum(tax * exp(discount * 10 - top)) / sum(exp(discount * 10 - top)) AS at FROM v JOIN m USING (event) GROUP BY v.event)
+SELECT o.event, {r('coalesce(sq, 0)')} AS sum_quantity, {r('coalesce(mt, 0)')} AS mean_tax, {r('coalesce(at, 0)')} AS attention_tax FROM ord o LEFT JOIN p USING (event)""".replace(" AS at FROM", " AS att FROM").replace("coalesce(at, 0)", "coalesce(att, 0)"))
+def _(spark, sf):
+    real = arrays.valid_items(F.col("items"), flag=None, probe="frac")
+    df = records(spark, sf).select("event", real.alias("items"))
+    vectors = F.transform("items", lambda x: F.array(x["quantity"], x["tax"]))
+    scores = F.transform("items", lambda x: x["discount"] * 10)
+    return df.select(
+        "event", rounded(F.get(arrays.sum_pool(vectors, 2), F.lit(0))).alias("sum_quantity"),
+        rounded(F.get(arrays.mean_pool(vectors, 2), F.lit(1))).alias("mean_tax"),
+        rounded(F.get(arrays.attention_pool(vectors, scores, 2), F.lit(1))).alias("attention_tax"))
+
+
+@query("g04_non_zero_items", f"""WITH {ITEMS}, n AS (SELECT o.event, o.label, count(i.event) FILTER (discount + tax <> 0) AS n FROM ord o LEFT JOIN it i USING (event) GROUP BY ALL)
+SELECT label, n::INTEGER AS n_items, count(*) AS n_rows, n = 4 AS selected FROM n GROUP BY ALL""")
+def _(spark, sf):
+    counted = records(spark, sf).select(
+        "label", it.non_zero_items(F.transform("items", lambda x: F.array(x["discount"], x["tax"]))).alias("n_items"))
+    return counted.groupBy("label", "n_items").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("selected", F.col("n_items") == 4)

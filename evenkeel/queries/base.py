@@ -38,9 +38,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def rows(spark: SparkSession, sf: str) -> DataFrame:
+    return rows_of(table(spark, sf, "lineitem"))
+
+
+def rows_of(lineitem: DataFrame) -> DataFrame:
     """lineitem as labelled records; -0.0 becomes 0.0, some values go missing."""
     c = F.col
-    return table(spark, sf, "lineitem").select(
+    return lineitem.select(
         row_key(c("l_orderkey"), c("l_partkey"), c("l_suppkey"), c("l_linenumber"), F.to_date("l_shipdate")).alias("row_key"),
         c("l_orderkey").alias("event"), c("l_linenumber").alias("item_no"), c("l_linestatus").alias("origin"),
         F.when(c("l_returnflag") == "A", 5).when(c("l_returnflag") == "N", 4).otherwise(0).alias("truth"),

@@ -93,8 +93,8 @@ def _(spark, sf):
         F.count(F.lit(1)).alias("n"), F.count(F.when(~F.col("label").eqNullSafe(F.col("other")), 1)).alias("n_different"))
 
 
-MODEL_WEIGHTS = np.array([[0.03, -0.01, -0.02], [4.0, -3.0, 1.0], [-2.0, 5.0, 3.0]])
-MODEL_BIAS = np.array([0.1, 0.2, -0.1])
+MODEL_WEIGHTS = np.array([[0.03137, -0.01093, -0.02041], [4.0171, -3.0349, 1.0577], [-2.0291, 5.0113, 3.0733]])
+MODEL_BIAS = np.array([0.1013, 0.2029, -0.1031])
 
 
 def model_sql(source: str) -> str:

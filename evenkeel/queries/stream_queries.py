@@ -1,0 +1,48 @@
+"""J: the incremental operators on streams over the given files."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from evenkeel.functions.cuts import apply_cuts
+from evenkeel.operators.labels import label_classes
+from evenkeel.operators.scaling import scaled_columns
+from evenkeel.plans.prepare import tag_split
+from evenkeel.queries.base import (
+    CLASSES, LAB, MAIN, NET, NET_SCORE, PROBS, r, rounded, rows_of, with_probabilities,
+)
+from evenkeel.queries.registry import query
+from evenkeel.queries.scaling_queries import _FILLED, BASE, VARIABLES
+from evenkeel.streaming import incremental as inc
+
+
+def _stream(spark, sf):
+    return inc.open_stream(spark, sf, "lineitem.parquet")
+
+
+@query("j01_streamed_statistics", f"""WITH {BASE}, {_FILLED} SELECT variable, {r('shift', 5)} AS shift, {r('scale', 5)} AS scale, {r('"default"', 5)} AS "default", n FROM stats""")
+def _(spark, sf):
+    out = inc.streamed_statistics(_stream(spark, sf), rows_of, VARIABLES, {"energy": 0.03})
+    return out.select("variable", *[rounded(c, 5).alias(c) for c in ("shift", "scale", "default")], "n")
+
+
+FIXED = {"price": {"shift": 38000.0, "scale": 23000.0, "default": 0.0}, "mass": {"shift": 0.05, "scale": 0.03, "default": 0.05}}
+CUT = 0.35
+_J02 = f"""WITH {PROBS} SELECT row_key, label, CASE WHEN event % 10 <= 7 THEN 'train' WHEN event % 10 = 8 THEN 'validation' ELSE 'test' END AS split,
+{r('(price - 38000.0) / 23000.0')} AS price, {r('(CASE WHEN isnan(mass) THEN 0.05::DOUBLE ELSE mass END - 0.05) / 0.03')} AS mass, {r(NET_SCORE)} AS score, {NET_SCORE} > {CUT} AS passed FROM probs WHERE quantity > 5"""
+
+
+@query("j02_continuous_preparation", _J02)
+def _(spark, sf):
+    steps = [
+        rows_of,
+        lambda df: apply_cuts(df, [{"quantity": {"operator": ">", "condition": 5}}]),
+        lambda df: tag_split(label_classes(df, CLASSES), "event"),
+        with_probabilities,
+        lambda df: df.withColumn("score", NET.score(df.columns, MAIN)),
+        lambda df: df.select(
+            "row_key", "label", "split", *[c.alias(n) for n, c in scaled_columns(list(FIXED), FIXED).items()],
+            "score", (F.col("score") > CUT).alias("passed")),
+    ]
+    out = inc.run_to_table(inc.prepared_stream(_stream(spark, sf), steps))
+    return out.select("row_key", "label", "split", *[rounded(c).alias(c) for c in ("price", "mass", "score")], "passed")

@@ -14,11 +14,11 @@ def row_key(*parts: Column) -> Column:
     return F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
 
 
-def shuffled(key: Column, seed: int) -> Column:
+def shuffled(key: Column, seed: int | str) -> Column:
     """Position of a row in the random order of ``seed``: independent of partitioning."""
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), key))
+    return F.md5(F.concat(F.lit(f"{seed}|"), key))
 
 
 def hash_range(hashed: Column, digits: int = RANGE_DIGITS) -> Column:
-    """Number of the ordered range a hash falls into."""
-    return F.conv(F.substring(hashed, 1, digits), 16, 10).cast("int")
+    """The ordered range a hash falls into: its leading digits."""
+    return F.substring(hashed, 1, digits)

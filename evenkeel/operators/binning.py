@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.functions.arrays import count_below
+from evenkeel.functions.numeric import INF
 
 Edges = Sequence[float]
 
@@ -50,19 +51,16 @@ def bin_number(x: Column, edges: Edges) -> Column:
     if len(edges) < 2 or any(b < a for a, b in zip(edges, edges[1:])):
         raise ValueError("edges must be at least two ascending numbers")
     lo, hi, last = edges[0], edges[-1], len(edges) - 2
-    table = F.array(*[F.lit(e) for e in edges])
+    # the last bin takes everything up to the upper end, which the range check sets
+    starts = F.array(*[F.lit(e) for e in edges[:-1]], F.lit(INF))
     x = x.cast("double")
     if _is_uniform(edges):
         # Guess by division, then settle against the exact edges.
-        guess = F.least(F.floor((x - lo) * F.lit((last + 1) / (hi - lo))).cast("int"), F.lit(last))
-        number = (
-            guess
-            + (x >= F.get(table, guess + 1)).cast("int")
-            - (x < F.get(table, guess)).cast("int")
-        )
+        guess = F.least(F.width_bucket(x, F.lit(lo), F.lit(hi), F.lit(last + 1)).cast("int"), F.lit(last + 1)) - 1
+        number = guess + (x >= F.get(starts, guess + 1)).cast("int") - (x < F.get(starts, guess)).cast("int")
     else:
-        number = count_below(table, x, len(edges), inclusive=True) - 1
-    return F.when((x >= lo) & (x <= hi), F.least(number, F.lit(last)))
+        number = count_below(starts, x, len(edges), inclusive=True) - 1
+    return F.when((x >= lo) & (x <= hi), number)
 
 
 def flat_bin(axes: Mapping[str, Edges]) -> Column:
@@ -79,7 +77,7 @@ def n_bins(axes: Mapping[str, Edges]) -> int:
 
 def with_bins(df: DataFrame, axes: Mapping[str, Edges], name: str = "bin") -> DataFrame:
     """Add the flat bin number; rows outside the grid are dropped."""
-    return df.withColumn(name, flat_bin(axes)).filter(F.col(name).isNotNull())
+    return df.withColumn(name, F.coalesce(flat_bin(axes), F.lit(-1))).filter(F.col(name) >= 0)
 
 
 def edge_table(spark: SparkSession, edges: Edges) -> DataFrame:

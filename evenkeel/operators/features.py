@@ -74,7 +74,7 @@ def in_block_order(df: DataFrame, key: str, seed: int, block: int, name: str = "
     ranked = global_rank(df, "__at", key)
     number = F.floor((F.col("__at") - 1) / block)
     hashed = ranked.withColumn(
-        "_hash", F.concat(F.md5(F.concat_ws("|", F.lit(str(seed)), number.cast("string"))), shuffled(F.col(key), seed))
+        "_hash", F.concat(shuffled(number.cast("string"), seed), shuffled(F.col(key), seed))
     )
     return global_rank(hashed, name, "_hash").withColumn(name, F.col(name) - 1).drop("_hash", "__at")
 

@@ -34,10 +34,12 @@ def class_number(classes: Sequence[ClassDef], schema=None) -> Column:
 def label_classes(df: DataFrame, classes: Sequence[ClassDef], keep_unlabelled: bool = False) -> DataFrame:
     """Add ``label`` and ``class``; rows of no class are dropped."""
     names = F.array(*[F.lit(c.name) for c in classes])
-    out = df.withColumn("label", class_number(classes, df.schema))
-    if not keep_unlabelled:
-        out = out.filter(F.col("label").isNotNull())
-    return out.withColumn("class", F.get(names, F.col("label")))
+    number = class_number(classes, df.schema)
+    if keep_unlabelled:
+        return df.withColumn("label", number).withColumn("class", F.get(names, F.col("label")))
+    # columns that are never NULL save null checks wherever they become join keys
+    out = df.withColumn("label", F.coalesce(number, F.lit(-1))).filter(F.col("label") >= 0)
+    return out.withColumn("class", F.coalesce(F.get(names, F.col("label")), F.lit("")))
 
 
 def label_columns(classes: Sequence[ClassDef]) -> list[str]:

@@ -23,18 +23,30 @@ def _ranges(digits: int) -> int:
     return 16**digits
 
 
+def range_counts(df: DataFrame, groups: Sequence[str], hashed: str = "_hash", digits: int = RANGE_DIGITS) -> DataFrame:
+    """Rows per group and hash range: the small table that ranks and thresholds start from."""
+    keyed = df.select(*groups, hash_range(F.col(hashed), digits).alias(_RANGE))
+    return keyed.groupBy(*groups, _RANGE).agg(F.count(F.lit(1)).alias("__n"))
+
+
+def group_counts(cells: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """``(*groups, n)`` from the counts per hash range."""
+    return cells.groupBy(*groups).agg(F.sum("__n").cast("bigint").alias("n"))
+
+
 def smallest_thresholds(
     df: DataFrame, groups: Sequence[str], limits: DataFrame, max_groups: int,
-    hashed: str = "_hash", digits: int = RANGE_DIGITS,
+    hashed: str = "_hash", digits: int = RANGE_DIGITS, cells: DataFrame | None = None,
 ) -> DataFrame:
     """Per group, the hash up to which rows belong to the ``limit`` smallest.
 
     ``limits`` holds ``(*groups, limit)``. The result adds ``threshold``: NULL means
-    the whole group fits. Only one hash range per group is ever sorted.
+    the whole group fits. Only one hash range per group is ever sorted. ``cells`` are
+    the ``range_counts``, if already written.
     """
     groups = list(groups)
     keyed = df.select(*groups, hashed).withColumn(_RANGE, hash_range(F.col(hashed), digits))
-    counts = keyed.groupBy(*groups, _RANGE).agg(F.count(F.lit(1)).alias("__n"))
+    counts = range_counts(df, groups, hashed, digits) if cells is None else cells
     upto = W.partitionBy(*groups).orderBy(_RANGE).rowsBetween(W.unboundedPreceding, W.currentRow)
     running = counts.withColumn("__upto", F.sum("__n").over(upto))
     running = _join(running, small(limits, max_groups), groups)
@@ -57,15 +69,19 @@ def _join(left: DataFrame, right: DataFrame, groups: Sequence[str], how: str = "
 
 def keep_smallest(
     df: DataFrame, groups: Sequence[str], limits: DataFrame, max_groups: int,
-    hashed: str = "_hash", digits: int = RANGE_DIGITS, thresholds: DataFrame | None = None,
+    hashed: str = "_hash", digits: int = RANGE_DIGITS,
 ) -> DataFrame:
     """The ``limit`` rows of every group that come first in hash order.
 
-    Rows are never shuffled: they pass a filter against the broadcast thresholds.
     Hashes must be unique within a group. Groups without a limit are dropped.
     """
-    if thresholds is None:
-        thresholds = smallest_thresholds(df, groups, limits, max_groups, hashed, digits)
+    return below_thresholds(df, groups, smallest_thresholds(df, groups, limits, max_groups, hashed, digits), max_groups, hashed)
+
+
+def below_thresholds(
+    df: DataFrame, groups: Sequence[str], thresholds: DataFrame, max_groups: int, hashed: str = "_hash",
+) -> DataFrame:
+    """Rows up to their group's threshold: a filter against a small table, no shuffle of rows."""
     kept = _join(df, small(thresholds.withColumnRenamed("limit", "__limit"), max_groups), groups)
     return kept.filter(
         (F.col("__limit") > 0) & (F.col("threshold").isNull() | (F.col(hashed) <= F.col("threshold")))

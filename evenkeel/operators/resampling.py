@@ -7,7 +7,7 @@ an earlier step thinned out.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions.keys import shuffled
 from evenkeel.functions.numeric import safe_divide
-from evenkeel.operators.binning import Edges, full_grid, n_bins, with_bins
+from evenkeel.operators.binning import Edges, flat_bin, full_grid, n_bins, with_bins
 from evenkeel.operators.fractions import check_fractions, correct_fractions, with_fraction
-from evenkeel.operators.ranking import keep_smallest, smallest_thresholds
+from evenkeel.operators.ranking import below_thresholds, group_counts, keep_smallest, range_counts, smallest_thresholds
 from evenkeel.session import cut_lineage, small
 
 METHODS = ("count", "importance", "weighting", "pdf")
@@ -63,9 +63,13 @@ def choose_split(df: DataFrame, options: ResamplingOptions) -> DataFrame:
 
 def bin_counts(binned: DataFrame, classes: Sequence[str], bins: int) -> DataFrame:
     """``(class, bin, n)`` for the full grid, empty bins included."""
-    counted = binned.groupBy("class", "bin").agg(F.count(F.lit(1)).alias("n"))
-    grid = full_grid(binned.sparkSession, {"class": classes}, bins)
-    return grid.join(small(counted, bins * len(classes)), ["class", "bin"], "left").na.fill(0, ["n"])
+    return complete_counts(binned.groupBy("class", "bin").agg(F.count(F.lit(1)).alias("n")), classes, bins)
+
+
+def complete_counts(counts: DataFrame, classes: Sequence[str], bins: int) -> DataFrame:
+    """Counts per (class, bin) with the empty bins of the grid filled in."""
+    grid = full_grid(counts.sparkSession, {"class": classes}, bins)
+    return grid.join(small(counts, bins * len(classes)), ["class", "bin"], "left").na.fill(0, ["n"])
 
 
 def sampling_ratios(counts: DataFrame, target_class: str, bins: int) -> DataFrame:
@@ -91,17 +95,37 @@ def attach_weights(df: DataFrame, weights: DataFrame, max_rows: int, name: str =
     )
 
 
-def _take(df: DataFrame, step: str, groups: Sequence[str], limits: DataFrame, max_groups: int,
-          options: ResamplingOptions) -> DataFrame:
-    """``keep_smallest`` in the step's own order, with the thresholds written once."""
-    hashed = df.withColumn("_hash", F.md5(F.concat_ws("|", F.lit(step), shuffled(F.col(options.key), options.seed))))
-    limits = limits.select(*groups, F.col("limit").cast("bigint"))
-    thresholds = cut_lineage(smallest_thresholds(hashed, groups, limits, max_groups))
-    return keep_smallest(hashed, groups, limits, max_groups, thresholds=thresholds).drop("_hash")
+def _ordered(df: DataFrame, step: str, options: ResamplingOptions) -> DataFrame:
+    return df.withColumn("_hash", shuffled(F.col(options.key), f"{options.seed}|{step}"))
 
 
-def _per_class(spark, classes: Sequence[str], limit: int) -> DataFrame:
-    return full_grid(spark, {"class": classes}, 1).select("class", F.lit(limit).alias("limit"))
+@dataclass(frozen=True)
+class Selection:
+    """One selecting step: the written thresholds and how to apply them to any table."""
+
+    step: str
+    groups: Sequence[str]
+    thresholds: DataFrame
+    max_groups: int
+    options: ResamplingOptions
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        ordered = _ordered(df, self.step, self.options)
+        return below_thresholds(ordered, self.groups, self.thresholds, self.max_groups).drop("_hash")
+
+
+def plan_selection(df: DataFrame, step: str, groups: Sequence[str], limits_of: Callable[[DataFrame], DataFrame],
+                   max_groups: int, options: ResamplingOptions) -> Selection:
+    """Find a step's thresholds; ``limits_of`` turns (*groups, n) into (*groups, limit).
+
+    The counts per hash range are written once and serve the limits and the
+    thresholds, so the rows are read twice, key and group columns only.
+    """
+    ordered = _ordered(df.select(options.key, *groups), step, options)
+    cells = cut_lineage(range_counts(ordered, groups))
+    limits = limits_of(group_counts(cells, groups)).select(*groups, F.col("limit").cast("bigint"))
+    thresholds = cut_lineage(smallest_thresholds(ordered, groups, limits, max_groups, cells=cells))
+    return Selection(step, groups, thresholds, max_groups, options)
 
 
 def cap_samples(df: DataFrame, groups: Sequence[str], caps: DataFrame, max_groups: int,
@@ -111,40 +135,58 @@ def cap_samples(df: DataFrame, groups: Sequence[str], caps: DataFrame, max_group
     return keep_smallest(hashed, groups, caps, max_groups).drop("_hash")
 
 
-def cap_classes(df: DataFrame, options: ResamplingOptions) -> DataFrame:
+def size_selection(df: DataFrame, options: ResamplingOptions) -> Selection:
     """The final size: requested total // number of classes for every class."""
-    if options.n_rows == -1:
-        return df
     per_class = options.n_rows // len(options.classes)
-    limits = _per_class(df.sparkSession, options.classes, per_class)
-    return _take(df, "size", ["class"], limits, len(options.classes), options)
 
+    def limits(_: DataFrame) -> DataFrame:
+        return full_grid(df.sparkSession, {"class": options.classes}, 1).select("class", F.lit(per_class).alias("limit"))
 
-def thin_bins(binned: DataFrame, minima: DataFrame, options: ResamplingOptions) -> DataFrame:
-    """Keep ``limit`` random rows of every class in every bin; ``minima`` is (bin, limit)."""
-    bins = n_bins(options.axes)
-    grid = full_grid(binned.sparkSession, {"class": options.classes}, bins)
-    limits = grid.join(small(minima, bins), "bin")
-    return _take(binned, "bin", ["class", "bin"], limits, bins * len(options.classes), options)
+    return plan_selection(df, "size", ["class"], limits, len(options.classes), options)
 
 
-def balance_origins(df: DataFrame, options: ResamplingOptions) -> DataFrame:
+def origin_selection(df: DataFrame, options: ResamplingOptions) -> Selection:
     """Origin fractions within every class, sized on the first listed class."""
-    reference = df.filter(F.col("class") == options.classes[0])
-    counts = reference.groupBy("origin").agg(F.count(F.lit(1)).alias("n"))
-    sized = correct_fractions(with_fraction(counts, "origin", options.fractions))
-    per_class = F.explode(F.array(*[F.lit(c) for c in options.classes]))
-    limits = sized.select(per_class.alias("class"), "origin", F.col("target").alias("limit"))
+    def limits(counts: DataFrame) -> DataFrame:
+        reference = counts.filter(F.col("class") == options.classes[0]).select("origin", "n")
+        sized = correct_fractions(with_fraction(reference, "origin", options.fractions))
+        per_class = F.explode(F.array(*[F.lit(c) for c in options.classes]))
+        return sized.select(per_class.alias("class"), "origin", F.col("target").alias("limit"))
+
     groups = len(options.classes) * len(options.fractions)
-    return _take(df, "origin", ["class", "origin"], limits, groups, options)
+    return plan_selection(df, "origin", ["class", "origin"], limits, groups, options)
+
+
+def bin_selection(binned: DataFrame, options: ResamplingOptions, minima_of: Callable[[DataFrame], DataFrame]) -> Selection:
+    """The same number of rows of every class in a bin; ``minima_of`` maps counts to (bin, limit)."""
+    bins = n_bins(options.axes)
+
+    def limits(counts: DataFrame) -> DataFrame:
+        minima = minima_of(complete_counts(counts, options.classes, bins))
+        return full_grid(binned.sparkSession, {"class": options.classes}, bins).join(small(minima, bins), "bin")
+
+    return plan_selection(binned, "bin", ["class", "bin"], limits, bins * len(options.classes), options)
+
+
+def cap_classes(df: DataFrame, options: ResamplingOptions) -> DataFrame:
+    """At most the final size of every class; all rows when no total is requested."""
+    return df if options.n_rows == -1 else size_selection(df, options).apply(df)
 
 
 def count_undersample(df: DataFrame, options: ResamplingOptions) -> DataFrame:
-    """Equal counts per bin for all classes, then origin fractions, then the total."""
+    """Equal counts per bin for all classes, then origin fractions, then the total.
+
+    After the first step only the keys of the kept rows are written; the later steps
+    find their thresholds on that thin table, and all thresholds then filter the full
+    rows in one pass.
+    """
     binned = with_bins(choose_split(df, options), options.axes)
-    counts = bin_counts(binned, options.classes, n_bins(options.axes))
-    minima = counts.groupBy("bin").agg(F.min("n").alias("limit"))
-    return cap_classes(balance_origins(thin_bins(binned, minima, options), options), options)
+    by_bin = bin_selection(binned, options, lambda counts: counts.groupBy("bin").agg(F.min("n").alias("limit")))
+    kept = by_bin.apply(binned)
+    thin = cut_lineage(kept.select(options.key, "class", "origin"))
+    by_origin = origin_selection(thin, options)
+    by_size = size_selection(by_origin.apply(thin), options)
+    return by_size.apply(by_origin.apply(kept))
 
 
 def importance_minima(counts: DataFrame, target_class: str, bins: int) -> DataFrame:
@@ -161,15 +203,16 @@ def importance_undersample(df: DataFrame, options: ResamplingOptions) -> DataFra
     """Every class drawn, without replacement, into the target class's binned shape."""
     bins = n_bins(options.axes)
     binned = with_bins(choose_split(df, options), options.axes)
-    counts = bin_counts(binned, options.classes, bins)
-    minima = importance_minima(counts, options.target_class, bins)
-    return cap_classes(thin_bins(binned, minima, options), options)
+    by_bin = bin_selection(binned, options, lambda counts: importance_minima(counts, options.target_class, bins))
+    kept = by_bin.apply(binned)
+    if options.n_rows == -1:
+        return kept
+    thin = cut_lineage(kept.select(options.key, "class"))
+    return size_selection(thin, options).apply(kept)
 
 
 def weight_rows(df: DataFrame, options: ResamplingOptions) -> DataFrame:
     """All rows, each with the weight of its (class, bin)."""
-    from evenkeel.operators.binning import flat_bin
-
     bins = n_bins(options.axes)
     binned = choose_split(df, options).withColumn("bin", flat_bin(options.axes))
     counts = bin_counts(binned.filter(F.col("bin").isNotNull()), options.classes, bins)

@@ -18,7 +18,7 @@ SHARES_SQL = "CASE origin WHEN 'F' THEN 0.6::DOUBLE ELSE 0.4::DOUBLE END"
 
 
 def _hash_sql(step: str, seed: int = 42) -> str:
-    return f"md5('{step}|' || md5('{seed}|' || row_key))"
+    return f"md5('{seed}|{step}|' || row_key)"
 
 
 @query("e01_fraction_correction", f"""WITH {LAB}, c AS (SELECT class, origin, count(*) AS n, {SHARES_SQL} AS fraction FROM lab GROUP BY ALL),

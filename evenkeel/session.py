@@ -21,6 +21,9 @@ def build_session(app_name: str = "evenkeel", master: str | None = None, **conf)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # wide expressions make generated methods that the JVM would otherwise only interpret
+        "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+        "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
         **conf,
     }
     for key, value in settings.items():

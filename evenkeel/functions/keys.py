@@ -19,6 +19,19 @@ def shuffled(key: Column, seed: int | str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), key))
 
 
+def turned(hashed: Column, step: int) -> Column:
+    """An independent order from the same hash: its digits turned round by 10 per step.
+
+    Unique where the hash is, and led by digits no earlier step was led by (three
+    steps fit into the 32 digits of an md5).
+    """
+    if not 0 <= step <= 2:
+        raise ValueError("one hash serves three steps")
+    if step == 0:
+        return hashed
+    return F.concat(F.substring(hashed, 10 * step + 1, 32), F.substring(hashed, 1, 10 * step))
+
+
 def hash_range(hashed: Column, digits: int = RANGE_DIGITS) -> Column:
     """The ordered range a hash falls into: its leading digits."""
     return F.substring(hashed, 1, digits)

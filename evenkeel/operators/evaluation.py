@@ -21,7 +21,7 @@ from evenkeel.functions.score import discriminant, probability_columns
 from evenkeel.operators.binning import Edges, bin_number
 from evenkeel.operators.histograms import histogram
 from evenkeel.operators.quantiles import exact_quantiles, quantile_arrays
-from evenkeel.session import small
+from evenkeel.session import cut_lineage, small
 
 # Fixed value: keeps the class size away from zero.
 EPSILON = 1e-10
@@ -96,6 +96,7 @@ def pass_counts(scores: DataFrame, cuts: DataFrame, n_cuts: int, keys: Sequence[
     keys, split = list(keys), list(split)
     ladder = F.array_sort(F.collect_list(F.struct("cut", "eff_no", "eff")))
     frame = cuts.groupBy(*keys).agg(ladder.alias("__l")).withColumn("__cuts", F.transform("__l", lambda x: x["cut"]))
+    frame = cut_lineage(frame)
     placed = _on(scores, small(frame.select(*keys, "__cuts"), max_groups), keys).select(
         *keys, *split, count_below(F.col("__cuts"), F.col("score"), n_cuts).alias("__pos")
     )

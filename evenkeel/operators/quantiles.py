@@ -4,7 +4,8 @@ First scan: a quantile sketch per group brackets every wanted order statistic wi
 guaranteed rank error. Second scan: rows between brackets are only counted, rows
 inside a bracket are counted per value. Both are map-side aggregations, so no raw
 rows are shuffled and no group is gathered in one place; the ranks found in the
-brackets are exact.
+brackets are exact. Both scans run when the function is called: their small results
+are written, so the rows are read exactly twice.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions.arrays import count_below
 from evenkeel.functions.numeric import INF
-from evenkeel.session import small
+from evenkeel.session import cut_lineage, small
 
 # Rank error of the sketch is n / ACCURACY; smaller groups are counted value by value.
 ACCURACY = 20_000
@@ -58,6 +59,7 @@ def exact_quantiles(
         bracket(0, [p <= 0.0 for p in lows], -INF).alias("__lo"),
         bracket(m, [p >= 1.0 for p in highs], INF).alias("__hi"),
     )
+    frame = cut_lineage(frame)
     joined = _on(rows, small(frame.select(*groups, "__lo", "__hi"), max_groups), groups)
     below_hi = count_below(F.col("__hi"), x, m)
     from_lo = count_below(F.col("__lo"), x, m, inclusive=True)
@@ -66,6 +68,7 @@ def exact_quantiles(
         .select(*groups, "__seg", F.when(F.col("__seg") < F.col("__b"), F.col("__x")).alias("__v"))
         .groupBy(*groups, "__seg", "__v").agg(F.count(F.lit(1)).alias("__c"))
     )
+    cells = cut_lineage(cells)
     per_seg = cells.groupBy(*groups, "__seg").agg(F.sum("__c").alias("__t"))
     prior = W.partitionBy(*groups).orderBy("__seg").rowsBetween(W.unboundedPreceding, -1)
     offsets = per_seg.select(*groups, "__seg", F.coalesce(F.sum("__t").over(prior), F.lit(0)).alias("__off"))

@@ -1,8 +1,8 @@
 """Balancing by undersampling and by weights.
 
-Selection is repeatable: rows are taken in the md5 order of (seed, step, row key).
-Every selecting step uses its own order; reusing one would favour rows of bins that
-an earlier step thinned out.
+Selection is repeatable: rows are taken in the md5 order of (seed, row key). Every
+selecting step turns the hash to get its own order; reusing one would favour rows of
+bins that an earlier step thinned out.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.functions.keys import shuffled
+from evenkeel.functions.keys import shuffled, turned
 from evenkeel.functions.numeric import safe_divide
 from evenkeel.operators.binning import Edges, flat_bin, full_grid, n_bins, with_bins
 from evenkeel.operators.fractions import check_fractions, correct_fractions, with_fraction
@@ -95,37 +95,41 @@ def attach_weights(df: DataFrame, weights: DataFrame, max_rows: int, name: str =
     )
 
 
-def _ordered(df: DataFrame, step: str, options: ResamplingOptions) -> DataFrame:
-    return df.withColumn("_hash", shuffled(F.col(options.key), f"{options.seed}|{step}"))
+# The selecting steps and how far each turns the hash.
+BIN_STEP, ORIGIN_STEP, SIZE_STEP = 0, 1, 2
+
+
+def with_hash(df: DataFrame, options: ResamplingOptions) -> DataFrame:
+    """Add ``_hash``, the random order all selecting steps start from."""
+    return df.withColumn("_hash", shuffled(F.col(options.key), options.seed))
 
 
 @dataclass(frozen=True)
 class Selection:
-    """One selecting step: the written thresholds and how to apply them to any table."""
+    """One selecting step: the written thresholds and how to apply them to hashed rows."""
 
-    step: str
+    step: int
     groups: Sequence[str]
     thresholds: DataFrame
     max_groups: int
-    options: ResamplingOptions
 
-    def apply(self, df: DataFrame) -> DataFrame:
-        ordered = _ordered(df, self.step, self.options)
-        return below_thresholds(ordered, self.groups, self.thresholds, self.max_groups).drop("_hash")
+    def apply(self, hashed: DataFrame) -> DataFrame:
+        own = hashed.withColumn("_own", turned(F.col("_hash"), self.step))
+        return below_thresholds(own, self.groups, self.thresholds, self.max_groups, "_own").drop("_own")
 
 
-def plan_selection(df: DataFrame, step: str, groups: Sequence[str], limits_of: Callable[[DataFrame], DataFrame],
-                   max_groups: int, options: ResamplingOptions) -> Selection:
+def plan_selection(hashed: DataFrame, step: int, groups: Sequence[str], limits_of: Callable[[DataFrame], DataFrame],
+                   max_groups: int) -> Selection:
     """Find a step's thresholds; ``limits_of`` turns (*groups, n) into (*groups, limit).
 
     The counts per hash range are written once and serve the limits and the
     thresholds, so the rows are read twice, key and group columns only.
     """
-    ordered = _ordered(df.select(options.key, *groups), step, options)
-    cells = cut_lineage(range_counts(ordered, groups))
+    own = hashed.select(*groups, turned(F.col("_hash"), step).alias("_own"))
+    cells = cut_lineage(range_counts(own, groups, "_own"))
     limits = limits_of(group_counts(cells, groups)).select(*groups, F.col("limit").cast("bigint"))
-    thresholds = cut_lineage(smallest_thresholds(ordered, groups, limits, max_groups, cells=cells))
-    return Selection(step, groups, thresholds, max_groups, options)
+    thresholds = cut_lineage(smallest_thresholds(own, groups, limits, max_groups, "_own", cells=cells))
+    return Selection(step, groups, thresholds, max_groups)
 
 
 def cap_samples(df: DataFrame, groups: Sequence[str], caps: DataFrame, max_groups: int,
@@ -142,7 +146,7 @@ def size_selection(df: DataFrame, options: ResamplingOptions) -> Selection:
     def limits(_: DataFrame) -> DataFrame:
         return full_grid(df.sparkSession, {"class": options.classes}, 1).select("class", F.lit(per_class).alias("limit"))
 
-    return plan_selection(df, "size", ["class"], limits, len(options.classes), options)
+    return plan_selection(df, SIZE_STEP, ["class"], limits, len(options.classes))
 
 
 def origin_selection(df: DataFrame, options: ResamplingOptions) -> Selection:
@@ -154,7 +158,7 @@ def origin_selection(df: DataFrame, options: ResamplingOptions) -> Selection:
         return sized.select(per_class.alias("class"), "origin", F.col("target").alias("limit"))
 
     groups = len(options.classes) * len(options.fractions)
-    return plan_selection(df, "origin", ["class", "origin"], limits, groups, options)
+    return plan_selection(df, ORIGIN_STEP, ["class", "origin"], limits, groups)
 
 
 def bin_selection(binned: DataFrame, options: ResamplingOptions, minima_of: Callable[[DataFrame], DataFrame]) -> Selection:
@@ -165,28 +169,31 @@ def bin_selection(binned: DataFrame, options: ResamplingOptions, minima_of: Call
         minima = minima_of(complete_counts(counts, options.classes, bins))
         return full_grid(binned.sparkSession, {"class": options.classes}, bins).join(small(minima, bins), "bin")
 
-    return plan_selection(binned, "bin", ["class", "bin"], limits, bins * len(options.classes), options)
+    return plan_selection(binned, BIN_STEP, ["class", "bin"], limits, bins * len(options.classes))
 
 
 def cap_classes(df: DataFrame, options: ResamplingOptions) -> DataFrame:
     """At most the final size of every class; all rows when no total is requested."""
-    return df if options.n_rows == -1 else size_selection(df, options).apply(df)
+    if options.n_rows == -1:
+        return df
+    hashed = with_hash(df, options)
+    return size_selection(hashed, options).apply(hashed).drop("_hash")
 
 
 def count_undersample(df: DataFrame, options: ResamplingOptions) -> DataFrame:
     """Equal counts per bin for all classes, then origin fractions, then the total.
 
-    After the first step only the keys of the kept rows are written; the later steps
+    After the first step only the hashes of the kept rows are written; the later steps
     find their thresholds on that thin table, and all thresholds then filter the full
     rows in one pass.
     """
-    binned = with_bins(choose_split(df, options), options.axes)
+    binned = with_hash(with_bins(choose_split(df, options), options.axes), options)
     by_bin = bin_selection(binned, options, lambda counts: counts.groupBy("bin").agg(F.min("n").alias("limit")))
     kept = by_bin.apply(binned)
-    thin = cut_lineage(kept.select(options.key, "class", "origin"))
+    thin = cut_lineage(kept.select("_hash", "class", "origin"))
     by_origin = origin_selection(thin, options)
     by_size = size_selection(by_origin.apply(thin), options)
-    return by_size.apply(by_origin.apply(kept))
+    return by_size.apply(by_origin.apply(kept)).drop("_hash")
 
 
 def importance_minima(counts: DataFrame, target_class: str, bins: int) -> DataFrame:
@@ -202,13 +209,13 @@ def importance_minima(counts: DataFrame, target_class: str, bins: int) -> DataFr
 def importance_undersample(df: DataFrame, options: ResamplingOptions) -> DataFrame:
     """Every class drawn, without replacement, into the target class's binned shape."""
     bins = n_bins(options.axes)
-    binned = with_bins(choose_split(df, options), options.axes)
+    binned = with_hash(with_bins(choose_split(df, options), options.axes), options)
     by_bin = bin_selection(binned, options, lambda counts: importance_minima(counts, options.target_class, bins))
     kept = by_bin.apply(binned)
     if options.n_rows == -1:
-        return kept
-    thin = cut_lineage(kept.select(options.key, "class"))
-    return size_selection(thin, options).apply(kept)
+        return kept.drop("_hash")
+    thin = cut_lineage(kept.select("_hash", "class"))
+    return size_selection(thin, options).apply(kept).drop("_hash")
 
 
 def weight_rows(df: DataFrame, options: ResamplingOptions) -> DataFrame:

@@ -45,7 +45,7 @@ def rows_of(lineitem: DataFrame) -> DataFrame:
     """lineitem as labelled records; -0.0 becomes 0.0, some values go missing."""
     c = F.col
     return lineitem.select(
-        row_key(c("l_orderkey"), c("l_partkey"), c("l_suppkey"), c("l_linenumber"), F.to_date("l_shipdate")).alias("row_key"),
+        row_key(c("l_orderkey"), c("l_partkey"), c("l_suppkey"), c("l_linenumber"), F.unix_date(F.to_date("l_shipdate"))).alias("row_key"),
         c("l_orderkey").alias("event"), c("l_linenumber").alias("item_no"), c("l_linestatus").alias("origin"),
         F.when(c("l_returnflag") == "A", 5).when(c("l_returnflag") == "N", 4).otherwise(0).alias("truth"),
         (c("l_quantity") + 0.0).alias("quantity"), (c("l_extendedprice") + 0.0).alias("price"),
@@ -115,7 +115,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 # ------------------------------------------------------------------------- SQL side
 
 BASE = """base AS (SELECT
-  md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d'))) AS row_key,
+  md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate::DATE - DATE '1970-01-01')) AS row_key,
   l_orderkey AS event, l_linenumber AS item_no, l_linestatus AS origin,
   CASE l_returnflag WHEN 'A' THEN 5 WHEN 'N' THEN 4 ELSE 0 END AS truth,
   l_quantity + 0.0 AS quantity, l_extendedprice + 0.0 AS price, l_discount + 0.0 AS discount, l_tax + 0.0 AS tax,

@@ -18,7 +18,9 @@ SHARES_SQL = "CASE origin WHEN 'F' THEN 0.6::DOUBLE ELSE 0.4::DOUBLE END"
 
 
 def _hash_sql(step: str, seed: int = 42) -> str:
-    return f"md5('{seed}|{step}|' || row_key)"
+    turn = {"bin": 0, "origin": 10, "size": 20}[step]
+    h = f"md5('{seed}|' || row_key)"
+    return h if turn == 0 else f"(substr({h}, {turn + 1}) || substr({h}, 1, {turn}))"
 
 
 @query("e01_fraction_correction", f"""WITH {LAB}, c AS (SELECT class, origin, count(*) AS n, {SHARES_SQL} AS fraction FROM lab GROUP BY ALL),

@@ -1,8 +1,9 @@
-"""Ranks and running sums in hash order without a single global sort task.
+"""Selections, ranks and running sums in hash order without a single global sort task.
 
-A hash order is split into 4096 ordered ranges. Counts or sums per range form a
-small table from which every range gets its offset, and windows run only inside a
-range, so a group holding a third of all rows is still spread over 4096 tasks.
+Selections find one hash threshold per group and then only filter. For ranks and sums
+a hash order is split into 4096 ordered ranges: counts or sums per range form a small
+table from which every range gets its offset, and windows run only inside a range, so
+a group holding a third of all rows is still spread over 4096 tasks.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from evenkeel.functions.keys import RANGE_DIGITS, hash_range
-from evenkeel.session import small
+from evenkeel.session import cut_lineage, small
 
 _RANGE = "__range"
 
@@ -23,44 +24,65 @@ def _ranges(digits: int) -> int:
     return 16**digits
 
 
-def range_counts(df: DataFrame, groups: Sequence[str], hashed: str = "_hash", digits: int = RANGE_DIGITS) -> DataFrame:
-    """Rows per group and hash range: the small table that ranks and thresholds start from."""
-    keyed = df.select(*groups, hash_range(F.col(hashed), digits).alias(_RANGE))
-    return keyed.groupBy(*groups, _RANGE).agg(F.count(F.lit(1)).alias("__n"))
-
-
-def group_counts(cells: DataFrame, groups: Sequence[str]) -> DataFrame:
-    """``(*groups, n)`` from the counts per hash range."""
-    return cells.groupBy(*groups).agg(F.sum("__n").cast("bigint").alias("n"))
-
-
 def smallest_thresholds(
     df: DataFrame, groups: Sequence[str], limits: DataFrame, max_groups: int,
-    hashed: str = "_hash", digits: int = RANGE_DIGITS, cells: DataFrame | None = None,
+    hashed: str = "_hash", counts: DataFrame | None = None, sigmas: float = 8.0,
 ) -> DataFrame:
     """Per group, the hash up to which rows belong to the ``limit`` smallest.
 
-    ``limits`` holds ``(*groups, limit)``. The result adds ``threshold``: NULL means
-    the whole group fits. Only one hash range per group is ever sorted. ``cells`` are
-    the ``range_counts``, if already written.
+    ``limits`` holds ``(*groups, limit)``, ``counts`` the group sizes ``(*groups, n)`` if
+    already known. The result is ``(*groups, limit, threshold)``; a NULL threshold means
+    the whole group fits.
+
+    Hashes are spread evenly, so the k-th of n lies close to the share k / n. One scan
+    counts what is below a narrow bracket around that share and keeps the hashes inside
+    it, about ``2 * sigmas * sqrt(n)`` per group. The rank found there is exact; a group
+    whose rank is not in its bracket sends all groups through the range counts instead.
     """
     groups = list(groups)
+    if counts is None:
+        counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"))
+    sized = _join(limits.select(*groups, "limit"), small(counts.select(*groups, "n"), max_groups), groups)
+    cut_off = (F.col("limit") > 0) & (F.col("limit") < F.col("n"))
+    partial = sized.filter(cut_off)
+    share = F.col("limit") / F.col("n")
+    margin = F.lit(sigmas) * (F.sqrt(share * (1.0 - share) / F.col("n")) + 1.0 / F.col("n")) if sigmas else F.lit(0.0)
+    bounds = partial.select(*groups, _digits(share - margin).alias("__lo"), _digits(share + margin).alias("__hi"))
+    own = F.col(hashed)
+    cells = cut_lineage(
+        _join(df.select(*groups, hashed), small(bounds, max_groups), groups).filter(own < F.col("__hi"))
+        .groupBy(*groups, F.when(own >= F.col("__lo"), own).alias("__at")).agg(F.count(F.lit(1)).alias("__n"))
+    )
+    upto = W.partitionBy(*groups).orderBy(F.col("__at").asc_nulls_first()).rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = cells.withColumn("__upto", F.sum("__n").over(upto)).filter(F.col("__at").isNotNull())
+    found = _join(ranked, small(partial, max_groups), groups).filter(F.col("__upto") == F.col("limit"))
+    out = cut_lineage(_join(sized, small(found.select(*groups, F.col("__at").alias("threshold")), max_groups), groups, how="left"))
+    if out.filter(cut_off & F.col("threshold").isNull()).limit(1).count():
+        found = _thresholds_by_range(df, groups, partial, max_groups, hashed)
+        out = cut_lineage(_join(sized, small(found, max_groups), groups, how="left"))
+    return out.drop("n")
+
+
+def _digits(share: Column) -> Column:
+    """A share of the hash space as eight leading hex digits (``g`` beyond its end)."""
+    scaled = F.floor(F.greatest(share, F.lit(0.0)) * F.lit(float(16**8))).cast("bigint")
+    return F.when(share >= 1.0, F.lit("g")).otherwise(F.lpad(F.lower(F.hex(scaled)), 8, "0"))
+
+
+def _thresholds_by_range(
+    df: DataFrame, groups: Sequence[str], limits: DataFrame, max_groups: int, hashed: str, digits: int = RANGE_DIGITS,
+) -> DataFrame:
+    """``(*groups, threshold)`` found by counting hash ranges and sorting one range per group."""
     keyed = df.select(*groups, hashed).withColumn(_RANGE, hash_range(F.col(hashed), digits))
-    counts = range_counts(df, groups, hashed, digits) if cells is None else cells
+    counts = keyed.groupBy(*groups, _RANGE).agg(F.count(F.lit(1)).alias("__n"))
     upto = W.partitionBy(*groups).orderBy(_RANGE).rowsBetween(W.unboundedPreceding, W.currentRow)
-    running = counts.withColumn("__upto", F.sum("__n").over(upto))
-    running = _join(running, small(limits, max_groups), groups)
+    running = _join(counts.withColumn("__upto", F.sum("__n").over(upto)), small(limits, max_groups), groups)
     edge = running.filter(
         (F.col("__upto") >= F.col("limit")) & (F.col("__upto") - F.col("__n") < F.col("limit"))
     ).select(*groups, _RANGE, (F.col("limit") - F.col("__upto") + F.col("__n")).alias("__need"))
-    in_edge = keyed.join(small(edge, max_groups), [*groups, _RANGE])
     order = W.partitionBy(*groups, _RANGE).orderBy(hashed)
-    threshold = (
-        in_edge.withColumn("__rn", F.row_number().over(order))
-        .filter(F.col("__rn") == F.col("__need"))
-        .select(*groups, F.col(hashed).alias("threshold"))
-    )
-    return _join(limits, threshold, groups, how="left")
+    in_edge = keyed.join(small(edge, max_groups), [*groups, _RANGE]).withColumn("__rn", F.row_number().over(order))
+    return in_edge.filter(F.col("__rn") == F.col("__need")).select(*groups, F.col(hashed).alias("threshold"))
 
 
 def _join(left: DataFrame, right: DataFrame, groups: Sequence[str], how: str = "inner") -> DataFrame:
@@ -69,13 +91,13 @@ def _join(left: DataFrame, right: DataFrame, groups: Sequence[str], how: str = "
 
 def keep_smallest(
     df: DataFrame, groups: Sequence[str], limits: DataFrame, max_groups: int,
-    hashed: str = "_hash", digits: int = RANGE_DIGITS,
+    hashed: str = "_hash",
 ) -> DataFrame:
     """The ``limit`` rows of every group that come first in hash order.
 
     Hashes must be unique within a group. Groups without a limit are dropped.
     """
-    return below_thresholds(df, groups, smallest_thresholds(df, groups, limits, max_groups, hashed, digits), max_groups, hashed)
+    return below_thresholds(df, groups, smallest_thresholds(df, groups, limits, max_groups, hashed), max_groups, hashed)
 
 
 def below_thresholds(

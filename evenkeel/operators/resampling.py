@@ -17,7 +17,7 @@ from evenkeel.functions.keys import shuffled, turned
 from evenkeel.functions.numeric import safe_divide
 from evenkeel.operators.binning import Edges, flat_bin, full_grid, n_bins, with_bins
 from evenkeel.operators.fractions import check_fractions, correct_fractions, with_fraction
-from evenkeel.operators.ranking import below_thresholds, group_counts, keep_smallest, range_counts, smallest_thresholds
+from evenkeel.operators.ranking import below_thresholds, keep_smallest, smallest_thresholds
 from evenkeel.session import cut_lineage, small
 
 METHODS = ("count", "importance", "weighting", "pdf")
@@ -122,13 +122,12 @@ def plan_selection(hashed: DataFrame, step: int, groups: Sequence[str], limits_o
                    max_groups: int) -> Selection:
     """Find a step's thresholds; ``limits_of`` turns (*groups, n) into (*groups, limit).
 
-    The counts per hash range are written once and serve the limits and the
-    thresholds, so the rows are read twice, key and group columns only.
+    The rows are read twice, group columns and hash only.
     """
+    counts = cut_lineage(hashed.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")))
+    limits = limits_of(counts).select(*groups, F.col("limit").cast("bigint"))
     own = hashed.select(*groups, turned(F.col("_hash"), step).alias("_own"))
-    cells = cut_lineage(range_counts(own, groups, "_own"))
-    limits = limits_of(group_counts(cells, groups)).select(*groups, F.col("limit").cast("bigint"))
-    thresholds = cut_lineage(smallest_thresholds(own, groups, limits, max_groups, "_own", cells=cells))
+    thresholds = smallest_thresholds(own, groups, limits, max_groups, "_own", counts)
     return Selection(step, groups, thresholds, max_groups)
 
 
@@ -183,17 +182,16 @@ def cap_classes(df: DataFrame, options: ResamplingOptions) -> DataFrame:
 def count_undersample(df: DataFrame, options: ResamplingOptions) -> DataFrame:
     """Equal counts per bin for all classes, then origin fractions, then the total.
 
-    After the first step only the hashes of the kept rows are written; the later steps
-    find their thresholds on that thin table, and all thresholds then filter the full
-    rows in one pass.
+    The full rows are read twice: once to write a thin table of hash, class, origin and
+    bin, on which all steps find their thresholds, and once for the final filters.
     """
     binned = with_hash(with_bins(choose_split(df, options), options.axes), options)
-    by_bin = bin_selection(binned, options, lambda counts: counts.groupBy("bin").agg(F.min("n").alias("limit")))
-    kept = by_bin.apply(binned)
-    thin = cut_lineage(kept.select("_hash", "class", "origin"))
-    by_origin = origin_selection(thin, options)
-    by_size = size_selection(by_origin.apply(thin), options)
-    return by_size.apply(by_origin.apply(kept)).drop("_hash")
+    thin = cut_lineage(binned.select("_hash", "class", "origin", "bin"))
+    by_bin = bin_selection(thin, options, lambda counts: counts.groupBy("bin").agg(F.min("n").alias("limit")))
+    even = by_bin.apply(thin)
+    by_origin = origin_selection(even, options)
+    by_size = size_selection(by_origin.apply(even), options)
+    return by_size.apply(by_origin.apply(by_bin.apply(binned))).drop("_hash")
 
 
 def importance_minima(counts: DataFrame, target_class: str, bins: int) -> DataFrame:
@@ -210,12 +208,12 @@ def importance_undersample(df: DataFrame, options: ResamplingOptions) -> DataFra
     """Every class drawn, without replacement, into the target class's binned shape."""
     bins = n_bins(options.axes)
     binned = with_hash(with_bins(choose_split(df, options), options.axes), options)
-    by_bin = bin_selection(binned, options, lambda counts: importance_minima(counts, options.target_class, bins))
+    thin = cut_lineage(binned.select("_hash", "class", "bin"))
+    by_bin = bin_selection(thin, options, lambda counts: importance_minima(counts, options.target_class, bins))
     kept = by_bin.apply(binned)
     if options.n_rows == -1:
         return kept.drop("_hash")
-    thin = cut_lineage(kept.select("_hash", "class"))
-    return size_selection(thin, options).apply(kept).drop("_hash")
+    return size_selection(by_bin.apply(thin), options).apply(kept).drop("_hash")
 
 
 def weight_rows(df: DataFrame, options: ResamplingOptions) -> DataFrame:

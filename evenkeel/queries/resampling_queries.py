@@ -12,6 +12,7 @@ from evenkeel.queries.base import LAB, NAMES, ORIGINS, labelled, r, rounded
 from evenkeel.queries.binning_queries import _COUNTS
 from evenkeel.queries.merge_queries import AXES, BINS, BIN_SQL
 from evenkeel.queries.registry import query
+from evenkeel.session import cut_lineage
 
 SHARES = {"F": 0.6, "O": 0.4}
 SHARES_SQL = "CASE origin WHEN 'F' THEN 0.6::DOUBLE ELSE 0.4::DOUBLE END"
@@ -184,7 +185,8 @@ def _(spark, sf):
     drawn = pdf_resample(
         labelled(spark, sf), _pdf_options(), ORIGINS, smooth=False, max_upsampling=_LIMITS, sampling_fraction=_SAMPLING)
     keyed = drawn.select("row_key", "label", "copy", F.concat_ws("|", "row_key", F.col("copy").cast("string")).alias("copy_key"))
-    return features.in_random_order(keyed, "copy_key", 5).drop("copy_key")
+    # the drawn rows are written, as the shuffle reads them twice
+    return features.in_random_order(cut_lineage(keyed), "copy_key", 5).drop("copy_key")
 
 
 @query("e14_initial_caps", f"""WITH {LAB}, n AS (SELECT *, row_number() OVER (PARTITION BY origin, class ORDER BY md5('42|' || row_key)) AS rn FROM lab)

@@ -35,11 +35,14 @@ def _flatten(entries) -> Iterable[dict]:
             yield entry
 
 
-def _with_missing(x: Column, cond: Column, op: str, floating: bool) -> Column:
-    """Let missing values through; Spark already ranks NaN above every number."""
-    if floating and op in ("<", "<="):
-        cond = F.isnan(x) | cond
-    return x.isNull() | cond
+def _with_missing(x: Column, cond: Column, floating: bool) -> Column:
+    """Let missing values through.
+
+    Spark ranks NaN above every number, but column statistics may not count it, so a
+    bare ``x > c`` could skip a whole block that holds NaN. The explicit test keeps
+    such a comparison from being answered by statistics.
+    """
+    return x.isNull() | F.isnan(x) | cond if floating else x.isNull() | cond
 
 
 def one_cut(entry: dict, floating: bool = True) -> Column:
@@ -55,21 +58,21 @@ def one_cut(entry: dict, floating: bool = True) -> Column:
             raise RuntimeError(f"modulo cut {op!r} is not of the form mod_N_op")
         rest = F.pmod(x, F.lit(int(found[1])))
         kept = _compare(rest, found[2], value)
-        return kept if found[2] == "==" else _with_missing(rest, kept, found[2], floating)
+        return kept if found[2] == "==" else _with_missing(rest, kept, floating)
     if op not in OPERATORS:
         raise KeyError(f"operator {op!r} is not one of {OPERATORS}")
     if isinstance(value, (list, tuple)):
         if op == "==":
             return F.coalesce(x.isin(list(value)), F.lit(False))
         if op == "!=":
-            return x.isNull() | ~x.isin(list(value))
-        return reduce(lambda a, b: a | b, [_with_missing(x, _compare(x, op, v), op, floating) for v in value])
+            return _with_missing(x, ~x.isin(list(value)), floating)
+        return reduce(lambda a, b: a | b, [_with_missing(x, _compare(x, op, v), floating) for v in value])
     kept = _compare(x, op, float(value) if floating else value)
     if op == "==":
         if not spec.get("NaNcheck", False):
             return kept
-        return x.isNull() | F.isnan(x) | kept if floating else x.isNull() | kept
-    return _with_missing(x, kept, op, floating)
+        return _with_missing(x, kept, floating)
+    return _with_missing(x, kept, floating)
 
 
 def cut_predicate(cuts: Sequence, schema: T.StructType | None = None) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,9 +12,14 @@ from pyspark.sql import functions as F
 def count_below(edges: Column, x: Column, max_size: int, inclusive: bool = False) -> Column:
     """How many entries of a sorted array are below ``x`` (``<=`` if inclusive).
 
-    A halving search: about log2(max_size) steps per row. ``max_size`` is an upper
-    bound of the array length that the caller knows.
+    ``max_size`` is an upper bound of the array length that the caller knows. Short
+    arrays are compared entry by entry, longer ones by a halving search of about
+    log2(max_size) steps per row.
     """
+    if max_size <= 6:
+        entries = [F.get(edges, F.lit(i)) for i in range(max_size)]
+        hits = [F.when(e <= x if inclusive else e < x, 1).otherwise(0) for e in entries]
+        return reduce(lambda a, b: a + b, hits)
     steps = [2**k for k in range(max(max_size, 1).bit_length() - 1, -1, -1)]
 
     def step(pos: Column, s: Column) -> Column:

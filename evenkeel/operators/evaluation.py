@@ -202,7 +202,7 @@ def scores_per_fraction(df: DataFrame, classifiers: Sequence[Classifier], main:
 
 
 def rejection_per_fraction(df: DataFrame, classifiers: Sequence[Classifier], main: Sequence[str],
-                           grid: Sequence[Mapping[str, float]], eff: float, block: int = 25) -> DataFrame:
+                           grid: Sequence[Mapping[str, float]], eff: float, block: int = 50) -> DataFrame:
     """``(classifier, combo, class, cut, n, n_pass, rejection, f_*)`` at one working point."""
     parts = []
     for start in range(0, len(grid), block):

@@ -116,7 +116,7 @@ rej AS (SELECT s.classifier, s.class, s.combo, any_value(cut) AS cut, count(*) A
 
 @query("h09_rejection_per_fraction", f"WITH {PROBS}, {_FRACTION_REJ} SELECT classifier, class, combo, {r('f_medium', 4)} AS f_medium, {r('f_light', 4)} AS f_light, {r('cut')} AS cut, n, n_pass, {REJECTION} AS rejection FROM rej JOIN combos USING (combo)")
 def _(spark, sf):
-    out = ev.rejection_per_fraction(scored(spark, sf), BOTH, MAIN, GRID, 0.77, block=5)
+    out = ev.rejection_per_fraction(scored(spark, sf), BOTH, MAIN, GRID, 0.77)
     return out.select(
         "classifier", "class", "combo", rounded("f_medium", 4).alias("f_medium"), rounded("f_light", 4).alias("f_light"),
         rounded("cut").alias("cut"), "n", "n_pass", rounded("rejection").alias("rejection"))
@@ -322,12 +322,12 @@ def _(spark, sf):
 
 @query("h26_selected_rows", f"""WITH {PROBS}, n AS (SELECT event, count(*) AS n_items FROM base GROUP BY event), v AS (SELECT *, {NET_SCORE} AS score FROM probs JOIN n USING (event)),
 q AS (SELECT class, unnest([0.6::DOUBLE, 0.8::DOUBLE]) AS eff, unnest(quantile_cont(score, [{1.0 - 0.6!r}, {1.0 - 0.8!r}])) AS cut FROM v GROUP BY class)
-SELECT class, eff, score > cut AS passed, count(*) AS n, {r('avg(price)', 4)} AS mean_price, {r('avg(tax)', 8)} AS mean_tax FROM v JOIN q USING (class) WHERE n_items = 4 AND score <> cut GROUP BY class, eff, score > cut""")
+SELECT class, eff, score > cut AS passed, count(*) AS n, {r('avg(price)', 6)} AS mean_price, {r('avg(tax)', 8)} AS mean_tax FROM v JOIN q USING (class) WHERE n_items = 4 AND score <> cut GROUP BY class, eff, score > cut""")
 def _(spark, sf):
     counts = rows(spark, sf).groupBy("event").agg(F.count(F.lit(1)).alias("n_items"))
     df = _net_scored(spark, sf).join(counts, "event")
     out = ev.selection_summary(df, "score", "n_items", 4, [0.6, 0.8], NAMES, ["price", "tax"])
-    return out.select("class", "eff", "passed", "n", rounded("mean_price", 4).alias("mean_price"), rounded("mean_tax", 8).alias("mean_tax"))
+    return out.select("class", "eff", "passed", "n", rounded("mean_price", 6).alias("mean_price"), rounded("mean_tax", 8).alias("mean_tax"))
 
 
 @query("h27_rows_per_class", f"WITH {LAB} SELECT class, class = 'heavy' AS is_main, count(*) AS n FROM lab GROUP BY class")

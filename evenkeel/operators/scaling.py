@@ -49,10 +49,12 @@ def fill_statistics(finite: DataFrame, defaults: Mapping[str, float] | None = No
         given = F.when(F.col("variable") == v, F.lit(float(d))).otherwise(given)
     n, c = F.col("n_rows").cast("double"), F.col("n").cast("double")
     default = F.coalesce(given, F.col("shift"))
-    shift = F.col("shift") + (n - c) * (default - F.col("shift")) / n
-    spread = c * (F.pow("scale", 2.0) + F.pow(F.col("shift") - shift, 2.0)) + (n - c) * F.pow(default - shift, 2.0)
+    # a column without any finite value is all default
+    mean, scale = F.coalesce(F.col("shift"), default), F.coalesce(F.col("scale"), F.lit(0.0))
+    shift = mean + F.try_divide((n - c) * (default - mean), n)
+    spread = c * (F.pow(scale, 2.0) + F.pow(mean - shift, 2.0)) + (n - c) * F.pow(default - shift, 2.0)
     return finite.select(
-        "variable", shift.alias("shift"), F.sqrt(spread / n).alias("scale"), default.alias("default"),
+        "variable", shift.alias("shift"), F.sqrt(F.try_divide(spread, n)).alias("scale"), default.alias("default"),
         F.col("n_rows").alias("n"),
     )
 
@@ -107,14 +109,14 @@ def merge_statistics(parts: DataFrame, keys: Sequence[str] = ("variable",), tota
     keys, totals = list(keys), list(totals)
     n = F.col("n").cast("double")
     means = parts.groupBy(*keys).agg(
-        F.sum("n").cast("bigint").alias("__total"), (F.sum(n * F.col("shift")) / F.sum(n)).alias("__mean"),
+        F.sum("n").cast("bigint").alias("__total"), F.try_divide(F.sum(n * F.col("shift")), F.sum(n)).alias("__mean"),
     )
     spread = n * (F.pow(F.col("scale"), 2.0) + F.pow(F.col("shift") - F.col("__mean"), 2.0))
     return (
-        parts.join(means, keys).groupBy(*keys, "__mean", "__total")
+        parts.join(F.broadcast(means), keys).groupBy(*keys, "__mean", "__total")
         .agg(F.sum(spread).alias("__spread"), *[F.sum(t).cast("bigint").alias(t) for t in totals])
         .select(
-            *keys, F.col("__mean").alias("shift"), F.sqrt(F.col("__spread") / F.col("__total")).alias("scale"),
+            *keys, F.col("__mean").alias("shift"), F.sqrt(F.try_divide(F.col("__spread"), F.col("__total"))).alias("scale"),
             F.col("__total").alias("n"), *totals,
         )
     )

@@ -36,8 +36,9 @@ def streamed_statistics(stream: DataFrame, prepare: Callable[[DataFrame], DataFr
     folder = folder or _run_folder(spark)
 
     def store(batch: DataFrame, number: int) -> None:
-        part = finite_statistics(prepare(batch), variables).filter(F.col("n") > 0)
-        part.write.mode("overwrite").parquet(f"{folder}/parts/batch={number}")
+        # a batch whose values are all missing still counts its rows
+        part = finite_statistics(prepare(batch), variables).filter(F.col("n_rows") > 0)
+        part.na.fill(0.0, ["shift", "scale"]).write.mode("overwrite").parquet(f"{folder}/parts/batch={number}")
 
     run = (
         stream.writeStream.foreachBatch(store).option("checkpointLocation", f"{folder}/checkpoint")

@@ -94,6 +94,13 @@ def test_row_statistics_fill_missing_values(spark, defaults):
     assert (got["shift"], got["scale"], got["n"]) == (pytest.approx(filled.mean()), pytest.approx(filled.std()), 6)
 
 
+def test_column_without_finite_values_is_all_default(spark):
+    df = column(spark, [NAN, INF, NAN], "a")
+    given = as_dict(scaling.row_statistics(df, ["a"], {"a": 2.0}))["a"]
+    assert (given["shift"], given["scale"], given["n"]) == (2.0, 0.0, 3)
+    assert as_dict(scaling.row_statistics(df, ["a"]))["a"]["shift"] is None
+
+
 def test_merged_statistics_known_values(spark):
     parts = spark.createDataFrame(
         [("pt", 5.0, 2.0, 10), ("eta", 4.0, 2.0, 10), ("pt", 3.0, 1.0, 15), ("eta", 1.0, 0.5, 15)], "variable string, shift double, scale double, n long")

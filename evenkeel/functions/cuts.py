@@ -9,7 +9,7 @@ what *removes* a row, so a missing value passes every comparison except ``==``;
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Collection, Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -45,8 +45,8 @@ def _with_missing(x: Column, cond: Column, floating: bool) -> Column:
     return x.isNull() | F.isnan(x) | cond if floating else x.isNull() | cond
 
 
-def one_cut(entry: dict, floating: bool = True) -> Column:
-    """The predicate for a single cut entry."""
+def one_cut(entry: dict, floating: bool = True, complete: bool = False) -> Column:
+    """The predicate for a single cut entry; ``complete`` columns hold no missing values."""
     if len(entry) != 1:
         raise KeyError("a cut entry holds exactly one column")
     (name, spec), = entry.items()
@@ -61,6 +61,8 @@ def one_cut(entry: dict, floating: bool = True) -> Column:
         return kept if found[2] == "==" else _with_missing(rest, kept, floating)
     if op not in OPERATORS:
         raise KeyError(f"operator {op!r} is not one of {OPERATORS}")
+    if complete and not isinstance(value, (list, tuple)):
+        return _compare(x, op, float(value) if floating else value)
     if isinstance(value, (list, tuple)):
         if op == "==":
             return F.coalesce(x.isin(list(value)), F.lit(False))
@@ -75,23 +77,24 @@ def one_cut(entry: dict, floating: bool = True) -> Column:
     return _with_missing(x, kept, floating)
 
 
-def cut_predicate(cuts: Sequence, schema: T.StructType | None = None) -> Column:
+def cut_predicate(cuts: Sequence, schema: T.StructType | None = None, complete: Collection[str] = ()) -> Column:
     """All cuts of a (possibly nested) list joined by AND; None entries are skipped.
 
     With a schema, whole-number columns get plain comparisons, which the Parquet
-    reader can evaluate on row-group statistics.
+    reader can evaluate on row-group statistics; so do the columns named ``complete``,
+    for which the caller vouches that no value is missing.
     """
     def floating(entry: dict) -> bool:
         if schema is None or len(entry) != 1:
             return True
         return isinstance(schema[next(iter(entry))].dataType, (T.FloatType, T.DoubleType))
 
-    return reduce(lambda a, b: a & b, [one_cut(e, floating(e)) for e in _flatten(cuts)], F.lit(True))
+    return reduce(lambda a, b: a & b, [one_cut(e, floating(e), next(iter(e)) in complete) for e in _flatten(cuts)], F.lit(True))
 
 
-def apply_cuts(df: DataFrame, cuts: Sequence) -> DataFrame:
+def apply_cuts(df: DataFrame, cuts: Sequence, complete: Collection[str] = ()) -> DataFrame:
     """Rows that survive every cut."""
-    return df.filter(cut_predicate(cuts, df.schema))
+    return df.filter(cut_predicate(cuts, df.schema, complete))
 
 
 def category_cut(label_column: str, label_value, op: str = "==") -> list[dict]:

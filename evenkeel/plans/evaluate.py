@@ -33,7 +33,7 @@ def flagship(spark: SparkSession, sf: str, eff: float = 0.77) -> DataFrame:
     from evenkeel.queries.base import CLASSES, MAIN, NET, TREE, rows, with_probabilities
 
     kept = apply_cuts(rows(spark, sf), [
-        {"price": {"operator": "<=", "condition": 90000}}, {"mass": {"operator": ">=", "condition": 0.01}}])
+        {"price": {"operator": "<=", "condition": 90000}}, {"mass": {"operator": ">=", "condition": 0.01}}], ["price"])
     scores = ev.scores_long(with_probabilities(label_classes(kept, CLASSES)), [NET, TREE], MAIN)
     return ev.rejection_at(scores, eff, MAIN).select(
         "classifier", "class", F.round("cut", 6).alias("cut"), "n", "n_pass", F.round("rejection", 6).alias("rejection"))

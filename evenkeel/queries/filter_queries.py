@@ -17,7 +17,7 @@ from evenkeel.queries.base import (
 )
 from evenkeel.queries.registry import query
 
-KEPT = ("row_key", "truth", "quantity", "price", "mass")
+COMPLETE = ("quantity", "price")
 
 
 @query("b01_scalar_cut", f"WITH {BASE} SELECT row_key, price FROM base WHERE price <= 50000 AND quantity > 10 AND truth <> 4")
@@ -25,7 +25,7 @@ def _(spark, sf):
     return cuts.apply_cuts(rows(spark, sf), [
         {"price": {"operator": "<=", "condition": 50000}}, {"quantity": {"operator": ">", "condition": 10}},
         {"truth": {"operator": "!=", "condition": 4}},
-    ]).select("row_key", "price")
+    ], COMPLETE).select("row_key", "price")
 
 
 @query("b02_list_cut", f"""WITH {BASE} SELECT row_key, truth, item_no FROM base
@@ -70,7 +70,7 @@ def _(spark, sf):
         [{"price": {"operator": "<=", "condition": 80000}}, [{"mass": {"operator": ">=", "condition": 0.02}}]],
         {"truth": {"operator": "==", "condition": [5, 0]}},
     ]
-    return cuts.apply_cuts(rows(spark, sf), nested).select("row_key", "price", "quantity")
+    return cuts.apply_cuts(rows(spark, sf), nested, COMPLETE).select("row_key", "price", "quantity")
 
 
 @query("b06_category_cut", f"WITH {BASE} SELECT truth, count(*) AS n, round(sum(price), 2) AS price FROM base WHERE truth NOT IN (5, 4) OR truth = 5 GROUP BY truth")

@@ -223,9 +223,6 @@ def _(spark, sf):
     return out.select("class", "variable", "bin", "count", rounded("hist", 9).alias("hist"))
 
 
-_WIDE_GRID = ev.fraction_grid(["medium", "light"], 0.0, 1.0, 0.1)
-
-
 @query("h20_fraction_contour", f"""WITH {PROBS}, {_FRACTION_REJ}, q AS (SELECT *, {REJECTION} AS rejection FROM rej JOIN combos USING (combo) WHERE classifier = 'tree')
 SELECT {r('f_medium', 4)} AS f_medium, max(rejection) FILTER (class = 'medium') AS rej_x, max(rejection) FILTER (class = 'light') AS rej_y, round(f_medium, 4) = 0.3 AS marked FROM q GROUP BY f_medium""")
 def _(spark, sf):

@@ -56,12 +56,11 @@ class DigestIndex:
 
         Of equal texts the longest original stays, then the smallest id.
         """
-        best = F.max(F.struct("chars", (-F.col("doc_id")).alias("back"), F.col("doc_id")))
-        entries = rows.groupBy("digest").agg(best.alias("best"), F.count("*").alias("group_size"))
+        # one row per (digest, length) first: both steps aggregate before their shuffle
+        entries = rows.groupBy("digest", "chars").agg(F.min("doc_id").alias("id"), F.count("*").alias("n")).groupBy("digest").agg(
+            F.max_by("id", "chars").alias("keep_id"), F.max("chars").alias("chars"), F.sum("n").alias("group_size"))
         known = self.table().select("digest").hint("merge")
-        new = entries.join(known, "digest", "left_anti").select(
-            "digest", F.col("best.doc_id").alias("keep_id"), F.col("best.chars").alias("chars"), "group_size",
-        )
+        new = entries.join(known, "digest", "left_anti").select("digest", "keep_id", "chars", "group_size")
         new.write.insertInto(self.name)
 
 

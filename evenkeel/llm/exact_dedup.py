@@ -59,6 +59,8 @@ class DigestIndex:
         # one row per (digest, length) first: both steps aggregate before their shuffle
         entries = rows.groupBy("digest", "chars").agg(F.min("doc_id").alias("id"), F.count("*").alias("n")).groupBy("digest").agg(
             F.max_by("id", "chars").alias("keep_id"), F.max("chars").alias("chars"), F.sum("n").alias("group_size"))
+        # written, or the optimizer would push the anti-join, and with it every row, below the aggregation
+        entries = written(entries, "entries")
         known = self.table().select("digest").hint("merge")
         new = entries.join(known, "digest", "left_anti").select("digest", "keep_id", "chars", "group_size")
         new.write.insertInto(self.name)

@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import WORD, counted_small, text_of, written
+from evenkeel.llm.common import WORD, counted_small, partitions, text_of, written
 
 BLOCK_WORDS = 64
 SHARD_SLOTS = 4096
@@ -111,7 +111,7 @@ def mix(
 
     # output slots: each source's slots, dealt to shards by one permutation of all slots
     chunks = sources.filter("n_slots > 0").select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("n_slots") - 1) / CHUNK))).alias("chunk"))
-    chunks = chunks.repartition("no", "chunk")
+    chunks = chunks.repartition(partitions(spark), "no", "chunk")  # few rows, each of many slots: a stated number is not coalesced
     last = F.least(F.col("n_slots"), (F.col("chunk") + 1) * CHUNK) - 1
     slots = chunks.select("*", F.explode(F.sequence(F.col("chunk") * CHUNK, last)).alias("slot"))
     out = shuffled(F.col("base") + F.col("slot"), F.col("all_slots"), F.lit(seed))

@@ -21,6 +21,7 @@ import mmap
 import re
 import struct
 import tempfile
+from array import array
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -30,17 +31,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LEXICON_WORDS = 50_000
+from evenkeel.llm.common import written
+
+LEXICON_WORDS = 30_000
 #: Words a counting task holds before it forgets the rarest.
 COUNT_LIMIT = 200_000
 #: Encoded words a task keeps at hand before it starts anew.
-MEMO_LIMIT = 200_000
+MEMO_LIMIT = 400_000
 ROWS = 256
 
 # Unicode white space, and the pattern by which the vocabulary splits text.
 SPACES = "\t-\r \x85\xa0  -     　"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+".replace(r"\S", f"[^{SPACES}]").replace(
     r"[^\s", f"[^{SPACES}").replace(r"\s", f"[{SPACES}]")
+#: Stands for the merge of a pair that is never merged: above every rank.
+NEVER = (1 << 60, -1)
 #: No piece of the pattern reaches over a space that a visible character follows.
 CHUNK = re.compile(f" (?=[^{SPACES}])")
 
@@ -74,15 +79,18 @@ def merged(word: bytes, byte_ids: list[int], merges: dict) -> list[int]:
     ids = [byte_ids[b] for b in word]
     if len(ids) > 48:
         return _merged_long(ids, merges)
-    while len(ids) > 1:
-        best, at = None, 0
-        for i in range(len(ids) - 1):
-            found = merges.get((ids[i], ids[i + 1]))
-            if found and (best is None or found[0] < best[0]):
-                best, at = found, i
-        if best is None:
+    pairs = [merges.get(p, NEVER) for p in zip(ids, ids[1:])]
+    while pairs:
+        best = min(pairs)
+        if best is NEVER:
             break
+        at = pairs.index(best)
         ids[at:at + 2] = [best[1]]
+        del pairs[at]
+        if at:
+            pairs[at - 1] = merges.get((ids[at - 1], best[1]), NEVER)
+        if at < len(pairs):
+            pairs[at] = merges.get((best[1], ids[at + 1]), NEVER)
     return ids
 
 
@@ -173,6 +181,9 @@ def compile_lexicon(entries: Iterable[tuple[bytes, tuple[int, ...]]]) -> bytes:
     return struct.pack("<7I", root, *map(len, parts)) + b"".join(parts)
 
 
+ONE = [bytes([b]) for b in range(256)]
+
+
 class Lexicon:
     """The compiled words, mapped into memory."""
 
@@ -191,20 +202,41 @@ class Lexicon:
 
     def get(self, word: bytes) -> list[int] | None:
         """The ids of ``word``, or None if it is not in the lexicon."""
-        node, ids, base, find = self.root, [], self.labels, self.map.find
-        starts, outs, pool = self.starts, self.outs, self.pool
-        for i in range(len(word)):
-            arc = find(word[i:i + 1], base + starts[node], base + starts[node + 1]) - base
+        node, find, starts, targets, base = self.root, self.map.find, self.starts, self.targets, self.labels
+        arcs = []
+        for b in word:
+            arc = find(ONE[b], base + starts[node], base + starts[node + 1]) - base
             if arc < 0:
                 return None
-            if outs[arc + 1] > outs[arc]:
-                ids.extend(pool[outs[arc]:outs[arc + 1]])
-            node = self.targets[arc]
-        end = pool[self.ends[node]:self.ends[node + 1]]
+            arcs.append(arc)
+            node = targets[arc]
+        end = self.pool[self.ends[node]:self.ends[node + 1]]
         if not len(end):
             return None
-        ids.extend(end[1:])
-        return ids
+        ids: list[int] = []
+        for arc in arcs:
+            ids += self.pool[self.outs[arc]:self.outs[arc + 1]]
+        return ids + list(end[1:])
+
+
+class Memo:
+    """Results at hand in two generations: when the young one is full, the old one is forgotten."""
+
+    def __init__(self) -> None:
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def get(self, key: str) -> bytes | None:
+        found = self.old.get(key)
+        if found is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key: str, value: bytes) -> None:
+        if len(self.young) >= MEMO_LIMIT // 2:
+            self.old, self.young = self.young, {}
+        if len(key) <= 64:
+            self.young[key] = value
 
 
 class Codec:
@@ -214,32 +246,41 @@ class Codec:
         import regex
 
         self.v, self.lexicon = vocabulary, Lexicon(block)
-        self.pieces = regex.compile(PATTERN).findall
-        self.memo: dict[str, bytes] = {}
+        self.split = regex.compile(PATTERN).findall
+        self.chunks, self.pieces = Memo(), Memo()
         self.added = re.compile("(" + "|".join(map(re.escape, vocabulary.added)) + ")") if vocabulary.added else None
 
-    def chunk(self, chunk: str) -> bytes:
-        """Ids of a chunk as 32-bit integers."""
-        out: list[int] = []
-        for piece in self.pieces(chunk):
+    def piece(self, piece: str) -> bytes:
+        """Ids of a piece of the pattern as 32-bit integers."""
+        found = self.pieces.young.get(piece)
+        if found is None:
+            found = self.pieces.get(piece)
+        if found is None:
             word = piece.encode("utf-8", "replace")
             ids = self.lexicon.get(word)
-            out += merged(word, self.v.byte_ids, self.v.merges) if ids is None else ids
-        return np.asarray(out, np.int32).tobytes()
+            found = array("i", merged(word, self.v.byte_ids, self.v.merges) if ids is None else ids).tobytes()
+            self.pieces.put(piece, found)
+        return found
+
+    def after_space(self, chunk: str) -> bytes:
+        """Ids of a space and ``chunk``. A word, or a word and its stops, needs no pattern to split."""
+        core = chunk.rstrip(".,")
+        if core.isalpha():
+            return self.piece(" " + core) + self.piece(chunk[len(core):]) if len(core) < len(chunk) else self.piece(" " + chunk)
+        return b"".join(map(self.piece, self.split(" " + chunk)))
 
     def plain(self, text: str) -> Iterator[bytes]:
         first, *rest = CHUNK.split(text)
         if first:
-            yield self.chunk(first)
-        memo = self.memo
+            yield b"".join(map(self.piece, self.split(first)))
+        chunks = self.chunks
         for part in rest:
-            found = memo.get(part)
+            found = chunks.young.get(part)
             if found is None:
-                if len(memo) >= MEMO_LIMIT:
-                    memo.clear()
-                found = self.chunk(" " + part)
-                if len(part) <= 64:
-                    memo[part] = found
+                found = chunks.get(part)
+                if found is None:
+                    found = self.after_space(part)
+                    chunks.put(part, found)
             yield found
 
     def encode(self, text: str) -> bytes:
@@ -256,7 +297,7 @@ class Codec:
 
 
 def frequent_words(docs: DataFrame, text: str, limit: int) -> list[str]:
-    """The ``limit`` most frequent chunks between spaces, by lossy counting over all documents."""
+    """At most ``limit`` of the most frequent chunks between spaces, by lossy counting over all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -271,8 +312,18 @@ def frequent_words(docs: DataFrame, text: str, limit: int) -> list[str]:
         if kept:
             yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept]), pa.array([n for _, n in kept], pa.int64())], ["word", "n"])
 
-    counts = docs.select(F.col(text)).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r.word for r in counts.orderBy(F.col("n").desc(), "word").limit(limit).collect()]
+    counts = written(docs.select(F.col(text)).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    # the least count that ``limit`` words at most reach, from the words of each power of two
+    steps = counts.groupBy(F.floor(F.log2("n") * 8).alias("step")).agg(F.count("*").alias("words")).orderBy(F.col("step").desc()).collect()
+    total, least = 0, None
+    for r in steps:
+        total += r["words"]
+        if total > limit:
+            break
+        least = r["step"]
+    if least is None:
+        return []
+    return [r.word for r in counts.filter(F.floor(F.log2("n") * 8) >= least).select("word").collect()]
 
 
 def lexicon_of(words: list[str], vocabulary: Vocabulary) -> bytes:

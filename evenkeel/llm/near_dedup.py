@@ -33,12 +33,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import joined_by_share, written
+from evenkeel.llm.common import counted_small, joined_by_share, written
 
 SKETCH = 64
 KEYS = 48
 #: Pairs between components of a list up to which the list is compared pair by pair.
-CROWD = 200
+CROWD = 2000
 #: Classes and shingles a block of a crowded list may hold, and columns of a product.
 BLOCK_ROWS = 1000
 BLOCK_VALUES = 1_500_000
@@ -125,7 +125,9 @@ def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
     """The pairs whose full sets are similar."""
     needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(needed, "doc_id", "left_semi")
+    needed = written(needed, "needed")
+    texts = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    texts = written(texts.join(counted_small(needed, needed.count()), "doc_id", "left_semi"), "texts")
     side = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t{x}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "ta", "tb")
 
@@ -197,11 +199,16 @@ def _leader_pairs(entries: DataFrame, leaders: DataFrame, labels: DataFrame | No
 
 
 def _cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """(a, b): members of one list in different components, each pair once."""
+    """(a, b): members of two lists or more in different components, each pair once.
+
+    Like sets share two neighbourhoods at least (all but surely for sketches, always for whole
+    sets). Lists that are left out here must be compared otherwise, with all their members.
+    """
     x = entries.select("key", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
     y = entries.select("key", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
     pairs = x.join(y, "key").filter((F.col("ca") < F.col("cb")) & within_sizes("na", "nb", percent))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    met = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("shared"))
+    return met.filter("shared >= 2").select("a", "b")
 
 
 def linked_in_block(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
@@ -264,7 +271,7 @@ def _crowd_links(docs: DataFrame, crowd: DataFrame, labels: DataFrame | None, ke
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["doc_id", "values"])
 
     kind = docs.schema[key].dataType.simpleString()
-    texts = docs.select(F.col(key).alias("doc_id"), F.col(text)).join(crowd, "doc_id", "left_semi")
+    texts = docs.select(F.col(key).alias("doc_id"), F.col(text)).join(counted_small(crowd, crowd.count()), "doc_id", "left_semi")
     full = written(texts.mapInArrow(sets, f"doc_id {kind}, values array<long>"), "crowd-sets")
     values = full.select("doc_id", F.size("values").cast("long").alias("n"), F.explode("values").alias("key"))
     often = written(values.groupBy("key").agg(F.count("*").alias("df")).filter("df > 1"), "crowd-counts")
@@ -291,9 +298,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     """
     found = written(features(docs, key, text, width), "sketches")
     usable = found.filter("n > 0 AND doc_id IS NOT NULL")
-    equal = written(usable.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("class"), F.count("*").alias("rows")), "classes")
-    sketches = usable.join(equal.select(F.col("class").alias("doc_id"), "n", "d1", "d2"), ["doc_id", "n", "d1", "d2"], "left_semi").dropDuplicates(["doc_id", "n", "d1", "d2"])
-    classes = written(sketches.select("doc_id", "n", "sketch"), "class-sketches")
+    per_set = usable.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("class"), F.count("*").alias("rows"), F.first("sketch").alias("sketch"))
+    per_set = written(per_set, "classes")
+    equal = per_set.drop("sketch")
+    classes = per_set.select(F.col("class").alias("doc_id"), "n", "sketch")
 
     near = F.transform(F.sequence(F.lit(0), F.least(F.size("sketch"), F.lit(KEYS)) - 2), lambda i: F.xxhash64(F.get("sketch", i), F.get("sketch", i + 1)))
     keys = classes.filter("n > 1").select("doc_id", "n", F.explode(near).alias("key"))

@@ -198,17 +198,20 @@ def _leader_pairs(entries: DataFrame, leaders: DataFrame, labels: DataFrame | No
     return met.groupBy("a", F.col("doc_id").alias("b")).agg(F.count("*").alias("shared")).filter("shared >= 2").select("a", "b")
 
 
-def _cross_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """(a, b): members of two lists or more in different components, each pair once.
-
-    Like sets share two neighbourhoods at least (all but surely for sketches, always for whole
-    sets). Lists that are left out here must be compared otherwise, with all their members.
-    """
+def _cross_pairs(entries: DataFrame, percent: int, least: int) -> DataFrame:
+    """(a, b): members of ``least`` lists or more that are in different components, each pair once."""
     x = entries.select("key", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
     y = entries.select("key", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
     pairs = x.join(y, "key").filter((F.col("ca") < F.col("cb")) & within_sizes("na", "nb", percent))
     met = pairs.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("shared"))
-    return met.filter("shared >= 2").select("a", "b")
+    return met.filter(F.col("shared") >= least).select("a", "b")
+
+
+def _by_size(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Keys of open lists: those of at most ``CROWD`` pairs between components, and those of more."""
+    each = entries.groupBy("key", "component").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("within"))
+    cross = (F.col("all") * F.col("all") - F.col("within")) / 2
+    return each.filter((cross > 0) & (cross <= CROWD)).select("key"), each.filter(cross > CROWD).select("key")
 
 
 def linked_in_block(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
@@ -254,7 +257,7 @@ def linked_in_block(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"])
 
 
-def _crowd_links(docs: DataFrame, crowd: DataFrame, labels: DataFrame | None, key: str, text: str, width: int, percent: int) -> DataFrame:
+def _crowd_links(docs: DataFrame, classes: DataFrame, crowd: DataFrame, labels: DataFrame | None, key: str, text: str, width: int, percent: int) -> DataFrame:
     """Links between components of the classes of ``crowd``: prefix filtering, then full sets in blocks.
 
     A similar pair shares one of the n - ceil(p n) + 1 rarest values of each. The classes that
@@ -282,13 +285,18 @@ def _crowd_links(docs: DataFrame, crowd: DataFrame, labels: DataFrame | None, ke
     length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     prefix = known.withColumns({"at": rank, "alone": alone}).filter(F.col("at") + F.col("alone") <= length).select("doc_id", "key", "n")
     entries = written(_with_components(prefix, labels), "prefixes")
-    entries = entries.join(_open(entries), "key", "left_semi")
+    few, crowded = _by_size(entries)
+    # where few share a value, its pairs are cheaper than the sets of all who share it
+    pairs = written(likely(_cross_pairs(entries.join(few, "key", "left_semi"), percent, 1), classes, percent), "likely")
+    links = verified(pairs, docs, key, text, width, percent)
+    entries = entries.join(crowded, "key", "left_semi")
     blocks = F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n") / BLOCK_VALUES)).cast("int")
     dealt = entries.join(entries.groupBy("key").agg(blocks.alias("blocks")), "key").withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("doc_id", "key", "n", "component", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"))
     dealt = dealt.join(full, "doc_id")
-    return dealt.groupBy("key", "lo", "hi").applyInPandas(lambda rows: linked_in_block(rows, percent), f"a {kind}, b {kind}").distinct()
+    blocks = dealt.groupBy("key", "lo", "hi").applyInPandas(lambda rows: linked_in_block(rows, percent), f"a {kind}, b {kind}")
+    return links.union(blocks).distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -324,16 +332,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
         done = upto
 
     now = written(_with_components(entries, labels), "open")
-    sizes = now.groupBy("key", "component").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("within"))
-    cross = (F.col("all") * F.col("all") - F.col("within")) / 2
-    sizes = sizes.filter(cross > 0)
-    few, crowded = sizes.filter(cross <= CROWD).select("key"), sizes.filter(cross > CROWD).select("key")
-    pairs = _cross_pairs(now.join(few, "key", "left_semi"), percent)
+    few, crowded = _by_size(now)
+    # like sets share two lists at least; if one of them is crowded, the crowd's own way compares them
+    pairs = _cross_pairs(now.join(few, "key", "left_semi"), percent, 2)
     pairs = written(likely(pairs, classes, percent), "likely")
     links = verified(pairs, docs, key, text, width, percent)
     crowd = written(now.join(crowded, "key", "left_semi").select("doc_id").distinct(), "crowd")
     if crowd.head(1):
-        links = links.union(_crowd_links(docs, crowd, labels, key, text, width, percent))
+        links = links.union(_crowd_links(docs, classes, crowd, labels, key, text, width, percent))
     links = written(links, "links")
     if links.head(1):
         edges = links if edges is None else edges.union(links)

@@ -28,7 +28,7 @@ SAMPLE = 1000
 OTHERS = 3000
 VARIATIONS = 60
 CONFIRM = 0.5
-THRESHOLD = 0.5
+THRESHOLD = 0.3
 
 # Notices by which works name their licence, as their licences word them.
 TEMPLATES = {
@@ -189,8 +189,8 @@ class Classifier:
             if not any(f"{a} {b}" in VOCABULARY for a, b in zip(words, words[1:])):
                 continue
             p = self.probabilities(words)
-            c = int(p.argmax())
-            if c and p[c] >= THRESHOLD and (same := similarity(words, FAMILIES[c])) >= CONFIRM:
+            c = 1 + int(p[1:].argmax())
+            if p[c] >= THRESHOLD and (same := similarity(words, FAMILIES[c])) >= CONFIRM:
                 found.append((i, FAMILIES[c], float(p[c]), float(same)))
         return found
 

@@ -1,5 +1,7 @@
 """Every registered query against its SQL in DuckDB."""
 
+import re
+
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
@@ -15,7 +17,8 @@ def con():
 
 
 def test_only_named_queries_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == WITHOUT_SQL
+    own = {name for name in queries() if not re.match(r"op\d+_|pipeline$", name)}
+    assert own - set(oracle_sql()) == WITHOUT_SQL
 
 
 def test_entry_runs(spark):

@@ -67,7 +67,7 @@ def with_targets(sources: DataFrame, weights: tuple[int, ...], share: tuple[int,
         "full_size": F.sum(F.when(F.col("full"), F.col("size")).otherwise(0)).over(every) * most,
         "open_w": F.sum(F.when(F.col("full"), F.lit(0)).otherwise(F.col("w"))).over(every),
     })
-    rate = (F.col("budget") - F.col("full_size") * down) / (F.col("open_w") * float(down))
+    rate = F.try_divide(F.col("budget") - F.col("full_size") * down, F.col("open_w") * float(down))
     return cols.select(
         "source", "no", "size",
         F.when(F.col("full"), F.col("size") * float(most)).otherwise(F.col("w") * rate).alias("target"))
@@ -92,7 +92,7 @@ def mix(
     sources = rows.groupBy("source").agg(F.sum("size").alias("size"))
     per = F.ceil(F.col("size") / block_words)
     sources = with_targets(sources, weights, share, most).withColumn("blocks", per).withColumn(
-        "n_slots", F.when(F.col("size") > 0, F.least(F.col("blocks") * most, F.round(F.col("target") * F.col("blocks") / F.col("size")).cast("long"))).otherwise(F.lit(0)))
+        "n_slots", F.when(F.col("size") > 0, F.least(F.col("blocks") * most, F.round(F.try_divide(F.col("target") * F.col("blocks"), F.col("size"))).cast("long"))).otherwise(F.lit(0)))
     sources = sources.withColumns({
         "base": F.coalesce(F.sum("n_slots").over(Window.orderBy("no").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
         "all_slots": F.sum("n_slots").over(Window.partitionBy()),
@@ -151,7 +151,7 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", **options) -> DataFram
     seed = options.get("seed", SEED)
     luck = F.pmod(F.xxhash64(F.lit(seed + 1), F.col("doc_id")), F.lit(1 << 20)) / float(1 << 20)
     copies = result.filter("taken > 0").select(
-        F.col("doc_id").alias("__id"), F.col("size").alias("__size"), F.floor(F.col("taken") / F.col("size") + luck).cast("int").alias("__copies"))
+        F.col("doc_id").alias("__id"), F.col("size").alias("__size"), F.floor(F.try_divide(F.col("taken"), F.col("size")) + luck).cast("int").alias("__copies"))
     # an id that occurs twice with one size would multiply: keep one count for it
     copies = copies.filter("__copies > 0").groupBy("__id", "__size").agg(F.max("__copies").alias("__copies"))
     text = options.get("text", "text")

@@ -30,6 +30,11 @@ def count_below(edges: Column, x: Column, max_size: int, inclusive: bool = False
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
 
 
+def above(x: Column, cut: Column) -> Column:
+    """``x > cut``, false where either is NaN (which Spark orders above every number)."""
+    return ~F.isnan(x) & ~F.isnan(cut) & (x > cut)
+
+
 def argmax(values: Column) -> Column:
     """Zero-based position of the first largest entry."""
     return (F.array_position(values, F.array_max(values)) - 1).cast("int")

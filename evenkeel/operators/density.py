@@ -10,15 +10,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from evenkeel.functions.arrays import count_below
+from evenkeel.functions.arrays import above, count_below
 from evenkeel.functions.keys import RANGE_DIGITS, shuffled
 from evenkeel.functions.numeric import safe_divide
 from evenkeel.operators.binning import Edges, edge_table, flat_bin, full_grid, n_bins
 from evenkeel.operators.fractions import correct_fractions, with_fraction
 from evenkeel.operators.ranking import running_sum
-from evenkeel.session import small
+from evenkeel.session import cut_lineage, small
 
-# Weights are turned into whole numbers so that running sums do not depend on order.
+# Weights are turned into whole numbers, of this size for the largest of their group, so that
+# running sums do not depend on order.
 WEIGHT_UNIT = 1_000_000
 
 
@@ -217,11 +218,12 @@ def smooth_weights(df: DataFrame, ratios: DataFrame, axes: Mapping[str, Edges],
     """Evaluate the smooth ratio at every row; negative values become 0.
 
     The fit is a small table of polynomial pieces, so the evaluation is a broadcast
-    join and plain arithmetic. Grids below 4 x 4 use the bin's own ratio.
+    join and plain arithmetic. It needs a grid of 4 x 4 bins or more; for smaller ones
+    the caller chooses ``step_weights``.
     """
     (xn, xs), (yn, ys) = axes.items()
     if len(xs) < 5 or len(ys) < 5:
-        return step_weights(df, ratios, axes, name)
+        raise ValueError("a smooth ratio needs at least 4 x 4 bins")
     kx, ky = spline_knots(xs), spline_knots(ys)
     ix, u = _locate(F.col(xn), kx)
     iy, v = _locate(F.col(yn), ky)
@@ -262,13 +264,20 @@ def draw_with_replacement(
 
     Systematic sampling along the hash order: row i covers the stretch of the running
     weight between C(i-1) and C(i), and receives the marks that fall on it. Rows that
-    are not drawn are dropped.
+    are not drawn are dropped. Weights count in millionths of their group's largest, any
+    positive one as a millionth at least. A group with draws but without weight is an error.
     """
     groups = list(groups)
-    weighted = df.withColumn("__w", F.round(F.col(weight) * WEIGHT_UNIT).cast("bigint")).filter(F.col("__w") > 0)
+    positive = df.filter(above(F.col(weight), F.lit(0.0)))
+    largest = positive.groupBy(*groups).agg(F.max(weight).alias("__max"))
+    units = F.greatest(F.round(F.col(weight) / F.col("__max") * WEIGHT_UNIT), F.lit(1.0)).cast("bigint")
+    weighted = positive.join(small(largest, max_groups), groups).withColumn("__w", units).drop("__max")
     hashed = weighted.withColumn("_hash", shuffled(F.col(key), seed))
     totals = weighted.groupBy(*groups).agg(F.sum("__w").alias("__total"))
-    plan = numbers.select(*groups, "n_draw").join(totals, groups)
+    plan = cut_lineage(numbers.select(*groups, "n_draw").join(totals, groups, "left"))  # one row per group
+    lacking = plan.filter("n_draw > 0 AND __total IS NULL").select(*groups).head()
+    if lacking:
+        raise ValueError(f"draws from a group without weight: {', '.join(map(str, lacking))}")
     summed = running_sum(hashed, groups, F.col("__w"), "__c", max_groups, digits=digits).join(
         small(plan, max_groups), groups
     )

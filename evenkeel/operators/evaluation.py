@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from evenkeel.functions.arrays import argmax, count_below
+from evenkeel.functions.arrays import above, argmax, count_below
 from evenkeel.functions.numeric import NAN, safe_divide
 from evenkeel.functions.score import discriminant, probability_columns
 from evenkeel.operators.binning import Edges, bin_number
@@ -91,14 +91,16 @@ def pass_counts(scores: DataFrame, cuts: DataFrame, n_cuts: int, keys: Sequence[
     """``(*keys, *split, eff_no, eff, cut, n, n_pass)`` for every cut, from one scan.
 
     Each score is placed among its group's sorted cuts; counts per place are then added
-    up from the top, which gives the number strictly above each cut.
+    up from the top, which gives the number strictly above each cut. A NaN score counts
+    in ``n`` and passes no cut.
     """
     keys, split = list(keys), list(split)
     ladder = F.array_sort(F.collect_list(F.struct("cut", "eff_no", "eff")))
     frame = cuts.groupBy(*keys).agg(ladder.alias("__l")).withColumn("__cuts", F.transform("__l", lambda x: x["cut"]))
     frame = cut_lineage(frame)
+    place = F.when(F.isnan("score"), 0).otherwise(count_below(F.col("__cuts"), F.col("score"), n_cuts))
     placed = _on(scores, small(frame.select(*keys, "__cuts"), max_groups), keys).select(
-        *keys, *split, count_below(F.col("__cuts"), F.col("score"), n_cuts).alias("__pos")
+        *keys, *split, place.alias("__pos")
     )
     counts = placed.groupBy(*keys, *split, "__pos").agg(F.count(F.lit(1)).alias("__c"))
     # one short array of (place, count) per group and class
@@ -108,10 +110,10 @@ def pass_counts(scores: DataFrame, cuts: DataFrame, n_cuts: int, keys: Sequence[
     out = _on(per, small(frame.select(*keys, "__l"), max_groups), keys).select(
         *keys, *split, "n", "__h", F.posexplode("__l").alias("__i", "__e")
     )
-    above = F.aggregate("__h", F.lit(0).cast("bigint"), lambda a, x: a + F.when(x["__pos"] > F.col("__i"), x["__c"]).otherwise(0))
+    passing = F.aggregate("__h", F.lit(0).cast("bigint"), lambda a, x: a + F.when(x["__pos"] > F.col("__i"), x["__c"]).otherwise(0))
     return out.select(
         *keys, *split, F.col("__e.eff_no").alias("eff_no"), F.col("__e.eff").alias("eff"),
-        F.col("__e.cut").alias("cut"), "n", above.alias("n_pass"),
+        F.col("__e.cut").alias("cut"), "n", passing.alias("n_pass"),
     )
 
 
@@ -275,7 +277,7 @@ def efficiency_vs_variable(df: DataFrame, score: str, variable: str, edges: Edge
         cuts = exact_quantiles(binned.filter(signal), "score", [1.0 - eff])
         joined = inside.crossJoin(F.broadcast(cuts.select(F.col("quantile").alias("cut"))))
     counted = joined.groupBy("class", "bin", "cut").agg(
-        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("score") > F.col("cut"), 1)).alias("n_pass"),
+        F.count(F.lit(1)).alias("n"), F.count(F.when(above(F.col("score"), F.col("cut")), 1)).alias("n_pass"),
     )
     share = F.col("n_pass") / F.col("n")
     return counted.select(
@@ -293,9 +295,13 @@ def score_histograms(scores: DataFrame, classifiers: Sequence[str], classes: Seq
 # ----------------------------------------------------------- quality per data set
 
 def quality(df: DataFrame, probs: Sequence[Column], keys: Sequence[str] = (), eps: float = 1e-7) -> DataFrame:
-    """``(*keys, n, loss, accuracy)``: categorical cross entropy and share of right arg-max."""
+    """``(*keys, n, loss, accuracy)``: categorical cross entropy and share of right arg-max.
+
+    A NaN probability of the true class makes the loss of its group NaN.
+    """
     values = F.array(*[p.cast("double") for p in probs])
-    true = F.least(F.greatest(F.get(values, F.col("label")), F.lit(eps)), F.lit(1.0 - eps))
+    given = F.get(values, F.col("label"))
+    true = F.when(F.isnan(given), F.lit(NAN)).otherwise(F.least(F.greatest(given, F.lit(eps)), F.lit(1.0 - eps)))
     return df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.avg(-F.ln(true)).alias("loss"),
         F.avg((argmax(values) == F.col("label")).cast("double")).alias("accuracy"),
@@ -331,7 +337,7 @@ def score_agreement(df: DataFrame, a: str, b: str, ladder: Sequence[float] = DIF
     gap = F.abs(F.col(a) - F.col(b))
     row = df.select(gap.alias("__d")).agg(
         F.count(F.lit(1)).alias("__n"),
-        *[F.count(F.when(F.col("__d") > F.lit(t), 1)).alias(f"__{i}") for i, t in enumerate(ladder)],
+        *[F.count(F.when(above(F.col("__d"), F.lit(t)), 1)).alias(f"__{i}") for i, t in enumerate(ladder)],
     )
     entries = F.array(*[
         F.struct(F.lit(float(t)).alias("threshold"), F.col(f"__{i}").alias("n_above"),
@@ -360,7 +366,7 @@ def selection_summary(df: DataFrame, score: str, n_items: str, exact: int, effs:
     chosen = df.filter(F.col(n_items) == exact).join(F.broadcast(cuts), "class")
     numbered = chosen.select(
         "class", score, *features, F.posexplode("quantiles").alias("eff_no", "cut")
-    ).withColumn("passed", F.when(F.col(score) > F.col("cut"), True).when(F.col(score) < F.col("cut"), False))
+    ).withColumn("passed", F.when(above(F.col(score), F.col("cut")), True).when(above(F.col("cut"), F.col(score)), False))
     return numbered.filter(F.col("passed").isNotNull()).groupBy(
         "class", F.get(F.array(*[F.lit(float(e)) for e in effs]), F.col("eff_no")).alias("eff"), "passed"
     ).agg(F.count(F.lit(1)).alias("n"), *[F.avg(f).alias(f"mean_{f}") for f in features])

@@ -116,9 +116,13 @@ def has_duplicates(df: DataFrame, record: Sequence[str]) -> DataFrame:
 
 
 def correlations(df: DataFrame, variables: Sequence[str]) -> DataFrame:
-    """``(var_x, var_y, corr)`` for every pair (both orders and the diagonal), one scan."""
+    """``(var_x, var_y, corr)`` for every pair (both orders and the diagonal), one scan.
+
+    Rows where either variable is missing (null or NaN) do not count for the pair.
+    """
     pairs = list(combinations(variables, 2))
-    row = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    both = lambda a, b, x: F.when(~F.isnan(a) & ~F.isnan(b), F.col(x))
+    row = df.agg(*[F.corr(both(a, b, a), both(a, b, b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
     entries = [(a, b, F.col(f"c{i}")) for i, (a, b) in enumerate(pairs)]
     entries += [(b, a, c) for a, b, c in entries] + [(v, v, F.lit(1.0)) for v in variables]
     return row.select(F.inline(F.array(*[

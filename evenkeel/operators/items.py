@@ -9,22 +9,28 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def nest_items(flat: DataFrame, key: str, order: Sequence[str], fields: Sequence[str], width: int) -> DataFrame:
-    """``(key, items)``: the first ``width`` items per key as an ordered array of structs.
-
-    ``width`` is the fixed item width of the data model. The rank filter runs before
-    the shuffle as well, so a key with very many items sends at most ``width`` of them
-    from each input partition.
+def nest_items(flat: DataFrame, key: str, order: Sequence[str], fields: Sequence[str], width: int,
+               truncate: bool = False) -> DataFrame:
+    """``(key, items)``: the items of each key as an ordered array of structs.
+
+    ``width`` is the fixed item width of the data model; a key with more items is an
+    error, unless ``truncate`` asks for its first ``width``. The rank filter runs before
+    the shuffle as well, so a key with very many items sends no more than one above
+    ``width`` of them from each input partition.
     """
     rank = F.row_number().over(W.partitionBy(key).orderBy(*order))
-    first = flat.withColumn("__rn", rank).filter(F.col("__rn") <= width)
+    first = flat.withColumn("__rn", rank).filter(F.col("__rn") <= (width if truncate else width + 1))
     entry = F.struct("__rn", *fields)
-    return first.groupBy(key).agg(
+    nested = first.groupBy(key).agg(
         F.transform(
             F.array_sort(F.collect_list(entry)),
             lambda x: F.struct(*[x[f].alias(f) for f in fields]),
         ).alias("items")
     )
+    if truncate:
+        return nested
+    return nested.withColumn("items", F.when(F.size("items") <= width, F.col("items")).otherwise(F.raise_error(
+        F.concat(F.lit(f"more than {width} items at key "), F.col(key).cast("string")))))
 
 
 def row_onto_items(row_features: Sequence[Column], items: Column, features: str = "inputs", flag: str = "valid") -> Column:

@@ -218,12 +218,13 @@ def _(spark, sf):
     return h.copies_histogram(labelled(spark, sf), ["event", "item_no"])
 
 
-@query("d15_correlations", f"""WITH {BASE}, c AS (SELECT corr(price, quantity) AS pq, corr(price, tax) AS pt, corr(quantity, tax) AS qt FROM base)
-SELECT unnest(['price', 'price', 'quantity', 'quantity', 'tax', 'tax', 'price', 'quantity', 'tax']) AS var_x,
- unnest(['quantity', 'tax', 'tax', 'price', 'price', 'quantity', 'price', 'quantity', 'tax']) AS var_y,
- round(unnest([pq, pt, qt, pq, pt, qt, 1.0::DOUBLE, 1.0::DOUBLE, 1.0::DOUBLE]), 8) + 0.0 AS corr FROM c""")
+@query("d15_correlations", f"""WITH {BASE}, c AS (SELECT corr(price, quantity) AS pq, corr(price, tax) AS pt, corr(quantity, tax) AS qt,
+ corr(price, mass) FILTER (NOT isnan(mass)) AS pm, corr(quantity, mass) FILTER (NOT isnan(mass)) AS qm, corr(tax, mass) FILTER (NOT isnan(mass)) AS tm FROM base)
+SELECT unnest(['price', 'price', 'quantity', 'quantity', 'tax', 'tax', 'price', 'quantity', 'tax', 'mass', 'price', 'quantity', 'tax', 'mass', 'mass', 'mass']) AS var_x,
+ unnest(['quantity', 'tax', 'tax', 'price', 'price', 'quantity', 'price', 'quantity', 'tax', 'mass', 'mass', 'mass', 'mass', 'price', 'quantity', 'tax']) AS var_y,
+ round(unnest([pq, pt, qt, pq, pt, qt, 1.0::DOUBLE, 1.0::DOUBLE, 1.0::DOUBLE, 1.0::DOUBLE, pm, qm, tm, pm, qm, tm]), 8) + 0.0 AS corr FROM c""")
 def _(spark, sf):
-    return _out(h.correlations(rows(spark, sf), ["price", "quantity", "tax"]), "corr", digits=8)
+    return _out(h.correlations(rows(spark, sf), ["price", "quantity", "tax", "mass"]), "corr", digits=8)
 
 
 @query("d16_outliers", f"""WITH {BASE}, w AS (SELECT * FROM base WHERE NOT isnan(mass)),

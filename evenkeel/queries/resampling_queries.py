@@ -122,7 +122,7 @@ def _(spark, sf):
 
 def draw_sql(weights: str, numbers: str, seed: int = 42) -> str:
     """Systematic draws from whole-number weights with one global window."""
-    return f"""dw AS (SELECT *, round(weight * 1000000)::BIGINT AS w FROM {weights}),
+    return f"""dw AS (SELECT *, CASE WHEN weight > 0 THEN greatest(round(weight / max(weight) OVER (PARTITION BY origin, class) * 1000000), 1) ELSE 0 END::BIGINT AS w FROM {weights}),
 dc AS (SELECT *, sum(w::HUGEINT) OVER (PARTITION BY origin, class ORDER BY md5('{seed}|' || row_key)) AS c, sum(w::HUGEINT) OVER (PARTITION BY origin, class) AS total FROM dw WHERE w > 0),
 drawn AS (SELECT d.*, (n_draw::HUGEINT * c + total * {seed % 1000} // 1000) // total - (n_draw::HUGEINT * (c - w) + total * {seed % 1000} // 1000) // total AS multiplicity FROM dc d JOIN {numbers} USING (origin, class))"""
 

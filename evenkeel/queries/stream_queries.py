@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from evenkeel.functions.arrays import above
 from evenkeel.functions.cuts import apply_cuts
 from evenkeel.operators.labels import label_classes
 from evenkeel.operators.scaling import scaled_columns
@@ -42,7 +43,7 @@ def _(spark, sf):
         lambda df: df.withColumn("score", NET.score(df.columns, MAIN)),
         lambda df: df.select(
             "row_key", "label", "split", *[c.alias(n) for n, c in scaled_columns(list(FIXED), FIXED).items()],
-            "score", (F.col("score") > CUT).alias("passed")),
+            "score", above(F.col("score"), F.lit(CUT)).alias("passed")),
     ]
     out = inc.run_to_table(inc.prepared_stream(_stream(spark, sf), steps))
     return out.select("row_key", "label", "split", *[rounded(c).alias(c) for c in ("price", "mass", "score")], "passed")

@@ -135,6 +135,15 @@ def test_draws_are_exact_and_proportional(spark, rows):
     assert density.repeat_rows(out).count() == 50_100
 
 
+def test_small_weights_are_drawn(spark):
+    rows = spark.range(500).select(F.md5(F.col("id").cast("string")).alias("row_key"), F.lit("a").alias("origin"), F.lit(4e-7).alias("weight"))
+    out = density.draw_with_replacement(rows, spark.createDataFrame([("a", 100)], "origin string, n_draw long"), ["origin"], 1)
+    assert out.agg(F.sum("multiplicity")).first()[0] == 100
+    empty = spark.createDataFrame([("a", 100), ("b", 5)], "origin string, n_draw long")
+    with pytest.raises(Exception, match="without weight: b"):
+        density.draw_with_replacement(rows, empty, ["origin"], 2).collect()
+
+
 def test_density_resampling_follows_the_target(rows):
     options = rs.ResamplingOptions("pdf", CLASSES, AXES, 30_000, SHARES, target_class="heavy")
     out = pdf_resample(rows, options, ["a", "b"], smooth=False)

@@ -71,11 +71,14 @@ def test_sample_extraction_is_capped(spark):
 
 
 def test_hot_key_sends_few_items(spark):
-    """A key with very many items keeps the first ``width``; the plan limits before the shuffle."""
+    """A key with too many items is an error, or truncated if asked; the plan limits before the shuffle."""
     flat = spark.range(20_000).select(F.when(F.col("id") < 15_000, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("n"))
-    nested = it.nest_items(flat, "k", ["n"], ["n"], 8)
+    nested = it.nest_items(flat, "k", ["n"], ["n"], 8, truncate=True)
     assert [x["n"] for x in nested.filter("k = 0").first()["items"]] == list(range(8))
     assert nested.count() == 5001 and "WindowGroupLimit" in nested._jdf.queryExecution().toString()
+    with pytest.raises(Exception, match="more than 8 items at key 0"):
+        it.nest_items(flat, "k", ["n"], ["n"], 8).collect()
+    assert it.nest_items(flat.filter("k > 0"), "k", ["n"], ["n"], 8).count() == 5000
 
 
 def test_batches_are_full_and_repeatable(spark):

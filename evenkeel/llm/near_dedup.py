@@ -3,8 +3,8 @@
 A document's set holds the hashes of its word shingles. Its sketch is the ``SKETCH`` least. Equal sets
 are one class first, so exact copies never meet pairwise. Inverted lists hold, for every two
 neighbouring retained values, the classes that retain both next to each other: sets of Jaccard
-similarity 0.8 share such a neighbourhood among ``KEYS`` unless each of them is broken, which has
-a probability below 1e-13 (and cannot happen where the sketch is the whole set), while unlike
+similarity 0.8 share at least ``SHARED`` such neighbourhoods but for a probability of about 1e-12
+(short sets, whose sketch is the whole set, share at least n - 1 - 0.4 n without exception), while unlike
 texts hardly ever share one. Candidates from the lists pass if the sketch of the union estimates
 a similarity within six deviations of the threshold; the exact similarity of the full sets, read
 again from the texts, decides.
@@ -13,8 +13,9 @@ Lists never emit all their pairs. In each turn a list names leaders among its me
 members outside a leader's component are compared with the leaders alone; links join components,
 and lists within one component are done. After the last turn the pairs between different
 components of a list are compared, each once. Lists with more than ``CROWD`` such pairs are
-boilerplate in unlike texts, or large groups with strays: their classes are compared instead by exact prefix filtering of their
-full sets, rarest shingles first, in blocks of bounded size that emit links alone. So every link between different texts either is compared or joins
+boilerplate in unlike texts, or large groups with strays. A class may miss some of them: as long as it is in so few
+that the lists it must share with a like set include two others, it is found there. The classes in more
+are compared by exact prefix filtering of their full sets, rarest shingles first, in blocks of bounded size that emit links alone. So every link between different texts either is compared or joins
 what is one component already, at any size of a list or a group.
 
 Defined cases: null text counts as empty; a set without words links with nothing, and fewer words
@@ -36,9 +37,10 @@ from pyspark.sql import functions as F
 from evenkeel.llm.common import counted_small, joined_by_share, written
 
 SKETCH = 64
-KEYS = 48
+#: Lists that two like sets of any size share at least, apart from short sets.
+SHARED = 7
 #: Pairs between components of a list up to which the list is compared pair by pair.
-CROWD = 2000
+CROWD = 500
 #: Classes and shingles a block of a crowded list may hold, and columns of a product.
 BLOCK_ROWS = 1000
 BLOCK_VALUES = 1_500_000
@@ -207,6 +209,11 @@ def _cross_pairs(entries: DataFrame, percent: int, least: int) -> DataFrame:
     return met.filter(F.col("shared") >= least).select("a", "b")
 
 
+def _must_share(n: str, percent: int):
+    """Lists that a set of ``n`` shares with every like set: each value it has alone breaks two neighbourhoods at most."""
+    return F.least(F.lit(SHARED), F.col(n) - 1 - F.floor(F.col(n) * 2 * (100 - percent) / 100))
+
+
 def _by_size(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Keys of open lists: those of at most ``CROWD`` pairs between components, and those of more."""
     each = entries.groupBy("key", "component").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("within"))
@@ -302,8 +309,10 @@ def _crowd_links(docs: DataFrame, classes: DataFrame, crowd: DataFrame, labels:
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row.
 
-    Documents are linked where 100 * shared shingles >= ``percent`` * shingles of both.
+    Documents are linked where 100 * shared shingles >= ``percent`` * shingles of both; ``percent`` is 80 or more.
     """
+    if not 80 <= percent <= 100:
+        raise ValueError(f"percent must lie between 80 and 100, not {percent}")
     found = written(features(docs, key, text, width), "sketches")
     usable = found.filter("n > 0 AND doc_id IS NOT NULL")
     per_set = usable.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("class"), F.count("*").alias("rows"), F.first("sketch").alias("sketch"))
@@ -311,7 +320,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     equal = per_set.drop("sketch")
     classes = per_set.select(F.col("class").alias("doc_id"), "n", "sketch")
 
-    near = F.transform(F.sequence(F.lit(0), F.least(F.size("sketch"), F.lit(KEYS)) - 2), lambda i: F.xxhash64(F.get("sketch", i), F.get("sketch", i + 1)))
+    near = F.transform(F.sequence(F.lit(0), F.size("sketch") - 2), lambda i: F.xxhash64(F.get("sketch", i), F.get("sketch", i + 1)))
     keys = classes.filter("n > 1").select("doc_id", "n", F.explode(near).alias("key"))
     lists = keys.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
     entries = written(keys.join(lists.hint("merge"), "key"), "lists")
@@ -333,11 +342,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 
     now = written(_with_components(entries, labels), "open")
     few, crowded = _by_size(now)
-    # like sets share two lists at least; if one of them is crowded, the crowd's own way compares them
+    # like sets share two of these lists, unless both are in too many crowded ones; the crowd's own way compares those
     pairs = _cross_pairs(now.join(few, "key", "left_semi"), percent, 2)
     pairs = written(likely(pairs, classes, percent), "likely")
     links = verified(pairs, docs, key, text, width, percent)
-    crowd = written(now.join(crowded, "key", "left_semi").select("doc_id").distinct(), "crowd")
+    held = now.join(crowded, "key", "left_semi").groupBy("doc_id", "n").agg(F.count("*").alias("held"))
+    crowd = written(held.filter(F.col("held") > _must_share("n", percent) - 2).select("doc_id").distinct(), "crowd")
     if crowd.head(1):
         links = links.union(_crowd_links(docs, classes, crowd, labels, key, text, width, percent))
     links = written(links, "links")

@@ -8,7 +8,7 @@ quantile run, and all working points are answered by one counting scan.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -162,21 +162,28 @@ def roc_table(rejections: DataFrame, reference: str) -> DataFrame:
 def fraction_grid(background: Sequence[str], lo: float, hi: float, step: float) -> list[dict[str, float]]:
     """Ordered tuples of distinct step values that add up to one.
 
-    Counted in whole steps, so no combination is lost to rounding.
+    Shares are whole numbers of ten-thousandths, so no tuple is lost to rounding; the last
+    share is what the others leave, and only sums that can still reach one are followed.
     """
-    import math
-    from itertools import permutations
-
-    n = math.ceil((hi + step - lo) / step - 1e-9)
-    values = [round(lo + i * step, 4) for i in range(n)]
-    unit = 10_000
-    grid = [
-        dict(zip(background, combo))
-        for combo in permutations(values, len(background))
-        if sum(round(v * unit) for v in combo) == unit
-    ]
+    whole = 10_000
+    count = int((hi - lo) / step + 1 + 1e-9)
+    shares = [round((lo + i * step) * whole) for i in range(count)]
+    allowed = set(shares)
+
+    def tuples(taken: tuple[int, ...]) -> Iterator[tuple[int, ...]]:
+        rest = whole - sum(taken)
+        open_places = len(background) - len(taken)
+        if open_places == 1:
+            if rest in allowed and rest not in taken:
+                yield (*taken, rest)
+            return
+        for share in shares:
+            if share not in taken and share + (open_places - 1) * shares[0] <= rest:
+                yield from tuples((*taken, share))
+
+    grid = [{name: share / whole for name, share in zip(background, t)} for t in tuples(())] if shares else []
     if not grid:
-        raise ValueError("no combination of the fractions adds up to 1")
+        raise ValueError("no tuple of distinct fractions adds up to 1")
     return grid
 
 

@@ -17,10 +17,11 @@ def column(spark, values, name="x"):
 
 
 def test_edges():
-    assert binning.linspace_edges([1, 2, 3]) == list(np.linspace(1, 2, 3))
-    assert binning.linspace_edges([[1, 2, 3], [3, 4, 5]]) == [*np.linspace(1, 2, 3), *np.linspace(3, 4, 5)]
-    assert binning.step_edges([0, 3, 1], "number_of_items") == [-0.5, 0.5, 1.5]
-    assert len(binning.step_edges(None, "pt", 0.0, 1.0)) == 101 and len(binning.step_edges(7, "pt", 0.0, 1.0)) == 8
+    assert binning.linspace_edges([-4, 8, 7]) == [-4.0, -2.0, 0.0, 2.0, 4.0, 6.0, 8.0]
+    assert binning.linspace_edges([[0, 10, 3], [10, 40, 4]]) == [0.0, 5.0, 10.0, 10.0, 20.0, 30.0, 40.0]
+    assert binning.step_edges([2, 10, 2], "number_of_lines") == [1.5, 3.5, 5.5, 7.5]
+    assert binning.step_edges([2, 10, 2], "weight") == [2.0, 4.0, 6.0, 8.0]
+    assert len(binning.step_edges(None, "weight", 3.0, 9.0)) == 101 and binning.step_edges(3, "weight", 3.0, 9.0) == [3.0, 5.0, 7.0, 9.0]
 
 
 @pytest.mark.parametrize("edges", [list(np.linspace(0, 1, 11)), list(np.arange(0, 0.1, 0.01)), [0.0, 0.1, 0.5, 0.5, 1.0], [0.0, 2.0]])
@@ -36,22 +37,27 @@ def test_bin_numbers_follow_the_edges(spark, edges):
         assert r["b"] == expected, x
 
 
-def test_histogram_known_values(spark):
-    out = h.histogram(column(spark, [1, 2, 3, 4, 5, 1, 2, 3]), F.col("x"), [0.0, 1.0, 2.0, 3.0, 4.0, 5.0])
-    got = {r["bin"]: r for r in out.collect()}
-    assert [got[i]["hist"] for i in range(5)] == [0, 0.25, 0.25, 0.25, 0.25]
-    assert got[1]["unc"] == pytest.approx(0.1767767) and got[1]["band"] == pytest.approx(0.0732233)
+def test_histogram_matches_numpy(spark):
+    values = [0.5, -3.0, 7.0, 7.5, 11.0, 12.0, 7.0, 0.0, 30.0, 3.0]
+    edges = [-2.0, 0.0, 3.0, 7.0, 7.25, 12.0]
+    counts, n = np.histogram(values, edges)[0], len(values)
+    got = {r["bin"]: r for r in h.histogram(column(spark, values), F.col("x"), edges).collect()}
+    assert [got[i]["hist"] for i in range(5)] == pytest.approx(list(counts / n))
+    assert [got[i]["unc"] for i in range(5)] == pytest.approx(list(np.sqrt(counts) / n))
+    assert [got[i]["band"] for i in range(5)] == pytest.approx(list((counts - np.sqrt(counts)) / n))
 
 
-def test_histogram_ratio_known_values(spark):
+def test_histogram_ratio_propagates_both_uncertainties(spark):
+    a, b = np.array([8.0, 1.5, 40.0, 9.0]), np.array([2.0, 4.5, 16.0, 90.0])
+    da, db = np.array([2.4, 0.3, 10.0, 0.0]), np.array([0.8, 0.9, 2.0, 27.0])
+
     def hist(values, unc):
-        return spark.createDataFrame(list(zip(range(6), map(float, values), map(float, unc))), "bin int, hist double, unc double")
+        return spark.createDataFrame([(i, float(v), float(u)) for i, (v, u) in enumerate(zip(values, unc))], "bin int, hist double, unc double")
 
-    num, den = hist([5, 3, 2, 5, 6, 2], [0.5, 1, 0.3, 0.2, 0.5, 0.3]), hist([3, 6, 2, 7, 10, 12], [1, 0.3, 2, 1, 5, 3])
-    got = {r["bin"]: r for r in h.histogram_ratio(num, den, ["bin"]).collect()}
-    ratio, unc = [got[i]["ratio"] for i in range(-1, 6)], [got[i]["ratio_unc"] for i in range(-1, 6)]
-    assert ratio == pytest.approx([1.6666667, 1.6666667, 0.5, 1, 0.7142857, 0.6, 0.1666667])
-    assert unc == pytest.approx([0.580017, 0.580017, 0.1685312, 1.0111874, 0.1059653, 0.3041381, 0.0485913], abs=1e-6)
+    got = {r["bin"]: r for r in h.histogram_ratio(hist(a, da), hist(b, db), ["bin"]).collect()}
+    expected, spread = a / b, a / b * np.hypot(da / a, db / b)
+    assert [got[i]["ratio"] for i in range(-1, 4)] == pytest.approx([expected[0], *expected])
+    assert [got[i]["ratio_unc"] for i in range(-1, 4)] == pytest.approx([spread[0], *spread])
 
 
 @pytest.mark.parametrize("accuracy", [50, 20_000])
@@ -79,11 +85,12 @@ def as_dict(df):
     return {r["variable"]: r for r in df.collect()}
 
 
-def test_row_statistics_known_values(spark):
-    df = column(spark, range(100), "a").withColumn("a_isDefaults", F.lit(0.0))
+def test_row_statistics_match_numpy(spark):
+    values = np.random.default_rng(4).gamma(2.0, 30.0, 333)
+    df = column(spark, values, "a").withColumn("a_isDefaults", F.lit(0.0))
     got = as_dict(scaling.row_statistics(df, ["a", "a_isDefaults", "weight"]))
-    assert got["a"]["shift"] == pytest.approx(49.5) and got["a"]["scale"] == pytest.approx(28.86607004772212)
-    assert got["a"]["default"] == pytest.approx(49.5) and set(got) == {"a", "a_isDefaults"}
+    assert (got["a"]["shift"], got["a"]["scale"]) == (pytest.approx(values.mean()), pytest.approx(values.std()))
+    assert got["a"]["default"] == pytest.approx(values.mean()) and set(got) == {"a", "a_isDefaults"}
 
 
 @pytest.mark.parametrize("defaults", [None, {"a": 1.0}])
@@ -101,44 +108,48 @@ def test_column_without_finite_values_is_all_default(spark):
     assert as_dict(scaling.row_statistics(df, ["a"]))["a"]["shift"] is None
 
 
-def test_merged_statistics_known_values(spark):
-    parts = spark.createDataFrame(
-        [("pt", 5.0, 2.0, 10), ("eta", 4.0, 2.0, 10), ("pt", 3.0, 1.0, 15), ("eta", 1.0, 0.5, 15)], "variable string, shift double, scale double, n long")
-    got = as_dict(scaling.merge_statistics(parts))
-    assert (got["pt"]["shift"], got["eta"]["shift"]) == (pytest.approx(3.8), pytest.approx(2.2))
-    assert got["pt"]["scale"] == pytest.approx(1.7776388834631178) and got["eta"]["scale"] == pytest.approx(1.977371993328519)
-    assert got["pt"]["n"] == 25
+def test_merged_statistics_are_those_of_all_values(spark):
+    draw = np.random.default_rng(7)
+    values = {"depth": [draw.normal(m, 3.0, n) for m, n in ((100.0, 40), (2.0, 7), (-5.0, 1))], "width": [draw.normal(0, s, 25) for s in (0.1, 50.0)]}
+    parts = [(name, float(x.mean()), float(x.std()), len(x)) for name, each in values.items() for x in each]
+    got = as_dict(scaling.merge_statistics(spark.createDataFrame(parts, "variable string, shift double, scale double, n long")))
+    for name, each in values.items():
+        every = np.concatenate(each)
+        assert (got[name]["shift"], got[name]["scale"], got[name]["n"]) == (pytest.approx(every.mean()), pytest.approx(every.std()), len(every))
 
 
-def test_row_scaling_known_values(spark):
-    df = spark.createDataFrame([(0.0, 1.0, 2.0)], "eta double, pt double, pt_isDefaults double")
-    stats = {"eta": {"shift": 1.0, "scale": 2.0, "default": 0.0}, "pt": {"shift": 1.0, "scale": 2.0, "default": 0.0}}
-    assert list(scaling.apply_row_scaling(df, ["eta", "pt", "pt_isDefaults"], stats).first()) == [-0.5, 0.0, 2.0]
+def test_row_scaling(spark):
+    df = spark.createDataFrame([(7.0, -30.0, 1.0)], "depth double, width double, width_isDefaults double")
+    stats = {"depth": {"shift": 3.0, "scale": 16.0, "default": 3.0}, "width": {"shift": -10.0, "scale": 0.5, "default": -10.0}}
+    scaled = [(7.0 - 3.0) / 16.0, (-30.0 + 10.0) / 0.5, 1.0]  # flags of defaults stay as they are
+    assert list(scaling.apply_row_scaling(df, ["depth", "width", "width_isDefaults"], stats).first()) == scaled
     with pytest.raises(KeyError):
-        scaling.apply_row_scaling(df, ["eta", "other"], stats)
+        scaling.apply_row_scaling(df, ["depth", "height"], stats)
     with pytest.raises(ValueError):
-        scaling.apply_row_scaling(df, ["eta"], {"eta": {"shift": 0.0, "scale": 0.0, "default": 0.0}})
+        scaling.apply_row_scaling(df, ["depth"], {"depth": {**stats["depth"], "scale": 0.0}})
 
 
 ITEM = "items array<struct<frac:float,hits:int,d0:float,valid:boolean>>"
 
 
-def test_item_scaling_known_values(spark):
-    df = spark.createDataFrame([([(50.0, 2, 30.0, True), (100.0, 2, 40.0, True), (NAN, 0, NAN, False)],)], ITEM)
-    stats = {"frac": {"shift": 5, "scale": 2}, "hits": {"shift": 4, "scale": 2}}
-    got = df.select(scaling.scaled_items(F.col("items"), ["d0"], ["frac"], ["hits"], stats)).first()[0]
-    assert got[0] == pytest.approx([30, -0.54398847, -1]) and got[1] == pytest.approx([40, -0.19741488, -1])
-    assert got[2] == [0.0, 0.0, 0.0]
-    bad = spark.createDataFrame([([(0.0, 2, 30.0, True)],)], ITEM)
+def test_item_scaling(spark):
+    items = [(0.5, 11, -2.0, True), (8.0, 3, 0.25, True), (NAN, 0, NAN, False), (32.0, 7, 6.0, True)]
+    stats = {"frac": {"shift": 1.5, "scale": 0.25}, "hits": {"shift": 7, "scale": 4}}
+    got = spark.createDataFrame([(items,)], ITEM).select(scaling.scaled_items(F.col("items"), ["d0"], ["frac"], ["hits"], stats)).first()[0]
+    for row, (frac, hits, d0, valid) in zip(got, items, strict=True):
+        assert list(row) == (pytest.approx([d0, (math.log(frac) - 1.5) / 0.25, (hits - 7) / 4]) if valid else [0.0, 0.0, 0.0])
+    bad = spark.createDataFrame([([(0.0, 5, 1.0, True)],)], ITEM)
     with pytest.raises(Exception, match="must be positive"):
         bad.select(scaling.scaled_items(F.col("items"), ["d0"], ["frac"], ["hits"], stats)).collect()
 
 
-def test_item_statistics_known_values(spark):
-    rows = [([(float(2 * (40 * r + i)), 2 * (40 * r + i) + 1, 0.0, True) for i in range(40)] + [(9e9, 9, 9.0, False)],) for r in range(3)]
-    got = as_dict(scaling.item_statistics(spark.createDataFrame(rows, ITEM), "items", ["frac", "hits"]))
-    assert (got["frac"]["shift"], got["hits"]["shift"], got["frac"]["n"]) == (119.0, 120.0, 120)
-    assert got["frac"]["scale"] == pytest.approx(69.27962493896484)
+def test_item_statistics_count_valid_items_only(spark):
+    draw = np.random.default_rng(3)
+    rows = [[(float(np.float32(draw.exponential(5.0))), int(draw.integers(0, 30)), 0.0, bool(draw.random() < 0.7)) for _ in range(k)] for k in (0, 1, 17, 60)]
+    got = as_dict(scaling.item_statistics(spark.createDataFrame([(r,) for r in rows], ITEM), "items", ["frac", "hits"]))
+    for place, name in enumerate(("frac", "hits")):
+        valid = np.array([x[place] for r in rows for x in r if x[3]], np.float64)
+        assert (got[name]["shift"], got[name]["scale"], got[name]["n"]) == (pytest.approx(valid.mean()), pytest.approx(valid.std()), len(valid))
 
 
 def test_unusable_statistics_are_errors(spark):

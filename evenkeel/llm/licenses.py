@@ -4,12 +4,18 @@ Paragraphs are the lines of a text. Features are word n-grams (1 to 3). A multin
 regression with one class per licence family and one for everything else is trained on the
 templates below, varied (cut, words lost, prefixed), against paragraphs of a bounded sample of
 documents; small weights are set to zero. A temperature fitted on variations kept aside calibrates
-the probabilities. A prediction counts as confirmed when at least ``CONFIRM`` of the paragraph's
-n-grams of up to three words stand in one template of the family.
+the probabilities.
+
+A notice may stand anywhere in a paragraph. Besides the whole paragraph, the classifier judges for
+every template the window of the paragraph, as long as the template but of ``WINDOW`` words at
+most, that shares most n-grams of up to three words with it. A prediction counts as confirmed when
+at least ``CONFIRM`` of the n-grams of the paragraph stand in one template of the family, or a
+window shares as large a part of what it could share with it, and one of them stands in no
+template of other families. A paragraph has each family once, with the notice that is most similar, then most probable.
 
 Defined cases: null text counts as empty; a text without licence paragraphs has null family, 0
-paragraphs of licence; ties go to the earlier paragraph; repeated rows are scanned each; an
-empty table gives an empty result; other columns are ignored.
+licences; ties go to the earlier paragraph, in it to the earlier family of the templates; repeated
+rows are scanned each; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,6 +34,8 @@ SAMPLE = 1000
 OTHERS = 3000
 VARIATIONS = 60
 CONFIRM = 0.5
+#: Words of a window at most; longer templates are found by their parts.
+WINDOW = 12
 THRESHOLD = 0.3
 
 # Notices by which works name their licence, as their licences word them.
@@ -93,6 +101,17 @@ def grams(words: list[str]) -> list[str]:
 
 KNOWN = {f: [set(grams(TOKEN.findall(t.lower()))) for t in texts] for f, texts in TEMPLATES.items()}
 VOCABULARY = set().union(*(w for texts in KNOWN.values() for w in texts))
+#: N-grams of each family that stand in no template of the others.
+OWN = {f: set().union(*texts) - set().union(*(w for g in KNOWN if g != f for w in KNOWN[g])) for f, texts in KNOWN.items()}
+ALL_OWN = set().union(*OWN.values())
+
+# Templates as columns: their windows' words, the n-grams that a window of them holds, and which n-grams they have; row 0 has none.
+PATTERNS = [(f, t) for f, texts in KNOWN.items() for t in texts]
+WORDS = np.array([min(WINDOW, len(TOKEN.findall(t.lower()))) for texts in TEMPLATES.values() for t in texts])
+HELD = np.array([min(len(t), len(grams(["w"] * n))) for (_, t), n in zip(PATTERNS, WORDS)])
+ROW = {g: i for i, g in enumerate(sorted(VOCABULARY), 1)}
+HAS = np.array([[False] * len(PATTERNS), *([g in t for _, t in PATTERNS] for g in sorted(VOCABULARY))])
+LONGEST = max(len(t) for _, t in PATTERNS)
 
 
 def words_of(paragraph: str) -> list[str]:
@@ -105,6 +124,48 @@ def similarity(words: list[str], family: str) -> float:
     return max(len(mine & t) / len(mine) for t in KNOWN[family]) if mine else 0.0
 
 
+def windows(words: list[str]) -> Iterator[tuple[str, list[str], float]]:
+    """(family, words, similarity) of the window that each template matches best, if it confirms the family."""
+    one = [ROW.get(w, 0) for w in words]
+    two = [ROW.get(f"{words[i]} {words[i + 1]}", 0) if a and b else 0 for i, (a, b) in enumerate(zip(one, one[1:]))]
+    three = [ROW.get(" ".join(words[i:i + 3]), 0) if a and b else 0 for i, (a, b) in enumerate(zip(two, two[1:]))]
+    present = np.unique(np.array(one + two + three))
+    near = HAS[present].sum(0) >= CONFIRM * HELD
+    for k in np.flatnonzero(near):
+        family, known = PATTERNS[k]
+        # hits before each place; n-grams that repeat count again, so this bounds the distinct ones from above
+        before = [np.append(0, np.cumsum(HAS[np.array(x, np.int64), k])) for x in (one, two, three)]
+        start = np.flatnonzero(HAS[np.array(one), k])
+        end = np.minimum(start + WORDS[k], len(words))
+        bound = sum(b[np.maximum(end - i, 0)] - b[np.minimum(start, np.maximum(end - i, 0))] for i, b in enumerate(before))
+        best, most = None, CONFIRM * HELD[k]
+        for j in np.argsort(-bound, kind="stable"):
+            if bound[j] < most or best and bound[j] == most:
+                break
+            found = set(grams(words[start[j]:end[j]])) & known
+            if len(found) >= most and (best is None or len(found) > most) and found & OWN[family]:
+                best, most = (start[j], end[j]), len(found)
+        if best:
+            a, b = best  # the notice goes on as long as its word pairs do
+            while a and HAS[two[a - 1], k]:
+                a -= 1
+            while b < len(words) and HAS[two[b - 1], k]:
+                b += 1
+            yield family, words[a:b], float(most / HELD[k])
+
+
+def candidates(words: list[str]) -> Iterator[tuple[str, list[str], float]]:
+    """(family, words, similarity) of what the templates confirm: the whole paragraph, and windows of it."""
+    if not any(f"{a} {b}" in VOCABULARY for a, b in zip(words, words[1:])):
+        return
+    if len(words) <= LONGEST:  # else no template can hold half of its n-grams, or a window holds as many
+        mine = set(grams(words))
+        for family in KNOWN:
+            if mine & OWN[family] and (same := similarity(words, family)) >= CONFIRM:
+                yield family, words, same
+    yield from windows(words)
+
+
 def examples(others: list[list[str]], seed: int = 5) -> tuple[list[list[str]], np.ndarray]:
     """Varied templates and paragraphs of no licence, with class numbers."""
     draw = np.random.default_rng(seed)
@@ -181,17 +242,17 @@ class Classifier:
         return self._soft(logits[None, :] / self.temperature)[0]
 
     def scan(self, text: str) -> list[tuple[int, str, float, float]]:
-        """(paragraph, family, probability, similarity) of every paragraph that names a licence."""
+        """(paragraph, family, probability, similarity) of every paragraph that names a licence, once for each family."""
         found = []
         for i, paragraph in enumerate(text.split("\n")):
-            words = words_of(paragraph)
+            best: dict[str, tuple[float, float]] = {}
             # without a word pair of the templates a paragraph can't be confirmed: it is unknown
-            if not any(f"{a} {b}" in VOCABULARY for a, b in zip(words, words[1:])):
-                continue
-            p = self.probabilities(words)
-            c = 1 + int(p[1:].argmax())
-            if p[c] >= THRESHOLD and (same := similarity(words, FAMILIES[c])) >= CONFIRM:
-                found.append((i, FAMILIES[c], float(p[c]), float(same)))
+            for family, words, same in candidates(words_of(paragraph)):
+                p = self.probabilities(words)
+                c = 1 + int(p[1:].argmax())
+                if FAMILIES[c] == family and p[c] >= THRESHOLD:
+                    best[family] = max(best.get(family, (0.0, 0.0)), (float(same), float(p[c])))
+            found += [(i, f, *best[f][::-1]) for f in TEMPLATES if f in best]
         return found
 
 

@@ -315,6 +315,21 @@ def test_licenses(spark, odd, none):
     assert licenses.scan_documents(odd, model).count() == 10 and licenses.scan_documents(none, model).count() == 0
 
 
+def test_licenses_inside_lines(spark):
+    before, after = prose(2, seed=8)
+    notices = [("Copyright (c) 2020 Foo Inc. All rights reserved.", ["Proprietary"]), ("(C) Jane Roe and others 2019, all rights reserved worldwide", ["Proprietary"]),
+               ("This project is licensed under the MIT License - see the LICENSE file for details.", ["MIT"]),
+               ("The source can be had by letter. Released under the MIT License. Contact us for details.", ["MIT"]),
+               ("It is dual licensed. Licensed under the MIT license. Licensed under the Apache License, Version 2.0. Pick one.", ["MIT", "Apache"]),
+               ("photos are licensed under CC BY-SA 4.0 unless noted", ["CC-BY-SA"]), ("# SPDX-License-Identifier: GPL-3.0-or-later see COPYING", ["GPL"]),
+               ("Licensed under the ISC License.", []), ("they worked under the terms of the plan and all copies were sold", [])]
+    lines = [x for notice, _ in notices for x in (notice, f"{before} {notice} {after}".replace("\n", " "))]
+    docs = frame(spark, [(0, "\n".join(lines)), *enumerate(prose(40, seed=5), 1)])
+    out = {r.doc_id: [(x.paragraph, x.family) for x in r.licences] for r in licenses.scan_documents(docs, licenses.fit(docs)).collect()}
+    assert out[0] == [(2 * i + j, f) for i, (_, families) in enumerate(notices) for j in (0, 1) for f in families]
+    assert not any(v for i, v in out.items() if i)
+
+
 def test_pipeline(spark, tmp_path):
     """Every stage keeps and drops what brute force does on its own input."""
     import corpus_pipeline

@@ -330,6 +330,26 @@ def test_licenses_inside_lines(spark):
     assert not any(v for i, v in out.items() if i)
 
 
+def test_licenses_unknown_class_decides():
+    class Doubting(licenses.Classifier):
+        def __init__(self, unknown):
+            self.p = np.zeros(len(licenses.FAMILIES))
+            self.p[0], self.p[1] = unknown, 1 - unknown
+
+        def probabilities(self, words):
+            return self.p
+
+    notice = "Released under the MIT License."
+    assert not Doubting(0.69).scan(notice) and [x[:3] for x in Doubting(0.25).scan(notice)] == [(0, "MIT", 0.75)]
+    # no part of a long template is unknown to the classifier
+    model = licenses.Classifier([licenses.words_of(x) for x in prose(300, seed=5)])
+    for family, texts in licenses.TEMPLATES.items():
+        for words in map(licenses.words_of, texts):
+            for i in range(max(1, len(words) - 11)):
+                p = model.probabilities(words[i:i + 12])
+                assert licenses.FAMILIES[p.argmax()] == family and p.max() >= licenses.THRESHOLD
+
+
 def test_pipeline(spark, tmp_path):
     """Every stage keeps and drops what brute force does on its own input."""
     import corpus_pipeline

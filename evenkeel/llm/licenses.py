@@ -3,15 +3,17 @@
 Paragraphs are the lines of a text. Features are word n-grams (1 to 3). A multinomial logistic
 regression with one class per licence family and one for everything else is trained on the
 templates below, varied (cut, words lost, prefixed), against paragraphs of a bounded sample of
-documents, words of the templates in any order, and templates without what is their family's own; small weights are set to zero. A temperature fitted on variations kept aside calibrates
-the probabilities. The most probable class decides, at ``THRESHOLD`` or more; it may be the unknown one.
+documents, words of the templates in any order, and templates without what is their family's own;
+small weights are set to zero. A temperature fitted on variations kept aside calibrates the
+probabilities. The most probable class decides, at ``THRESHOLD`` or more; it may be the unknown one.
 
 A notice may stand anywhere in a paragraph. Besides the whole paragraph, the classifier judges for
 every template the window of the paragraph, as long as the template but of ``WINDOW`` words at
 most, that shares most n-grams of up to three words with it. A prediction counts as confirmed when
 at least ``CONFIRM`` of the n-grams of the paragraph stand in one template of the family, or a
 window shares as large a part of what it could share with it, and one of them stands in no
-template of other families. A paragraph has each family once, with the notice that is most similar, then most probable.
+template of other families. A paragraph has each family once, with the notice that is most
+similar, then most probable.
 
 Defined cases: null text counts as empty; a text without licence paragraphs has null family, 0
 licences; ties go to the earlier paragraph, in it to the earlier family of the templates; repeated
@@ -103,7 +105,6 @@ KNOWN = {f: [set(grams(TOKEN.findall(t.lower()))) for t in texts] for f, texts i
 VOCABULARY = set().union(*(w for texts in KNOWN.values() for w in texts))
 #: N-grams of each family that stand in no template of the others.
 OWN = {f: set().union(*texts) - set().union(*(w for g in KNOWN if g != f for w in KNOWN[g])) for f, texts in KNOWN.items()}
-ALL_OWN = set().union(*OWN.values())
 
 # Templates as columns: their windows' words, the n-grams that a window of them holds, and which n-grams they have; row 0 has none.
 PATTERNS = [(f, t) for f, texts in KNOWN.items() for t in texts]
@@ -111,6 +112,8 @@ WORDS = np.array([min(WINDOW, len(TOKEN.findall(t.lower()))) for texts in TEMPLA
 HELD = np.array([min(len(t), len(grams(["w"] * n))) for (_, t), n in zip(PATTERNS, WORDS)])
 ROW = {g: i for i, g in enumerate(sorted(VOCABULARY), 1)}
 HAS = np.array([[False] * len(PATTERNS), *([g in t for _, t in PATTERNS] for g in sorted(VOCABULARY))])
+OWN_ROWS = {ROW[g] for own in OWN.values() for g in own}
+LEAST = CONFIRM * HELD.min()
 LONGEST = max(len(t) for _, t in PATTERNS)
 
 
@@ -129,8 +132,10 @@ def windows(words: list[str]) -> Iterator[tuple[str, list[str], float]]:
     one = [ROW.get(w, 0) for w in words]
     two = [ROW.get(f"{words[i]} {words[i + 1]}", 0) if a and b else 0 for i, (a, b) in enumerate(zip(one, one[1:]))]
     three = [ROW.get(" ".join(words[i:i + 3]), 0) if a and b else 0 for i, (a, b) in enumerate(zip(two, two[1:]))]
-    present = np.unique(np.array(one + two + three))
-    near = HAS[present].sum(0) >= CONFIRM * HELD
+    present = {*one, *two, *three}
+    if len(present) <= LEAST or present.isdisjoint(OWN_ROWS):
+        return
+    near = HAS[list(present)].sum(0) >= CONFIRM * HELD
     for k in np.flatnonzero(near):
         family, known = PATTERNS[k]
         # hits before each place; n-grams that repeat count again, so this bounds the distinct ones from above
@@ -160,7 +165,7 @@ def candidates(words: list[str]) -> Iterator[tuple[str, list[str], float]]:
         return
     if len(words) <= LONGEST:  # else no template can hold half of its n-grams, or a window holds as many
         mine = set(grams(words))
-        for family in KNOWN:
+        for family in KNOWN if len(mine & VOCABULARY) >= CONFIRM * len(mine) else ():
             if mine & OWN[family] and (same := similarity(words, family)) >= CONFIRM:
                 yield family, words, same
     yield from windows(words)
@@ -264,14 +269,22 @@ class Classifier:
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Classifier:
-    """The classifier, with paragraphs of a bounded sample of documents as its unknown class."""
+    """The classifier, with paragraphs of a bounded sample of documents as its unknown class.
+
+    Any line of them may be drawn, whole up to the length at which ``candidates`` judges it whole, longer ones in pieces of that length.
+    """
     chosen = docs.select(F.col(key).alias("k"), F.xxhash64(key).alias("h")).orderBy("h", "k").limit(SAMPLE).select("k").distinct()
-    rows = docs.join(F.broadcast(chosen), docs[key] == F.col("k")).select(F.col("k"), F.explode(F.slice(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), 1, 50)).alias("line"))
-    lines = sorted({r.line[:2000] for r in rows.select("line").collect()})
-    pool = [w[:200] for w in map(words_of, lines) if w]
-    pool = [w for w in pool if max(similarity(w, f) for f in TEMPLATES) < 0.3]
-    pick = np.random.default_rng(9).permutation(len(pool))[:OTHERS]
-    return Classifier([pool[i] for i in pick])
+    texts = docs.join(F.broadcast(chosen), docs[key] == F.col("k")).select(F.explode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("line")).distinct()
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = (words_of(value.as_py()) for value in batch.column(0))
+            parts = (words[i:i + LONGEST] for words in lines for i in range(0, len(words), LONGEST))
+            other = [" ".join(w) for w in parts if max(similarity(w, f) for f in TEMPLATES) < 0.3 and not any(candidates(w))]
+            yield pa.RecordBatch.from_arrays([pa.array(other, pa.string())], ["words"])
+
+    drawn = texts.mapInArrow(pieces, "words string").distinct().orderBy(F.xxhash64("words"), "words").limit(OTHERS)
+    return Classifier([r.words.split(" ") for r in drawn.collect()])
 
 
 def scan_documents(docs: DataFrame, model: Classifier, key: str = "doc_id", text: str = "text") -> DataFrame:

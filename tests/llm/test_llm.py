@@ -350,6 +350,15 @@ def test_licenses_unknown_class_decides():
                 assert licenses.FAMILIES[p.argmax()] == family and p.max() >= licenses.THRESHOLD
 
 
+def test_licenses_learn_from_whole_documents(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(licenses, "Classifier", lambda others: given.extend(others))
+    late, wide = [f"early{i} late{i}" for i in range(60)], [f"wide{i}" for i in range(1000)]
+    licenses.fit(frame(spark, [(0, "\n".join(late)), (1, " ".join(wide)), (2, "Released under the MIT License.")]))
+    assert sorted(w for words in given for w in words) == sorted([*" ".join(late).split(), *wide])
+    assert max(map(len, given)) <= licenses.LONGEST
+
+
 def test_pipeline(spark, tmp_path):
     """Every stage keeps and drops what brute force does on its own input."""
     import corpus_pipeline

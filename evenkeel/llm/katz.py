@@ -14,6 +14,11 @@ as packed arrays; there the counts of all batches are summed, which are the mode
 each batch is answered for what it sent. Two shuffles of distinct n-grams per batch thus replace a
 join of every token, hot words are one entry per batch, and the batches never move.
 
+A context of more than ``SPLIT_TOKENS`` tokens is split by a salt of the second word, one salt for
+so many tokens, so that no part grows with one context. A bigram is whole within its salt; the totals
+of a split context are added over its parts on the driver, at most two rows per ``SPLIT_TOKENS``
+tokens of the corpus, and broadcast.
+
 Words are known by 64-bit hashes, successors within a context by 48 bits.
 
 Defined cases: null text counts as empty and has the end token alone; an id may repeat, each row is
@@ -42,8 +47,12 @@ K = 5
 BATCH_TOKENS = 2_000_000
 #: Tokens of the corpus per partition of the model.
 PART_TOKENS = 1_000_000
+#: Tokens after one context per salt.
+SPLIT_TOKENS = 100_000
 # Fixed values that stand for the end of a text and for the context of its first word.
 END, START = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
+#: An odd number that sends the salts of a context to different parts.
+SPREAD = np.uint64(0xC2B2AE3D27D4EB4F)
 LOW48 = np.uint64((1 << 48) - 1)
 
 
@@ -104,14 +113,14 @@ def numbered(hashes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bigrams(words: np.ndarray, stream: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Contexts (hash), their numbers of bigrams, second words (number), and each token's bigram."""
+    """Contexts (hash), their numbers of bigrams, second words (number), each token's bigram, and contexts (number)."""
     before = np.empty_like(stream)
     before[1:] = stream[:-1]
     before[np.cumsum(lengths) - lengths] = len(words)  # documents begin in the context of their start
     code, of_token = np.unique(before * (len(words) + 1) + stream, return_inverse=True)
     first, second = np.divmod(code, len(words) + 1)
     context, runs = np.unique(first, return_counts=True)
-    return np.append(words, np.uint64(START))[context], runs, second, of_token
+    return np.append(words, np.uint64(START))[context], runs, second, of_token, context
 
 
 def dealt(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,22 +141,34 @@ class Batch:
         self.words, self.stream = unpack(row.words), unpack(row.stream).astype(np.int64)
         self.counted = np.repeat(self.learns, self.lengths)
 
-    def word_counts(self, answers: pd.DataFrame, parts: int) -> np.ndarray:
-        """Corpus counts of the batch's words, from the answers of all parts."""
+    def word_counts(self, answers: pd.DataFrame, parts: int) -> tuple[np.ndarray, np.ndarray]:
+        """Corpus counts of the batch's words and their salts, from the answers of all parts."""
         order, _, _ = dealt(self.words, parts)
-        counts = np.empty(len(order), np.uint64)
-        counts[order] = np.concatenate([unpack(b) for b in answers.sort_values("part")["counts"]])
-        return counts
-
-    def pairs(self, parts: int) -> tuple[np.ndarray, ...]:
-        """Bigrams in the order in which they are sent: contexts, runs, second words, each token's bigram, parts, begins."""
-        context, runs, second, of_token = bigrams(self.words, self.stream, self.lengths)
-        order, present, begin = dealt(context, parts)
-        start = np.cumsum(runs) - runs
-        moved = np.repeat(start[order], runs[order]) + ranges(runs[order])
+        counts, salts = np.empty(len(order), np.uint64), np.empty(len(order), np.uint64)
+        answers = answers.sort_values("part")
+        counts[order] = np.concatenate([unpack(b) for b in answers["counts"]])
+        salts[order] = np.concatenate([unpack(b) for b in answers["salts"]])
+        return counts, salts
+
+    def pairs(self, parts: int, salts: np.ndarray, start_salts: int) -> tuple[np.ndarray, ...]:
+        """Bigrams in the order in which they are sent: contexts, runs, second words, each token's bigram, parts, begins, salts of each context.
+
+        A context that is split has a run for each salt of its second words.
+        """
+        context, runs, second, of_token, first = bigrams(self.words, self.stream, self.lengths)
+        of = np.append(salts, np.uint64(start_salts))[first]
+        owner = np.repeat(np.arange(len(runs)), runs)
+        salt = np.where(of[owner] > 1, (self.words[second] >> np.uint64(16)) % of[owner], np.uint64(0))
+        by_salt = np.lexsort((salt, owner)) if salt.any() else np.arange(len(salt))
+        owner, salt = owner[by_salt], salt[by_salt]
+        start = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (salt[1:] != salt[:-1])))
+        runs = np.diff(np.append(start, len(owner)))
+        context, of = context[owner[start]], of[owner[start]]
+        order, present, begin = dealt(context + salt[start] * SPREAD, parts)
+        moved = by_salt[np.repeat(start[order], runs[order]) + ranges(runs[order])]
         place = np.empty(len(moved), np.int64)
         place[moved] = np.arange(len(moved))
-        return context[order], runs[order], second[moved], place[of_token], present, begin
+        return context[order], runs[order], second[moved], place[of_token], present, begin, of[order]
 
 
 def ranges(runs: np.ndarray) -> np.ndarray:
@@ -196,28 +217,31 @@ def batches_of(docs: DataFrame, learns: Column, key: str, text: str) -> DataFram
 
 
 def _count_words(batches: DataFrame, parts: int) -> DataFrame:
-    """Answers to the batches, (part, batch, counts), and per part its totals, where batch is null."""
+    """Answers to the batches, (part, batch, counts, salts), and per part its totals, where batch is null."""
+    split = SPLIT_TOKENS
 
     def sent(given: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in given:
             for row in pdf.itertuples(index=False):
                 b = Batch(row)
-                counts = np.bincount(b.stream[b.counted], minlength=len(b.words))
+                counts, others = (np.bincount(b.stream[x], minlength=len(b.words)) for x in (b.counted, ~b.counted))
                 order, present, begin = dealt(b.words, parts)
-                yield pd.DataFrame({"part": present, "batch": b.id, "words": pack_each(np.split(b.words[order], begin[1:])), "counts": pack_each(np.split(counts[order], begin[1:]))})
+                deal = lambda x: pack_each(np.split(x[order], begin[1:]))
+                yield pd.DataFrame({"part": present, "batch": b.id, "words": deal(b.words), "counts": deal(counts), "others": deal(others)})
 
     def summed(pdf: pd.DataFrame) -> pd.DataFrame:
         words = [unpack(b) for b in pdf["words"]]
         _, at = np.unique(np.concatenate(words), return_inverse=True)
-        totals = np.bincount(at, np.concatenate([unpack(b) for b in pdf["counts"]])).astype(np.int64)
+        totals, others = (np.bincount(at, np.concatenate([unpack(b) for b in pdf[c]])).astype(np.int64) for c in ("counts", "others"))
+        salts = -(-(totals + others) // split)  # of all tokens, also those that are not counted
         often = np.bincount(np.minimum(totals, K + 2), minlength=K + 3)
         ends = np.cumsum([len(w) for w in words])[:-1]
-        out = pd.DataFrame({"part": pdf["part"], "batch": pdf["batch"].astype(object), "counts": pack_each(np.split(totals[at], ends)), "tokens": None, "words": None, "often": None})
-        out.loc[len(out)] = [pdf["part"].iloc[0], None, None, int(totals.sum()), int((totals > 0).sum()), often[1:K + 2].tolist()]
+        out = pd.DataFrame({"part": pdf["part"], "batch": pdf["batch"].astype(object), "counts": pack_each(np.split(totals[at], ends)), "salts": pack_each(np.split(salts[at], ends)), "tokens": None, "words": None, "often": None})
+        out.loc[len(out)] = [pdf["part"].iloc[0], None, None, None, int(totals.sum()), int((totals > 0).sum()), often[1:K + 2].tolist()]
         return out
 
-    rows = batches.mapInPandas(sent, "part long, batch long, words binary, counts binary")
-    return rows.groupBy("part").applyInPandas(summed, "part long, batch long, counts binary, tokens long, words long, often array<long>")
+    rows = batches.mapInPandas(sent, "part long, batch long, words binary, counts binary, others binary")
+    return rows.groupBy("part").applyInPandas(summed, "part long, batch long, counts binary, salts binary, tokens long, words long, often array<long>")
 
 
 def _totals(answers: DataFrame, *columns: str) -> list:
@@ -227,19 +251,22 @@ def _totals(answers: DataFrame, *columns: str) -> list:
     return [*row[:len(columns)], row[len(columns):]]
 
 
-def _count_pairs(batches: DataFrame, answers: DataFrame, parts: int, lower: Words) -> DataFrame:
-    """Answers on bigrams: their counts, and of their contexts the total and what their weight needs."""
+def _count_pairs(batches: DataFrame, answers: DataFrame, parts: int, lower: Words, start_salts: int) -> DataFrame:
+    """Answers on bigrams: their counts, and of their contexts the total and what their weight needs.
+
+    Of split contexts these hold the part's second words only; the rows without a batch have them by context, for ``_split_totals``.
+    """
 
     def sent(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         out = []
         for row in rows.itertuples(index=False):
             b = Batch(row)
-            counts = b.word_counts(answers, parts)
-            context, runs, second, of_token, present, begin = b.pairs(parts)
+            counts, salts = b.word_counts(answers, parts)
+            context, runs, second, of_token, present, begin, of = b.pairs(parts, salts, start_salts)
             n = np.bincount(of_token[b.counted], minlength=len(second))
             cut = (np.cumsum(runs) - runs)[begin][1:]
             out.append(pd.DataFrame({
-                "part": present, "batch": b.id, "contexts": pack_each(np.split(context, begin[1:])), "runs": pack_each(np.split(runs, begin[1:])),
+                "part": present, "batch": b.id, "contexts": pack_each(np.split(context, begin[1:])), "runs": pack_each(np.split(runs, begin[1:])), "split": pack_each(np.split(of > 1, begin[1:])),
                 "seconds": pack_each(np.split(b.words[second] & LOW48, cut)), "n": pack_each(np.split(n, cut)), "lower": pack_each(np.split(counts[second], cut)),
             }))
         return pd.concat(out)
@@ -264,9 +291,11 @@ def _count_pairs(batches: DataFrame, answers: DataFrame, parts: int, lower: Word
         held = np.bincount(owner, total, size).astype(np.int64)
         few = np.stack([np.bincount(owner, total == r, size) for r in range(1, K + 1)], 1).astype(np.int64)
         mass = np.bincount(owner, np.where(seen, lower.probability(low[order][begin]), 0.0), size)
-        held = held + ((held > 0) & (few.sum(1) == 0))
         many = np.bincount(owner, np.where(total > K, total, 0), size).astype(np.int64)
         known = c[begin][np.append(True, owner[1:] != owner[:-1])]
+        hot = np.searchsorted(known, np.unique(np.concatenate(contexts)[np.concatenate(read("split")) > 0]))
+        totals = [pack(x) for x in (known[hot], held[hot], few[hot].ravel(), many[hot], mass[hot].view(np.uint64))]
+        held = held + unseen(held, few)
         out, start = [], 0
         for batch, ctx, run in zip(pdf["batch"], contexts, runs):
             mine = total[at[start:start + run.sum()]]
@@ -275,15 +304,31 @@ def _count_pairs(batches: DataFrame, answers: DataFrame, parts: int, lower: Word
             asked = own[np.minimum.reduceat(mine, np.cumsum(run) - run) == 0]  # contexts with an unseen word here
             out.append((pdf["part"].iloc[0], batch, pack(mine), pack(held[own]), pack(few[asked].ravel()), pack(many[asked]), pack(mass[asked].view(np.uint64)), None))
         often = np.bincount(np.minimum(total, K + 2), minlength=K + 3)[1:K + 2]
-        out.append((pdf["part"].iloc[0], None, None, None, None, None, None, often.tolist()))
+        out.append((pdf["part"].iloc[0], None, *totals, often.tolist()))
         return pd.DataFrame(out, columns=["part", "batch", "n", "held", "few", "many", "mass", "often"]).astype({"batch": object})
 
-    own = answers.filter("batch IS NOT NULL").select("part", "batch", "counts")
+    own = answers.filter("batch IS NOT NULL").select("part", "batch", "counts", "salts")
     rows = batches.groupBy("batch").cogroup(own.groupBy("batch")).applyInPandas(
-        sent, "part long, batch long, contexts binary, runs binary, seconds binary, n binary, lower binary")
+        sent, "part long, batch long, contexts binary, runs binary, split binary, seconds binary, n binary, lower binary")
     return rows.groupBy("part").applyInPandas(summed, "part long, batch long, n binary, held binary, few binary, many binary, mass binary, often array<long>")
 
 
+def unseen(held: np.ndarray, few: np.ndarray) -> np.ndarray:
+    """1 for contexts of which no successor is discounted."""
+    return (held > 0) & (few.sum(1) == 0)
+
+
+def _split_totals(answers: DataFrame) -> tuple[np.ndarray, ...]:
+    """Split contexts, and of each the sums over its parts: held, few, many, mass."""
+    rows = answers.filter("batch IS NULL").orderBy("part").select("n", "held", "few", "many", "mass").collect()
+    columns = [np.concatenate([np.empty(0, np.uint64), *(unpack(r[i]) for r in rows)]) for i in range(5)]
+    context, at = np.unique(columns[0], return_inverse=True)
+    add = lambda x: np.bincount(at, x, len(context))
+    held, many, mass = add(columns[1]), add(columns[3]), add(columns[4].view(np.float64))
+    few = np.stack([add(x) for x in columns[2].reshape(-1, K).T], 1)
+    return context, held + unseen(held, few), few, many, mass
+
+
 def score_documents(docs: DataFrame, learns: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, learns, n_tokens, n_known, train_tokens, base_score, score); ``learns`` marks training documents."""
     kind = docs.schema[key].dataType.simpleString()
@@ -293,20 +338,27 @@ def score_documents(docs: DataFrame, learns: Column, key: str = "doc_id", text:
     on_words = written(_count_words(batches, parts), "word-counts")
     tokens, words, often = _totals(on_words, "tokens", "words")
     lower = Words(tokens, words, often)
-    on_pairs = written(_count_pairs(batches, on_words, parts, lower), "pair-counts")
+    start_salts = math.ceil((batches.agg(F.sum(F.size("ids"))).first()[0] or 0) / SPLIT_TOKENS)
+    on_pairs = written(_count_pairs(batches, on_words, parts, lower, start_salts), "pair-counts")
     discounts = Discounts(_totals(on_pairs)[0])
+    shared = docs.sparkSession.sparkContext.broadcast(_split_totals(on_pairs))
 
     def scored(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         out = []
         for row in rows.itertuples(index=False):
             b = Batch(row)
-            counts = b.word_counts(answers[answers["n"].isna()], parts)
-            context, runs, second, of_token, _, _ = b.pairs(parts)
+            counts, salts = b.word_counts(answers[answers["n"].isna()], parts)
+            context, runs, second, of_token, _, _, of = b.pairs(parts, salts, start_salts)
             told = answers[answers["n"].notna()].sort_values("part")
             read = lambda c: np.concatenate([unpack(x) for x in told[c]])
             n, held = read("n").astype(np.int64), read("held").astype(np.float64)
             asked = np.minimum.reduceat(n, np.cumsum(runs) - runs) == 0
             few, many, mass = read("few").reshape(-1, K).astype(np.float64), read("many").astype(np.float64), read("mass").view(np.float64)
+            split, *sums = shared.value
+            own = np.searchsorted(split, context[of > 1])
+            held[of > 1] = sums[0][own]
+            own = np.searchsorted(split, context[asked & (of > 1)])
+            few[of[asked] > 1], many[of[asked] > 1], mass[of[asked] > 1] = (x[own] for x in sums[1:])
             weight = np.ones(len(context))
             left = held[asked] - (few * discounts.factor[1:] * np.arange(1, K + 1)).sum(1) - many
             weight[asked] = np.where(held[asked] > 0, left / np.maximum(held[asked], 1) / np.maximum(1 - mass, 1e-300), 1.0)
@@ -322,7 +374,7 @@ def score_documents(docs: DataFrame, learns: Column, key: str = "doc_id", text:
             }))
         return pd.concat(out)
 
-    told = on_words.filter("batch IS NOT NULL").select("part", "batch", "counts").unionByName(
+    told = on_words.filter("batch IS NOT NULL").select("part", "batch", "counts", "salts").unionByName(
         on_pairs.filter("batch IS NOT NULL").drop("often"), allowMissingColumns=True)
     return batches.groupBy("batch").cogroup(told.groupBy("batch")).applyInPandas(
         scored, f"doc_id {kind}, learns boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -241,6 +241,24 @@ def test_katz(spark, monkeypatch, batch):
         assert r.base_score == pytest.approx(want[r.doc_id][1]) and r.score == pytest.approx(want[r.doc_id][2])
 
 
+def test_katz_splits_hot_contexts(spark, monkeypatch):
+    """A word that is half of all tokens, with new successors in each batch, is spread over the parts."""
+    monkeypatch.setattr(katz, "BATCH_TOKENS", 300)
+    monkeypatch.setattr(katz, "PART_TOKENS", 300)
+    monkeypatch.setattr(katz, "SPLIT_TOKENS", 30, raising=False)
+    draw, kept = random.Random(4), {}
+    monkeypatch.setattr(katz, "written", lambda df, name, keep=katz.written: kept.setdefault(name, keep(df, name)))
+    texts = [(i, " ".join(f"hot {'held' if i % 5 else 'w'}{draw.randrange(900)}" for _ in range(40))) for i in range(120)]
+    learns = lambda i: zlib.crc32(str(i).encode()) % 7 != 2
+    want = katz_scores(texts, learns)
+    for r in katz.score_documents(frame(spark, texts), remainder(7) != 2).collect():
+        assert r.score == pytest.approx(want[r.doc_id][2])
+    entries = collections.Counter()
+    for r in kept["pair-counts"].filter("batch IS NOT NULL").collect():
+        entries[r.part] += len(katz.unpack(r.n))
+    assert len(entries) > 5 and max(entries.values()) < 0.3 * sum(entries.values())
+
+
 def test_katz_odd(odd, none):
     assert katz.score_documents(odd, remainder(7) != 2).count() == 10 and katz.score_documents(none, F.lit(True)).count() == 0
     assert {r.score for r in katz.score_documents(odd, F.lit(False)).collect()} == {0.0}

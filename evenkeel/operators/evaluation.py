@@ -8,6 +8,7 @@ quantile run, and all working points are answered by one counting scan.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -166,7 +167,8 @@ def fraction_grid(background: Sequence[str], lo: float, hi: float, step: float)
     share is what the others leave, and only sums that can still reach one are followed.
     """
     whole = 10_000
-    count = int((hi - lo) / step + 1 + 1e-9)
+    # as many as numpy.arange(lo, hi + step, step) has, without its rounding: one beyond hi if step does not divide the range
+    count = math.ceil((hi + step - lo) / step - 1e-9)
     shares = [round((lo + i * step) * whole) for i in range(count)]
     allowed = set(shares)
 

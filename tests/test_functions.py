@@ -102,6 +102,11 @@ def test_fraction_grid_is_every_tuple_of_distinct_shares(names, lo, hi, step):
     assert grid == sorted(expected)
 
 
+def test_fraction_grid_has_one_step_beyond_a_range_that_step_does_not_divide():
+    grid = [tuple(round(10 * g[n]) for n in "pqr") for g in fraction_grid("pqr", 0.1, 0.45, 0.1)]
+    assert sorted(grid) == sorted([*itertools.permutations((1, 4, 5)), *itertools.permutations((2, 3, 5))])
+
+
 def test_fraction_grid_without_a_tuple_is_an_error():
     with pytest.raises(ValueError):
         fraction_grid("pq", 0.7, 0.8, 0.1)

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evenkeel.llm import bpe, exact_dedup, katz, licenses, line_dedup, mixing, near_dedup, neighbours, quality, toxicity
-from evenkeel.llm.common import remainder
+from evenkeel.llm import (
+    bpe, exact_dedup, katz, licenses, line_dedup, mixing, near_dedup, neighbours, quality, runs, token_counts, toxicity,
+)
+from evenkeel.llm.common import WHITE, remainder, text_of
 
-#: Where the public vocabulary files lie.
-TOKENIZERS = "/opt/tokenizers"
+#: The vocabulary of the encoding operator and its pipeline stage.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+#: The model of the counting operator.
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+#: A document of more tokens is over the limit.
+TOKEN_LIMIT = 4096
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -42,7 +49,7 @@ def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
-    coded = bpe.encode_documents(documents(spark, sf).select("doc_id", "text"), f"{TOKENIZERS}/byte_bpe_50k.json")
+    coded = bpe.encode_documents(documents(spark, sf).select("doc_id", "text"), VOCABULARY)
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
@@ -80,6 +87,38 @@ def op10_katz(spark: SparkSession, sf: str) -> DataFrame:
     return scores.select("doc_id", (~F.col("learns")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``text`` with every tenth document (by crc32 of its id) repeating some of its words from some word on."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    g, n, words = F.floor(F.col("h") / 10), F.size("words"), F.col("words")
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    again = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    planted = F.array_join(F.slice(F.concat(F.slice(words, 1, a), again), 1, n), " ")
+    split = F.array_remove(F.split(text_of(), f"[{WHITE}]+"), "")
+    return docs.withColumn("h", h).withColumn("words", F.when(F.col("h") % 10 == 0, split)).withColumn(
+        "text", F.when(F.size("words") > 0, planted).otherwise(F.col("text"))).drop("h", "words")
+
+
+def op11_runs(spark: SparkSession, sf: str) -> DataFrame:
+    found = runs.find_runs(with_planted_runs(documents(spark, sf).select("doc_id", "text")).select("doc_id", "text"))
+    # the greatest length / period, compared without division; runs come by start, then period
+    ahead = lambda a, b: F.when(a.isNull() | (b["length"] * a["period"] > a["length"] * b["period"]), b).otherwise(a)
+    kind = found.schema["runs"].dataType.elementType
+    best = found.withColumn("best", F.aggregate("runs", F.lit(None).cast(kind), ahead))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    listed = F.concat(F.array_join(line, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op12_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    counted = token_counts.count_tokens(documents(spark, sf).select("doc_id", "text"), PIECES)
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_licenses": op2_licenses,
@@ -91,6 +130,8 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_neighbours": op9_neighbours,
     "op10_katz": op10_katz,
+    "op11_runs": op11_runs,
+    "op12_token_counts": op12_token_counts,
 }
 
 WHITE_SQL = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from evenkeel.llm import bpe, exact_dedup, katz, licenses, line_dedup, mixing, near_dedup, neighbours, quality, toxicity
 from evenkeel.llm.common import remainder
-from evenkeel.llm.queries import TOKENIZERS
+from evenkeel.llm.queries import VOCABULARY
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double"
 
@@ -110,7 +110,7 @@ def test_mixing(spark, odd, none):
 def test_bpe(spark, odd, none):
     from tokenizers import Tokenizer
 
-    path = f"{TOKENIZERS}/byte_bpe_50k.json"
+    path = VOCABULARY
     own = Tokenizer.from_file(path)
     draw = random.Random(2)
     letters = [*"abcTHE  \n\t\r\x0b\x1c\x85\xa0'’sret.,!1½٣éß你　", "<|endoftext|>", "hello", " world"]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.llm import bpe, line_dedup, mixing, near_dedup, quality
 from evenkeel.llm.common import remainder, written
-from evenkeel.llm.queries import TOKENIZERS
+from evenkeel.llm.queries import VOCABULARY
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the text decoded from them."""
-    coded = bpe.encode_documents(docs.select("doc_id", "source", "text"), f"{TOKENIZERS}/byte_bpe_50k.json")
+    coded = bpe.encode_documents(docs.select("doc_id", "source", "text"), VOCABULARY)
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
     return coded.select(
         "doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),

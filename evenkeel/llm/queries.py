@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from zlib import crc32
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.llm import (
-    bpe, exact_dedup, katz, licenses, line_dedup, mixing, near_dedup, neighbours, quality, runs, token_counts, toxicity,
+    bpe, exact_dedup, katz, licenses, line_dedup, mixing, near_dedup, neighbours, quality, runs, spelling, token_counts, toxicity,
 )
 from evenkeel.llm.common import WHITE, remainder, text_of
 
@@ -119,6 +122,20 @@ def op12_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def with_planted_slips(doc_id: str, found: Counter) -> Counter:
+    """The counts of a document's words, one of its letters lost from every word whose crc32 199 divides."""
+    seed = crc32(f"{doc_id}:".encode())
+    slips = [(w, h) for w in found if (h := crc32(w.encode(), seed)) % 199 == 0]
+    lost = [(w[:h % len(w)] + w[h % len(w) + 1:], found.pop(w)) for w, h in slips]
+    for word, n in lost:
+        found[word] += n
+    return found
+
+
+def op13_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(spelling.count_words(documents(spark, sf), edit=with_planted_slips))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_licenses": op2_licenses,
@@ -132,6 +149,7 @@ QUERIES = {
     "op10_katz": op10_katz,
     "op11_runs": op11_runs,
     "op12_token_counts": op12_token_counts,
+    "op13_spelling": op13_spelling,
 }
 
 WHITE_SQL = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

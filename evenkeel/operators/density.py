@@ -11,16 +11,20 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from evenkeel.functions.arrays import above, count_below
-from evenkeel.functions.keys import RANGE_DIGITS, shuffled
+from evenkeel.functions.keys import shuffled
 from evenkeel.functions.numeric import safe_divide
 from evenkeel.operators.binning import Edges, edge_table, flat_bin, full_grid, n_bins
 from evenkeel.operators.fractions import correct_fractions, with_fraction
 from evenkeel.operators.ranking import running_sum
 from evenkeel.session import cut_lineage, small
 
-# Weights are turned into whole numbers, of this size for the largest of their group, so that
-# running sums do not depend on order.
-WEIGHT_UNIT = 1_000_000
+# Weights between two powers of two become whole numbers of this size at least, so that running
+# sums do not depend on order.
+WEIGHT_UNIT = 1 << 20
+# Powers of two that part the positive doubles. They part weights times this factor: weights that should
+# be 1 or 2 but for rounding would else fall on both sides of an edge.
+STRATA = 2_100
+OFF_EDGE = 0.7
 
 
 def sample_histograms(df: DataFrame, origins: Sequence[str], classes: Sequence[str], axes: Mapping[str, Edges]) -> DataFrame:
@@ -256,41 +260,69 @@ def step_weights(df: DataFrame, ratios: DataFrame, axes: Mapping[str, Edges], na
 
 # ------------------------------------------------------------- drawing with copies
 
+def power_of_two(x: Column) -> Column:
+    """The exponent e of a positive number with 2^e <= x < 2^(e+1), exact also where logarithms round."""
+    near = F.floor(F.log2(x)).cast("int")
+    return F.when(F.pow(F.lit(2.0), near) > x, near - 1).when(F.pow(F.lit(2.0), near + 1) <= x, near + 1).otherwise(near)
+
+
+def deal_draws(strata: DataFrame, groups: Sequence[str], seed: int) -> DataFrame:
+    """Add ``n_here``: ``n_draw`` dealt to the strata of a group in proportion to their weight, the heaviest first.
+
+    ``strata`` is (*groups, __e, __total, n_draw), ``__total`` in units of the stratum's own power of two.
+    """
+    per_group = W.partitionBy(*groups)
+    in_turn = per_group.orderBy(F.col("__e").desc()).rowsBetween(W.unboundedPreceding, W.currentRow)
+    mass = F.col("__total") * F.pow(F.lit(2.0), F.col("__e") - F.max("__e").over(per_group))
+    upto = F.floor(F.col("n_draw") * (F.sum("__mass").over(in_turn) / F.sum("__mass").over(per_group)) + F.lit(seed % 1000 / 1000)).cast("bigint")
+    dealt = strata.withColumn("__mass", mass).withColumn("__upto", upto)
+    before = F.lag("__upto", 1, 0).over(per_group.orderBy(F.col("__e").desc()))
+    return dealt.withColumn("n_here", F.col("__upto") - before).drop("__mass", "__upto")
+
+
 def draw_with_replacement(
     df: DataFrame, numbers: DataFrame, groups: Sequence[str], max_groups: int,
-    weight: str = "weight", key: str = "row_key", seed: int = 42, digits: int = RANGE_DIGITS,
+    weight: str = "weight", key: str = "row_key", seed: int = 42,
 ) -> DataFrame:
     """Add ``multiplicity``: exactly ``n_draw`` draws per group, in proportion to weight.
 
-    Systematic sampling along the hash order: row i covers the stretch of the running
-    weight between C(i-1) and C(i), and receives the marks that fall on it. Rows that
-    are not drawn are dropped. Weights count in millionths of their group's largest, any
-    positive one as a millionth at least. A group with draws but without weight is an error.
+    Weights may differ by any factor. A group's rows form strata of weights that differ by a factor
+    of two at most; the draws are dealt to the strata by their weight. Within a stratum weights are whole
+    numbers of 21 binary digits or more, and sampling is systematic along the hash order: row i covers the stretch of the running
+    weight between C(i-1) and C(i), and receives the marks that fall on it.
+
+    The rows are read once for a thin written table (key, hash, stratum, weight) on which all this runs, and
+    once more to join the drawn keys, which must be unique. Rows that are not drawn are dropped. A group with
+    draws but without weight is an error, so is an infinite weight.
     """
     groups = list(groups)
     positive = df.filter(above(F.col(weight), F.lit(0.0)))
-    largest = positive.groupBy(*groups).agg(F.max(weight).alias("__max"))
-    units = F.greatest(F.round(F.col(weight) / F.col("__max") * WEIGHT_UNIT), F.lit(1.0)).cast("bigint")
-    weighted = positive.join(small(largest, max_groups), groups).withColumn("__w", units).drop("__max")
-    hashed = weighted.withColumn("_hash", shuffled(F.col(key), seed))
-    totals = weighted.groupBy(*groups).agg(F.sum("__w").alias("__total"))
-    plan = cut_lineage(numbers.select(*groups, "n_draw").join(totals, groups, "left"))  # one row per group
-    lacking = plan.filter("n_draw > 0 AND __total IS NULL").select(*groups).head()
+    sound = F.when(F.col(weight) == F.lit(float("inf")), F.raise_error(F.lit("an infinite weight"))).otherwise(F.col(weight)).cast("double")
+    exponent = power_of_two(F.col("__weight") * OFF_EDGE)
+    units = F.round(F.col("__weight") / F.pow(F.lit(2.0), F.col("__e")) * WEIGHT_UNIT).cast("bigint")
+    thin = cut_lineage(
+        positive.select(*groups, key, shuffled(F.col(key), seed).alias("_hash"), sound.alias("__weight"))
+        .withColumn("__e", exponent).withColumn("__w", units).drop("__weight")
+    )
+    # one row per group and power of two
+    totals = thin.groupBy(*groups, "__e").agg(F.sum("__w").alias("__total"))
+    strata = cut_lineage(numbers.select(*groups, "n_draw").join(totals, groups, "left"))
+    lacking = strata.filter("n_draw > 0 AND __total IS NULL").select(*groups).head()
     if lacking:
         raise ValueError(f"draws from a group without weight: {', '.join(map(str, lacking))}")
-    summed = running_sum(hashed, groups, F.col("__w"), "__c", max_groups, digits=digits).join(
-        small(plan, max_groups), groups
-    )
-    big = {c: F.col(c).cast("decimal(19,0)") for c in ("n_draw", "__c", "__w", "__total")}
+    plan = cut_lineage(deal_draws(strata.filter("__total IS NOT NULL"), groups, seed).filter("n_here > 0").drop("n_draw"))
+    per_stratum = [*groups, "__e"]
+    drawable = thin.join(small(plan, max_groups * STRATA), per_stratum)
+    summed = running_sum(drawable, per_stratum, F.col("__w"), "__c", max_groups * STRATA)
+    big = {c: F.col(c).cast("decimal(19,0)") for c in ("n_here", "__c", "__w", "__total")}
     phase = F.expr(f"(cast(__total as decimal(25,0)) * {seed % 1000}) div 1000").cast("decimal(20,0)")
 
     def marks(upto: Column) -> Column:
-        return F.call_function("div", big["n_draw"] * upto + phase, big["__total"])
+        return F.call_function("div", big["n_here"] * upto + phase, big["__total"])
 
-    counted = summed.withColumn(
-        "multiplicity", (marks(big["__c"]) - marks((big["__c"] - big["__w"]).cast("decimal(19,0)"))).cast("bigint")
-    )
-    return counted.filter(F.col("multiplicity") > 0).drop("__w", "_hash", "__c", "n_draw", "__total")
+    picked = summed.select(
+        key, (marks(big["__c"]) - marks((big["__c"] - big["__w"]).cast("decimal(19,0)"))).cast("bigint").alias("multiplicity"))
+    return df.join(picked.filter(F.col("multiplicity") > 0), key).select(*df.columns, "multiplicity")
 
 
 def repeat_rows(df: DataFrame, multiplicity: str = "multiplicity") -> DataFrame:

@@ -1,9 +1,12 @@
 """Selections, ranks and running sums in hash order without a single global sort task.
 
 Selections find one hash threshold per group and then only filter. For ranks and sums
-a hash order is split into 4096 ordered ranges: counts or sums per range form a small
-table from which every range gets its offset, and windows run only inside a range, so
-a group holding a third of all rows is still spread over 4096 tasks.
+a hash order is split into ordered ranges by its leading digits: counts or sums per range
+give every range its offset, and windows run only inside a range. The number of digits
+follows the counted rows of the fullest range, so that a range holds ``RANGE_ROWS`` rows
+at most, whatever a group holds; offsets of many ranges are summed by leading digits in turn, so no
+window over ranges is longer than ``16**OFFSET_DIGITS`` either. Counting the rows runs when
+the function is called.
 """
 
 from __future__ import annotations
@@ -15,13 +18,52 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from evenkeel.functions.keys import RANGE_DIGITS, hash_range
-from evenkeel.session import cut_lineage, small
+from evenkeel.session import BROADCAST_ROWS, cut_lineage, small
 
 _RANGE = "__range"
+# Rows of a range, the digits that may split it, and those whose ranges one window adds up.
+RANGE_ROWS = 500_000
+MOST_DIGITS = 16
+OFFSET_DIGITS = 4
 
 
-def _ranges(digits: int) -> int:
-    return 16**digits
+def range_totals(
+    keyed: DataFrame, groups: Sequence[str], hashed: str, amount: Column, range_rows: int | None = None, least: int = RANGE_DIGITS,
+) -> tuple[DataFrame, int]:
+    """``(*groups, range, rows, total of amount)`` and the digits of the ranges.
+
+    One scan is enough unless some range turns out to hold more than ``range_rows`` rows; then one more
+    with as many digits as evenly spread hashes need, and so on for others, up to ``MOST_DIGITS``.
+    """
+    limit, digits = range_rows or RANGE_ROWS, least
+    while True:
+        ranged = keyed.groupBy(*groups, hash_range(F.col(hashed), digits).alias(_RANGE))
+        found = cut_lineage(ranged.agg(F.count(F.lit(1)).alias("__n"), F.sum(amount).alias("__s")))
+        worst = found.agg(F.max("__n")).first()[0] or 0
+        if worst <= limit or digits >= MOST_DIGITS:
+            return found, digits
+        more = 1
+        while worst > limit * 16**more:
+            more += 1
+        digits = min(MOST_DIGITS, digits + more)
+
+
+def range_offsets(totals: DataFrame, groups: Sequence[str], digits: int, step: int | None = None) -> DataFrame:
+    """``(*groups, range, offset)``: what the ranges before add up to.
+
+    Ranges are summed within their leading digits, and the leading digits in the same way.
+    """
+    step = step or OFFSET_DIGITS
+    head = max(digits - step, 0)
+    lead = F.substring(_RANGE, 1, head) if head else F.lit("")
+    before = W.partitionBy(*groups, "__lead").orderBy(_RANGE).rowsBetween(W.unboundedPreceding, -1)
+    led = totals.withColumn("__lead", lead)
+    own = led.select(*groups, _RANGE, "__lead", F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__offset"))
+    if not head:
+        return own.drop("__lead")
+    upper = led.groupBy(*groups, F.col("__lead").alias(_RANGE)).agg(F.sum("__s").alias("__s"))
+    upper = range_offsets(upper, groups, head, step).select(*groups, F.col(_RANGE).alias("__lead"), F.col("__offset").alias("__base"))
+    return own.join(upper, [*groups, "__lead"]).select(*groups, _RANGE, (F.col("__offset") + F.col("__base")).alias("__offset"))
 
 
 def smallest_thresholds(
@@ -118,41 +160,33 @@ def first_n(df: DataFrame, n: int, hashed: str) -> DataFrame:
 
 def running_sum(
     df: DataFrame, groups: Sequence[str], amount: Column, name: str, max_groups: int,
-    hashed: str = "_hash", digits: int = RANGE_DIGITS,
+    hashed: str = "_hash", range_rows: int | None = None,
 ) -> DataFrame:
-    """Inclusive running sum of an integer ``amount`` in hash order within groups."""
+    """Inclusive running sum of an integer ``amount`` in hash order within groups.
+
+    Hashes must be spread evenly and, for a repeatable result, be unique within a group.
+    """
     groups = list(groups)
-    keyed = df.withColumn(_RANGE, hash_range(F.col(hashed), digits)).withColumn("__amount", amount)
-    sums = keyed.groupBy(*groups, _RANGE).agg(F.sum("__amount").alias("__s"))
-    before = W.partitionBy(*groups).orderBy(_RANGE).rowsBetween(W.unboundedPreceding, -1)
-    offsets = sums.select(
-        *groups, _RANGE, F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__offset")
-    )
+    totals, digits = range_totals(df, groups, hashed, amount, range_rows)
+    offsets = range_offsets(totals, groups, digits)
     inside = W.partitionBy(*groups, _RANGE).orderBy(hashed).rowsBetween(W.unboundedPreceding, W.currentRow)
     return (
-        keyed.withColumn("__inside", F.sum("__amount").over(inside))
-        .join(small(offsets, max_groups * _ranges(digits)), [*groups, _RANGE])
+        df.withColumn(_RANGE, hash_range(F.col(hashed), digits)).withColumn("__inside", F.sum(amount).over(inside))
+        .join(_if_small(offsets, max_groups, digits), [*groups, _RANGE])
         .withColumn(name, F.col("__offset") + F.col("__inside"))
-        .drop(_RANGE, "__amount", "__inside", "__offset")
+        .drop(_RANGE, "__inside", "__offset")
     )
 
 
 def global_rank(
     df: DataFrame, name: str = "rank_no", hashed: str = "_hash",
-    groups: Sequence[str] = (), max_groups: int = 1, digits: int = RANGE_DIGITS,
+    groups: Sequence[str] = (), max_groups: int = 1, range_rows: int | None = None,
 ) -> DataFrame:
     """One-based position in hash order, over all rows or within groups."""
-    groups = list(groups)
-    keyed = df.withColumn(_RANGE, hash_range(F.col(hashed), digits))
-    counts = keyed.groupBy(*groups, _RANGE).agg(F.count(F.lit(1)).alias("__n"))
-    before = W.partitionBy(*groups).orderBy(_RANGE).rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select(
-        *groups, _RANGE, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset")
-    )
-    inside = W.partitionBy(*groups, _RANGE).orderBy(hashed)
-    return (
-        keyed.withColumn("__rn", F.row_number().over(inside))
-        .join(small(offsets, max_groups * _ranges(digits)), [*groups, _RANGE])
-        .withColumn(name, F.col("__offset") + F.col("__rn"))
-        .drop(_RANGE, "__rn", "__offset")
-    )
+    return running_sum(df, groups, F.lit(1).cast("bigint"), name, max_groups, hashed, range_rows)
+
+
+def _if_small(offsets: DataFrame, max_groups: int, digits: int) -> DataFrame:
+    """Offsets for a broadcast join where they are few; else they meet the rows, dealt by group and range already."""
+    bound = max_groups * 16**digits
+    return small(offsets, bound) if bound <= BROADCAST_ROWS else offsets.hint("merge")

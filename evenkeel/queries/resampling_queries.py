@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from evenkeel.functions.keys import shuffled
 from evenkeel.operators import binning, density, features, fractions as fr, resampling as rs
 from evenkeel.plans.prepare import tag_split
 from evenkeel.plans.resample import pdf_resample, run_resampling
@@ -112,19 +112,74 @@ def _(spark, sf):
         F.broadcast(centres), "ix").drop("ix")
 
 
-@query("e08_smooth_weights")
+def _spline(edges) -> tuple[list[float], list[tuple[int, int, int, float]]]:
+    """Breaks and (cell, power, bin, coefficient) of the not-a-knot spline through the bin centres.
+
+    Solved for the second derivatives at the centres, apart from the operator's own B-splines.
+    """
+    e = np.asarray(edges, float)
+    c, n = (e[:-1] + e[1:]) / 2, len(e) - 1
+    h, unit = np.diff(c), np.eye(n)
+    slope = np.diff(unit, axis=0) / h[:, None]
+    left, right = np.zeros((n, n)), np.zeros((n, n))
+    left[0, :3], left[-1, -3:] = (h[1], -h[0] - h[1], h[0]), (h[-1], -h[-2] - h[-1], h[-2])
+    for i in range(1, n - 1):
+        left[i, i - 1:i + 2] = h[i - 1] / 6, (h[i - 1] + h[i]) / 3, h[i] / 6
+        right[i] = slope[i] - slope[i - 1]
+    bend = np.linalg.solve(left, right)
+    breaks = [e[0], *c[2:-2], e[-1]]
+    table = []
+    for cell, (a, b) in enumerate(zip(breaks, breaks[1:])):
+        k = cell + 1 if cell else 0
+        d, w = a - c[k], b - a
+        p0, p1, p2, p3 = unit[k], slope[k] - h[k] * (2 * bend[k] + bend[k + 1]) / 6, bend[k] / 2, (bend[k + 1] - bend[k]) / (6 * h[k])
+        powers = (p0 + p1 * d + p2 * d**2 + p3 * d**3, (p1 + 2 * p2 * d + 3 * p3 * d**2) * w, (p2 + 3 * p3 * d) * w**2, p3 * w**3)
+        table += [(cell, p, i, float(v[i])) for p, v in enumerate(powers) for i in range(n)]
+    return [float(b) for b in breaks], table
+
+
+def _smooth_sql() -> str:
+    """``sm``: rows with the smooth weight, as two small matrix products and a bicubic a row."""
+    parts, located = [], []
+    for axis, (name, edges) in zip("xy", AXES.items()):
+        breaks, table = _spline(edges)
+        values = ", ".join(f"({c}, {p}, {i}, {v!r}::DOUBLE)" for c, p, i, v in table)
+        parts.append(f"s{axis}(cell, p, bin, coef) AS (VALUES {values})")
+        listed = "[" + ", ".join(f"{b!r}::DOUBLE" for b in breaks) + "]"
+        held = f"least(greatest({name}, {breaks[0]!r}::DOUBLE), {breaks[-1]!r}::DOUBLE)"
+        cell = " + ".join(["0", *[f"({held} >= {b!r}::DOUBLE)::INTEGER" for b in breaks[1:-1]]])
+        located.append(f"""l{axis} AS (SELECT *, ({held} - {axis}k[c{axis} + 1]) / ({axis}k[c{axis} + 2] - {axis}k[c{axis} + 1]) AS {axis}u FROM (
+  SELECT *, {listed} AS {axis}k, ({cell})::INTEGER AS c{axis} FROM {'lab' if axis == 'x' else 'lx'}))""")
+    powers = ", ".join(f"xu ** {p} * yu ** {q}" for p in range(4) for q in range(4))
+    return f"""{", ".join(parts)},
+half AS (SELECT origin, class, cell AS cx, p, dr.bin % 10 AS j, sum(coef * ratio) AS v FROM dr JOIN sx ON sx.bin = dr.bin // 10 GROUP BY ALL),
+both_ AS (SELECT origin, class, cx, half.p, cell AS cy, sy.p AS q, sum(v * coef) AS v FROM half JOIN sy ON sy.bin = j GROUP BY ALL),
+pieces AS (SELECT origin, class, cx, cy, list(v ORDER BY p, q) AS coefs FROM both_ GROUP BY ALL),
+{", ".join(located)},
+sm AS (SELECT ly.row_key, ly.origin, ly.class, ly.event, ly.item_no, ly.label, greatest(list_dot_product(coefs, [{powers}]), 0.0::DOUBLE) AS weight
+  FROM ly JOIN pieces USING (origin, class, cx, cy))"""
+
+
+@query("e08_smooth_weights", f"WITH {LAB}, {_HISTS}, {_smooth_sql()} SELECT row_key, class, {r('weight', 5)} AS weight FROM sm")
 def _(spark, sf):
     df = labelled(spark, sf)
     hists = density.sample_histograms(df, ORIGINS, NAMES, AXES)
     ratios = density.density_ratios(hists, density.target_of_class(hists, "heavy"))
-    return density.smooth_weights(df, ratios, AXES).select("row_key", "class", rounded("weight", 9).alias("weight"))
+    return density.smooth_weights(df, ratios, AXES).select("row_key", "class", rounded("weight", 5).alias("weight"))
 
 
 def draw_sql(weights: str, numbers: str, seed: int = 42) -> str:
-    """Systematic draws from whole-number weights with one global window."""
-    return f"""dw AS (SELECT *, CASE WHEN weight > 0 THEN greatest(round(weight / max(weight) OVER (PARTITION BY origin, class) * 1000000), 1) ELSE 0 END::BIGINT AS w FROM {weights}),
-dc AS (SELECT *, sum(w::HUGEINT) OVER (PARTITION BY origin, class ORDER BY md5('{seed}|' || row_key)) AS c, sum(w::HUGEINT) OVER (PARTITION BY origin, class) AS total FROM dw WHERE w > 0),
-drawn AS (SELECT d.*, (n_draw::HUGEINT * c + total * {seed % 1000} // 1000) // total - (n_draw::HUGEINT * (c - w) + total * {seed % 1000} // 1000) // total AS multiplicity FROM dc d JOIN {numbers} USING (origin, class))"""
+    """Draws dealt to powers of two of the weight, then systematic in each, with global windows."""
+    phase = f"{seed % 1000}"
+    return f"""de AS (SELECT *, CASE WHEN pow(2.0, e0) > weight * 0.7::DOUBLE THEN e0 - 1 WHEN pow(2.0, e0 + 1) <= weight * 0.7::DOUBLE THEN e0 + 1 ELSE e0 END AS e
+  FROM (SELECT *, floor(log2(weight * 0.7::DOUBLE))::INTEGER AS e0 FROM {weights} WHERE weight > 0)),
+dw AS (SELECT *, round(weight / pow(2.0, e) * 1048576)::BIGINT AS w FROM de),
+ds AS (SELECT origin, class, e, sum(w)::BIGINT AS total, n_draw FROM dw JOIN {numbers} USING (origin, class) GROUP BY ALL),
+dm AS (SELECT *, total * pow(2.0, e - max(e) OVER (PARTITION BY origin, class)) AS mass FROM ds),
+du AS (SELECT *, floor(n_draw * (sum(mass) OVER (PARTITION BY origin, class ORDER BY e DESC ROWS UNBOUNDED PRECEDING) / sum(mass) OVER (PARTITION BY origin, class)) + {phase} / 1000)::BIGINT AS upto FROM dm),
+dn AS (SELECT *, upto - lag(upto, 1, 0) OVER (PARTITION BY origin, class ORDER BY e DESC) AS n_here FROM du),
+dc AS (SELECT *, sum(w::HUGEINT) OVER (PARTITION BY origin, class, e ORDER BY md5('{seed}|' || row_key)) AS c FROM dw),
+drawn AS (SELECT d.*, (n_here::HUGEINT * c + total::HUGEINT * {phase} // 1000) // total - (n_here::HUGEINT * (c - w) + total::HUGEINT * {phase} // 1000) // total AS multiplicity FROM dc d JOIN dn USING (origin, class, e))"""
 
 
 _STEP_W = f"sw AS (SELECT l.row_key, l.origin, l.class, l.event, l.item_no, l.label, coalesce(ratio, 0.0::DOUBLE) AS weight FROM (SELECT *, {BIN_SQL} AS bin FROM lab) l LEFT JOIN dr ON dr.origin = l.origin AND dr.class = l.class AND dr.bin = l.bin)"
@@ -178,6 +233,14 @@ def _(spark, sf):
     ).select("row_key", "origin", "class", "copy")
 
 
+@query("e12_smooth_resampling", f"""WITH {LAB}, {_HISTS}, {_smooth_sql()}, {_NUMBERS}, {draw_sql('sm', 'draws')}
+SELECT row_key, origin, class, unnest(range(1, multiplicity::BIGINT + 1)) AS copy FROM drawn WHERE multiplicity > 0""")
+def _(spark, sf):
+    return pdf_resample(
+        labelled(spark, sf), _pdf_options(), ORIGINS, max_upsampling=_LIMITS, sampling_fraction=_SAMPLING,
+    ).select("row_key", "origin", "class", "copy")
+
+
 @query("e13_combine_samples", f"""WITH {LAB}, {_HISTS}, {_STEP_W}, {_NUMBERS}, {draw_sql('sw', 'draws')},
 cp AS (SELECT row_key, label, unnest(range(1, multiplicity::BIGINT + 1)) AS copy FROM drawn WHERE multiplicity > 0)
 SELECT row_key, label, copy, row_number() OVER (ORDER BY md5('5|' || row_key || '|' || copy)) - 1 AS position FROM cp""")

@@ -10,7 +10,7 @@ from evenkeel.operators.labels import label_classes
 from evenkeel.operators.scaling import scaled_columns
 from evenkeel.plans.prepare import tag_split
 from evenkeel.queries.base import (
-    CLASSES, LAB, MAIN, NET, NET_SCORE, PROBS, r, rounded, rows_of, with_probabilities,
+    CLASSES, LAB, MAIN, NET, NET_SCORE, PROBS, r, rounded, rows_of, table, with_probabilities,
 )
 from evenkeel.queries.registry import query
 from evenkeel.queries.scaling_queries import _FILLED, BASE, VARIABLES
@@ -47,3 +47,29 @@ def _(spark, sf):
     ]
     out = inc.run_to_table(inc.prepared_stream(_stream(spark, sf), steps))
     return out.select("row_key", "label", "split", *[rounded(c).alias(c) for c in ("price", "mass", "score")], "passed")
+
+
+# The events of some days arrive file by file, every fiftieth only after all others.
+DAYS = ("2024-01-08", "2024-01-15", "2024-01-22")
+LATE = 50
+_J03 = f"""WITH e AS (SELECT *, event_id % {LATE} = 0 AS late, time_bucket(INTERVAL '6 hours', ts) AS start FROM events WHERE ts IS NOT NULL),
+-- when the last file comes, rows are late against the files before the one before it
+mark AS (SELECT max(ts) - INTERVAL '12 hours' AS upto FROM e WHERE NOT late AND ts < TIMESTAMP '{DAYS[-1]}'),
+k AS (SELECT start, event_type, count(*) AS n, count(*) FILTER (value > 50) AS n_passed FROM e, mark WHERE NOT late OR start + INTERVAL '6 hours' > upto GROUP BY ALL)
+SELECT epoch(start)::BIGINT AS window_start, event_type, n, n_passed, {r('n_passed / n::DOUBLE')} AS pass_fraction FROM k"""
+
+
+@query("j03_drift_monitor", _J03)
+def _(spark, sf):
+    events = table(spark, sf, "events").select("event_id", "event_type", "value", F.col("ts").cast("timestamp").alias("ts"))
+    late = F.col("event_id") % LATE == 0
+    edges = [None, *[F.lit(d).cast("timestamp") for d in DAYS], None]
+    parts = [
+        events.filter(~late & (F.lit(True) if lo is None else F.col("ts") >= lo) & (F.lit(True) if hi is None else F.col("ts") < hi))
+        for lo, hi in zip(edges, edges[1:])
+    ]
+    folder = inc.replay([*parts, events.filter(late)])
+    stream = inc.open_stream(spark, folder, "*.parquet", max_files=1)
+    seen = inc.drift_monitor(stream, "ts", "6 hours", "12 hours", ["event_type"], above(F.col("value"), F.lit(50.0)))
+    return seen.select(
+        F.unix_timestamp("window_start").alias("window_start"), "event_type", "n", "n_passed", rounded("pass_fraction").alias("pass_fraction"))

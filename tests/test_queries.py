@@ -8,7 +8,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from check_oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
-WITHOUT_SQL = {"e08_smooth_weights", "h29_fitted_model"}
+WITHOUT_SQL = {"h29_fitted_model"}
 
 
 @pytest.fixture(scope="module")

@@ -124,6 +124,26 @@ def test_ranks_and_running_sums(rows):
     assert (summed[local.row_key].to_numpy() == local.groupby("origin")["w"].cumsum().to_numpy()).all()
 
 
+@pytest.mark.parametrize("range_rows", [200, 3])
+def test_ranges_follow_the_rows(rows, range_rows, monkeypatch):
+    """No range holds more rows than stated, offsets of many ranges are added up in steps."""
+    monkeypatch.setattr(ranking, "OFFSET_DIGITS", 1)
+    hashed = rows.withColumn("_hash", shuffled(F.col("row_key"), 1)).withColumn("w", F.length("class"))
+    totals, digits = ranking.range_totals(hashed, ["origin"], "_hash", F.col("w"), range_rows, least=1)
+    assert totals.agg(F.max("__n")).first()[0] <= range_rows and digits >= 2
+    offsets = ranking.range_offsets(totals, ["origin"], digits)
+    assert offsets.count() == totals.count()
+    local = hashed.select("row_key", "origin", "_hash", "w").toPandas().sort_values("_hash")
+    summed = ranking.running_sum(hashed, ["origin"], F.col("w"), "c", 2, range_rows=range_rows).select("row_key", "c").toPandas().set_index("row_key")["c"]
+    assert (summed[local.row_key].to_numpy() == local.groupby("origin")["w"].cumsum().to_numpy()).all()
+
+
+def test_equal_hashes_end_the_splitting(spark):
+    df = spark.range(40).select(F.lit("0" * 32).alias("_hash"), "id")
+    assert ranking.range_totals(df, [], "_hash", F.lit(1), range_rows=10)[1] == ranking.MOST_DIGITS
+    assert sorted(r["rank_no"] for r in ranking.global_rank(df, range_rows=10).collect()) == list(range(1, 41))
+
+
 def test_draws_are_exact_and_proportional(spark, rows):
     weighted = rows.withColumn("weight", F.when(F.col("class") == "heavy", 3.0).otherwise(1.0))
     numbers = spark.createDataFrame([("a", 50_000), ("b", 100)], "origin string, n_draw long")
@@ -135,6 +155,35 @@ def test_draws_are_exact_and_proportional(spark, rows):
     assert density.repeat_rows(out).count() == 50_100
 
 
+def test_weights_of_any_size_are_drawn_in_proportion(spark):
+    """One row as heavy as a thousand million others; a floor under small weights would halve its draws."""
+    rows = spark.range(1_000_001).select(
+        F.md5(F.col("id").cast("string")).alias("row_key"), F.lit("a").alias("origin"), F.when(F.col("id") == 0, 1.0).otherwise(1e-9).alias("weight"))
+    out = density.draw_with_replacement(rows, spark.createDataFrame([("a", 1000)], "origin string, n_draw long"), ["origin"], 1).cache()
+    heavy = out.filter("weight = 1").first()["multiplicity"]
+    assert heavy == 999 and out.agg(F.sum("multiplicity")).first()[0] == 1000
+
+
+def test_weights_over_many_orders_of_magnitude(spark):
+    weights = [10.0**k for k in range(-12, 3)] + [5e-324, 1e-300]
+    rows = spark.createDataFrame([(f"{i:032x}", "a", w) for i, w in enumerate(weights)], "row_key string, origin string, weight double")
+    n = 10**15
+    out = density.draw_with_replacement(rows, spark.createDataFrame([("a", n)], "origin string, n_draw long"), ["origin"], 1)
+    got = {r["weight"]: r["multiplicity"] for r in out.collect()}
+    assert sum(got.values()) == n
+    for w in weights[:-2]:
+        assert got[w] == pytest.approx(n * w / sum(weights), rel=1e-6, abs=2)
+    with pytest.raises(Exception, match="infinite weight"):
+        density.draw_with_replacement(
+            rows.withColumn("weight", F.lit(float("inf"))), spark.createDataFrame([("a", 1)], "origin string, n_draw long"), ["origin"], 1).collect()
+
+
+def test_powers_of_two_are_exact(spark):
+    values = [v for e in range(-1074, 1024, 7) for v in (2.0**e, np.nextafter(2.0**e, np.inf)) if v < np.inf] + [np.nextafter(2.0**e, 0) for e in range(-1000, 1024, 13)]
+    got = spark.createDataFrame([(float(v),) for v in values], "x double").select("x", density.power_of_two(F.col("x")).alias("e")).collect()
+    assert all(r["e"] == np.frexp(r["x"])[1] - 1 for r in got)
+
+
 def test_small_weights_are_drawn(spark):
     rows = spark.range(500).select(F.md5(F.col("id").cast("string")).alias("row_key"), F.lit("a").alias("origin"), F.lit(4e-7).alias("weight"))
     out = density.draw_with_replacement(rows, spark.createDataFrame([("a", 100)], "origin string, n_draw long"), ["origin"], 1)
@@ -174,11 +223,13 @@ def test_spline_goes_through_the_centres_and_keeps_cubics(spark):
     assert density.smooth_weights(outside, ratios, axes).first()["weight"] == pytest.approx(f(0.0, 6.0), abs=1e-6)
 
 
-def test_small_grids_fall_back_to_the_bin_value(spark):
+def test_small_grids_are_refused_a_smooth_ratio(spark):
     axes = {"x": [0.0, 1.0, 2.0], "y": [0.0, 1.0, 2.0]}
     ratios = spark.createDataFrame([("a", "heavy", b, float(b)) for b in range(4)], "origin string, class string, bin int, ratio double")
-    df = spark.createDataFrame([("a", "heavy", 1.5, 0.5)], "origin string, class string, x double, y double")
-    assert density.smooth_weights(df, ratios, axes).first()["weight"] == 2.0 and n_bins(axes) == 4
+    df = spark.createDataFrame([("a", "heavy", 1.5, 0.5), ("a", "heavy", 9.0, 0.5)], "origin string, class string, x double, y double")
+    with pytest.raises(ValueError, match="4 x 4"):
+        density.smooth_weights(df, ratios, axes)
+    assert n_bins(axes) == 4 and {r["x"]: r["weight"] for r in density.step_weights(df, ratios, axes).collect()} == {1.5: 2.0, 9.0: 0.0}
 
 
 def test_event_merge(spark):

@@ -1,9 +1,12 @@
 """Whole stages: reading, preparation, batches, inference, streams."""
 
+import datetime as dt
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from evenkeel.functions.arrays import above
 from evenkeel.operators import evaluation as ev, inference, items as it
 from evenkeel.operators.features import batches
 from evenkeel.operators.labels import ClassDef, label_classes, select_features
@@ -130,3 +133,38 @@ def test_streamed_statistics_equal_the_batch_result(spark, tmp_path):
     for r in row_statistics(rows_of(table(spark, SF, "lineitem")), names, {"energy": 0.03}).collect():
         mine = got[r["variable"]]
         assert (mine["shift"], mine["scale"], mine["n"]) == (pytest.approx(r["shift"]), pytest.approx(r["scale"]), r["n"])
+
+
+def _events(spark, rows):
+    return spark.createDataFrame([(dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m), k, v) for m, k, v in rows], "ts timestamp, kind string, value double")
+
+
+def test_drift_monitor_drops_late_rows(spark, tmp_path):
+    """Several micro-batches; a row whose window was closed is dropped, one within the delay counts."""
+    parts = [
+        _events(spark, [(5, "a", 1.0), (20, "a", 9.0), (70, "b", 9.0), (110, "a", float("nan"))]),
+        _events(spark, [(130, "a", 9.0), (300, "a", 1.0), (50, "b", 9.0)]),
+        _events(spark, [(310, "b", 9.0)]),
+        _events(spark, [(10, "a", 9.0), (301, "a", 9.0), (295, "a", 9.0)]),  # the first is late
+    ]
+    stream = inc.open_stream(spark, inc.replay(parts, str(tmp_path / "in")), "*.parquet", max_files=1)
+    out = inc.drift_monitor(stream, "ts", "1 hour", "30 minutes", ["kind"], above(F.col("value"), F.lit(5.0)), str(tmp_path / "out"))
+    got = {(r["window_start"].hour, r["kind"]): (r["n"], r["n_passed"], r["pass_fraction"]) for r in out.collect()}
+    assert got == {(0, "a"): (2, 1, 0.5), (1, "b"): (1, 1, 1.0), (1, "a"): (1, 0, 0.0), (2, "a"): (1, 1, 1.0), (5, "a"): (2, 1, 0.5),
+                   (0, "b"): (1, 1, 1.0), (5, "b"): (1, 1, 1.0), (4, "a"): (1, 1, 1.0)}
+    # the same folder again: nothing new arrives, nothing is counted twice
+    again = inc.drift_monitor(stream, "ts", "1 hour", "30 minutes", ["kind"], above(F.col("value"), F.lit(5.0)), str(tmp_path / "out"))
+    assert again.exceptAll(out).count() == 0 and again.count() == 8
+
+
+def test_drift_monitor_equals_the_batch_result(spark, tmp_path):
+    events = table(spark, "/root/testdata/sf0.01", "events").select("event_type", "value", F.col("ts").cast("timestamp").alias("ts"))
+    marks = [r[0] for r in events.select(F.expr("percentile_approx(unix_micros(ts), array(0.0, 0.3, 0.6, 1.0))").alias("m")).selectExpr("explode(m)").collect()]
+    at = F.unix_micros("ts")
+    parts = [events.filter((at >= lo if i else F.lit(True)) & (at < hi if i < 2 else F.lit(True))) for i, (lo, hi) in enumerate(zip(marks, marks[1:]))]
+    stream = inc.open_stream(spark, inc.replay(parts, str(tmp_path / "in")), "*.parquet", max_files=1)
+    out = inc.drift_monitor(stream, "ts", "1 day", "1 hour", ["event_type"], above(F.col("value"), F.lit(50.0)), str(tmp_path / "out"))
+    batch = events.groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum((F.col("value") > 50).cast("int")).alias("n_passed"))
+    own = out.select("window_start", "event_type", "n", "n_passed")
+    assert own.count() > 100 and own.exceptAll(batch.select("w.start", "event_type", "n", "n_passed")).count() == 0
+    assert own.agg(F.sum("n")).first()[0] == events.count()

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from evenkeel.operators import binning, histograms as h, scaling
+from evenkeel.operators import binning, histograms as h, quantiles, scaling
 from evenkeel.operators.quantiles import exact_quantiles, quantile_arrays
 
 NAN, INF = float("nan"), float("inf")
@@ -76,6 +76,25 @@ def test_quantiles_match_linear_interpolation(spark, accuracy):
         assert [got[g, i] for i in range(len(probs))] == pytest.approx(list(expected), abs=1e-12), g
 
 
+def test_brackets_are_narrowed(spark):
+    """Continuous values, heavy ties and an outlying value: no bracket keeps more values than stated, ranks stay exact."""
+    rng = np.random.default_rng(1)
+    groups = {"hot": rng.normal(size=30_000), "ties": np.where(rng.random(9000) < 0.4, 0.25, rng.normal(size=9000)), "end": np.where(rng.random(5000) < 0.5, -1e9, rng.random(5000))}
+    df = spark.createDataFrame([(g, float(v)) for g, vs in groups.items() for v in vs], "g string, x double").repartition(7)
+    probs = [0.0, 0.01, 0.31, 0.3101, 0.5, 0.77, 0.999, 1.0]
+    for names in ([], ["g"]):
+        got = {(r["g"] if names else "", r["prob_no"]): r["quantile"] for r in exact_quantiles(df, "x", probs, names, 3, 100, bracket_values=20).collect()}
+        for g, vs in (groups if names else {"": np.concatenate(list(groups.values()))}).items():
+            assert [got[g, i] for i in range(len(probs))] == list(np.quantile(vs, probs)), g
+    rows = df.select("g", F.col("x").alias("__x"))
+    wide = rows.groupBy("g").agg(F.count(F.lit(1)).alias("__n")).select(
+        "g", "__n", F.array(F.lit(-INF), F.lit(-INF)).alias("__lo"), F.array(F.lit(INF), F.lit(INF)).alias("__hi"))
+    frame = quantiles.narrowed(rows, wide, ["g"], [0.3, 0.9], 3, 100, 20)
+    for j in (0, 1):
+        between = rows.join(frame, "g").filter((F.col("__x") > F.get("__lo", F.lit(j))) & (F.col("__x") < F.get("__hi", F.lit(j))))
+        assert all(r["count"] <= 20 for r in between.groupBy("g").count().collect())
+
+
 def test_quantile_arrays_keep_the_order(spark):
     df = spark.range(101).withColumn("x", F.col("id").cast("double"))
     assert quantile_arrays(df, "x", [0.9, 0.1]).first()["quantiles"] == pytest.approx([90.0, 10.0])

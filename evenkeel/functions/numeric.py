@@ -7,6 +7,8 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,10 +76,14 @@ def half_precision(x: pd.Series) -> pd.Series:
     return pd.Series(x.to_numpy(dtype="float64").astype(np.float16).astype("float32"))
 
 
-@F.pandas_udf(T.ArrayType(T.FloatType()))
-def half_precision_array(x: pd.Series) -> pd.Series:
-    """Element-wise ``half_precision`` for feature arrays."""
-    return x.map(lambda a: None if a is None else np.asarray(a, "float64").astype(np.float16).astype("float32"))
+@F.arrow_udf(T.ArrayType(T.FloatType()))
+def half_precision_array(x: pa.Array) -> pa.Array:
+    """Element-wise ``half_precision`` for feature arrays: all values of a batch at once."""
+    values = x.flatten()
+    half = values.to_numpy(zero_copy_only=False).astype("float64").astype(np.float16).astype("float32")
+    ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(x), 0).to_numpy(zero_copy_only=False))])
+    flat = pa.array(half, pa.float32(), mask=values.is_null().to_numpy(zero_copy_only=False))
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), flat, mask=x.is_null())
 
 
 def to_precision(x: Column, precision: str, array: bool = False) -> Column:

@@ -12,7 +12,7 @@ import math
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -325,6 +325,28 @@ def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str], values: Seq
     )
 
 
+def store_records(new: DataFrame, path: str, part: str, keys: Sequence[str], values: Sequence[str]) -> None:
+    """Upsert ``new`` into the table at ``path``, which has one folder for each value of ``part`` (an epoch).
+
+    Only the folders of values that ``new`` has are read, merged and replaced; all others stay as they are.
+    The merged records are written before a folder is replaced, so a failed run leaves either the old or the new ones.
+    """
+    spark = new.sparkSession
+    columns = [part, *keys, *values]
+    new = cut_lineage(new.select(*columns))
+    merged = new
+    if _has_files(spark, path):
+        old = spark.read.schema(new.schema).parquet(path)
+        touched = old.join(F.broadcast(new.select(part).distinct()), part, "left_semi")
+        merged = cut_lineage(upsert(touched, new, [part, *keys], values).select(*columns))
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def metric_series(table: DataFrame, keys: Sequence[str], metrics: Sequence[str],
                   constants: Mapping[str, Mapping[str, float]] | None = None) -> DataFrame:
     """``(*keys, metric, value)`` for line plots; constants repeat at every key."""
@@ -341,16 +363,21 @@ DIFFERENCE_LADDER = (1e-6, 2e-6, 3e-6, 4e-6, 5e-6, 1e-5, 2e-5, 3e-5, 4e-5, 5e-5,
                      1e-3, 2e-3, 3e-3, 4e-3, 5e-3, 1e-2, 2e-2, 3e-2, 4e-2, 5e-2, 1e-1, 2e-1, 3e-1, 4e-1, 5e-1)
 
 
-def score_agreement(df: DataFrame, a: str, b: str, ladder: Sequence[float] = DIFFERENCE_LADDER) -> DataFrame:
-    """``(threshold, n_above, share)`` up to and including the first threshold nobody exceeds."""
+def score_agreement(df: DataFrame, a: str, b: str, ladder: Sequence[float] = DIFFERENCE_LADDER, n_items: str | None = None,
+                    below_items: int | None = None) -> DataFrame:
+    """``(threshold, n_above, share)`` up to and including the first threshold whose share is 0.00 per cent.
+
+    With ``below_items``, only rows whose ``n_items`` is smaller take part.
+    """
     gap = F.abs(F.col(a) - F.col(b))
-    row = df.select(gap.alias("__d")).agg(
+    chosen = df if below_items is None else df.filter(F.col(n_items) < below_items)
+    row = chosen.select(gap.alias("__d")).agg(
         F.count(F.lit(1)).alias("__n"),
         *[F.count(F.when(above(F.col("__d"), F.lit(t)), 1)).alias(f"__{i}") for i, t in enumerate(ladder)],
     )
     entries = F.array(*[
         F.struct(F.lit(float(t)).alias("threshold"), F.col(f"__{i}").alias("n_above"),
-                 (F.lit(True) if i == 0 else F.col(f"__{i - 1}") > 0).alias("__shown"))
+                 (F.lit(True) if i == 0 else F.round(F.col(f"__{i - 1}") * 100 / F.col("__n"), 2) > 0).alias("__shown"))
         for i, t in enumerate(ladder)
     ])
     return row.select("__n", F.inline(entries)).filter("__shown").select(

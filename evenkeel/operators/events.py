@@ -49,7 +49,7 @@ def assign_files(df: DataFrame, n_files: int, groups: list[str], hashed: str, ma
     """
     ranked = global_rank(df, "__rank", hashed, groups, max_groups)
     counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("__n"))
-    sized = ranked.join(small(counts, max_groups), groups)
+    sized = ranked.join(small(counts, max_groups), groups) if groups else ranked.crossJoin(F.broadcast(counts))  # one row
     base = F.floor(F.col("__n") / n_files)
     more = F.col("__n") % n_files
     at = F.col("__rank") - 1

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Sequence
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -75,6 +77,108 @@ def feature_importance(df: DataFrame, features: str, names: Sequence[str], model
     )
 
 
+def coalition_masks(k: int, most: int = 2048, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
+    """(masks, weights) of the coalitions of ``k`` features that a weighted regression compares.
+
+    All of them where there are ``most`` at most. Otherwise sizes are taken from both ends, where a coalition weighs
+    most, as long as all coalitions of a size and its opposite fit; the others are drawn, each with its opposite.
+    """
+    def weight(size: int) -> float:  # of all coalitions of a size together
+        return (k - 1) / (size * (k - size))
+
+    if k == 1:
+        return np.zeros((0, 1), bool), np.zeros(0)
+    if 2**k <= most:
+        masks = (np.arange(1, 2**k - 1)[:, None] >> np.arange(k)) & 1
+        size = masks.sum(axis=1)
+        return masks.astype(bool), np.array([weight(s) / math.comb(k, s) for s in size])
+    masks, weights, room = [], [], most
+    low = 1
+    while low <= k // 2:
+        sizes = {low, k - low}
+        n = sum(math.comb(k, s) for s in sizes)
+        if n > room:
+            break
+        for s in sizes:
+            for chosen in combinations(range(k), s):
+                masks.append(np.isin(np.arange(k), chosen))
+                weights.append(weight(s) / math.comb(k, s))
+        room -= n
+        low += 1
+    open_sizes = np.arange(low, k - low + 1)
+    if len(open_sizes) and room >= 2:
+        draw = np.random.default_rng(seed)
+        share = np.array([weight(s) for s in open_sizes])
+        pairs = room // 2
+        for s in draw.choice(open_sizes, pairs, p=share / share.sum()):
+            mask = np.isin(np.arange(k), draw.choice(k, s, replace=False))
+            masks += [mask, ~mask]
+            weights += [share.sum() / (2 * pairs)] * 2
+    return np.array(masks), np.array(weights)
+
+
+def shapley_operator(k: int, most: int = 2048, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
+    """(masks, matrix): Shapley values are ``matrix`` times the gains of the masks, the last of which is all features.
+
+    The weighted least squares fit whose values add up to the gain of all features, solved once for all rows.
+    """
+    masks, weights = coalition_masks(k, most, seed)
+    full = np.ones((1, k), bool)
+    if k == 1:
+        return full, np.ones((1, 1))
+    # the last value follows from the sum: fit the others on masks less their last column
+    z = masks[:, :-1].astype(float) - masks[:, -1:]
+    fit = np.linalg.solve(z.T @ (weights[:, None] * z), z.T * weights)
+    matrix = np.zeros((k, len(masks) + 1))
+    matrix[:-1, :-1] = fit
+    matrix[:-1, -1] = -fit @ masks[:, -1]
+    matrix[-1] = -matrix[:-1].sum(axis=0)
+    matrix[-1, -1] += 1.0
+    return np.vstack([masks, full]), matrix
+
+
+def background_means(df: DataFrame, features: str, k: int, n: int, key: str, seed: int = 42) -> np.ndarray:
+    """(n, k): means over ``n`` random parts of the rows, to stand for an absent feature."""
+    part = F.pmod(F.xxhash64(shuffled(F.col(key), seed)), F.lit(n)).alias("__part")
+    means = df.groupBy(part).agg(*[F.avg(F.get(features, F.lit(j))).alias(f"f{j}") for j in range(k)])
+    return np.array([[r[f"f{j}"] for j in range(k)] for r in means.orderBy("__part").collect()], float)
+
+
+def shapley_values(df: DataFrame, features: str, names: Sequence[str], model: Model, suffixes: Sequence[str], background: np.ndarray,
+                   keep: Sequence[str] = (), most_masks: int = 2048, seed: int = 42) -> DataFrame:
+    """``(*keep, feature, output, value)``: what each feature adds to each output of each row.
+
+    A feature outside a coalition takes the values of the ``background`` rows, over which outputs are averaged. All
+    coalitions of a batch of rows go through the model in one Arrow pass; values add up to the output less that of the background.
+    """
+    masks, matrix = shapley_operator(len(names), most_masks, seed)
+    base = np.asarray(model(background)).mean(axis=0)
+    pairs = [(n, s) for n in names for s in suffixes]
+    schema = ", ".join([*(df.schema[c].simpleString().replace(":", " ", 1) for c in keep), "values array<double>"])
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        step = max(1, 200_000 // (len(masks) * len(background)))
+        for pdf in parts:
+            for start in range(0, len(pdf), step):
+                some = pdf.iloc[start:start + step]
+                x = np.stack(some[features].to_numpy()).astype(float)
+                mixed = np.where(masks[None, :, None, :], x[:, None, None, :], background[None, None, :, :])
+                out = np.asarray(model(mixed.reshape(-1, x.shape[1]))).reshape(len(x), len(masks), len(background), -1).mean(axis=2)
+                values = np.einsum("fm,rmo->rfo", matrix, out - base)
+                yield some[list(keep)].assign(values=list(values.reshape(len(x), -1)))
+
+    wide = df.select(*keep, features).mapInPandas(run, schema)
+    entries = F.array(*[
+        F.struct(F.lit(n).alias("feature"), F.lit(s).alias("output"), F.get("values", F.lit(i)).alias("value")) for i, (n, s) in enumerate(pairs)])
+    return wide.select(*keep, F.inline(entries))
+
+
+def shapley_importance(values: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """``(*keys, feature, output, n, mean_value, mean_size)`` from map-side sums."""
+    return values.groupBy(*keys, "feature", "output").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean_value"), F.avg(F.abs("value")).alias("mean_size"))
+
+
 def fit_probability_model(training: DataFrame, features: str = "inputs", label: str = "label", max_iter: int = 20):
     """A multinomial logistic regression fitted by Spark on the training rows."""
     from pyspark.ml.classification import LogisticRegression

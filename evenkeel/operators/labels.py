@@ -57,6 +57,16 @@ def probability_names(classes: Sequence[ClassDef], classifiers: Sequence[str]) -
     return [f"{t}_{c.suffix}" for t in classifiers for c in classes]
 
 
+def label_agreement(a: DataFrame, b: DataFrame, key: str, label: str = "label") -> DataFrame:
+    """``(n, n_different, n_missing)``: keys whose two labels differ, and keys that only one side has."""
+    left = a.select(key, F.col(label).alias("__a"), F.lit(True).alias("__in_a"))
+    right = b.select(key, F.col(label).alias("__b"), F.lit(True).alias("__in_b"))
+    both = F.col("__in_a").isNotNull() & F.col("__in_b").isNotNull()
+    return left.join(right, key, "full").agg(
+        F.count(F.when(both, 1)).alias("n"), F.count(F.when(both & ~F.col("__a").eqNullSafe(F.col("__b")), 1)).alias("n_different"),
+        F.count(F.when(~both, 1)).alias("n_missing"))
+
+
 def rows_per_class(df: DataFrame, keys: Sequence[str] = ("class",)) -> DataFrame:
     """Row counts per class (and further keys)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))

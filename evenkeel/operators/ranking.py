@@ -11,6 +11,7 @@ the function is called.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -158,6 +159,18 @@ def first_n(df: DataFrame, n: int, hashed: str) -> DataFrame:
     return keep_smallest(df, [], limits, 1, hashed)
 
 
+def capped_rows(df: DataFrame, n: int, hashed: str) -> DataFrame:
+    """The first ``n`` rows in hash order with ``requested`` and ``available``; a warning if there are fewer."""
+    counts = cut_lineage(df.agg(F.count(F.lit(1)).alias("n")))
+    available = counts.first()[0]
+    if available < n:
+        warnings.warn(f"{n} rows were asked for, {available} are available", stacklevel=2)
+    limits = df.sparkSession.range(1).select(F.lit(int(n)).cast("bigint").alias("limit"))
+    thresholds = smallest_thresholds(df, [], limits, 1, hashed, counts)
+    return below_thresholds(df, [], thresholds, 1, hashed).withColumns(
+        {"requested": F.lit(n).cast("bigint"), "available": F.lit(available).cast("bigint")})
+
+
 def running_sum(
     df: DataFrame, groups: Sequence[str], amount: Column, name: str, max_groups: int,
     hashed: str = "_hash", range_rows: int | None = None,

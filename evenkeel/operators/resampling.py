@@ -7,8 +7,10 @@ bins that an earlier step thinned out.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -112,6 +114,7 @@ class Selection:
     groups: Sequence[str]
     thresholds: DataFrame
     max_groups: int
+    counts: DataFrame
 
     def apply(self, hashed: DataFrame) -> DataFrame:
         own = hashed.withColumn("_own", turned(F.col("_hash"), self.step))
@@ -128,7 +131,31 @@ def plan_selection(hashed: DataFrame, step: int, groups: Sequence[str], limits_o
     limits = limits_of(counts).select(*groups, F.col("limit").cast("bigint"))
     own = hashed.select(*groups, turned(F.col("_hash"), step).alias("_own"))
     thresholds = smallest_thresholds(own, groups, limits, max_groups, "_own", counts)
-    return Selection(step, groups, thresholds, max_groups)
+    return Selection(step, groups, thresholds, max_groups, counts)
+
+
+class Resampled(NamedTuple):
+    """Resampled rows, and ``(class, requested, available, taken)``."""
+
+    rows: DataFrame
+    report: DataFrame
+
+
+def size_report(selection: Selection, options: ResamplingOptions) -> DataFrame:
+    """``(class, requested, available, taken)`` of the final size step, from its written counts.
+
+    A warning tells of a total that the balanced classes cannot give; the rows there are taken then.
+    """
+    per_class = options.n_rows // len(options.classes)
+    found = full_grid(selection.counts.sparkSession, {"class": options.classes}, 1).select("class").join(
+        small(selection.counts, len(options.classes)), "class", "left").na.fill(0, ["n"])
+    report = cut_lineage(found.select(
+        "class", F.lit(per_class).cast("bigint").alias("requested"), F.col("n").alias("available"),
+        F.least(F.col("n"), F.lit(per_class)).cast("bigint").alias("taken")))
+    total = report.agg(F.sum("taken")).first()[0]
+    if total < per_class * len(options.classes):
+        warnings.warn(f"{options.n_rows} rows were asked for, {total} are available", stacklevel=3)
+    return report
 
 
 def cap_samples(df: DataFrame, groups: Sequence[str], caps: DataFrame, max_groups: int,
@@ -175,11 +202,22 @@ def cap_classes(df: DataFrame, options: ResamplingOptions) -> DataFrame:
     """At most the final size of every class; all rows when no total is requested."""
     if options.n_rows == -1:
         return df
+    return cap_classes_reported(df, options).rows
+
+
+def cap_classes_reported(df: DataFrame, options: ResamplingOptions) -> Resampled:
+    """At most the final size of every class, and what was there."""
     hashed = with_hash(df, options)
-    return size_selection(hashed, options).apply(hashed).drop("_hash")
+    by_size = size_selection(hashed, options)
+    return Resampled(by_size.apply(hashed).drop("_hash"), size_report(by_size, options))
 
 
 def count_undersample(df: DataFrame, options: ResamplingOptions) -> DataFrame:
+    """The rows of ``count_undersample_reported``."""
+    return count_undersample_reported(df, options).rows
+
+
+def count_undersample_reported(df: DataFrame, options: ResamplingOptions) -> Resampled:
     """Equal counts per bin for all classes, then origin fractions, then the total.
 
     The full rows are read twice: once to write a thin table of hash, class, origin and
@@ -191,7 +229,7 @@ def count_undersample(df: DataFrame, options: ResamplingOptions) -> DataFrame:
     even = by_bin.apply(thin)
     by_origin = origin_selection(even, options)
     by_size = size_selection(by_origin.apply(even), options)
-    return by_size.apply(by_origin.apply(by_bin.apply(binned))).drop("_hash")
+    return Resampled(by_size.apply(by_origin.apply(by_bin.apply(binned))).drop("_hash"), size_report(by_size, options))
 
 
 def importance_minima(counts: DataFrame, target_class: str, bins: int) -> DataFrame:
@@ -205,15 +243,24 @@ def importance_minima(counts: DataFrame, target_class: str, bins: int) -> DataFr
 
 
 def importance_undersample(df: DataFrame, options: ResamplingOptions) -> DataFrame:
-    """Every class drawn, without replacement, into the target class's binned shape."""
+    """The rows of ``importance_undersample_reported``; no report where no total is requested."""
+    return importance_undersample_reported(df, options).rows
+
+
+def importance_undersample_reported(df: DataFrame, options: ResamplingOptions) -> Resampled:
+    """Every class drawn, without replacement, into the target class's binned shape.
+
+    The report is None where no total is requested.
+    """
     bins = n_bins(options.axes)
     binned = with_hash(with_bins(choose_split(df, options), options.axes), options)
     thin = cut_lineage(binned.select("_hash", "class", "bin"))
     by_bin = bin_selection(thin, options, lambda counts: importance_minima(counts, options.target_class, bins))
     kept = by_bin.apply(binned)
     if options.n_rows == -1:
-        return kept.drop("_hash")
-    return size_selection(by_bin.apply(thin), options).apply(kept).drop("_hash")
+        return Resampled(kept.drop("_hash"), None)
+    by_size = size_selection(by_bin.apply(thin), options)
+    return Resampled(by_size.apply(kept).drop("_hash"), size_report(by_size, options))
 
 
 def weight_rows(df: DataFrame, options: ResamplingOptions) -> DataFrame:

@@ -40,7 +40,8 @@ NUMBER_EDGES = [i - 0.5 for i in range(0, 8)]
 @query("d02_step_edges", f"""WITH {BASE},
 a AS (SELECT 'number_item' AS variable, {sql_bin('item_no', NUMBER_EDGES)} AS bin FROM base UNION ALL
   SELECT 'quantity', {sql_bin('quantity', [float(x) for x in range(0, 50, 5)])} FROM base UNION ALL
-  SELECT 'tax', CASE WHEN tax = hi THEN 99 ELSE least(floor((tax - lo) / ((hi - lo) / 100.0) + 1e-9), 99) END::INTEGER FROM base, (SELECT min(tax) AS lo, max(tax) AS hi FROM base))
+  SELECT 'tax', CASE WHEN tax = hi THEN 99 ELSE len(list_filter(list_transform(range(0, 100), lambda i: i * ((hi - lo) / 100.0::DOUBLE) + lo), lambda e: e <= tax)) - 1 END::INTEGER
+  FROM base, (SELECT min(tax) AS lo, max(tax) AS hi FROM base))
 SELECT variable, bin, count(*) AS n FROM a WHERE bin IS NOT NULL GROUP BY ALL""")
 def _(spark, sf):
     df = rows(spark, sf).withColumnRenamed("item_no", "number_item")
@@ -50,11 +51,8 @@ def _(spark, sf):
         "quantity": binning.step_edges([0, 50, 5], "quantity"),
         "tax": binning.step_edges(None, "tax", lo, hi),
     }
-    # settle values that sit on an inner edge up to rounding, as the statement does
-    value = {"number_item": F.col("number_item"), "quantity": F.col("quantity"), "tax": F.col("tax") + F.lit(1e-9 * (hi - lo) / 100)}
     entries = F.array(*[
-        F.struct(F.lit(v).alias("variable"), binning.bin_number(F.least(value[v].cast("double"), F.lit(e[-1])) if v == "tax" else value[v], e).alias("bin"))
-        for v, e in edges.items()
+        F.struct(F.lit(v).alias("variable"), binning.bin_number(F.col(v), e).alias("bin")) for v, e in edges.items()
     ])
     return df.select(F.inline(entries)).filter("bin IS NOT NULL").groupBy("variable", "bin").agg(F.count(F.lit(1)).alias("n"))
 
@@ -212,6 +210,26 @@ def _(spark, sf):
     return cells.groupBy("label", "lead").agg(F.sum("c").alias("n"), rounded(F.sum("f") / F.sum("c")).alias("mean_frac"))
 
 
+_LEAD_EDGES = [-5.0 + 0.25 * i for i in range(17)]
+
+
+@query("d13_item_histograms", f"""WITH {ITEMS}, s AS (SELECT label, kind, frac, row_number() OVER (PARTITION BY event ORDER BY isnan(frac), frac DESC, pos) - 1 AS lead FROM oi),
+u AS (SELECT label, kind, frac, unnest([-1, lead]) AS lead FROM s WHERE NOT isnan(frac)),
+k AS (SELECT *, {sql_bin('ln(frac + 0.01)', _LEAD_EDGES)} AS bin FROM u WHERE lead IN (-1, 0, 1))
+SELECT label, lead::INTEGER AS lead, kind, bin, count(*) AS n, {r("avg(frac)", 9)} AS mean_frac FROM k WHERE bin IS NOT NULL GROUP BY ALL""")
+def _(spark, sf):
+    df = records(spark, sf)
+    # the leading and the second item by frac, and (-1) all items; per class and kind, of a logarithm
+    def leading(n):
+        place = F.lit(-1 if n is None else n).alias("lead")
+        return F.transform(h.nth_item(F.col("items"), "frac", n), lambda x: F.struct(place, x["kind"].alias("kind"), x["frac"].alias("frac")))
+
+    picked = F.concat(*[leading(n) for n in (None, 0, 1)])
+    long = df.select("label", F.inline(picked)).filter(~F.isnan("frac"))
+    binned = long.withColumn("bin", binning.bin_number(F.ln(F.col("frac") + 0.01), _LEAD_EDGES)).filter("bin IS NOT NULL")
+    return binned.groupBy("label", "lead", "kind", "bin").agg(F.count(F.lit(1)).alias("n"), rounded(F.avg("frac"), 9).alias("mean_frac"))
+
+
 @query("d14_copies", f"""WITH {LAB}, k AS (SELECT class, event, item_no, count(*) AS copies FROM lab GROUP BY ALL)
 SELECT class, copies, count(*) AS records, copies * count(*) AS total FROM k GROUP BY class, copies""")
 def _(spark, sf):

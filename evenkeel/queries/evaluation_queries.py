@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -11,15 +13,16 @@ from evenkeel.operators import histograms as h
 from evenkeel.operators import inference, items as it, scaling
 from evenkeel.operators.features import training_rows
 from evenkeel.operators.labels import rows_per_class
-from evenkeel.plans.evaluate import flagship
+from evenkeel.plans.evaluate import evaluate, flagship
 from evenkeel.plans.prepare import tag_split
 from evenkeel.queries.base import (
     CLASSES, ITEMS, LAB, MAIN, NAMES, NET, NET_SCORE, PROBS, REJECTION, SCORES, SUFFIXES, TREE, TREE_SCORE, cuts_sql,
-    labelled, r, records, rounded, rows, scored, sql_bin,
+    labelled, r, records, rounded, rows, scored, scratch, sql_bin,
 )
 from evenkeel.queries.binning_queries import _hist_sql
 from evenkeel.queries.merge_queries import MODEL_BIAS, MODEL_WEIGHTS, model_sql
 from evenkeel.queries.registry import query
+from evenkeel.sources import writers
 
 BOTH = [NET, TREE]
 EFFS = ev.efficiency_grid()
@@ -122,6 +125,22 @@ def _(spark, sf):
         rounded("cut").alias("cut"), "n", "n_pass", rounded("rejection").alias("rejection"))
 
 
+@query("a15_all_tables", f"""WITH {SCORES}, {cuts_sql([0.6, 0.77])}, {_FRACTION_REJ.replace('rej AS', 'frej AS').replace('cuts AS', 'fcuts AS').replace('JOIN cuts', 'JOIN fcuts')},
+rej AS (SELECT s.classifier, s.class, c.eff, count(*) AS n, count(*) FILTER (score > cut) AS n_pass FROM scores s JOIN cuts c USING (classifier) WHERE class <> 'heavy' GROUP BY ALL)
+SELECT 'scores' AS name, (SELECT count(*) FROM probs) AS n, {r('sum(score)', 4)} AS total FROM scores UNION ALL SELECT 'counts', count(DISTINCT class), count(*)::DOUBLE FROM probs
+UNION ALL SELECT 'rejection_per_efficiency', count(*), sum(n_pass)::DOUBLE FROM rej UNION ALL SELECT 'rejection_per_fraction', count(*), sum(n_pass)::DOUBLE FROM frej""")
+def _(spark, sf):
+    folder = scratch(spark, "evaluation")
+    writers.write_results(evaluate(scored(spark, sf), BOTH, MAIN, [0.6, 0.77], GRID, 0.77, ["row_key"]), folder)
+    totals = {
+        "scores": F.sum(F.col("disc_net") + F.col("disc_tree")), "counts": F.sum("n"),
+        "rejection_per_efficiency": F.sum("n_pass"), "rejection_per_fraction": F.sum("n_pass")}
+    parts = [
+        spark.read.parquet(f"{folder}/{name}").agg(F.count(F.lit(1)).alias("n"), rounded(total.cast("double"), 4).alias("total")).withColumn("name", F.lit(name))
+        for name, total in totals.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 @query("h10_score_table", f"WITH {PROBS} SELECT row_key, price, label, {', '.join(f'{r(p)} AS {p}' for p in ('net_ph', 'net_pm', 'net_pl', 'tree_ph', 'tree_pm', 'tree_pl'))}, {r(NET_SCORE)} AS disc_net, {r(TREE_SCORE)} AS disc_tree, truth FROM probs")
 def _(spark, sf):
     out = ev.score_table(scored(spark, sf), BOTH, MAIN, ["row_key", "price", "truth"])
@@ -270,7 +289,10 @@ SELECT split, epoch, {r('coalesce(eq.loss, old.loss)')} AS loss, {r('coalesce(eq
 def _(spark, sf):
     new = ev.quality(_epochs(spark, sf), _probs(), ["split", "epoch"])
     stored = new.select("split", (F.col("epoch") + 2).alias("epoch"), (F.col("loss") * 2).alias("loss"), F.lit(0.5).alias("accuracy"))
-    out = ev.upsert(stored, new, ["split", "epoch"], ["loss", "accuracy"])
+    path = scratch(spark, "epochs")
+    for records_ in (stored, new):
+        ev.store_records(records_, path, "epoch", ["split"], ["loss", "accuracy"])
+    out = spark.read.parquet(path)
     return out.select("split", "epoch", rounded("loss").alias("loss"), rounded("accuracy", 9).alias("accuracy"))
 
 
@@ -300,14 +322,16 @@ _LADDER = ", ".join(f"{t!r}::DOUBLE" for t in ev.DIFFERENCE_LADDER)
 _GAP = f"abs({NET_SCORE} - {TREE_SCORE}) * CASE WHEN item_no < 5 THEN 1e-3 ELSE 1e-5 END"
 
 
-@query("h25_score_agreement", f"""WITH {PROBS}, d AS (SELECT {_GAP} AS gap FROM probs WHERE item_no < 7), l AS (SELECT unnest([{_LADDER}]) AS threshold),
+@query("h25_score_agreement", f"""WITH {PROBS}, k AS (SELECT event, count(*) AS n_items FROM base GROUP BY event), d AS (SELECT {_GAP} AS gap FROM probs JOIN k USING (event) WHERE n_items < 6),
+l AS (SELECT unnest([{_LADDER}]) AS threshold),
 c AS (SELECT threshold, count(*) FILTER (gap > threshold) AS n_above, count(*) AS n FROM d, l GROUP BY threshold),
-s AS (SELECT *, coalesce(lag(n_above) OVER (ORDER BY threshold), 1) AS before FROM c)
+s AS (SELECT *, coalesce(min(round(n_above * 100 / n::DOUBLE, 2)) OVER (ORDER BY threshold ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1) AS before FROM c)
 SELECT {r('threshold', 9)} AS threshold, n_above, {r('n_above / n::DOUBLE', 9)} AS share FROM s WHERE before > 0""")
 def _(spark, sf):
-    df = scored(spark, sf).filter("item_no < 7")
+    counts = rows(spark, sf).groupBy("event").agg(F.count(F.lit(1)).alias("n_items"))
+    df = scored(spark, sf).join(counts, "event")
     gap = F.abs(NET.score(df.columns, MAIN) - TREE.score(df.columns, MAIN)) * F.when(F.col("item_no") < 5, 1e-3).otherwise(1e-5)
-    out = ev.score_agreement(df.select(gap.alias("a"), F.lit(0.0).alias("b")), "a", "b")
+    out = ev.score_agreement(df.select(gap.alias("a"), F.lit(0.0).alias("b"), "n_items"), "a", "b", n_items="n_items", below_items=6)
     return out.select(rounded("threshold", 9).alias("threshold"), "n_above", rounded("share", 9).alias("share"))
 
 
@@ -348,6 +372,27 @@ def _(spark, sf):
     return out.select("feature", "n", rounded("loss").alias("loss"), rounded("accuracy", 9).alias("accuracy"), rounded("accuracy_drop", 9).alias("accuracy_drop"))
 
 
+def _shapley_sql() -> str:
+    """Every coalition of the three features, absent ones at their mean, weighted as the values' definition says."""
+    cols = ", ".join(f"CASE WHEN (m >> {i}) & 1 = 1 THEN {f} ELSE m_{f} END AS {f}" for i, f in enumerate(FEATURES))
+    means = ", ".join(f"avg({f}) AS m_{f}" for f in FEATURES)
+    size = " + ".join(f"((m >> {i}) & 1)" for i in range(3))
+    value = f"CASE ({size}) - ((m >> j) & 1) WHEN 1 THEN 1 / 6.0::DOUBLE ELSE 1 / 3.0::DOUBLE END * CASE WHEN (m >> j) & 1 = 1 THEN 1 ELSE -1 END"
+    return f"""mn AS (SELECT {means} FROM lab), mixed AS (SELECT row_key, class, m, {cols} FROM (SELECT row_key, class, {', '.join(FEATURES)} FROM lab), mn, (SELECT unnest(range(8)) AS m)),
+p AS ({model_sql('mixed')}), t AS (SELECT unnest([0, 1, 2]) AS j, unnest(['quantity', 'discount', 'tax']) AS feature),
+v AS (SELECT row_key, class, feature, unnest(['ph', 'pm', 'pl']) AS output, unnest([sum(({value}) * m_ph), sum(({value}) * m_pm), sum(({value}) * m_pl)]) AS value FROM p, t GROUP BY row_key, class, feature)"""
+
+
+@query("h28_shapley", f"""WITH {LAB}, {_shapley_sql()}
+SELECT class, feature, output, count(*) AS n, {r('avg(value)', 7)} AS mean_value, {r('avg(abs(value))', 7)} AS mean_size FROM v GROUP BY class, feature, output""")
+def _(spark, sf):
+    df = labelled(spark, sf).select("row_key", "class", F.array(*FEATURES).alias("x"))
+    background = inference.background_means(df, "x", 3, 1, "row_key")
+    values = inference.shapley_values(df, "x", FEATURES, MODEL, ["ph", "pm", "pl"], background, ["class"])
+    return inference.shapley_importance(values, ["class"]).select(
+        "class", "feature", "output", "n", rounded("mean_value", 7).alias("mean_value"), rounded("mean_size", 7).alias("mean_size"))
+
+
 @query("h29_fitted_model")
 def _(spark, sf):
     df = labelled(spark, sf)

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions import arrays
 from evenkeel.operators import features, items as it, scaling
+from evenkeel.operators.item_arrays import ItemFeatures
 from evenkeel.operators.resampling import ResamplingOptions
 from evenkeel.plans.training_set import training_feed
-from evenkeel.queries.base import BASE, ITEMS, LAB, NAMES, labelled, r, records, rounded, rows
+from evenkeel.queries.base import BASE, ITEMS, LAB, NAMES, labelled, r, records, rounded, rows, sql_bin
 from evenkeel.queries.merge_queries import AXES, BIN_SQL
 from evenkeel.queries.registry import query
 
@@ -34,6 +35,31 @@ def _(spark, sf):
     ).withColumn("value", rounded("value"))
 
 
+_RECORD_AXES = {"total": [0.0, 50000.0, 150000.0, 300000.0, 1e7], "n_items": [0.0, 2.0, 4.0, 100.0]}
+_RECORD_BIN = " * 3 + ".join(f"({sql_bin(name, edges)})" for name, edges in _RECORD_AXES.items())
+_RECORD_STATS = {"total": {"mean": 150000.0, "std": 90000.0}}
+
+
+@query("g02_item_training_inputs", f"""WITH {ITEMS}, k AS (SELECT event, count(*) AS n_items FROM it GROUP BY event),
+o AS (SELECT ord.event, total, status, label, coalesce(n_items, 0) AS n_items FROM ord LEFT JOIN k USING (event)), b AS (SELECT *, {_RECORD_BIN} AS bin FROM o),
+h AS (SELECT status, bin, count(*) AS n FROM b WHERE bin IS NOT NULL GROUP BY ALL),
+w AS (SELECT h.status, h.bin, coalesce(t.n, 0)::DOUBLE / h.n AS w FROM h LEFT JOIN h t ON t.bin = h.bin AND t.status = 'O')
+SELECT b.event, b.label, {r('coalesce(nullif(w, 0), 1)', 9)} AS weight, {r('(b.total - 150000.0) / 90000.0')} AS total, (pos - 1)::INTEGER AS pos, NOT isnan(frac) AS valid, kind,
+  unnest([0, 1]) AS feature_no, round(unnest([CASE WHEN tax > 0 THEN (CASE WHEN isnan(frac) THEN ln(tax) ELSE (ln(tax) + 3.0) / 0.5 END) ELSE 0.0::DOUBLE END, CASE WHEN isnan(frac) THEN 0.0::DOUBLE ELSE (frac - 0.05) / 0.03 END]), 6) + 0.0 AS value
+FROM b JOIN it USING (event) LEFT JOIN w ON w.status = b.status AND w.bin = b.bin""")
+def _(spark, sf):
+    items = F.transform("items", lambda x: x.withField("valid", ~F.isnan(x["frac"])))
+    df = records(spark, sf).withColumns({"items": items, "class": F.col("status"), "n_items": F.size("items")})
+    options = ResamplingOptions("weighting", ["F", "O", "P"], _RECORD_AXES, target_class="O")
+    spec = ItemFeatures([], ["tax"], ["frac"], {"tax": {"mean": -3.0, "std": 0.5}, "frac": {"shift": 0.05, "scale": 0.03}}, ["kind"], strict=False)
+    feed = training_feed(df, ["total"], _RECORD_STATS, options, keys=["event"], items={"items": spec})
+    zipped = F.arrays_zip("items_inputs", "items_valid", "items_labels")
+    return feed.select(
+        "event", "label", rounded("weight", 9).alias("weight"), rounded(F.get("inputs", F.lit(0))).alias("total"), F.posexplode(zipped).alias("pos", "i")).select(
+        "event", "label", "weight", "total", "pos", F.col("i.items_valid").alias("valid"), F.get("i.items_labels", F.lit(0)).alias("kind"),
+        F.posexplode("i.items_inputs").alias("feature_no", "value")).withColumn("value", rounded("value"))
+
+
 @query("g03_pooled_items", f"""WITH {ITEMS}, v AS (SELECT * FROM oi WHERE NOT isnan(frac)), m AS (SELECT event, max(discount * 10) AS top FROM v GROUP BY event),
 p AS (SELECT v.event, sum(quantity) AS sq, avg(tax) AS mt, sum(tax * exp(discount * 10 - top)) / sum(exp(discount * 10 - top)) AS at FROM v JOIN m USING (event) GROUP BY v.event)
 SELECT o.event, {r('coalesce(sq, 0)')} AS sum_quantity, {r('coalesce(mt, 0)')} AS mean_tax, {r('coalesce(at, 0)')} AS attention_tax FROM ord o LEFT JOIN p USING (event)""".replace(" AS at FROM", " AS att FROM").replace("coalesce(at, 0)", "coalesce(att, 0)"))

@@ -9,7 +9,7 @@ from evenkeel.functions.keys import shuffled
 from evenkeel.operators import density, events, resampling
 from evenkeel.operators.inference import predict, softmax_model
 from evenkeel.operators.items import row_onto_items
-from evenkeel.operators.labels import classes_per_origin
+from evenkeel.operators.labels import classes_per_origin, label_agreement
 from evenkeel.queries.base import (
     BASE, CLASSES, ITEMS, LAB, NAMES, ORIGINS, labelled, r, records, rounded, rows, sql_bin, table,
 )
@@ -83,14 +83,17 @@ def _(spark, sf):
         F.count(F.lit(1)).alias("n"), F.min("row_key").alias("first_key"), F.max("row_key").alias("last_key"))
 
 
-@query("c09_label_alignment", f"""WITH {ITEMS} SELECT count(*) AS n, count(*) FILTER (label IS DISTINCT FROM CASE status WHEN 'F' THEN 0 WHEN 'O' THEN 1 WHEN 'P' THEN 2 END) AS n_different FROM ord""")
+# The label of an order by its own status, and by that of its items: all F, all O, or mixed.
+@query("c09_label_alignment", f"""WITH {ITEMS}, i AS (SELECT event, CASE WHEN max(origin) = 'F' THEN 0 WHEN min(origin) = 'O' THEN 1 ELSE 2 END AS other FROM base GROUP BY event)
+SELECT count(*) FILTER (ord.event IS NOT NULL AND i.event IS NOT NULL) AS n,
+  count(*) FILTER (ord.event IS NOT NULL AND i.event IS NOT NULL AND label IS DISTINCT FROM other) AS n_different,
+  count(*) FILTER (ord.event IS NULL OR i.event IS NULL) AS n_missing FROM ord FULL JOIN i USING (event)""")
 def _(spark, sf):
-    a = records(spark, sf).select("event", "label")
-    b = table(spark, sf, "orders").select(
-        F.col("o_orderkey").alias("event"),
-        F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).when(F.col("o_orderstatus") == "P", 2).alias("other"))
-    return a.join(b, "event").agg(
-        F.count(F.lit(1)).alias("n"), F.count(F.when(~F.col("label").eqNullSafe(F.col("other")), 1)).alias("n_different"))
+    of_rows = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("event"), (F.array_position(F.array(F.lit("F"), F.lit("O"), F.lit("P")), F.col("o_orderstatus")) - 1).cast("int").alias("label"))
+    of_items = rows(spark, sf).groupBy("event").agg(
+        F.when(F.max("origin") == "F", 0).when(F.min("origin") == "O", 1).otherwise(2).alias("label"))
+    return label_agreement(of_rows, of_items, "event")
 
 
 MODEL_WEIGHTS = np.array([[0.03137, -0.01093, -0.02041], [4.0171, -3.0349, 1.0577], [-2.0291, 5.0113, 3.0733]])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -267,6 +269,20 @@ def _(spark, sf):
         F.count(F.lit(1)).alias("n"), F.min("row_key").alias("first_key"), F.max("row_key").alias("last_key"))
 
 
+@query("e15_size_report", f"""WITH {LAB}, {count_sql('lab', 600000)}, {_RATIOS.replace('TARGET', 'light')},
+sc AS (SELECT *, CASE WHEN peak <> 0 THEN n / peak ELSE 0.0::DOUBLE END * ratio AS scaled FROM (SELECT *, max(ratio) OVER (PARTITION BY class) AS peak FROM ratios)),
+im AS (SELECT sum(m)::BIGINT AS n FROM (SELECT bin, floor(min(scaled))::BIGINT AS m FROM sc GROUP BY bin))
+SELECT 'count' AS method, class, 200000::BIGINT AS requested, count(*) AS available, least(count(*), 200000)::BIGINT AS taken FROM c2 GROUP BY class
+UNION ALL SELECT 'importance', class, 100::BIGINT, n, least(n, 100)::BIGINT FROM im, (SELECT unnest(['heavy', 'medium', 'light']) AS class)""")
+def _(spark, sf):
+    df = labelled(spark, sf)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        counted = rs.count_undersample_reported(df, _count_options(600000)).report
+    weighed = rs.importance_undersample_reported(df, rs.ResamplingOptions("importance", NAMES, AXES, 300, target_class="light")).report
+    return counted.withColumn("method", F.lit("count")).unionByName(weighed.withColumn("method", F.lit("importance")))
+
+
 @query("e16_validation_resampling", f"WITH {LAB}, v AS (SELECT * FROM lab WHERE event % 10 = 8), {count_sql('v', 900)} SELECT row_key, class, origin, bin FROM picked")
 def _(spark, sf):
     options = _count_options(900, split="validation")

@@ -8,6 +8,7 @@ from evenkeel.functions import arrays
 from evenkeel.functions.numeric import to_precision
 from evenkeel.operators import scaling
 from evenkeel.operators.features import training_rows
+from evenkeel.operators.item_arrays import ItemFeatures, item_arrays
 from evenkeel.queries.base import BASE, ITEMS, LAB, labelled, r, records, rounded, rows, table
 from evenkeel.queries.registry import query
 
@@ -127,7 +128,7 @@ def _long_items(df, column):
 def _(spark, sf):
     df = _masked(spark, sf)
     stats = scaling.collect_statistics(scaling.check_statistics(_item_stats(df)))
-    return _long_items(df, scaling.scaled_items(F.col("items"), ["tax"], ["price"], ["quantity"], stats))
+    return _long_items(item_arrays(df, "items", ItemFeatures(["tax"], ["price"], ["quantity"], stats), keep=["event"]), F.col("items_inputs"))
 
 
 @query("f10_lenient_scaling", f"""WITH {BASE}, s AS (SELECT avg(price) AS m, stddev_pop(price) AS d FROM base)
@@ -181,6 +182,12 @@ def _(spark, sf):
         rounded(to_precision(F.col("tax"), "float32").cast("double"), 8).alias("tax"))
 
 
+@query("f15_array_precision", f"WITH {BASE} SELECT row_key, unnest([0, 1]) AS feature_no, round(unnest([{_HALF.format(x='(price / 100)')}, {_HALF.format(x='quantity')}]), 8) + 0.0 AS value FROM base")
+def _(spark, sf):
+    narrowed = to_precision(F.array(F.col("price") / 100, F.col("quantity")), "float16", array=True)
+    return rows(spark, sf).select("row_key", F.posexplode(narrowed).alias("feature_no", "value")).withColumn("value", rounded(F.col("value").cast("double"), 8))
+
+
 @query("f16_weight_column", f"WITH {LAB} SELECT row_key, {r('quantity / 10')} AS weight, 1.0::DOUBLE AS plain, 2 AS n_features FROM lab")
 def _(spark, sf):
     df = labelled(spark, sf).withColumn("w", F.col("quantity") / 10)

@@ -6,12 +6,14 @@ import warnings
 
 from pyspark.sql import functions as F
 
+from evenkeel.functions.arrays import one_hot
 from evenkeel.functions.keys import shuffled
 from evenkeel.operators import features, scaling
 from evenkeel.operators.evaluation import rejection_per_efficiency, scores_long
+from evenkeel.operators.item_arrays import ItemFeatures, item_arrays
 from evenkeel.operators.items import row_onto_items
 from evenkeel.operators.labels import rows_per_class
-from evenkeel.operators.ranking import first_n, global_rank
+from evenkeel.operators.ranking import capped_rows, global_rank
 from evenkeel.plans.prepare import TRAIN_SPLIT, requested_plan, tag_split
 from evenkeel.queries.base import (
     BASE, CLASSES, ITEMS, LAB, MAIN, NAMES, NET, ORIGINS, REJECTION, SCORES, TREE, labelled, r, cuts_sql, records, rounded, rows, scored,
@@ -44,9 +46,7 @@ SELECT row_key, price, 1000::BIGINT AS requested, (SELECT count(*) FROM f) AS av
 FROM f ORDER BY row_key LIMIT 1000""")
 def _(spark, sf):
     kept = rows(spark, sf).filter(F.col("quantity") <= 40)
-    available = kept.agg(F.count(F.lit(1)).alias("available"))
-    return first_n(kept, 1000, "row_key").crossJoin(F.broadcast(available)).select(
-        "row_key", "price", F.lit(1000).cast("bigint").alias("requested"), "available")
+    return capped_rows(kept, 1000, "row_key").select("row_key", "price", "requested", "available")
 
 
 @query("a04_row_range", f"""WITH {BASE}, n AS (SELECT *, row_number() OVER (ORDER BY row_key) - 1 AS row_no FROM base)
@@ -148,6 +148,57 @@ def _record_training(spark, sf):
                                   {"items": (joined, flags, None)})
 
 
+_ITEM_SPEC = {"tax": {"shift": 0.04, "scale": 0.025}, "price": {"shift": 10.0, "scale": 0.9}, "quantity": {"shift": 25.0, "scale": 14.0}}
+#: Item features in the sink: as they are, after a logarithm, scaled; 0 for what is missing where an item is not real.
+_ITEM_VALUES = """unnest([0, 1, 2]) AS feature_no, unnest([tax, CASE WHEN isnan(frac) THEN ln(price) ELSE (ln(price) - 10.0) / 0.9 END,
+  CASE WHEN isnan(frac) THEN quantity ELSE (quantity - 25.0) / 14.0 END]) AS value"""
+
+
+def _item_features(strict: bool = True) -> ItemFeatures:
+    return ItemFeatures(["tax"], ["price"], ["quantity"], _ITEM_SPEC, ["kind", "item_no"], strict=strict)
+
+
+def _masked_records(spark, sf):
+    """Records whose items are real where their probe field is there."""
+    items = F.transform("items", lambda x: x.withField("valid", ~F.isnan(x["frac"])))
+    return records(spark, sf).withColumn("items", items)
+
+
+def _long_collection(df, *keys):
+    """One row per item feature of a stored collection."""
+    zipped = F.arrays_zip("items_inputs", "items_valid", "items_labels")
+    return df.select(*keys, F.posexplode(zipped).alias("pos", "i")).select(
+        *keys, "pos", F.col("i.items_valid").alias("valid"), F.get("i.items_labels", F.lit(0)).alias("kind"), F.get("i.items_labels", F.lit(1)).alias("number"),
+        F.posexplode("i.items_inputs").alias("feature_no", "value")).withColumn("value", rounded("value"))
+
+
+@query("a11_item_training_sink", f"""WITH {ITEMS}, v AS (SELECT event, label, total, (pos - 1)::INTEGER AS pos, NOT isnan(frac) AS valid, kind, item_no::INTEGER AS number, {_ITEM_VALUES} FROM oi)
+SELECT event, label, {r('total / 1000')} AS total, pos, valid, kind, number, feature_no, {r('value')} AS value FROM v""")
+def _(spark, sf):
+    arrays = item_arrays(_masked_records(spark, sf), "items", _item_features())
+    collection = {"items": tuple(F.col(f"items_{part}") for part in ("inputs", "valid", "labels"))}
+    training = features.training_rows(arrays, [F.col("total") / 1000], 3, ["event"], (), collection)
+    path = scratch(spark, "item-training")
+    writers.write_training_set(training.withColumn("_order", shuffled(F.col("event").cast("string"), 8)), path, "_order")
+    stored = spark.read.parquet(path).withColumn("total", rounded(F.get("inputs", F.lit(0))))
+    return _long_collection(stored, "event", "label", "total")
+
+
+@query("a16_scaled_item_file", f"""WITH {ITEMS}, s AS (SELECT avg(total) AS m, stddev_pop(total) AS d FROM ord),
+v AS (SELECT event, label, (total - m) / d AS total, (pos - 1)::INTEGER AS pos, NOT isnan(frac) AS valid, kind, item_no::INTEGER AS number, {_ITEM_VALUES} FROM oi, s)
+SELECT event, {r('total')} AS total, (label = 0)::INTEGER AS is_first, pos, valid, kind, number, feature_no, {r('value')} AS value FROM v""")
+def _(spark, sf):
+    df = _masked_records(spark, sf)
+    stats = scaling.collect_statistics(scaling.check_statistics(scaling.row_statistics(df.select("total"), ["total"])))
+    arrays = item_arrays(df, "items", _item_features())
+    path = scratch(spark, "item-test-file")
+    arrays.select(
+        "event", scaling.scaled_columns(["total"], stats)["total"].alias("total"), one_hot(F.col("label"), 3).alias("one_hot"),
+        "items_inputs", "items_valid", "items_labels").write.parquet(path)
+    stored = spark.read.parquet(path).withColumns({"total": rounded("total"), "is_first": F.get("one_hot", F.lit(0))})
+    return _long_collection(stored, "event", "total", "is_first")
+
+
 @query("a12_dimensions", f"""WITH {ITEMS}, c AS (SELECT o.event, count(i.event) AS n FROM ord o LEFT JOIN it i USING (event) GROUP BY o.event)
 SELECT count(*) AS n_rows, 2 AS n_features, 3 AS n_classes, max(n)::INTEGER AS n_items, 3 AS n_item_features FROM c""")
 def _(spark, sf):
@@ -160,8 +211,8 @@ SELECT o.event, (3 * count(i.event))::INTEGER AS n_values,
 FROM ord o LEFT JOIN it i USING (event) GROUP BY o.event, o.status""")
 def _(spark, sf):
     path = scratch(spark, "flat")
-    flat = features.flat_record(_record_training(spark, sf), "items", ["event"])
-    flat.withColumn("shard", F.pmod(F.xxhash64("event"), F.lit(4))).write.partitionBy("shard").parquet(path)
+    flat = features.flat_record(_record_training(spark, sf), "items", ["event"]).withColumn("_hash", shuffled(F.col("event").cast("string"), 3))
+    writers.write_shards(flat, path, 4, "_hash", per_shard=2)
     every_third = F.aggregate(
         F.filter("item_values", lambda _, i: i % 3 == 1), F.lit(0.0), lambda a, x: a + x.cast("double"))
     return spark.read.parquet(path).select(
@@ -169,6 +220,17 @@ def _(spark, sf):
         F.get("label_one_hot", F.lit(0)).alias("is_first"))
 
 
+@query("a13_shard_sizes", """WITH n AS (SELECT count(*) AS n FROM orders), f AS (SELECT n, unnest(range(0, 8)) AS file_no FROM n)
+SELECT (file_no // 2)::INTEGER AS shard, 2 AS n_files, sum(n // 8 + (file_no < n % 8)::INTEGER)::BIGINT AS n_rows, max(n // 8 + (file_no < n % 8)::INTEGER) - min(n // 8 + (file_no < n % 8)::INTEGER) AS spread FROM f GROUP BY file_no // 2""")
+def _(spark, sf):
+    path = scratch(spark, "shards")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", shuffled(F.col("o_orderkey").cast("string"), 3).alias("_hash"))
+    writers.write_shards(orders, path, 4, "_hash", per_shard=2)
+    per_file = spark.read.parquet(path).groupBy("shard", F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    return per_file.groupBy("shard").agg(
+        F.count(F.lit(1)).cast("int").alias("n_files"), F.sum("n").alias("n_rows"), (F.max("n") - F.min("n")).alias("spread"))
+
+
 @query("a14_sample_plan", f"""WITH {LAB}, tagged AS (
   SELECT CASE WHEN event % 10 <= 7 THEN 'train' WHEN event % 10 = 8 THEN 'validation' ELSE 'test' END AS step, origin, class FROM lab),
 plan AS (SELECT * FROM (VALUES ('train', 10000), ('validation', 4000), ('test', 4000)) s(step, requested),

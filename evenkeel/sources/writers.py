@@ -7,19 +7,30 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evenkeel.operators.events import assign_files
+
 
 def write_bounded(df: DataFrame, path: str, max_rows: int) -> None:
     """Parquet files of at most ``max_rows`` rows."""
     df.write.mode("overwrite").option("maxRecordsPerFile", max_rows).parquet(path)
 
 
-def write_numbered(df: DataFrame, path: str, number: str) -> None:
-    """One folder per file number; rows of a number are brought together first.
+def write_numbered(df: DataFrame, path: str, number: str, per_file: int = 1, name: str = "shard") -> None:
+    """Folders ``name=0, 1, ...`` of ``per_file`` files each; ``number`` says which file a row goes to, from 0.
+
+    Each file is one task's, whatever the others hold: rows are dealt by the number itself, not by a hash of it.
+    """
+    files = (df.agg(F.max(number)).first()[0] or 0) + 1
+    dealt = df.withColumn(name, F.floor(F.col(number) / per_file).cast("int")).repartitionById(files, F.col(number).cast("int"))
+    dealt.drop(number).write.mode("overwrite").partitionBy(name).parquet(path)
+
+
+def write_shards(df: DataFrame, path: str, n_shards: int, hashed: str, per_shard: int = 1) -> None:
+    """Rows in ``n_shards`` numbered folders of ``per_shard`` files, all files of one size but for one row.
 
-    The extra random column keeps a number from ending in one task.
+    Files take ranges of the hash order, so any shard is a random sample; more files per shard spread large shards over tasks.
     """
-    spread = (F.xxhash64(*df.columns[:1]) % 16).alias("__salt")
-    df.select("*", spread).repartition(number, "__salt").drop("__salt").write.mode("overwrite").partitionBy(number).parquet(path)
+    write_numbered(assign_files(df, n_shards * per_shard, [], hashed, 1), path, "file_no", per_shard)
 
 
 def write_training_set(df: DataFrame, path: str, shuffle_key: str | None = None) -> None:

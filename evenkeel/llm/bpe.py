@@ -1,7 +1,7 @@
 """Byte-level BPE: frequent words from a shared-suffix transducer, unseen words by exact merging.
 
 One pass over all documents counts words by lossy counting (Manku and Motwani 2002: bounded
-memory, every word read). The most frequent ones are encoded once and compiled into a minimal
+memory, every word read), distinct words of a batch at a time. The most frequent ones are encoded once and compiled into a minimal
 acyclic transducer: bytes lead along arcs, arcs carry ids, outputs are pushed toward the root so
 that equal suffixes are one. The automaton travels as one broadcast of bounded size; each task maps
 it into memory from an unlinked file of its own. Words outside it are merged by rank, exactly as
@@ -27,23 +27,26 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenkeel.llm.common import written
+from evenkeel.llm.common import received, shipped, written
 
 LEXICON_WORDS = 30_000
 #: Words a counting task holds before it forgets the rarest.
 COUNT_LIMIT = 200_000
 #: Encoded words a task keeps at hand before it starts anew.
 MEMO_LIMIT = 400_000
-ROWS = 256
+#: Texts that are parted, encoded and put together at a time.
+ROWS = 4096
 
 # Unicode white space, and the pattern by which the vocabulary splits text.
 SPACES = "\t-\r \x85\xa0  -     　"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+".replace(r"\S", f"[^{SPACES}]").replace(
     r"[^\s", f"[^{SPACES}").replace(r"\s", f"[{SPACES}]")
+BLANK = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{SPACES}]", c))
 #: Stands for the merge of a pair that is never merged: above every rank.
 NEVER = (1 << 60, -1)
 #: No piece of the pattern reaches over a space that a visible character follows.
@@ -72,6 +75,16 @@ class Vocabulary:
         self.byte_ids = [0] * 256
         for letter, b in letters.items():
             self.byte_ids[b] = vocab[letter]
+        # the same merges as sorted columns: pair, rank, joined id
+        pairs = sorted((a << 32 | b, rank, joined) for (a, b), (rank, joined) in self.merges.items())
+        self.pairs, self.ranks, self.joined = (np.array([x[i] for x in pairs], np.int64) for i in range(3))
+
+    def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and joined id of each pair; the rank of a pair that is never merged is above all."""
+        wanted = left.astype(np.int64) << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        hit = self.pairs[at] == wanted
+        return np.where(hit, self.ranks[at], NEVER[0]), np.where(hit, self.joined[at], -1)
 
 
 def merged(word: bytes, byte_ids: list[int], merges: dict) -> list[int]:
@@ -118,6 +131,49 @@ def _merged_long(ids: list[int], merges: dict) -> list[int]:
     return out
 
 
+def merged_many(words: list[bytes], v: Vocabulary) -> list[bytes]:
+    """Ids of many words as 32-bit integers, merged side by side: each round joins one pair in every unfinished word.
+
+    The pair is the one ``merged`` would join; words above 48 bytes go through ``merged``.
+    """
+    out: list = [b"" if len(w) <= 48 else array("i", merged(w, v.byte_ids, v.merges)).tobytes() for w in words]
+    which = np.array([i for i, w in enumerate(words) if 0 < len(w) <= 48], np.int64)
+    if not len(which):
+        return out
+    sizes = np.array([len(words[i]) for i in which], np.int64)
+    ids = np.array(v.byte_ids, np.int64)[np.frombuffer(b"".join(words[i] for i in which), np.uint8)]
+    rank, joined = v.look_up(ids, np.append(ids[1:], 0))
+    rank[np.cumsum(sizes) - 1] = NEVER[0]  # no pair reaches into the next word
+    while len(which):
+        starts = np.cumsum(sizes) - sizes
+        best = np.minimum.reduceat(rank, starts)
+        done = best == NEVER[0]
+        if done.any():
+            for i, a, n in zip(which[done].tolist(), starts[done].tolist(), sizes[done].tolist()):
+                out[i] = ids[a:a + n].astype(np.int32).tobytes()
+            open_ = np.repeat(~done, sizes)
+            ids, rank, joined = ids[open_], rank[open_], joined[open_]
+            which, sizes, best = which[~done], sizes[~done], best[~done]
+            if not len(which):
+                break
+        word = np.repeat(np.arange(len(which)), sizes)
+        at = np.flatnonzero(rank == best[word])
+        at = at[np.r_[True, word[at[1:]] != word[at[:-1]]]]  # the leftmost of each word
+        ids[at], rank[at] = joined[at], rank[at + 1]
+        kept = np.ones(len(ids), bool)
+        kept[at + 1] = False
+        at -= np.arange(len(at))  # one place fewer for each word before
+        ids, rank, joined = ids[kept], rank[kept], joined[kept]
+        sizes -= 1
+        ends = np.cumsum(sizes)
+        right = at[at + 1 < ends]
+        rank[right], joined[right] = v.look_up(ids[right], ids[right + 1])
+        rank[ends - 1] = NEVER[0]
+        left = at[at > ends - sizes] - 1
+        rank[left], joined[left] = v.look_up(ids[left], ids[left + 1])
+    return out
+
+
 # --------------------------------------------------------------------- the transducer
 
 
@@ -199,6 +255,31 @@ class Lexicon:
             at += size
         self.starts, self.targets, self.outs, self.ends, self.pool = views
         self.labels = at
+        # arcs by node and label, for many words at a time; arcs of a node are sorted by label
+        self.nodes = np.frombuffer(self.ends, np.uint32)
+        owner = np.repeat(np.arange(len(self.starts) - 1), np.diff(np.frombuffer(self.starts, np.uint32).astype(np.int64)))
+        self.arcs = owner << 8 | np.frombuffer(self.map, np.uint8, len(owner), at)
+        self.to = np.frombuffer(self.targets, np.uint32).astype(np.int64)
+
+    def holds(self, words: list[bytes]) -> np.ndarray:
+        """Which of ``words`` are in the lexicon: all walk the automaton together, a byte at a time."""
+        found = np.zeros(len(words), bool)
+        if not len(self.arcs) or not words:
+            return found
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        start = np.cumsum(size) - size
+        text = np.frombuffer(b"".join(words), np.uint8)
+        here, node, depth = np.arange(len(words)), np.full(len(words), self.root, np.int64), 0
+        while len(here):
+            end = size[here] == depth
+            last = node[end]
+            found[here[end]] = self.nodes[last + 1] > self.nodes[last]
+            here, node = here[~end], node[~end]
+            wanted = node << 8 | text[start[here] + depth]
+            arc = np.minimum(np.searchsorted(self.arcs, wanted), len(self.arcs) - 1)
+            hit = self.arcs[arc] == wanted
+            here, node, depth = here[hit], self.to[arc[hit]], depth + 1
+        return found
 
     def get(self, word: bytes) -> list[int] | None:
         """The ids of ``word``, or None if it is not in the lexicon."""
@@ -226,13 +307,13 @@ class Memo:
         self.young: dict = {}
         self.old: dict = {}
 
-    def get(self, key: str) -> bytes | None:
+    def get(self, key: str):
         found = self.old.get(key)
         if found is not None:
             self.put(key, found)
         return found
 
-    def put(self, key: str, value: bytes) -> None:
+    def put(self, key: str, value) -> None:
         if len(self.young) >= MEMO_LIMIT // 2:
             self.old, self.young = self.young, {}
         if len(key) <= 64:
@@ -250,51 +331,105 @@ class Codec:
         self.chunks, self.pieces = Memo(), Memo()
         self.added = re.compile("(" + "|".join(map(re.escape, vocabulary.added)) + ")") if vocabulary.added else None
 
-    def piece(self, piece: str) -> bytes:
-        """Ids of a piece of the pattern as 32-bit integers."""
-        found = self.pieces.young.get(piece)
-        if found is None:
-            found = self.pieces.get(piece)
-        if found is None:
-            word = piece.encode("utf-8", "replace")
-            ids = self.lexicon.get(word)
-            found = array("i", merged(word, self.v.byte_ids, self.v.merges) if ids is None else ids).tobytes()
-            self.pieces.put(piece, found)
-        return found
-
-    def after_space(self, chunk: str) -> bytes:
-        """Ids of a space and ``chunk``. A word, or a word and its stops, needs no pattern to split."""
+    def pieces_of(self, chunk: str) -> list[str]:
+        """The pattern's pieces of a space and ``chunk``. A word, or a word and its stops, needs no pattern to split."""
         core = chunk.rstrip(".,")
         if core.isalpha():
-            return self.piece(" " + core) + self.piece(chunk[len(core):]) if len(core) < len(chunk) else self.piece(" " + chunk)
-        return b"".join(map(self.piece, self.split(" " + chunk)))
+            return [" " + core, chunk[len(core):]] if len(core) < len(chunk) else [" " + chunk]
+        return self.split(" " + chunk)
+
+    def coded(self, parted: list[list[str]]) -> list[bytes]:
+        """Ids of lists of pieces: those at hand, those of the lexicon, and the others by merging, all at once."""
+        local: dict[str, bytes] = {}
+        new: list[str] = []
+        for pieces in parted:
+            for piece in pieces:
+                if piece not in local:
+                    found = self.pieces.young.get(piece) or self.pieces.get(piece)
+                    local[piece] = found or b""
+                    if found is None:
+                        new.append(piece)
+        words = [p.encode("utf-8", "replace") for p in new]
+        known = self.lexicon.holds(words)
+        unseen = iter(merged_many([w for w, k in zip(words, known) if not k], self.v))
+        for piece, word, k in zip(new, words, known):
+            local[piece] = array("i", self.lexicon.get(word)).tobytes() if k else next(unseen)
+            self.pieces.put(piece, local[piece])
+        return [local[p[0]] if len(p) == 1 else b"".join([local[x] for x in p]) for p in parted]
+
+    def chunk_entries(self, chunks: list[str]) -> list[tuple[bytes, str]]:
+        """Ids of a space and each of ``chunks``, and the text those ids stand for."""
+        found = [self.chunks.young.get(c) or self.chunks.get(c) for c in chunks]
+        lacking = [i for i, f in enumerate(found) if f is None]
+        for i, ids in zip(lacking, self.coded([self.pieces_of(chunks[i]) for i in lacking])):
+            found[i] = (ids, self.decode(array("i", ids)))
+            self.chunks.put(chunks[i], found[i])
+        return found
 
-    def plain(self, text: str) -> Iterator[bytes]:
+    def plain(self, text: str) -> bytes:
         first, *rest = CHUNK.split(text)
-        if first:
-            yield b"".join(map(self.piece, self.split(first)))
-        chunks = self.chunks
-        for part in rest:
-            found = chunks.young.get(part)
-            if found is None:
-                found = chunks.get(part)
-                if found is None:
-                    found = self.after_space(part)
-                    chunks.put(part, found)
-            yield found
+        parted = [self.split(first)] if first else []
+        return b"".join(self.coded(parted + [self.pieces_of(c) for c in rest]))
 
     def encode(self, text: str) -> bytes:
         """Ids of ``text`` as 32-bit integers."""
         if not self.added or not self.added.search(text):
-            return b"".join(self.plain(text))
-        parts = []
-        for part in self.added.split(text):
-            parts += [np.int32(self.v.added[part]).tobytes()] if part in self.v.added else self.plain(part)
-        return b"".join(parts)
+            return self.plain(text)
+        return b"".join(np.int32(self.v.added[part]).tobytes() if part in self.v.added else self.plain(part) for part in self.added.split(text))
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.v.tokens.__getitem__, ids)).decode("utf-8", "replace")
 
+    def batch(self, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Ids of each text, and the text decoded from them.
+
+        Texts are parted at spaces by Arrow; each distinct chunk of the batch is encoded and decoded once, and the
+        chunks of a text are put together by position. A chunk starts and ends with whole characters, so the
+        decoded chunks in a row are the decoded text. Texts with an added token, or with a space
+        that does not end a chunk, are encoded one by one.
+        """
+        texts = pc.fill_null(texts, "")
+        slow = np.zeros(len(texts), bool)
+        for token in self.v.added:
+            slow |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        lists = pc.split_pattern(texts.filter(pa.array(~slow)), " ")
+        sizes = pc.list_value_length(lists).to_numpy()
+        coded = lists.flatten().dictionary_encode()
+        chunks, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        of_text = np.repeat(np.flatnonzero(~slow), sizes)
+        first = np.zeros(len(codes), bool)
+        first[np.cumsum(sizes) - sizes] = True
+        odd = np.array([not c or c[0] in BLANK for c in chunks], bool)
+        slow[of_text[odd[codes] & ~first]] = True
+
+        at = ~slow[of_text]
+        codes, first, of_text = codes[at], first[at], of_text[at]
+        used = np.zeros(len(chunks), bool)
+        used[codes[~first]] = True
+        entries: list = [(b"", "")] * len(chunks)
+        for i, found in zip(np.flatnonzero(used).tolist(), self.chunk_entries([chunks[i] for i in np.flatnonzero(used)])):
+            entries[i] = found
+        heads = self.coded([self.split(chunks[c]) for c in codes[first]])  # no space before them
+        whole = [self.encode(t) for t in texts.filter(pa.array(slow)).to_pylist()]
+        entry = codes.copy()
+        entry[first] = len(entries) + np.arange(len(heads))
+        entry = np.concatenate([entry, len(entries) + len(heads) + np.arange(len(whole))])
+        of_text = np.concatenate([of_text, np.flatnonzero(slow)])
+        order = np.argsort(of_text, kind="stable")
+        entry, of_text = entry[order], of_text[order]
+
+        entries += [(ids, self.decode(array("i", ids))) for ids in heads + whole]
+        blocks = [ids for ids, _ in entries]
+        length = np.fromiter(map(len, blocks), np.int64, len(blocks)) // 4
+        ids, start = np.frombuffer(b"".join(blocks), np.int32), np.cumsum(length) - length
+        size = length[entry]
+        source = np.repeat(start[entry] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        per_text = np.searchsorted(of_text, np.arange(len(texts) + 1))
+        ends = np.concatenate([[0], np.cumsum(size)])[per_text].astype(np.int32)
+        said = pa.array([text for _, text in entries], pa.string())
+        parts = pa.ListArray.from_arrays(pa.array(per_text.astype(np.int32)), said.take(pa.array(entry)))
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids[source])), pc.binary_join(parts, "")
+
 
 def frequent_words(docs: DataFrame, text: str, limit: int) -> list[str]:
     """At most ``limit`` of the most frequent chunks between spaces, by lossy counting over all documents."""
@@ -302,13 +437,14 @@ def frequent_words(docs: DataFrame, text: str, limit: int) -> list[str]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         floor = 1
-        for batch in batches:
-            for value in batch.column(0):
-                seen.update(CHUNK.split(value.as_py() or "")[1:])
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS):
+                found = pc.value_counts(pc.split_pattern(pc.fill_null(whole.column(0).slice(start, ROWS), ""), " ").flatten())
+                seen.update(dict(zip(found.field(0).to_pylist(), found.field(1).to_pylist())))
                 while len(seen) > COUNT_LIMIT:
                     seen = Counter({w: n for w, n in seen.items() if n > floor})
                     floor += 1
-        kept = [(w, n) for w, n in seen.items() if n > 1 and len(w) <= 64]
+        kept = [(w, n) for w, n in seen.items() if n > 1 and w and len(w) <= 64]
         if kept:
             yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept]), pa.array([n for _, n in kept], pa.int64())], ["word", "n"])
 
@@ -339,21 +475,16 @@ def encode_documents(
 ) -> DataFrame:
     """``docs`` with the ids of each text and the text decoded from those ids."""
     vocabulary = Vocabulary(vocabulary_path)
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, lexicon_of(frequent_words(docs, text, lexicon_words), vocabulary)))
+    shared = shipped(docs.sparkSession, (vocabulary, lexicon_of(frequent_words(docs, text, lexicon_words), vocabulary)))
     kept = [c for c in docs.columns if c not in (ids, decoded)]
     schema = T.StructType([docs.schema[c] for c in kept]).add(ids, T.ArrayType(T.IntegerType())).add(decoded, T.StringType())
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(*shared.value)
+        codec = Codec(*received(shared))
         for whole in batches:
             for start in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(start, ROWS)
-                blocks = [codec.encode(t or "") for t in batch.column(text_at).to_pylist()]
-                values = np.frombuffer(b"".join(blocks), np.int32)
-                ends = np.cumsum([0] + [len(b) // 4 for b in blocks]).astype(np.int32)
-                back = [codec.decode(values[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:])]
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
-                yield pa.RecordBatch.from_arrays([*batch.columns, lists, pa.array(back, pa.string())], [*kept, ids, decoded])
+                yield pa.RecordBatch.from_arrays([*batch.columns, *codec.batch(batch.column(text_at))], [*kept, ids, decoded])
 
     text_at = kept.index(text)
     return docs.select(*kept).mapInArrow(code, schema)

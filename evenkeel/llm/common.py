@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 
+from pyspark import cloudpickle
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +22,19 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 SMALL_ROWS = 200_000
 
 
+def shipped(spark: SparkSession, value) -> Broadcast:
+    """A broadcast of ``value`` that tasks open with ``received``.
+
+    Pickled as functions are, so the classes of this subpackage travel with their objects and
+    executors need no copy of it; a plain broadcast would name the class and leave the import to them.
+    """
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(shared: Broadcast):
+    return pickle.loads(shared.value)
+
+
 def text_of(column: str = "text") -> Column:
     """The text, empty where null."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import fresh, partitions, written
+from evenkeel.llm.common import fresh, partitions, received, shipped, written
 from evenkeel.llm.near_dedup import WordHashes
 
 K = 5
@@ -341,7 +341,7 @@ def score_documents(docs: DataFrame, learns: Column, key: str = "doc_id", text:
     start_salts = math.ceil((batches.agg(F.sum(F.size("ids"))).first()[0] or 0) / SPLIT_TOKENS)
     on_pairs = written(_count_pairs(batches, on_words, parts, lower, start_salts), "pair-counts")
     discounts = Discounts(_totals(on_pairs)[0])
-    shared = docs.sparkSession.sparkContext.broadcast(_split_totals(on_pairs))
+    shared = shipped(docs.sparkSession, _split_totals(on_pairs))
 
     def scored(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -354,7 +354,7 @@ def score_documents(docs: DataFrame, learns: Column, key: str = "doc_id", text:
             n, held = read("n").astype(np.int64), read("held").astype(np.float64)
             asked = np.minimum.reduceat(n, np.cumsum(runs) - runs) == 0
             few, many, mass = read("few").reshape(-1, K).astype(np.float64), read("many").astype(np.float64), read("mass").view(np.float64)
-            split, *sums = shared.value
+            split, *sums = received(shared)
             own = np.searchsorted(split, context[of > 1])
             held[of > 1] = sums[0][own]
             own = np.searchsorted(split, context[asked & (of > 1)])

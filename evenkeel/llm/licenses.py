@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evenkeel.llm.common import received, shipped
+
 #: Documents whose paragraphs may serve as examples of no licence.
 SAMPLE = 1000
 OTHERS = 3000
@@ -289,11 +291,11 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Classifier:
 
 def scan_documents(docs: DataFrame, model: Classifier, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_paragraphs, licences): licences hold paragraph, family, probability and similarity."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = shipped(docs.sparkSession, model)
     licence = pa.struct([("paragraph", pa.int32()), ("family", pa.string()), ("probability", pa.float64()), ("similarity", pa.float64())])
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = received(shared)
         for batch in batches:
             lines, found = [], []
             for value in batch.column(1):

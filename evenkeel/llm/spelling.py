@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import counted_small, text_of, written
+from evenkeel.llm.common import counted_small, received, shipped, text_of, written
 from evenkeel.llm.runs import scattered
 
 LEAST_LENGTH = 6
@@ -310,10 +310,10 @@ def dealt(vocabulary: DataFrame, trees: dict[int, list]) -> DataFrame:
 
     ``longer`` is 1 for the search of words one letter shorter; members take part in both searches of their cell.
     """
-    shared = vocabulary.sparkSession.sparkContext.broadcast(trees)
+    shared = shipped(vocabulary.sparkSession, trees)
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        trees = shared.value
+        trees = received(shared)
         for frame in frames:
             for length, group in frame.groupby(frame["word"].str.len()):
                 vectors = vectors_of(codes_of(group["word"].tolist(), int(length)))

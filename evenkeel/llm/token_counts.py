@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from evenkeel.llm.common import received, shipped
+
 #: Pre-tokens a task keeps at hand before it starts anew; longer ones are merged each time.
 MEMO_LIMIT = 400_000
 MEMO_LENGTH = 64
@@ -167,12 +169,12 @@ class Counter:
 def count_tokens(docs: DataFrame, model_path: str, text: str = "text", n_bytes: str = "n_bytes", n_tokens: str = "n_tokens") -> DataFrame:
     """``docs`` with the UTF-8 bytes and the tokens of each text."""
     pieces = read_model(model_path)
-    shared = docs.sparkSession.sparkContext.broadcast((pieces, whole_tokens(pieces), neighbours(pieces)))
+    shared = shipped(docs.sparkSession, (pieces, whole_tokens(pieces), neighbours(pieces)))
     kept = [c for c in docs.columns if c not in (n_bytes, n_tokens)]
     schema = T.StructType([docs.schema[c] for c in kept]).add(n_bytes, T.LongType()).add(n_tokens, T.LongType())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(*shared.value)
+        counter = Counter(*received(shared))
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counter.texts(batch.column(text_at)))], [*kept, n_bytes, n_tokens])
 

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evenkeel.llm.common import received, shipped
 from evenkeel.llm.quality import labelled_sample
 
 SAMPLE = 8000
@@ -180,11 +181,11 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, label: str = "tox
 
 def score_documents(docs: DataFrame, index: Index | float, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, score, evidence): evidence lists the ids of the toxic neighbours, nearest first."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    shared = shipped(docs.sparkSession, index)
     kind = docs.schema[key].dataType
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
+        index = received(shared)
         memo = None if isinstance(index, float) else Terms(index.terms)
         none = index if memo is None else index.score([])
         for batch in batches:

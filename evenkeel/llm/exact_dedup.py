@@ -1,9 +1,10 @@
 """Exact deduplication over a persistent digest index, bucketed and sorted by digest.
 
-The index is a Parquet table of one row per distinct text. A batch of documents is reduced to
+The index is a Parquet table. A batch of documents is reduced to
 one entry per digest (partial aggregation, so a text with a third of all rows sends one row
 per task), a sort-merge anti-join against the index finds the digests that are new, and those
-are appended. Only the batch is shuffled: the index is already bucketed by digest.
+are appended with the row that stays; digests known before get a row that adds their count. Only the batch is shuffled:
+the index is already bucketed by digest, so its rows of a digest are summed where they are.
 
 Defined cases: null text counts as empty; all empty texts are one group; a null id loses ties;
 rows that repeat an id with an equal text are members of one group and share its fate; an empty
@@ -44,38 +45,51 @@ class DigestIndex:
         self.spark, self.buckets = spark, buckets
         self.name = f"digest_index_{uuid.uuid4().hex}"
         spark.sql(
-            f"CREATE TABLE {self.name} (digest BINARY, keep_id {key_type}, chars BIGINT, group_size BIGINT) USING parquet "
+            f"CREATE TABLE {self.name} (digest BINARY, keep_id {key_type}, chars BIGINT, group_size BIGINT, is_first BOOLEAN) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'"
         )
 
     def table(self) -> DataFrame:
-        return self.spark.table(self.name)
+        """(digest, keep_id, group_size) of every text indexed so far."""
+        return self.spark.table(self.name).groupBy("digest").agg(
+            F.max_by("keep_id", "is_first").alias("keep_id"), F.sum("group_size").alias("group_size"))
 
-    def append(self, rows: DataFrame) -> None:
-        """Add the texts of ``rows`` (of ``thin``) that the index does not hold yet.
+    def close(self) -> None:
+        """Forget the name; the files stay, and so do frames that read them."""
+        self.spark.sql(f"DROP TABLE {self.name}")
 
-        Of equal texts the longest original stays, then the smallest id.
+    def append(self, rows: DataFrame) -> DataFrame:
+        """Add the texts of ``rows`` (of ``thin``); returns the batch's (digest, rows).
+
+        Of equal texts new to the index the longest original stays, then the smallest id.
         """
         # one row per (digest, length) first: both steps aggregate before their shuffle
         entries = rows.groupBy("digest", "chars").agg(F.min("doc_id").alias("id"), F.count("*").alias("n")).groupBy("digest").agg(
             F.max_by("id", "chars").alias("keep_id"), F.max("chars").alias("chars"), F.sum("n").alias("group_size"))
         # written, or the optimizer would push the anti-join, and with it every row, below the aggregation
         entries = written(entries, "entries")
-        known = self.table().select("digest").hint("merge")
-        new = entries.join(known, "digest", "left_anti").select("digest", "keep_id", "chars", "group_size")
-        new.write.insertInto(self.name)
+        known = self.spark.table(self.name).filter("is_first").select("digest").hint("merge")
+        new = entries.join(known, "digest", "left_anti").withColumn("is_first", F.lit(True))
+        again = entries.join(known, "digest", "left_semi").withColumn("is_first", F.lit(False))
+        columns = ["digest", "keep_id", "chars", "group_size", "is_first"]
+        # both are computed before either is added
+        written(new.unionByName(again).select(*columns), "index-rows").write.insertInto(self.name)
+        return entries.select("digest", F.col("group_size").alias("rows"))
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", index_path: str | None = None) -> DataFrame:
     """One row per document with the row that stays for its text.
 
-    With an ``index_path`` of earlier batches, texts seen before keep the row indexed first.
+    With an ``index_path`` of earlier batches, texts seen before keep the row indexed first, and
+    ``group_size`` counts the rows of all batches so far.
     """
     spark = docs.sparkSession
     rows = written(thin(docs, key, text), "digests")
     index = DigestIndex(
         spark, index_path or fresh(spark, "digest-index"), partitions(spark), rows.schema["doc_id"].dataType.simpleString())
-    index.append(rows)
-    table = index.table().select("digest", "keep_id", "group_size")
-    found = joined_by_share(rows.select("doc_id", "digest"), table, ["digest"], "group_size", rows.count())
+    batch = index.append(rows)
+    # keys are hot by their rows in this batch, whatever the index holds of them
+    table = written(batch.join(index.table().hint("merge"), "digest"), "batch-groups")
+    index.close()
+    found = joined_by_share(rows.select("doc_id", "digest"), table, ["digest"], "rows", rows.count()).drop("rows")
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))

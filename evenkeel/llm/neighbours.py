@@ -9,7 +9,9 @@ are verified on the original vectors.
 The upper levels of the kd-tree split a bounded sample of projections into cells of about
 ``CELL_ROWS`` rows; every row is then indexed in its cell, and a task holds one cell with a
 smaller kd-tree. A query searches its own cell first; the radius found there names the further
-cells it must visit. Queries of a much visited cell are dealt over copies of the cell.
+cells it must visit. Queries of a much visited cell are dealt over copies of the cell; a cell that
+holds more than ``PART_ROWS`` rows, as the sample bounds the number of cells, is dealt to parts with a tree each,
+and its queries search them all.
 
 Equal vectors are indexed once with their least ids, k + 1 of them, which is all that any list of
 k neighbours can show; the reduction is map-side, so a vector of a third of all rows stays small.
@@ -28,11 +30,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import fresh, written
+from evenkeel.llm.common import joined_by_share, written
 
 DIMENSIONS = 8
 CONFIDENCE = 0.99
 CELL_ROWS = 16_384
+PART_ROWS = 65_536
 #: Projections the upper tree may be fitted on, and how many each cell needs of them.
 SAMPLE = 1_000_000
 SAMPLE_PER_CELL = 32
@@ -106,8 +109,8 @@ class Leaves:
         self.low = np.stack([points[p].min(0) for p in parts])
         self.high = np.stack([points[p].max(0) for p in parts])
 
-    def search(self, vectors: np.ndarray, query: np.ndarray, at: np.ndarray, k: int, bound: float, factor: float) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and distances of the nearest found; ``bound`` is a k-th squared distance known before."""
+    def search(self, vectors: np.ndarray, first: np.ndarray, query: np.ndarray, at: np.ndarray, k: int, bound: float, factor: float) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and distances of the nearest found, ties to the smaller of ``first``; ``bound`` is a k-th squared distance known before."""
         gap = np.maximum(0, np.maximum(self.low - at, at - self.high))
         reach = (gap * gap).sum(1)
         rows, found = np.zeros(0, np.int64), np.zeros(0)
@@ -120,7 +123,8 @@ class Leaves:
                 rows = np.concatenate([rows, near])
                 found = np.concatenate([found, ((vectors[near] - query) ** 2).sum(1)])
                 if len(found) >= k:
-                    keep = np.argsort(found, kind="stable")[:k]
+                    # equal distances are cut by id; a row's least id is enough, as each row has one at least
+                    keep = np.lexsort((first[rows], found))[:k]
                     rows, found = rows[keep], found[keep]
                     bound = min(bound, float(found[-1]))
         return rows, found
@@ -138,8 +142,9 @@ def search_cell(points: pd.DataFrame, queries: pd.DataFrame, k: int, factor: flo
             vectors = np.stack(mine["vec"].to_numpy()).astype(np.float64)
             tree = Leaves(np.stack(mine["proj"].to_numpy()))
             ids = mine["ids"].to_numpy()
+            first = np.array([x[0] for x in ids])
             for q in queries[of_query == n].itertuples(index=False):
-                rows, found = tree.search(vectors, np.asarray(q.vec, np.float64), np.asarray(q.proj), k, q.bound, factor)
+                rows, found = tree.search(vectors, first, np.asarray(q.vec, np.float64), np.asarray(q.proj), k, q.bound, factor)
                 out["query"] += [q.query] * len(rows)
                 out["ids"] += [ids[r] for r in rows]
                 out["squared"] += found.tolist()
@@ -156,7 +161,7 @@ def usable(vec: Column) -> Column:
 
 def nearest(
     rows: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", vector: str = "embedding", confidence: float = CONFIDENCE,
-    m: int = DIMENSIONS, cell_rows: int = CELL_ROWS, seed: int = SEED,
+    m: int = DIMENSIONS, cell_rows: int = CELL_ROWS, seed: int = SEED, part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """(query_id, rank, id, score): the ``k`` nearest rows found for each query, itself left out."""
     spark = rows.sparkSession
@@ -197,20 +202,25 @@ def nearest(
     asking = valid.filter("asks").select("id", "vec")
     asked = written(asking.select("vec").distinct().join(points.select("vec", "proj", "cell"), "vec").withColumn("query", F.sha2(F.to_json(F.struct("vec")).cast("binary"), 256)), "queries")
     first_schema = f"query string, ids array<{name}>, squared double, home long"
-
-    def run(at: DataFrame, salted: dict[int, int]) -> DataFrame:
-        """Search the cells that the rows of ``at`` name; ``salted``: copies of a much visited cell."""
-        many = F.lit(1)
-        if salted:
-            many = F.coalesce(F.create_map(*[F.lit(x) for kv in salted.items() for x in kv])[F.col("cell")], F.lit(1))
-        left = points.withColumn("salt", F.explode(F.sequence(F.lit(0), many - 1)))
-        right = at.withColumn("salt", F.pmod(F.xxhash64("query"), many).cast("int"))
-        return left.groupBy("cell", "salt").cogroup(right.groupBy("cell", "salt")).applyInPandas(
+    held = written(points.groupBy("cell").agg(F.ceil(F.count("*") / part_rows).cast("int").alias("parts")), "cell-parts")
+
+    def run(at: DataFrame) -> DataFrame:
+        """Search the cells that the rows of ``at`` name: copies of a much visited cell, parts of a large one."""
+        visited = at.groupBy("cell").agg(F.ceil(F.count("*") / QUERIES_PER_TASK).cast("int").alias("copies"))
+        dealt = F.broadcast(held.join(visited, "cell"))  # one row per cell, bounded by the sample
+        mine = F.pmod(F.xxhash64("vec"), F.col("parts")).cast("int")
+        left = points.join(dealt, "cell").withColumn("part", mine).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+        right = at.join(dealt, "cell").withColumn("copy", F.pmod(F.xxhash64("query"), F.col("copies")).cast("int")).withColumn(
+            "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        by = ["cell", "part", "copy"]
+        return left.drop("parts", "copies").groupBy(*by).cogroup(right.drop("parts", "copies").groupBy(*by)).applyInPandas(
             lambda p, q: search_cell(p, q, k + 1, factor), first_schema)
 
-    home = written(run(asked.select("query", "vec", "proj", "cell", F.lit(math.inf).alias("bound"), F.col("cell").alias("home")), {}), "own-cell")
+    home = written(run(asked.select("query", "vec", "proj", "cell", F.lit(math.inf).alias("bound"), F.col("cell").alias("home"))), "own-cell")
     # the (k+1)-th distance in the own cell bounds what other cells must beat
-    worst = home.groupBy("query").agg(F.when(F.count("*") > k, F.max("squared")).otherwise(F.lit(math.inf)).alias("bound"))
+    in_order = F.row_number().over(Window.partitionBy("query").orderBy("squared"))
+    worst = home.select("query", "squared", in_order.alias("n")).groupBy("query").agg(
+        F.coalesce(F.min(F.when(F.col("n") == k + 1, F.col("squared"))), F.lit(math.inf)).alias("bound"))
 
     def visits(batches):
         for pdf in batches:
@@ -223,13 +233,15 @@ def nearest(
 
     away = asked.join(worst, "query", "left").select("query", "vec", "proj", F.coalesce("bound", F.lit(math.inf)).alias("bound"), F.col("cell").alias("home"))
     away = written(away.mapInPandas(visits, "query string, vec array<double>, proj array<double>, cell long, bound double, home long"), "visits")
-    load = {r["cell"]: -(-r["n"] // QUERIES_PER_TASK) for r in away.groupBy("cell").agg(F.count("*").alias("n")).filter(F.col("n") > QUERIES_PER_TASK).collect()}
-    found = home.unionByName(run(away, load)).select("query", F.explode("ids").alias("id"), "squared")
+    found = home.unionByName(run(away)).select("query", F.explode("ids").alias("id"), "squared")
     best = Window.partitionBy("query").orderBy("squared", "id")
     found = found.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1).select("query", F.col("id").alias("vec_id"), "squared")
     found = found.join(asked.select("query", "vec"), "query")
     # ids of a common vector may be many: each takes the same short list
     lists = found.groupBy("vec").agg(F.sort_array(F.collect_list(F.struct("squared", "vec_id"))).alias("near"))
-    own = asking.distinct().join(lists, "vec").select(F.col("id").alias("query_id"), F.filter("near", lambda x: x["vec_id"] != F.col("id")).alias("near"))
+    asking = written(asking.distinct(), "asking")
+    lists = lists.join(asking.groupBy("vec").agg(F.count("*").alias("rows")), "vec")
+    own = joined_by_share(asking, written(lists, "lists"), ["vec"], "rows", max(1, asking.count()))
+    own = own.select(F.col("id").alias("query_id"), F.filter("near", lambda x: x["vec_id"] != F.col("id")).alias("near"))
     return own.select("query_id", F.posexplode(F.slice("near", 1, k)).alias("at", "x")).select(
         "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias(key), F.sqrt("x.squared").alias("score"))

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import counted_small, joined_by_share, written
+from evenkeel.llm.common import counted_small, joined_by_share, received, shipped, written
 
 SKETCH = 64
 #: Lists that two like sets of any size share at least, apart from short sets.
@@ -45,6 +45,9 @@ CROWD = 500
 BLOCK_ROWS = 1000
 BLOCK_VALUES = 1_500_000
 WIDE = 2048
+#: Binary digits of the number of counters that order values by frequency, and counts added up at a time.
+COUNTERS = 22
+FAN_IN = 32
 #: In each turn the leaders of a list up to this rank meet the members.
 TURNS = (1, 3)
 MEMO_LIMIT = 300_000
@@ -153,16 +156,23 @@ def verified(pairs: DataFrame, docs: DataFrame, key: str, text: str, width: int,
 def components(edges: DataFrame) -> DataFrame:
     """(doc_id, component): the least id reachable, for every id with an edge.
 
-    Labels spread to neighbours and then jump to the label of their label, until nothing changes.
+    Labels spread to neighbours and then jump to the label of their label, until nothing changes. A leader
+    with a large share of all edges, or a label of a large share of all ids, is joined by broadcast.
     """
     both = written(edges.union(edges.select("b", "a")).distinct(), "edges")
+    degree = written(both.groupBy(F.col("b").alias("doc_id")).agg(F.count("*").alias("rows")), "degrees")
+    total = max(1, both.count())
     labels = written(both.groupBy(F.col("a").alias("doc_id")).agg(F.least(F.min("a"), F.min("b")).alias("component")), "labels")
+    ids = degree.count()
     while True:
-        near = both.join(labels, both.b == labels.doc_id).groupBy("a").agg(F.min("component").alias("near"))
+        known = labels.join(degree, "doc_id").select(F.col("doc_id").alias("b"), "component", "rows")
+        near = joined_by_share(both, known, ["b"], "rows", total).groupBy("a").agg(F.min("component").alias("near"))
         spread = labels.join(near, labels.doc_id == near.a).select("doc_id", "component", F.least("component", "near").alias("next"))
         spread = written(spread, "spread")
-        jump = spread.select(F.col("doc_id").alias("next"), F.col("next").alias("further"))
-        moved = written(spread.join(jump, "next").select("doc_id", F.col("further").alias("component"), (F.col("further") < F.col("component")).alias("moved")), "labels")
+        often = spread.groupBy("next").agg(F.count("*").alias("rows"))
+        jump = spread.select(F.col("doc_id").alias("next"), F.col("next").alias("further")).join(often, "next")
+        moved = joined_by_share(spread, jump, ["next"], "rows", max(1, ids))
+        moved = written(moved.select("doc_id", F.col("further").alias("component"), (F.col("further") < F.col("component")).alias("moved")), "labels")
         labels = moved.select("doc_id", "component")
         if not moved.filter("moved").head(1):
             return labels
@@ -221,6 +231,49 @@ def _by_size(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     return each.filter((cross > 0) & (cross <= CROWD)).select("key"), each.filter(cross > CROWD).select("key")
 
 
+def bucket_of(values: np.ndarray) -> np.ndarray:
+    """The counter of each value."""
+    return (scattered(values.astype(np.uint64)) >> np.uint64(64 - COUNTERS)).astype(np.int64)
+
+
+def value_counts(full: DataFrame) -> np.ndarray:
+    """How many sets hold a value of each of 2^``COUNTERS`` counters; values share counters by hash.
+
+    The size is fixed, whatever the number of values. Tasks count for themselves, and their counts are added up
+    ``FAN_IN`` at a time, a part of the counters in each group.
+    """
+    width = 1 << (COUNTERS - 4)
+
+    def packed(part: int, at: np.ndarray, n: np.ndarray) -> dict:
+        return {"part": part, "at": at.astype(np.int64).tobytes(), "n": n.astype(np.int64).tobytes()}
+
+    def count(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << COUNTERS, np.int64)
+        for batch in frames:
+            at, n = np.unique(bucket_of(batch.column(0).flatten().to_numpy()), return_counts=True)
+            total[at] += n
+        held = np.flatnonzero(total)
+        cut = np.searchsorted(held, np.arange(17) * width)
+        for part in range(16):
+            at = held[cut[part]:cut[part + 1]]
+            if len(at):
+                yield pa.RecordBatch.from_pylist([packed(part, at, total[at])], pa.schema([("part", pa.int32()), ("at", pa.binary()), ("n", pa.binary())]))
+
+    def added(rows: pd.DataFrame) -> pd.DataFrame:
+        at = np.concatenate([np.frombuffer(b, np.int64) for b in rows["at"]])
+        n = np.concatenate([np.frombuffer(b, np.int64) for b in rows["n"]])
+        held, which = np.unique(at, return_inverse=True)
+        return pd.DataFrame([packed(int(rows["part"].iloc[0]), held, np.bincount(which, n).astype(np.int64))]).assign(turn=int(rows["turn"].iloc[0]) // FAN_IN)
+
+    blocks = written(full.select("values").mapInArrow(count, "part int, at binary, n binary").withColumn("turn", F.spark_partition_id()), "counts")
+    while (blocks.agg(F.max("turn")).first()[0] or 0) > 0:
+        blocks = written(blocks.groupBy("part", F.floor(F.col("turn") / FAN_IN)).applyInPandas(added, "part int, at binary, n binary, turn int"), "counts")
+    total = np.zeros(1 << COUNTERS, np.int64)
+    for row in blocks.select("at", "n").collect():  # 16 parts at most
+        total[np.frombuffer(row["at"], np.int64)] += np.frombuffer(row["n"], np.int64)
+    return total
+
+
 def linked_in_block(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Links (a, b) that join components, among the full sets of one block.
 
@@ -267,8 +320,8 @@ def linked_in_block(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
 def _crowd_links(docs: DataFrame, classes: DataFrame, crowd: DataFrame, labels: DataFrame | None, key: str, text: str, width: int, percent: int) -> DataFrame:
     """Links between components of the classes of ``crowd``: prefix filtering, then full sets in blocks.
 
-    A similar pair shares one of the n - ceil(p n) + 1 rarest values of each. The classes that
-    share such a value are dealt to blocks of bounded size, and every two blocks of a value meet
+    A similar pair shares one of the n - ceil(p n) + 1 first values of each, in any one order of all values; that
+    of ``value_counts`` has the rare ones first. The classes that share such a value are dealt to blocks of bounded size, and every two blocks of a value meet
     in one task, which emits links alone.
     """
 
@@ -283,14 +336,23 @@ def _crowd_links(docs: DataFrame, classes: DataFrame, crowd: DataFrame, labels:
     kind = docs.schema[key].dataType.simpleString()
     texts = docs.select(F.col(key).alias("doc_id"), F.col(text)).join(counted_small(crowd, crowd.count()), "doc_id", "left_semi")
     full = written(texts.mapInArrow(sets, f"doc_id {kind}, values array<long>"), "crowd-sets")
-    values = full.select("doc_id", F.size("values").cast("long").alias("n"), F.explode("values").alias("key"))
-    often = written(values.groupBy("key").agg(F.count("*").alias("df")).filter("df > 1"), "crowd-counts")
-    known = values.join(often.hint("merge"), "key")
-    rank = F.row_number().over(Window.partitionBy("doc_id", "n").orderBy("df", "key"))
-    # values of one class are its rarest; they take the first places of its prefix and meet nobody
-    alone = F.col("n") - F.count("*").over(Window.partitionBy("doc_id", "n"))
-    length = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    prefix = known.withColumns({"at": rank, "alone": alone}).filter(F.col("at") + F.col("alone") <= length).select("doc_id", "key", "n")
+    shared = shipped(docs.sparkSession, value_counts(full))
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = received(shared)
+        for batch in batches:
+            sizes, keys = [], []
+            for value in batch.column(1):
+                v = value.values.to_numpy()
+                often = counts[bucket_of(v)]
+                first = np.lexsort((v, often))[:len(v) - -(-len(v) * percent // 100) + 1]
+                sizes.append(len(v))
+                keys.append(v[first[often[first] > 1]])  # a value of one class takes its place and meets nobody
+            ends = np.cumsum([0] + [len(x) for x in keys]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), lists], ["doc_id", "n", "keys"])
+
+    prefix = full.mapInArrow(rarest, f"doc_id {kind}, n long, keys array<long>").select("doc_id", F.explode("keys").alias("key"), "n")
     entries = written(_with_components(prefix, labels), "prefixes")
     few, crowded = _by_size(entries)
     # where few share a value, its pairs are cheaper than the sets of all who share it

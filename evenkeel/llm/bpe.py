@@ -38,9 +38,9 @@ LEXICON_WORDS = 30_000
 #: Words a counting task holds before it forgets the rarest.
 COUNT_LIMIT = 200_000
 #: Encoded words a task keeps at hand before it starts anew.
-MEMO_LIMIT = 400_000
+MEMO_LIMIT = 200_000
 #: Texts that are parted, encoded and put together at a time.
-ROWS = 4096
+ROWS = 2048
 
 # Unicode white space, and the pattern by which the vocabulary splits text.
 SPACES = "\t-\r \x85\xa0  -     　"
@@ -78,6 +78,12 @@ class Vocabulary:
         # the same merges as sorted columns: pair, rank, joined id
         pairs = sorted((a << 32 | b, rank, joined) for (a, b), (rank, joined) in self.merges.items())
         self.pairs, self.ranks, self.joined = (np.array([x[i] for x in pairs], np.int64) for i in range(3))
+        # pairs of bytes by place, and the bytes of every token in a row
+        single = np.array(self.byte_ids, np.int64)
+        self.byte_ranks, self.byte_joined = (x.reshape(256, 256) for x in self.look_up(np.repeat(single, 256), np.tile(single, 256)))
+        said = [self.tokens.get(i, b"") for i in range(max(self.tokens) + 1)]
+        self.token_sizes = np.fromiter(map(len, said), np.int64, len(said))
+        self.token_bytes = np.frombuffer(b"".join(said), np.uint8)
 
     def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and joined id of each pair; the rank of a pair that is never merged is above all."""
@@ -86,6 +92,13 @@ class Vocabulary:
         hit = self.pairs[at] == wanted
         return np.where(hit, self.ranks[at], NEVER[0]), np.where(hit, self.joined[at], -1)
 
+    def spelled(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The texts that runs of ``ids`` stand for, where each run spells whole characters; run i ends at ``ends[i + 1]``."""
+        sizes = self.token_sizes[ids]
+        source = np.repeat((np.cumsum(self.token_sizes) - self.token_sizes)[ids] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        offsets = np.concatenate([[0], np.cumsum(sizes)])[ends].astype(np.int32)
+        return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(offsets), pa.py_buffer(self.token_bytes[source]))
+
 
 def merged(word: bytes, byte_ids: list[int], merges: dict) -> list[int]:
     """Ids of ``word``: the pair of lowest rank, leftmost first, is joined until none is left."""
@@ -141,8 +154,9 @@ def merged_many(words: list[bytes], v: Vocabulary) -> list[bytes]:
     if not len(which):
         return out
     sizes = np.array([len(words[i]) for i in which], np.int64)
-    ids = np.array(v.byte_ids, np.int64)[np.frombuffer(b"".join(words[i] for i in which), np.uint8)]
-    rank, joined = v.look_up(ids, np.append(ids[1:], 0))
+    text = np.frombuffer(b"".join(words[i] for i in which), np.uint8)
+    ids, behind = np.array(v.byte_ids, np.int64)[text], np.append(text[1:], 0)
+    rank, joined = v.byte_ranks[text, behind], v.byte_joined[text, behind]
     rank[np.cumsum(sizes) - 1] = NEVER[0]  # no pair reaches into the next word
     while len(which):
         starts = np.cumsum(sizes) - sizes
@@ -307,13 +321,13 @@ class Memo:
         self.young: dict = {}
         self.old: dict = {}
 
-    def get(self, key: str):
-        found = self.old.get(key)
-        if found is not None:
+    def get(self, key: str) -> bytes | None:
+        found = self.young.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
             self.put(key, found)
         return found
 
-    def put(self, key: str, value) -> None:
+    def put(self, key: str, value: bytes) -> None:
         if len(self.young) >= MEMO_LIMIT // 2:
             self.old, self.young = self.young, {}
         if len(key) <= 64:
@@ -331,45 +345,67 @@ class Codec:
         self.chunks, self.pieces = Memo(), Memo()
         self.added = re.compile("(" + "|".join(map(re.escape, vocabulary.added)) + ")") if vocabulary.added else None
 
-    def pieces_of(self, chunk: str) -> list[str]:
-        """The pattern's pieces of a space and ``chunk``. A word, or a word and its stops, needs no pattern to split."""
-        core = chunk.rstrip(".,")
-        if core.isalpha():
-            return [" " + core, chunk[len(core):]] if len(core) < len(chunk) else [" " + chunk]
-        return self.split(" " + chunk)
+    def learn(self, words: list[str], local: dict[str, bytes]) -> None:
+        """Put the ids of ``words`` into ``local``: those of the lexicon, and the others by merging, all at once."""
+        spelt = [w.encode("utf-8", "replace") for w in words]
+        known = self.lexicon.holds(spelt)
+        unseen = iter(merged_many([w for w, k in zip(spelt, known) if not k], self.v))
+        for word, spelling, k in zip(words, spelt, known):
+            local[word] = array("i", self.lexicon.get(spelling)).tobytes() if k else next(unseen)
 
     def coded(self, parted: list[list[str]]) -> list[bytes]:
-        """Ids of lists of pieces: those at hand, those of the lexicon, and the others by merging, all at once."""
+        """Ids of lists of the pattern's pieces."""
         local: dict[str, bytes] = {}
-        new: list[str] = []
+        new: dict[str, None] = {}
         for pieces in parted:
             for piece in pieces:
-                if piece not in local:
-                    found = self.pieces.young.get(piece) or self.pieces.get(piece)
-                    local[piece] = found or b""
-                    if found is None:
-                        new.append(piece)
-        words = [p.encode("utf-8", "replace") for p in new]
-        known = self.lexicon.holds(words)
-        unseen = iter(merged_many([w for w, k in zip(words, known) if not k], self.v))
-        for piece, word, k in zip(new, words, known):
-            local[piece] = array("i", self.lexicon.get(word)).tobytes() if k else next(unseen)
+                if piece not in local and (found := self.pieces.get(piece)) is not None:
+                    local[piece] = found
+                elif piece not in local:
+                    new[piece] = None
+        self.learn(list(new), local)
+        for piece in new:
             self.pieces.put(piece, local[piece])
         return [local[p[0]] if len(p) == 1 else b"".join([local[x] for x in p]) for p in parted]
 
-    def chunk_entries(self, chunks: list[str]) -> list[tuple[bytes, str]]:
-        """Ids of a space and each of ``chunks``, and the text those ids stand for."""
-        found = [self.chunks.young.get(c) or self.chunks.get(c) for c in chunks]
+    def after_space(self, chunks: list[str]) -> list[bytes]:
+        """Ids of a space and each of ``chunks``. A word, or a word and its stops, needs no pattern to split."""
+        found = list(map(self.chunks.get, chunks))
         lacking = [i for i, f in enumerate(found) if f is None]
-        for i, ids in zip(lacking, self.coded([self.pieces_of(chunks[i]) for i in lacking])):
-            found[i] = (ids, self.decode(array("i", ids)))
-            self.chunks.put(chunks[i], found[i])
+        cores: dict[str, bytes | None] = {}
+        other = []
+        for i in lacking:
+            chunk = chunks[i]
+            core = chunk if chunk.isalpha() else chunk.rstrip(".,")
+            if core is chunk or core.isalpha():
+                cores[core] = self.chunks.get(core)
+            else:
+                other.append(i)
+        new = [c for c, f in cores.items() if f is None]
+        local: dict[str, bytes] = {}
+        self.learn([" " + c for c in new], local)
+        for core in new:
+            cores[core] = local[" " + core]
+            self.chunks.put(core, cores[core])
+        for i, ids in zip(other, self.coded([self.split(" " + chunks[i]) for i in other])):
+            found[i] = ids
+            self.chunks.put(chunks[i], ids)
+        stops: dict[str, bytes] = {}
+        for i in lacking:
+            if found[i] is None:
+                chunk = chunks[i]
+                core = chunk.rstrip(".,")
+                found[i] = cores[core]
+                if len(core) < len(chunk):
+                    end = chunk[len(core):]
+                    if end not in stops:
+                        stops[end] = self.coded([[end]])[0]
+                    found[i] += stops[end]
         return found
 
     def plain(self, text: str) -> bytes:
         first, *rest = CHUNK.split(text)
-        parted = [self.split(first)] if first else []
-        return b"".join(self.coded(parted + [self.pieces_of(c) for c in rest]))
+        return b"".join([*self.coded([self.split(first)] if first else []), *self.after_space(rest)])
 
     def encode(self, text: str) -> bytes:
         """Ids of ``text`` as 32-bit integers."""
@@ -377,9 +413,6 @@ class Codec:
             return self.plain(text)
         return b"".join(np.int32(self.v.added[part]).tobytes() if part in self.v.added else self.plain(part) for part in self.added.split(text))
 
-    def decode(self, ids: Iterable[int]) -> str:
-        return b"".join(map(self.v.tokens.__getitem__, ids)).decode("utf-8", "replace")
-
     def batch(self, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
         """Ids of each text, and the text decoded from them.
 
@@ -406,27 +439,26 @@ class Codec:
         codes, first, of_text = codes[at], first[at], of_text[at]
         used = np.zeros(len(chunks), bool)
         used[codes[~first]] = True
-        entries: list = [(b"", "")] * len(chunks)
-        for i, found in zip(np.flatnonzero(used).tolist(), self.chunk_entries([chunks[i] for i in np.flatnonzero(used)])):
-            entries[i] = found
-        heads = self.coded([self.split(chunks[c]) for c in codes[first]])  # no space before them
-        whole = [self.encode(t) for t in texts.filter(pa.array(slow)).to_pylist()]
+        blocks = [b""] * len(chunks)
+        for i, found in zip(np.flatnonzero(used).tolist(), self.after_space([chunks[i] for i in np.flatnonzero(used)])):
+            blocks[i] = found
+        blocks += self.coded([self.split(chunks[c]) for c in codes[first]])  # no space before them
+        heads = len(blocks)
+        blocks += [self.encode(t) for t in texts.filter(pa.array(slow)).to_pylist()]
         entry = codes.copy()
-        entry[first] = len(entries) + np.arange(len(heads))
-        entry = np.concatenate([entry, len(entries) + len(heads) + np.arange(len(whole))])
+        entry[first] = len(chunks) + np.arange(heads - len(chunks))
+        entry = np.concatenate([entry, np.arange(heads, len(blocks))])
         of_text = np.concatenate([of_text, np.flatnonzero(slow)])
         order = np.argsort(of_text, kind="stable")
         entry, of_text = entry[order], of_text[order]
 
-        entries += [(ids, self.decode(array("i", ids))) for ids in heads + whole]
-        blocks = [ids for ids, _ in entries]
         length = np.fromiter(map(len, blocks), np.int64, len(blocks)) // 4
         ids, start = np.frombuffer(b"".join(blocks), np.int32), np.cumsum(length) - length
         size = length[entry]
         source = np.repeat(start[entry] - (np.cumsum(size) - size), size) + np.arange(size.sum())
         per_text = np.searchsorted(of_text, np.arange(len(texts) + 1))
         ends = np.concatenate([[0], np.cumsum(size)])[per_text].astype(np.int32)
-        said = pa.array([text for _, text in entries], pa.string())
+        said = self.v.spelled(ids, np.concatenate([[0], np.cumsum(length)]))
         parts = pa.ListArray.from_arrays(pa.array(per_text.astype(np.int32)), said.take(pa.array(entry)))
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids[source])), pc.binary_join(parts, "")
 

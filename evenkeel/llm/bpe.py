@@ -376,8 +376,8 @@ class Codec:
         other = []
         for i in lacking:
             chunk = chunks[i]
-            core = chunk if chunk.isalpha() else chunk.rstrip(".,")
-            if core is chunk or core.isalpha():
+            core = chunk.rstrip(".,")
+            if core.isalpha():
                 cores[core] = self.chunks.get(core)
             else:
                 other.append(i)

@@ -97,6 +97,20 @@ def apply_cuts(df: DataFrame, cuts: Sequence, complete: Collection[str] = ()) ->
     return df.filter(cut_predicate(cuts, df.schema, complete))
 
 
+def check_complete(df: DataFrame, columns: Collection[str]) -> DataFrame:
+    """``df`` itself, after one scan of ``columns`` that raises ValueError if any value is missing.
+
+    For columns that cuts call complete: a missing value there would be dropped instead of kept.
+    """
+    floating = {c for c in columns if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))}
+    missing = {c: F.col(c).isNull() | F.isnan(F.col(c)) if c in floating else F.col(c).isNull() for c in columns}
+    counts = df.agg(*[F.count(F.when(m, 1)).alias(c) for c, m in missing.items()]).first().asDict()
+    lacking = {c: n for c, n in counts.items() if n}
+    if lacking:
+        raise ValueError(f"missing values in columns named complete: {lacking}")
+    return df
+
+
 def category_cut(label_column: str, label_value, op: str = "==") -> list[dict]:
     """The cut list of a class given by one label column."""
     if isinstance(label_value, (list, tuple)) and op not in ("==", "!="):

@@ -71,14 +71,6 @@ def histogram_ratio(num: DataFrame, den: DataFrame, on: Sequence[str], step: boo
     return out.select(*[twice.alias(c) if c == which else F.col(c) for c in on], "ratio", "ratio_unc")
 
 
-def melt(df: DataFrame, keys: Sequence[str], variables: Mapping[str, Column]) -> DataFrame:
-    """Long form ``(*keys, variable, value)`` of several columns in one pass."""
-    entries = F.array(*[
-        F.struct(F.lit(n).alias("variable"), c.cast("double").alias("value")) for n, c in variables.items()
-    ])
-    return df.select(*keys, F.inline(entries))
-
-
 def variable_histograms(df: DataFrame, keys: Mapping[str, Sequence], variables: Mapping[str, tuple[Column, Edges]],
                         normed: bool = True) -> DataFrame:
     """Histograms of many variables, each with its own edges, in one scan.
@@ -164,14 +156,19 @@ def pair_densities(df: DataFrame, axes: Mapping[str, Edges], cls: str = "class")
 
 # --------------------------------------------------------------------- item arrays
 
-def items_per_row(df: DataFrame, items: str, keys: Sequence[str], probe: str, origin_field: str | None = None,
-                  origin_values: Sequence | None = None) -> DataFrame:
-    """Add ``n_items``: items whose probe field is not missing, optionally of some types."""
+def real_items(items: Column, probe: str, origin_field: str | None = None, origin_values: Sequence | None = None) -> Column:
+    """How many items have their probe field, optionally of some types only."""
     def real(x):
         keep = ~is_missing(x[probe])
         return keep & x[origin_field].isin(list(origin_values)) if origin_field else keep
 
-    return df.select(*keys, F.size(F.filter(F.col(items), real)).alias("n_items"))
+    return F.size(F.filter(items, real))
+
+
+def items_per_row(df: DataFrame, items: str, keys: Sequence[str], probe: str, origin_field: str | None = None,
+                  origin_values: Sequence | None = None) -> DataFrame:
+    """``keys`` and ``n_items``: items whose probe field is not missing, optionally of some types."""
+    return df.select(*keys, real_items(F.col(items), probe, origin_field, origin_values).alias("n_items"))
 
 
 def nth_item(items: Column, by: str, n: int | None) -> Column:

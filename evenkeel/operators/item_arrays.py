@@ -120,3 +120,40 @@ def item_arrays(
     n_heads = len(row_features)
     heads = [c.cast("double").alias(f"__row_{i}") for i, c in enumerate(row_features)]
     return df.select(*kept, items, *heads).mapInArrow(run, schema)
+
+
+def pooled_items(df: DataFrame, vectors: Column, width: int, scores: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """``keep`` columns and ``sum_pool``, ``mean_pool``, ``attention_pool`` of each row's vectors, all of ``width`` numbers.
+
+    Attention weighs the vectors by the soft-max of their ``scores``. Zeros for a row without vectors. All rows of a batch are
+    added up at once.
+    """
+    outputs = ["sum_pool", "mean_pool", "attention_pool"]
+    schema = T.StructType([df.schema[c] for c in keep])
+    for name in outputs:
+        schema = schema.add(name, T.ArrayType(T.DoubleType()))
+
+    def listed(matrix: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(matrix) + 1, dtype=np.int32) * width), pa.array(matrix.ravel()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists, given = batch.column(n_keep), batch.column(n_keep + 1)
+            size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            values = lists.flatten().flatten().cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(-1, width)
+            score = given.flatten().to_numpy(zero_copy_only=False) if has_scores else np.zeros(len(values))
+            filled = np.flatnonzero(size)
+            starts = (np.cumsum(size) - size)[filled]
+            total, attended = np.zeros((len(size), width)), np.zeros((len(size), width))
+            if len(filled):
+                owner = np.repeat(np.arange(len(filled)), size[filled])
+                weight = np.exp(score - np.maximum.reduceat(score, starts)[owner])
+                weight /= np.add.reduceat(weight, starts)[owner]
+                total[filled] = np.add.reduceat(values, starts)
+                attended[filled] = np.add.reduceat(values * weight[:, None], starts)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:n_keep], listed(total), listed(total / np.maximum(size, 1)[:, None]), listed(attended)], [*keep, *outputs])
+
+    n_keep, has_scores = len(keep), scores is not None
+    given = scores.cast("array<double>") if has_scores else F.lit(None).cast("array<double>")
+    return df.select(*keep, vectors.alias("__vectors"), given.alias("__scores")).mapInArrow(run, schema)

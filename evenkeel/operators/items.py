@@ -9,15 +9,19 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def nest_items(flat: DataFrame, key: str, order: Sequence[str], fields: Sequence[str], width: int,
+def nest_items(flat: DataFrame, key: str, order: Sequence[str], fields: Sequence[str], width: int | None = None,
                truncate: bool = False) -> DataFrame:
-    """``(key, items)``: the items of each key as an ordered array of structs.
+    """``(key, items)``: the items of each key as an array of structs in the order of ``order``.
 
-    ``width`` is the fixed item width of the data model; a key with more items is an
-    error, unless ``truncate`` asks for its first ``width``. The rank filter runs before
-    the shuffle as well, so a key with very many items sends no more than one above
+    Without a ``width`` arrays hold what a key has. A ``width`` is for data whose keys may have more items than a
+    row can hold: a key with more is an error, unless ``truncate`` asks for its first ``width``. The
+    rank filter runs before the shuffle as well, so a key with very many items sends no more than one above
     ``width`` of them from each input partition.
     """
+    if width is None:
+        sorted_ = F.array_sort(F.collect_list(F.struct(
+            F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)]).alias("__o"), F.struct(*fields).alias("__f"))))
+        return flat.groupBy(key).agg(sorted_.alias("__s")).select(key, F.col("__s.__f").alias("items"))
     rank = F.row_number().over(W.partitionBy(key).orderBy(*order))
     first = flat.withColumn("__rn", rank).filter(F.col("__rn") <= (width if truncate else width + 1))
     entry = F.struct("__rn", *fields)

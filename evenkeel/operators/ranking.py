@@ -124,8 +124,11 @@ def _thresholds_by_range(
         (F.col("__upto") >= F.col("limit")) & (F.col("__upto") - F.col("__n") < F.col("limit"))
     ).select(*groups, _RANGE, (F.col("limit") - F.col("__upto") + F.col("__n")).alias("__need"))
     order = W.partitionBy(*groups, _RANGE).orderBy(hashed)
-    in_edge = keyed.join(small(edge, max_groups), [*groups, _RANGE]).withColumn("__rn", F.row_number().over(order))
-    return in_edge.filter(F.col("__rn") == F.col("__need")).select(*groups, F.col(hashed).alias("threshold"))
+    in_edge = keyed.join(small(edge, max_groups), [*groups, _RANGE]).withColumns(
+        {"__rn": F.row_number().over(order), "__next": F.lead(hashed).over(order)})
+    # a threshold that the next row shares would take more rows than asked
+    own = F.when(F.col("__next") == F.col(hashed), F.raise_error(F.lit("rows share a hash: their keys are not unique")).cast("string")).otherwise(F.col(hashed))
+    return in_edge.filter(F.col("__rn") == F.col("__need")).select(*groups, own.alias("threshold"))
 
 
 def _join(left: DataFrame, right: DataFrame, groups: Sequence[str], how: str = "inner") -> DataFrame:
@@ -138,7 +141,7 @@ def keep_smallest(
 ) -> DataFrame:
     """The ``limit`` rows of every group that come first in hash order.
 
-    Hashes must be unique within a group. Groups without a limit are dropped.
+    Hashes must be unique within a group: rows that share the hash at the limit are an error. Groups without a limit are dropped.
     """
     return below_thresholds(df, groups, smallest_thresholds(df, groups, limits, max_groups, hashed), max_groups, hashed)
 

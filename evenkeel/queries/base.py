@@ -30,7 +30,6 @@ MAIN = ["heavy"]
 SUFFIXES = {c.name: c.suffix for c in CLASSES}
 NET = Classifier("net", SUFFIXES, {"medium": 0.3, "light": 0.7})
 TREE = Classifier("tree", SUFFIXES, {"medium": 0.2, "light": 0.8})
-ITEM_WIDTH = 40
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -100,7 +99,7 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
     )
     nested = nest_items(
         flat, "event", ["item_no", "row_key"],
-        ["item_no", "quantity", "price", "discount", "tax", "frac", "kind", "valid"], ITEM_WIDTH,
+        ["item_no", "quantity", "price", "discount", "tax", "frac", "kind", "valid"],
     )
     orders = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("event"), F.col("o_totalprice").alias("total"), F.col("o_orderstatus").alias("status"),

@@ -14,6 +14,7 @@ from evenkeel.queries.base import (
 )
 from evenkeel.queries.merge_queries import AXES, BINS, BIN_SQL
 from evenkeel.queries.registry import query
+from evenkeel.session import cut_lineage
 
 PRICE = AXES["price"]
 PIECES = [[0, 20000, 11], [30000, 90000, 7], [90000, 105000, 4]]
@@ -165,18 +166,18 @@ S_EDGES = [-0.0051 + 0.01 * i for i in range(20)]
 
 @query("d11_input_variables", f"""WITH {LAB}, v AS (SELECT origin, class, CASE WHEN isnan(mass) THEN 0.0::DOUBLE ELSE mass END + tax AS s FROM lab WHERE NOT (isnan(mass) AND isnan(tax))),
 {_hist_sql('v', 's', S_EDGES, {'origin': ORIGINS, 'class': NAMES}, 'h')}
-SELECT a.origin, a.class, a.bin, a.count, {r("a.hist", 9)} AS hist, {r("CASE WHEN b.hist <> 0 THEN a.hist / b.hist ELSE 1.0::DOUBLE END", 9)} AS ratio FROM h a JOIN h b ON b.origin = 'F' AND b.class = a.class AND b.bin = a.bin""")
+SELECT a.origin, a.class, a.bin, a.count, {r("a.hist", 9)} AS hist, {r("CASE WHEN b.hist <> 0 THEN a.hist / b.hist ELSE 1.0::DOUBLE END", 9)} AS ratio,
+  {r("CASE WHEN b.hist <> 0 THEN a.hist / b.hist ELSE 1.0::DOUBLE END * sqrt(CASE WHEN a.hist <> 0 THEN (a.unc / a.hist) ** 2 ELSE 0.0::DOUBLE END + CASE WHEN b.hist <> 0 THEN (b.unc / b.hist) ** 2 ELSE 0.0::DOUBLE END)", 9)} AS ratio_unc FROM h a JOIN h b ON b.origin = 'F' AND b.class = a.class AND b.bin = a.bin""")
 def _(spark, sf):
     value, present = derived(["mass", "tax"], "+")
-    hist = h.histogram(labelled(spark, sf).filter(present), value, S_EDGES, {"origin": ORIGINS, "class": NAMES})
-    first = hist.filter("origin = 'F'").drop("origin")
-    parts = None
-    for o in ORIGINS:
-        mine = hist.filter(F.col("origin") == o)
-        ratio = h.histogram_ratio(mine.drop("origin"), first, ["class", "bin"], step=True).filter("bin >= 0")
-        joined = mine.join(ratio, ["class", "bin"])
-        parts = joined if parts is None else parts.unionByName(joined)
-    return parts.select("origin", "class", "bin", "count", rounded("hist", 9).alias("hist"), rounded("ratio", 9).alias("ratio"))
+    # the histograms are small and used three times
+    hist = cut_lineage(h.histogram(labelled(spark, sf).filter(present), value, S_EDGES, {"origin": ORIGINS, "class": NAMES}))
+    each = F.explode(F.array(*[F.lit(o) for o in ORIGINS])).alias("origin")
+    first = hist.filter("origin = 'F'").select(each, "class", "bin", "hist", "unc")
+    ratio = h.histogram_ratio(hist, first, ["origin", "class", "bin"], step=True).filter("bin >= 0")
+    return hist.join(ratio, ["origin", "class", "bin"]).select(
+        "origin", "class", "bin", "count", rounded("hist", 9).alias("hist"), rounded("ratio", 9).alias("ratio"),
+        rounded("ratio_unc", 9).alias("ratio_unc"))
 
 
 @query("d12_items_per_row", f"""WITH {ITEMS}, n AS (SELECT o.event, o.label, count(i.event) FILTER (NOT isnan(i.frac)) AS n_items,
@@ -185,11 +186,10 @@ SELECT label, n_items::INTEGER AS n_items, count(*) AS n, {r("avg(avg(n_items))
     f"{r('avg(avg(n_items)) OVER (PARTITION BY label)', 0)} AS unused", f"{r('sum(sum(n_items)) OVER (PARTITION BY label) / sum(count(*)) OVER (PARTITION BY label)', 9)} AS mean_items"))
 def _(spark, sf):
     df = records(spark, sf)
-    every = h.items_per_row(df, "items", ["event", "label"], "frac")
-    some = h.items_per_row(df.select("*"), "items", ["event"], "frac", "kind", [0, 1]).withColumnRenamed("n_items", "n_some")
-    counted = every.join(some, "event")
-    mean = counted.groupBy("label").agg(F.avg("n_items").alias("mean_items"))
-    table_ = counted.groupBy("label", "n_items").agg(F.count(F.lit(1)).alias("n"), F.sum("n_some").alias("some_items"))
+    counted = df.select("label", h.real_items(F.col("items"), "frac").alias("n_items"), h.real_items(F.col("items"), "frac", "kind", [0, 1]).alias("n_some"))
+    # one scan: the means follow from the small table of counts
+    table_ = cut_lineage(counted.groupBy("label", "n_items").agg(F.count(F.lit(1)).alias("n"), F.sum("n_some").alias("some_items")))
+    mean = table_.groupBy("label").agg((F.sum(F.col("n_items") * F.col("n")) / F.sum("n")).alias("mean_items"))
     return table_.join(F.broadcast(mean), "label").withColumn("mean_items", rounded("mean_items", 9))
 
 

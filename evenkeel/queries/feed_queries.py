@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions import arrays
 from evenkeel.operators import features, items as it, scaling
-from evenkeel.operators.item_arrays import ItemFeatures
+from evenkeel.operators.item_arrays import ItemFeatures, pooled_items
 from evenkeel.operators.resampling import ResamplingOptions
 from evenkeel.plans.training_set import training_feed
 from evenkeel.queries.base import BASE, ITEMS, LAB, NAMES, labelled, r, records, rounded, rows, sql_bin
@@ -68,10 +68,10 @@ def _(spark, sf):
     df = records(spark, sf).select("event", real.alias("items"))
     vectors = F.transform("items", lambda x: F.array(x["quantity"], x["tax"]))
     scores = F.transform("items", lambda x: x["discount"] * 10)
-    return df.select(
-        "event", rounded(F.get(arrays.sum_pool(vectors, 2), F.lit(0))).alias("sum_quantity"),
-        rounded(F.get(arrays.mean_pool(vectors, 2), F.lit(1))).alias("mean_tax"),
-        rounded(F.get(arrays.attention_pool(vectors, scores, 2), F.lit(1))).alias("attention_tax"))
+    pooled = pooled_items(df, vectors, 2, scores, ["event"])
+    return pooled.select(
+        "event", rounded(F.get("sum_pool", F.lit(0))).alias("sum_quantity"), rounded(F.get("mean_pool", F.lit(1))).alias("mean_tax"),
+        rounded(F.get("attention_pool", F.lit(1))).alias("attention_tax"))
 
 
 @query("g04_non_zero_items", f"""WITH {ITEMS}, n AS (SELECT o.event, o.label, count(i.event) FILTER (discount + tax <> 0) AS n FROM ord o LEFT JOIN it i USING (event) GROUP BY ALL)

@@ -86,8 +86,7 @@ def _(spark, sf):
         "a": vectors.filter("label < 4"), "b": vectors.filter("label >= 4 AND label < 7"), "c": vectors.filter("label >= 7"),
     }
     merged = readers.strict_union(parts, arrays=["embedding"])
-    sizes = merged.groupBy("source").agg(F.sum(F.size("embedding")).cast("bigint").alias("n_values"))
-    return readers.source_ranges(merged, ["a", "b", "c"]).join(F.broadcast(sizes), "source")
+    return readers.source_ranges(merged, ["a", "b", "c"], totals={"n_values": F.sum(F.size("embedding")).cast("bigint")})
 
 
 @query("a08_add_label_column", f"""WITH {LAB}

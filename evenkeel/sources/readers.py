@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -38,15 +39,6 @@ def scan(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str]
     return df.select(*[c for c in wanted if c in df.columns])
 
 
-def file_order(name: Column) -> Column:
-    """Ordering expression for file names: digits compare as numbers."""
-    digits = F.regexp_extract(name, r"(\d+)(?!.*\d)", 1)
-    return F.struct(
-        F.regexp_replace(name, r"\d+", "0").alias("text"),
-        F.when(digits == "", F.lit(None)).otherwise(digits).cast("decimal(38,0)").alias("number"),
-    )
-
-
 def row_range(ranked: DataFrame, lo: int, hi: int, rank: str = "rank_no") -> DataFrame:
     """Rows numbered ``[lo, hi)`` from zero; ``rank`` is a one-based position column."""
     if not 0 <= lo <= hi:
@@ -99,24 +91,17 @@ def strict_union(sources: Mapping[str, DataFrame], arrays: Sequence[str] = (), n
     )
     if not arrays:
         return merged
-    widths = merged.agg(*[F.min(F.size(a)).alias(f"__lo_{a}") for a in arrays],
-                        *[F.max(F.size(a)).alias(f"__hi_{a}") for a in arrays])
-    out = merged.crossJoin(F.broadcast(widths))
+    # one scan for all widths; an array of unequal ones is an error before anything is appended
+    widths = merged.agg(*[F.min(F.size(a)).alias(f"lo_{a}") for a in arrays], *[F.max(F.size(a)).alias(f"hi_{a}") for a in arrays]).first()
     for a in arrays:
-        wrong = F.raise_error(F.lit(f"array {a} has different widths")).cast(merged.schema[a].dataType)
-        out = out.withColumn(a, F.when(F.col(f"__lo_{a}") == F.col(f"__hi_{a}"), F.col(a)).otherwise(wrong))
-    return out.select(*merged.columns)
+        if widths[f"lo_{a}"] != widths[f"hi_{a}"]:
+            raise ValueError(f"array {a} has different widths")
+    return merged
 
 
-def source_ranges(merged: DataFrame, order: Sequence[str], name: str = "source") -> DataFrame:
-    """``(source, first_row, last_row)`` each source occupies in the appended table."""
-    counts = merged.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+def source_ranges(merged: DataFrame, order: Sequence[str], name: str = "source", totals: Mapping[str, Column] | None = None) -> DataFrame:
+    """``(source, first_row, last_row)`` each source occupies in the appended table, and ``totals`` of its rows."""
+    counts = merged.groupBy(name).agg(F.count(F.lit(1)).alias("n"), *[c.alias(t) for t, c in (totals or {}).items()])
     place = F.array_position(F.array(*[F.lit(o) for o in order]), F.col(name))
-    earlier = counts.alias("b")
-    return (
-        counts.withColumn("__p", place).alias("a")
-        .join(F.broadcast(earlier.withColumn("__q", place)), F.col("__q") <= F.col("__p"))
-        .groupBy(F.col(f"a.{name}").alias(name), F.col("a.n").alias("n"))
-        .agg(F.sum("b.n").cast("bigint").alias("last_row"))
-        .select(name, (F.col("last_row") - F.col("n")).alias("first_row"), "last_row")
-    )
+    last = F.sum("n").over(W.orderBy(place).rowsBetween(W.unboundedPreceding, W.currentRow))  # one row per source
+    return counts.select(name, (last - F.col("n")).cast("bigint").alias("first_row"), last.cast("bigint").alias("last_row"), *(totals or {}))

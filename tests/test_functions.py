@@ -163,3 +163,21 @@ def test_pooling_of_empty_and_filled_sets(spark):
         arrays.sum_pool(F.col("v"), 2), arrays.mean_pool(F.col("v"), 2), arrays.attention_pool(F.col("v"), F.col("s"), 2)).collect()
     assert [list(map(list, r)) for r in got] == [[[4.0, 8.0], [2.0, 4.0], [2.0, 4.0]], [[0.0, 0.0]] * 3]
     assert math.isclose(got[0][2][0], 2.0)
+
+
+def test_complete_columns_are_checked(spark):
+    from evenkeel.functions.cuts import check_complete
+
+    df = spark.createDataFrame([(1, 0.5, "a"), (2, float("nan"), None)], "i int, x double, s string")
+    assert check_complete(df, ["i"]) is df
+    with pytest.raises(ValueError, match="'x': 1, 's': 1"):
+        check_complete(df, ["i", "x", "s"])
+
+
+def test_shared_hashes_are_an_error(spark):
+    from evenkeel.operators.ranking import first_n
+
+    df = spark.range(100).select(F.md5(F.floor(F.col("id") / 4).cast("string")).alias("h"))
+    assert first_n(df, 40, "h").count() == 40
+    with pytest.raises(Exception, match="not unique"):
+        first_n(df, 41, "h").count()

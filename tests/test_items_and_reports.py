@@ -198,3 +198,15 @@ def test_agreement_stops_at_nothing_and_counts_few_items(spark):
     assert got == [(0.1, 5000), (0.2, 1)]
     few = ev.score_agreement(df, "a", "b", [0.1, 0.9], "n", 1).first()
     assert few["n_above"] == 2500 and few["share"] == 0.2
+
+
+def test_pooled_items(spark):
+    from evenkeel.operators.item_arrays import pooled_items
+
+    rows = [(1, [[1.0, 2.0], [3.0, 4.0]], [0.0, math.log(3.0)]), (2, [], []), (3, None, None), (4, [[5.0, 6.0]], [700.0])]
+    df = spark.createDataFrame(rows, "id int, v array<array<double>>, s array<double>").repartition(2)
+    got = {r["id"]: r for r in pooled_items(df, F.col("v"), 2, F.col("s"), ["id"]).collect()}
+    assert got[1]["sum_pool"] == [4.0, 6.0] and got[1]["mean_pool"] == [2.0, 3.0] and got[1]["attention_pool"] == pytest.approx([2.5, 3.5])
+    assert all(got[i][p] == [0.0, 0.0] for i in (2, 3) for p in ("sum_pool", "mean_pool", "attention_pool"))
+    assert got[4]["attention_pool"] == [5.0, 6.0]
+    assert pooled_items(df, F.col("v"), 2, keep=["id"]).filter("id = 1").first()["attention_pool"] == [2.0, 3.0]

@@ -40,8 +40,11 @@ def test_schema_comparison(spark):
 def test_strict_union_checks_array_widths(spark):
     a = spark.createDataFrame([([1, 2],)], "v array<int>")
     b = spark.createDataFrame([([1, 2, 3],)], "v array<int>")
-    with pytest.raises(Exception, match="different widths"):
-        readers.strict_union({"a": a, "b": b}, ["v"]).collect()
+    with pytest.raises(ValueError, match="different widths"):
+        readers.strict_union({"a": a, "b": b}, ["v"])
+    merged = readers.strict_union({"a": a, "b": a, "c": a}, ["v"])
+    ranges = readers.source_ranges(merged, ["c", "a", "b"], totals={"s": F.sum(F.size("v"))})
+    assert {tuple(r) for r in ranges.collect()} == {("c", 0, 1, 2), ("a", 1, 2, 2), ("b", 2, 3, 2)}
 
 
 def test_missing_columns_are_reported(spark):
@@ -82,6 +85,8 @@ def test_hot_key_sends_few_items(spark):
     with pytest.raises(Exception, match="more than 8 items at key 0"):
         it.nest_items(flat, "k", ["n"], ["n"], 8).collect()
     assert it.nest_items(flat.filter("k > 0"), "k", ["n"], ["n"], 8).count() == 5000
+    whole = {r["k"]: [x["n"] for x in r["items"]] for r in it.nest_items(flat.repartition(5), "k", ["n"], ["n"]).collect()}
+    assert len(whole) == 5001 and whole[0] == list(range(15_000)) and whole[15_000] == [15_000]
 
 
 def test_batches_are_full_and_repeatable(spark):

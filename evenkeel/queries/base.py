@@ -5,8 +5,6 @@ Every definition exists twice: as DataFrame code and as SQL common table express
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +13,7 @@ from evenkeel.functions.numeric import INF, NAN
 from evenkeel.operators.evaluation import Classifier
 from evenkeel.operators.items import nest_items
 from evenkeel.operators.labels import ClassDef, label_classes
-from evenkeel.session import shared_dir
+from evenkeel.session import new_place
 
 CLASSES = (
     ClassDef("heavy", ({"truth": {"operator": "==", "condition": 5}},), "ph"),
@@ -111,7 +109,7 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder for a written table."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return new_place(spark, name)
 
 
 # ------------------------------------------------------------------------- SQL side

@@ -9,8 +9,9 @@ from evenkeel.functions.numeric import to_precision
 from evenkeel.operators import scaling
 from evenkeel.operators.features import training_rows
 from evenkeel.operators.item_arrays import ItemFeatures, item_arrays
-from evenkeel.queries.base import BASE, ITEMS, LAB, labelled, r, records, rounded, rows, table
+from evenkeel.queries.base import BASE, ITEMS, LAB, labelled, r, records, rounded, rows, scratch, table
 from evenkeel.queries.registry import query
+from evenkeel.sources import readers, writers
 
 VARIABLES = ["price", "mass", "energy"]
 _FILLED = """fin AS (SELECT count(*) AS n, avg(price) AS mp, avg(mass) FILTER (NOT isnan(mass)) AS dm FROM base),
@@ -170,6 +171,14 @@ def _(spark, sf):
     return out.select("name", rounded("offset", 5).alias("offset"), rounded("scale", 7).alias("scale"), rounded("default", 5).alias("default"))
 
 
+@query("f14_statistics_file", f"WITH {BASE}, {_FILLED} SELECT variable, {r('shift', 5)} AS shift, {r('scale', 5)} AS scale, {r('\"default\"', 5)} AS \"default\", n FROM stats")
+def _(spark, sf):
+    stats, path = _stats(spark, sf), scratch(spark, "statistics")
+    writers.write_json(stats, path)
+    return readers.read_json(spark, path, stats).select(
+        "variable", *[rounded(c, 5).alias(c) for c in ("shift", "scale", "default")], "n")
+
+
 # Half precision by hand: eleven significant binary digits, ties to even.
 _HALF = "(CASE WHEN {x} = 0 THEN 0.0::DOUBLE ELSE round_even({x} / pow(2, floor(log2({x})) - 10), 0) * pow(2, floor(log2({x})) - 10) END)"
 

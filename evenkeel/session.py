@@ -48,6 +48,29 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+# Places of tables written by this process and not yet removed.
+_places: list[str] = []
+
+
+def new_place(spark: SparkSession, name: str) -> str:
+    """A fresh folder for a table, in the folder all executors share."""
+    place = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _places.append(place)
+    return place
+
+
+def remove_written(spark: SparkSession) -> int:
+    """Delete every table written so far; frames that read them are of no use afterwards. Returns their number.
+
+    For the end of a run whose results are elsewhere.
+    """
+    removed = 0
+    while _places:
+        place = spark._jvm.org.apache.hadoop.fs.Path(_places.pop())
+        removed += bool(place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True))
+    return removed
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -55,7 +78,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     computes it. For tables that are used several times and are small next to the
     rows they come from.
     """
-    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    path = new_place(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

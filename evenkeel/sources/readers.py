@@ -105,3 +105,8 @@ def source_ranges(merged: DataFrame, order: Sequence[str], name: str = "source",
     place = F.array_position(F.array(*[F.lit(o) for o in order]), F.col(name))
     last = F.sum("n").over(W.orderBy(place).rowsBetween(W.unboundedPreceding, W.currentRow))  # one row per source
     return counts.select(name, (last - F.col("n")).cast("bigint").alias("first_row"), last.cast("bigint").alias("last_row"), *(totals or {}))
+
+
+def read_json(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """A table that ``write_json`` wrote, with the columns and types of ``like``."""
+    return spark.read.schema(like.schema).json(path)

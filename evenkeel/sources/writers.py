@@ -43,3 +43,8 @@ def write_results(tables: Mapping[str, DataFrame], folder: str) -> None:
     """Every result table to its own folder."""
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{folder}/{name}")
+
+
+def write_json(table: DataFrame, path: str) -> None:
+    """A small table (statistics, metrics) as one file of JSON lines; missing values stay out, NaN and infinities are written as such."""
+    table.coalesce(1).write.mode("overwrite").json(path)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.operators.scaling import fill_statistics, finite_statistics, merge_statistics
-from evenkeel.session import shared_dir
+from evenkeel.session import new_place
 
 
 def open_stream(spark: SparkSession, folder: str, pattern: str, max_files: int | None = None) -> DataFrame:
@@ -32,7 +31,7 @@ def replay(parts: Sequence[DataFrame], folder: str | None = None) -> str:
 
 
 def _run_folder(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    return new_place(spark, "stream")
 
 
 def streamed_statistics(stream: DataFrame, prepare: Callable[[DataFrame], DataFrame], variables: Sequence[str],

@@ -210,3 +210,23 @@ def test_pooled_items(spark):
     assert all(got[i][p] == [0.0, 0.0] for i in (2, 3) for p in ("sum_pool", "mean_pool", "attention_pool"))
     assert got[4]["attention_pool"] == [5.0, 6.0]
     assert pooled_items(df, F.col("v"), 2, keep=["id"]).filter("id = 1").first()["attention_pool"] == [2.0, 3.0]
+
+
+def test_written_tables_can_be_removed(spark, tmp_path):
+    from evenkeel import session
+
+    session.remove_written(spark)
+    kept = session.cut_lineage(spark.range(5).toDF("id"))
+    place = kept.inputFiles()[0]
+    assert kept.count() == 5 and session.remove_written(spark) == 1 and session.remove_written(spark) == 0
+    assert not __import__("os").path.exists(place.removeprefix("file://"))
+
+
+def test_json_tables_come_back(spark, tmp_path):
+    from evenkeel.sources import readers
+
+    table = spark.createDataFrame([("a", 1.5, None, 3), ("b", NAN, float("inf"), None)], "variable string, shift double, scale double, n long")
+    writers.write_json(table, str(tmp_path / "stats"))
+    back = readers.read_json(spark, str(tmp_path / "stats"), table)
+    assert back.schema == table.schema and back.exceptAll(table).count() == 0 and back.count() == 2
+    assert len(list((tmp_path / "stats").glob("*.json"))) == 1

@@ -7,13 +7,16 @@ documents, words of the templates in any order, and templates without what is th
 small weights are set to zero. A temperature fitted on variations kept aside calibrates the
 probabilities. The most probable class decides, at ``THRESHOLD`` or more; it may be the unknown one.
 
-A notice may stand anywhere in a paragraph. Besides the whole paragraph, the classifier judges for
-every template the window of the paragraph, as long as the template but of ``WINDOW`` words at
-most, that shares most n-grams of up to three words with it. A prediction counts as confirmed when
-at least ``CONFIRM`` of the n-grams of the paragraph stand in one template of the family, or a
-window shares as large a part of what it could share with it, and one of them stands in no
-template of other families. A paragraph has each family once, with the notice that is most
-similar, then most probable.
+The classifier judges first. A notice may stand anywhere in a paragraph: n-grams of two words or more, or names, that it
+weighs for some family above the unknown class mark the words of spans, which may skip ``GAP`` words.
+It judges the whole paragraph, every span, the spans from the first to the last, and every
+window of ``WINDOW`` words, and of half as many, that starts or ends at a marked word; a paragraph without such n-grams is
+unknown. Templates then confirm what it predicts: a prediction is
+confirmed when at least ``CONFIRM`` of the n-grams judged stand in one template of the family, or they are as
+large a part of those a window of the template holds, and one of them stands in no
+template of other families. Predictions that no template confirms are returned as such, from a probability of ``ALONE``. Of
+two families read from much the same words the more probable stays. A paragraph has each family once:
+confirmed before not, then the most similar, then the most probable.
 
 Defined cases: null text counts as empty; a text without licence paragraphs has null family, 0
 licences; ties go to the earlier paragraph, in it to the earlier family of the templates; repeated
@@ -41,12 +44,17 @@ CONFIRM = 0.5
 #: Words of a window at most; longer templates are found by their parts.
 WINDOW = 12
 THRESHOLD = 0.5
+#: Probability of a prediction that no template confirms.
+ALONE = 0.8
+#: Words without a licence n-gram that a span may skip.
+GAP = 4
 
 # Notices by which works name their licence, as their licences word them.
 TEMPLATES = {
     "MIT": (
         "Released under the MIT License.",
         "Licensed under the MIT license.",
+        "This software is made available under the terms of the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
         "SPDX-License-Identifier: MIT",
@@ -55,6 +63,8 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+        "This software is made available under the terms of the Apache License, version 2.0.",
+        "Distributed under the Apache 2.0 license.",
         "SPDX-License-Identifier: Apache-2.0",
     ),
     "GPL": (
@@ -84,6 +94,38 @@ TEMPLATES = {
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
         "SPDX-License-Identifier: CC-BY-NC-4.0",
     ),
+    "LGPL": (
+        "This library is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+        "You should have received a copy of the GNU Lesser General Public License along with this library",
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+    ),
+    "AGPL": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ),
+    "ISC": (
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "SPDX-License-Identifier: ISC",
+    ),
+    "CC0": (
+        "Licensed under CC0 1.0 Universal.",
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work under the CC0 1.0 Universal Public Domain Dedication.",
+        "SPDX-License-Identifier: CC0-1.0",
+    ),
+    "EPL": (
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+        "SPDX-License-Identifier: EPL-2.0",
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+        "SPDX-License-Identifier: Unlicense",
+    ),
     "MPL": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, version 2.0.",
@@ -129,6 +171,20 @@ def similarity(words: list[str], family: str) -> float:
     return max(len(mine & t) / len(mine) for t in KNOWN[family]) if mine else 0.0
 
 
+def confirmation(words: list[str], family: str) -> tuple[float, bool]:
+    """Similarity to the nearest template of the family, and whether an n-gram of no other family is among what they share.
+
+    The larger of two shares: of the words' n-grams that stand in the template, and of those a window of the template holds that are among the words'.
+    Single words count for names alone, in stretches of up to two words.
+    """
+    mine, best = {g for g in grams(words) if " " in g or len(words) < 3}, (0.0, False)
+    for k, (other, known) in enumerate(PATTERNS):
+        if other == family and mine:
+            shared, held = mine & known, max(1, 2 * int(WORDS[k]) - 3)
+            best = max(best, (min(1.0, max(len(shared) / len(mine), len(shared) / held)), bool(shared & OWN[family])))
+    return best
+
+
 def windows(words: list[str]) -> Iterator[tuple[str, list[str], float]]:
     """(family, words, similarity) of the window that each template matches best, if it confirms the family."""
     one = [ROW.get(w, 0) for w in words]
@@ -236,6 +292,7 @@ class Classifier:
             bias -= rate * d.sum(0)
         weights[np.abs(weights) < least] = 0
         self.weights, self.bias = weights, bias
+        self.marks = self.marking()
         # one temperature over the variations kept aside
         logits = (self._sums(weights, rows, cols, norm) + bias)[~train]
         loss = {t: -np.log(self._soft(logits / t)[np.arange(len(logits)), y[~train]] + 1e-12).mean() for t in np.geomspace(0.2, 5, 30)}
@@ -255,18 +312,63 @@ class Classifier:
         logits = self.bias + (self.weights[at].sum(0) / np.sqrt(len(at)) if at else 0)
         return self._soft(logits[None, :] / self.temperature)[0]
 
-    def scan(self, text: str) -> list[tuple[int, str, float, float]]:
-        """(paragraph, family, probability, similarity) of every paragraph that names a licence, once for each family."""
+    def marking(self) -> set[str]:
+        """N-grams of licence wording that speak for some family: of two words or more, or a name with a digit, a dot or a hyphen.
+
+        Variations hold stray words too, so n-grams that no template has mark nothing.
+        """
+        ahead = self.weights[:, 1:].max(1) > np.maximum(self.weights[:, 0], 0)
+        return {g for g, i in self.at.items() if ahead[i] and g in VOCABULARY and (" " in g or re.search(r"[0-9.-]", g))}
+
+    def units(self, words: list[str]) -> list[tuple[int, int]]:
+        """Stretches of a paragraph to be judged, none if no n-gram of it speaks for a family."""
+        marks, n = self.marks, len(words)
+        covered: list[tuple[int, int]] = []
+        pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
+        for i, word in enumerate(words):
+            if i < n - 1 and pairs[i] in marks:
+                covered.append((i, i + 2))
+            elif word in marks:
+                covered.append((i, i + 1))
+        if not covered:
+            return []
+        spans = [list(covered[0])]
+        for a, b in covered[1:]:
+            if a - spans[-1][1] <= GAP:
+                spans[-1][1] = max(b, spans[-1][1])
+            else:
+                spans.append([a, b])
+        # a notice may start a word before its first mark
+        found = {(max(a - 1, 0), b) for a, b in spans} | {(a, b) for a, b in spans} | {(spans[0][0], spans[-1][1])}
+        for size in (WINDOW // 2, WINDOW):
+            found |= {(a, min(a + size, n)) for a, _ in covered} | {(max(b - size, 0), b) for _, b in covered}
+        if n <= LONGEST:
+            found.add((0, n))
+        # two words are no notice, unless one of them is a licence's name
+        return sorted((a, b) for a, b in found if b - a > 2 or any(w in marks for w in words[a:b]))
+
+    def scan(self, text: str) -> list[tuple[int, str, float, float, bool]]:
+        """(paragraph, family, probability, similarity, confirmed) of every paragraph that is predicted to name a licence, once for each family."""
         found = []
         for i, paragraph in enumerate(text.split("\n")):
-            best: dict[str, tuple[float, float]] = {}
-            # without a word pair of the templates a paragraph can't be confirmed: it is unknown
-            for family, words, same in candidates(words_of(paragraph)):
-                p = self.probabilities(words)
+            words = words_of(paragraph)
+            said = []
+            for a, b in self.units(words):
+                p = self.probabilities(words[a:b])
                 c = int(p.argmax())
-                if FAMILIES[c] == family and p[c] >= THRESHOLD:
-                    best[family] = max(best.get(family, (0.0, 0.0)), (float(same), float(p[c])))
-            found += [(i, f, *best[f][::-1]) for f in TEMPLATES if f in best]
+                if c and p[c] >= THRESHOLD:
+                    same, own = confirmation(words[a:b], FAMILIES[c])
+                    if own and same >= CONFIRM or p[c] >= ALONE:
+                        said.append((own and same >= CONFIRM, float(p[c]), same, FAMILIES[c], a, b))
+            best: dict[str, tuple[bool, float, float]] = {}
+            taken: list[tuple] = []
+            for one in sorted(said, key=lambda x: (not x[0], -x[1], x[4], x[5])):
+                sure, p, same, family, a, b = one
+                # of two readings of much the same words, the more probable counts
+                if not any(f != family and 2 * (min(b, d) - max(a, c)) > max(b - a, d - c) for *_, f, c, d in taken):
+                    taken.append(one)
+                    best[family] = max(best.get(family, (False, 0.0, 0.0)), (sure, same, p))
+            found += [(i, f, best[f][2], best[f][1], best[f][0]) for f in TEMPLATES if f in best]
         return found
 
 
@@ -290,9 +392,9 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Classifier:
 
 
 def scan_documents(docs: DataFrame, model: Classifier, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_paragraphs, licences): licences hold paragraph, family, probability and similarity."""
+    """(id, n_paragraphs, licences): licences hold paragraph, family, probability, similarity, and whether a template confirms them."""
     shared = shipped(docs.sparkSession, model)
-    licence = pa.struct([("paragraph", pa.int32()), ("family", pa.string()), ("probability", pa.float64()), ("similarity", pa.float64())])
+    licence = pa.struct([("paragraph", pa.int32()), ("family", pa.string()), ("probability", pa.float64()), ("similarity", pa.float64()), ("confirmed", pa.bool_())])
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = received(shared)
@@ -301,9 +403,9 @@ def scan_documents(docs: DataFrame, model: Classifier, key: str = "doc_id", text
             for value in batch.column(1):
                 body = value.as_py() or ""
                 lines.append(body.count("\n") + 1)
-                found.append([dict(zip(("paragraph", "family", "probability", "similarity"), x)) for x in model.scan(body)])
+                found.append([dict(zip(("paragraph", "family", "probability", "similarity", "confirmed"), x)) for x in model.scan(body)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lines, pa.int64()), pa.array(found, pa.list_(licence))], ["doc_id", "n_paragraphs", "licences"])
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("doc_id"), F.col(text)).mapInArrow(
-        scanned, f"doc_id {kind}, n_paragraphs long, licences array<struct<paragraph int, family string, probability double, similarity double>>")
+        scanned, f"doc_id {kind}, n_paragraphs long, licences array<struct<paragraph int, family string, probability double, similarity double, confirmed boolean>>")

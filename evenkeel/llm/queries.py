@@ -39,11 +39,12 @@ def op1_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 def op2_licenses(spark: SparkSession, sf: str) -> DataFrame:
     docs = documents(spark, sf)
-    found = licenses.scan_documents(docs, licenses.fit(docs))
+    found = licenses.scan_documents(docs, licenses.fit(docs)).withColumn("predicted", F.array_sort(F.array_distinct("licences.family")))
+    found = found.withColumn("licences", F.filter("licences", lambda x: x["confirmed"]))
     best = F.element_at(F.array_sort("licences", lambda a, b: F.when(a["probability"] > b["probability"], -1).when(a["probability"] < b["probability"], 1).otherwise(a["paragraph"] - b["paragraph"])), 1)
     return found.withColumn("best", F.when(F.size("licences") > 0, best)).select(
         "doc_id", "n_paragraphs", F.size("licences").cast("long").alias("n_licences"), F.array_sort(F.array_distinct("licences.family")).alias("families"),
-        F.col("best.family").alias("family"), F.col("best.paragraph").alias("paragraph"), F.col("best.probability").alias("probability"), F.col("best.similarity").alias("similarity"))
+        F.col("best.family").alias("family"), F.col("best.paragraph").alias("paragraph"), F.col("best.probability").alias("probability"), F.col("best.similarity").alias("similarity"), "predicted")
 
 
 def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:

@@ -399,7 +399,9 @@ def test_licenses_unknown_class_decides():
         for words in map(licenses.words_of, texts):
             for i in range(max(1, len(words) - 11)):
                 p = model.probabilities(words[i:i + 12])
-                assert licenses.FAMILIES[p.argmax()] == family and p.max() >= licenses.THRESHOLD
+                # wording that families share may be read as another of them, what is a family's own may not
+                own = len(set(licenses.grams(words[i:i + 12])) & licenses.OWN[family]) > 2
+                assert p.argmax() and (not own or licenses.FAMILIES[p.argmax()] == family and p.max() >= licenses.THRESHOLD), words[i:i + 12]
 
 
 def test_licenses_find_every_template():

@@ -2,7 +2,9 @@
 
 Terms are words (A-Z lower-cased, punctuation cut at the ends) and their first four and five
 letters, which carry inflected forms. A chi-square test over the labelled sample, counted on Spark,
-keeps the terms that tell the classes apart; the examples' vectors over those terms form an inverted
+keeps the terms that speak for the toxic class (at most ``TERMS``, a value of ``CHI_SQUARE`` and ``MIN_EXAMPLES`` toxic
+examples at least): by cosine over all words the nearest examples are those of like language and topic, and
+far fewer toxic documents are found (README). The examples' vectors over the chosen terms form an inverted
 index in blocks of ``BLOCK`` examples, with each term's largest weight per block. A document visits
 blocks in falling order of their bound and stops when no block can reach its k-th neighbour, so the
 neighbours are exact. Votes count by cosine; a logistic curve, fitted by leaving each example out,

@@ -352,6 +352,45 @@ def test_toxicity(spark, odd, none):
     assert toxicity.fit(none, labels, F.lit(True)) == 0.5
 
 
+def test_toxicity_neighbours_from_the_texts(spark):
+    """Neighbours and evidence of whole texts against cosines computed from the words of the texts, ties included."""
+    draw = random.Random(5)
+    insults = ["scoundrel", "scoundrels", "vile", "viler", "dolt", "doltish"]
+    texts = [(i, t + "".join(f" {draw.choice(insults)}" for _ in range(draw.randrange(1, 5))) if i % 4 == 0 else t) for i, t in enumerate(prose(500, seed=2))]
+    texts += [(1000 + i, texts[4 * i][1]) for i in range(20)]  # equal examples
+    docs, labels = frame(spark, texts), labelled(spark, texts, {i for i, _ in texts if i % 4 == 0}, "toxic")
+    index = toxicity.fit(docs, labels, F.lit(True))
+
+    def counts(text):
+        found = collections.Counter()
+        for word in text.encode().lower().split():
+            word = word.strip(toxicity.EDGE)
+            for term in [word, *(b"^" + word.decode()[:n].encode() for n in (4, 5) if len(word) > n)]:
+                found[term] += term in index.terms
+        return {t: n for t, n in found.items() if n}
+
+    held = {i: counts(t) for i, t in texts}
+    df = collections.Counter(t for i in index.ids for t in held[i])
+    idf = {t: math.log((1 + len(index.ids)) / (1 + df[t])) + 1 for t in index.terms}
+
+    def vector(c):
+        w = {t: (1 + math.log(n)) * idf[t] for t, n in c.items()}
+        norm = math.sqrt(sum(x * x for x in w.values()))
+        return {t: x / norm for t, x in w.items()}
+
+    examples = [vector(held[i]) for i in index.ids]
+    evidence = {r.doc_id: r.evidence for r in toxicity.score_documents(docs, index).collect()}
+    assert len(index.ids) == len(texts) and sum(map(bool, evidence.values())) > 100
+    for i, _ in texts[::7]:
+        mine = vector(held[i])
+        cosines = [sum(x * e.get(t, 0.0) for t, x in mine.items()) for e in examples]
+        want = sorted(((round(c, 9), -at) for at, c in enumerate(cosines) if c > 1e-12), reverse=True)[:toxicity.NEIGHBOURS]
+        near = index.nearest(toxicity.Terms(index.terms).counts(dict(texts)[i])) if mine else []
+        assert [round(c, 9) for c, _ in near] == [c for c, _ in want]
+        assert sorted(round(cosines[at], 9) for _, at in near) == sorted(c for c, _ in want)
+        assert evidence[i] == [index.ids[at] for _, at in near if index.labels[at] > 0.5]
+
+
 def test_licenses(spark, odd, none):
     notice = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"
     texts = list(enumerate(prose(40, seed=5) + [f"words\nLicensed under the Apache License, Version 2.0.\n{notice}", "Licensed under CC BY-NC 4.0.", "he licensed the software free of any plan", None]))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions.keys import shuffled
 from evenkeel.operators.ranking import first_n, global_rank
-from evenkeel.session import small
+from evenkeel.session import cut_lineage, small
 
 
 def rows_of_events(df: DataFrame, events: DataFrame, event: str = "event") -> DataFrame:
@@ -33,7 +33,7 @@ def merge_events(a: DataFrame, b: DataFrame, ratio: float, event: str = "event",
     reach the driver.
     """
     wanted = int(distinct_events(a, event).count() / ratio)
-    events = distinct_events(b, event)
+    events = cut_lineage(distinct_events(b, event))  # counted, then chosen from
     have = events.count()
     if wanted > have:
         raise ValueError(f"{wanted} events asked from a source that has {have}")

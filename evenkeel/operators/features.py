@@ -11,6 +11,7 @@ from evenkeel.functions.arrays import one_hot
 from evenkeel.functions.keys import shuffled
 from evenkeel.functions.numeric import missing_to, to_precision
 from evenkeel.operators.ranking import first_n, global_rank
+from evenkeel.session import cut_lineage
 
 
 def training_rows(
@@ -68,15 +69,14 @@ def in_random_order(df: DataFrame, key: str, seed: int, name: str = "position")
 def in_block_order(df: DataFrame, key: str, seed: int, block: int, name: str = "position") -> DataFrame:
     """Zero-based place when whole blocks of consecutive rows are shuffled, then each block.
 
-    Rows are consecutive in key order. The order hash is that of the block, followed by
-    that of the row within it.
+    Rows are consecutive in key order; keys are unique. The order hash is that of the block, followed by
+    that of the row within it. Keys alone are ranked, twice; whole rows are read once, to join their places.
     """
-    ranked = global_rank(df, "__at", key)
+    ranked = global_rank(df.select(key), "__at", key)
     number = F.floor((F.col("__at") - 1) / block)
-    hashed = ranked.withColumn(
-        "_hash", F.concat(shuffled(number.cast("string"), seed), shuffled(F.col(key), seed))
-    )
-    return global_rank(hashed, name, "_hash").withColumn(name, F.col(name) - 1).drop("_hash", "__at")
+    hashed = cut_lineage(ranked.select(key, F.concat(shuffled(number.cast("string"), seed), shuffled(F.col(key), seed)).alias("_hash")))
+    placed = global_rank(hashed, name, "_hash").select(key, (F.col(name) - 1).alias(name))
+    return placed if df.columns == [key] else df.join(placed, key).select(*df.columns, name)
 
 
 def batches(df: DataFrame, key: str, seed: int, batch_size: int, n_rows: int | None = None) -> DataFrame:

@@ -34,13 +34,13 @@ def _(spark, sf):
     return events.event_summary(rows(spark, sf), "origin")
 
 
-@query("c03_event_merge", f"""WITH {BASE}, a AS (SELECT * FROM base WHERE truth = 5 AND quantity > 35), b AS (SELECT * FROM base WHERE truth <> 5),
+@query("c03_event_merge", f"""WITH {BASE}, a AS (SELECT * FROM base WHERE truth = 5), b AS (SELECT * FROM base WHERE truth <> 5),
 na AS (SELECT CAST(floor(count(DISTINCT event) / 0.8) AS BIGINT) AS n FROM a),
 pick AS (SELECT event FROM (SELECT event, row_number() OVER (ORDER BY md5('42|' || event)) AS rn FROM (SELECT DISTINCT event FROM b)), na WHERE rn <= n)
 SELECT row_key, event, truth FROM a UNION ALL SELECT row_key, event, truth FROM b WHERE event IN (SELECT event FROM pick)""")
 def _(spark, sf):
-    df = rows(spark, sf).select("row_key", "event", "truth", "quantity")
-    a, b = df.filter("truth = 5 AND quantity > 35"), df.filter("truth <> 5")
+    df = rows(spark, sf).select("row_key", "event", "truth")
+    a, b = df.filter("truth = 5"), df.filter("truth <> 5")
     return events.merge_events(a, b, 0.8).select("row_key", "event", "truth")
 
 

@@ -293,7 +293,7 @@ def _(spark, sf):
 SELECT row_key, position, row_number() OVER (ORDER BY md5('9|' || (ordinal // 1000)) || md5('9|' || row_key)) - 1 AS block_position FROM a""")
 def _(spark, sf):
     df = labelled(spark, sf).select("row_key")
-    blocks = features.in_block_order(df, "row_key", 9, 1000, "block_position")
+    blocks = cut_lineage(features.in_block_order(df, "row_key", 9, 1000, "block_position"))
     return features.in_random_order(blocks, "row_key", 9).select("row_key", "position", "block_position")
 
 

@@ -10,10 +10,14 @@ counts allow no Good-Turing discount, half an observation is taken.
 Tokens occur a hundred million times, so no row is one token. Documents are read once, in batches
 of about ``BATCH_TOKENS`` tokens, into a table bucketed by batch. A batch sends its distinct words
 and bigrams with their training counts to the partition of their hash (bigrams: of their context),
-as packed arrays; there the counts of all batches are summed, which are the model's tables, and
+as packed arrays; there the counts of all batches are summed and
 each batch is answered for what it sent. Two shuffles of distinct n-grams per batch thus replace a
 join of every token, hot words are one entry per batch, and the batches never move.
 
+The sums are kept as tables, one of words and one of bigrams, partitioned by that hash: a row holds the n-grams of a part as
+packed arrays, in the form in which batches send theirs. So a stored model answers other texts as it did the corpus: ``score_texts`` joins
+their batches' n-grams with its rows by part, bigrams that are not there fall back to their word, words to the unknown class.
+
 A context of more than ``SPLIT_TOKENS`` tokens is split by a salt of the second word, one salt for
 so many tokens, so that no part grows with one context. A bigram is whole within its salt; the totals
 of a split context are added over its parts on the driver, at most two rows per ``SPLIT_TOKENS``
@@ -31,13 +35,14 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.llm.common import fresh, partitions, written
@@ -70,6 +75,12 @@ def pack_each(parts: list[np.ndarray]) -> list[bytes]:
     return [pack(p) for p in parts]
 
 
+# What batches send of their words and bigrams; a model's tables have the same columns.
+WORDS_SENT = "part long, batch long, words binary, counts binary, others binary"
+PAIRS_SENT = "part long, batch long, contexts binary, runs binary, split binary, seconds binary, n binary, lower binary"
+TABLE = ["table_contexts", "table_runs", "table_split", "table_seconds", "table_n", "table_lower"]
+
+
 class Discounts:
     """Good-Turing discount factors of one order, from the counts of counts 1..K+1."""
 
@@ -216,32 +227,49 @@ def batches_of(docs: DataFrame, learns: Column, key: str, text: str) -> DataFram
     return spark.table(name)
 
 
-def _count_words(batches: DataFrame, parts: int) -> DataFrame:
-    """Answers to the batches, (part, batch, counts, salts), and per part its totals, where batch is null."""
-    split = SPLIT_TOKENS
+#: The batch number of a model's own rows.
+STORED = -1
+
+
+def _count_words(batches: DataFrame, parts: int, split: int, stored: DataFrame | None = None) -> DataFrame:
+    """Answers to the batches, (part, batch, counts, salts), and per part its totals and the words themselves, where batch is null.
+
+    ``stored`` are the words of a model, which take part like a batch that asks nothing.
+    """
+    own = stored is None
 
     def sent(given: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in given:
             for row in pdf.itertuples(index=False):
                 b = Batch(row)
-                counts, others = (np.bincount(b.stream[x], minlength=len(b.words)) for x in (b.counted, ~b.counted))
+                # the salts of a stored model are those of its own corpus
+                counts, others = (np.bincount(b.stream[x & own], minlength=len(b.words)) for x in (b.counted, ~b.counted))
                 order, present, begin = dealt(b.words, parts)
                 deal = lambda x: pack_each(np.split(x[order], begin[1:]))
                 yield pd.DataFrame({"part": present, "batch": b.id, "words": deal(b.words), "counts": deal(counts), "others": deal(others)})
 
     def summed(pdf: pd.DataFrame) -> pd.DataFrame:
         words = [unpack(b) for b in pdf["words"]]
-        _, at = np.unique(np.concatenate(words), return_inverse=True)
+        distinct, at = np.unique(np.concatenate(words), return_inverse=True)
         totals, others = (np.bincount(at, np.concatenate([unpack(b) for b in pdf[c]])).astype(np.int64) for c in ("counts", "others"))
         salts = -(-(totals + others) // split)  # of all tokens, also those that are not counted
         often = np.bincount(np.minimum(totals, K + 2), minlength=K + 3)
         ends = np.cumsum([len(w) for w in words])[:-1]
-        out = pd.DataFrame({"part": pdf["part"], "batch": pdf["batch"].astype(object), "counts": pack_each(np.split(totals[at], ends)), "salts": pack_each(np.split(salts[at], ends)), "tokens": None, "words": None, "often": None})
-        out.loc[len(out)] = [pdf["part"].iloc[0], None, None, None, int(totals.sum()), int((totals > 0).sum()), often[1:K + 2].tolist()]
+        out = pd.DataFrame({"part": pdf["part"], "batch": pdf["batch"].astype(object), "counts": pack_each(np.split(totals[at], ends)), "salts": pack_each(np.split(salts[at], ends)), "tokens": None, "words": None, "often": None, "others": None, "known": None})
+        out = out[out["batch"] != STORED].reset_index(drop=True)
+        out.loc[len(out)] = [pdf["part"].iloc[0], None, pack(totals), None, int(totals.sum()), int((totals > 0).sum()), often[1:K + 2].tolist(), pack(others), pack(distinct)]
         return out
 
-    rows = batches.mapInPandas(sent, "part long, batch long, words binary, counts binary, others binary")
-    return rows.groupBy("part").applyInPandas(summed, "part long, batch long, counts binary, salts binary, tokens long, words long, often array<long>")
+    rows = batches.mapInPandas(sent, WORDS_SENT)
+    if stored is not None:
+        rows = rows.unionByName(stored)
+    return rows.groupBy("part").applyInPandas(
+        summed, "part long, batch long, counts binary, salts binary, tokens long, words long, often array<long>, others binary, known binary")
+
+
+def _stored_words(answers: DataFrame) -> DataFrame:
+    """The words of a model, as a batch sends its own."""
+    return answers.filter("batch IS NULL").select("part", F.lit(STORED).cast("long").alias("batch"), F.col("known").alias("words"), "counts", "others")
 
 
 def _totals(answers: DataFrame, *columns: str) -> list:
@@ -251,10 +279,11 @@ def _totals(answers: DataFrame, *columns: str) -> list:
     return [*row[:len(columns)], row[len(columns):]]
 
 
-def _count_pairs(batches: DataFrame, answers: DataFrame, parts: int, lower: Words, start_salts: int) -> DataFrame:
+def _count_pairs(batches: DataFrame, answers: DataFrame, parts: int, lower: Words, start_salts: int, stored: DataFrame | None = None) -> DataFrame:
     """Answers on bigrams: their counts, and of their contexts the total and what their weight needs.
 
-    Of split contexts these hold the part's second words only; the rows without a batch have them by context, for ``_split_totals``.
+    Of split contexts these hold the part's second words only; the rows without a batch have them by context, for ``_split_totals``,
+    and the part's bigrams that were seen in training. ``stored`` are the bigrams of a model, which take part like a batch that asks nothing.
     """
 
     def sent(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
@@ -300,17 +329,31 @@ def _count_pairs(batches: DataFrame, answers: DataFrame, parts: int, lower: Word
         for batch, ctx, run in zip(pdf["batch"], contexts, runs):
             mine = total[at[start:start + run.sum()]]
             start += run.sum()
+            if batch == STORED:
+                continue
             own = np.searchsorted(known, ctx)
             asked = own[np.minimum.reduceat(mine, np.cumsum(run) - run) == 0]  # contexts with an unseen word here
-            out.append((pdf["part"].iloc[0], batch, pack(mine), pack(held[own]), pack(few[asked].ravel()), pack(many[asked]), pack(mass[asked].view(np.uint64)), None))
+            out.append((pdf["part"].iloc[0], batch, pack(mine), pack(held[own]), pack(few[asked].ravel()), pack(many[asked]), pack(mass[asked].view(np.uint64)), None, *[None] * 6))
         often = np.bincount(np.minimum(total, K + 2), minlength=K + 3)[1:K + 2]
-        out.append((pdf["part"].iloc[0], None, *totals, often.tolist()))
-        return pd.DataFrame(out, columns=["part", "batch", "n", "held", "few", "many", "mass", "often"]).astype({"batch": object})
+        # the table of the part: bigrams in the order of context and second word
+        run = np.bincount(owner[seen], minlength=size)
+        has = np.flatnonzero(run)
+        table = (known[has], run[has], np.isin(has, hot), w[begin][seen], total[seen], low[order][begin][seen])
+        out.append((pdf["part"].iloc[0], None, *totals, often.tolist(), *(pack(x) for x in table)))
+        return pd.DataFrame(out, columns=["part", "batch", "n", "held", "few", "many", "mass", "often", *TABLE]).astype({"batch": object})
 
     own = answers.filter("batch IS NOT NULL").select("part", "batch", "counts", "salts")
-    rows = batches.groupBy("batch").cogroup(own.groupBy("batch")).applyInPandas(
-        sent, "part long, batch long, contexts binary, runs binary, split binary, seconds binary, n binary, lower binary")
-    return rows.groupBy("part").applyInPandas(summed, "part long, batch long, n binary, held binary, few binary, many binary, mass binary, often array<long>")
+    rows = batches.groupBy("batch").cogroup(own.groupBy("batch")).applyInPandas(sent, PAIRS_SENT)
+    if stored is not None:
+        rows = rows.unionByName(stored)
+    return rows.groupBy("part").applyInPandas(
+        summed, "part long, batch long, n binary, held binary, few binary, many binary, mass binary, often array<long>, " + ", ".join(f"{c} binary" for c in TABLE))
+
+
+def _stored_pairs(answers: DataFrame) -> DataFrame:
+    """The bigrams of a model, as a batch sends its own."""
+    names = [c.removeprefix("table_") for c in TABLE]
+    return answers.filter("batch IS NULL").select("part", F.lit(STORED).cast("long").alias("batch"), *[F.col(t).alias(n) for t, n in zip(TABLE, names)])
 
 
 def unseen(held: np.ndarray, few: np.ndarray) -> np.ndarray:
@@ -329,19 +372,66 @@ def _split_totals(answers: DataFrame) -> tuple[np.ndarray, ...]:
     return context, held + unseen(held, few), few, many, mass
 
 
-def score_documents(docs: DataFrame, learns: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, learns, n_tokens, n_known, train_tokens, base_score, score); ``learns`` marks training documents."""
-    kind = docs.schema[key].dataType.simpleString()
+def _answers(batches: DataFrame, parts: int, stored: Model | None = None) -> tuple:
+    """Answers on words and on bigrams, the lower order, and the salts of the context of first words."""
+    on_words = written(_count_words(batches, parts, stored.split_tokens if stored else SPLIT_TOKENS, stored and stored.words), "word-counts")
+    tokens, words, often = _totals(on_words, "tokens", "words")
+    lower = Words(tokens, words, often)
+    start_salts = stored.start_salts if stored else math.ceil((batches.agg(F.sum(F.size("ids"))).first()[0] or 0) / SPLIT_TOKENS)
+    on_pairs = written(_count_pairs(batches, on_words, parts, lower, start_salts, stored and stored.pairs), "pair-counts")
+    return on_words, on_pairs, lower, start_salts
+
+
+class Model(NamedTuple):
+    """Counts of a training corpus as tables of parts, and how they were dealt to parts and salts."""
+
+    words: DataFrame
+    pairs: DataFrame
+    parts: int
+    start_salts: int
+    split_tokens: int
+
+    def save(self, path: str) -> None:
+        """Tables ``words`` and ``pairs`` partitioned by the hash of words and contexts, and one row of ``numbers``."""
+        spark = self.words.sparkSession
+        self.words.write.parquet(f"{path}/words")
+        self.pairs.write.parquet(f"{path}/pairs")
+        spark.range(1).select(F.lit(self.parts).alias("parts"), F.lit(self.start_salts).alias("start_salts"), F.lit(self.split_tokens).alias("split_tokens")).write.parquet(f"{path}/numbers")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Model:
+        numbers = spark.read.parquet(f"{path}/numbers").first()
+        return Model(spark.read.parquet(f"{path}/words"), spark.read.parquet(f"{path}/pairs"), numbers["parts"], numbers["start_salts"], numbers["split_tokens"])
+
+
+def fit_and_score(docs: DataFrame, learns: Column, key: str = "doc_id", text: str = "text") -> tuple[Model, DataFrame]:
+    """The model of the documents that ``learns`` marks, and the scores of all ``docs`` as ``score_documents`` has them."""
     batches = batches_of(docs, learns, key, text)
     # half full on average: the last batch of a task is as full as its partition leaves it
     parts = max(1, math.ceil(batches.count() * BATCH_TOKENS / PART_TOKENS / 2))
-    on_words = written(_count_words(batches, parts), "word-counts")
-    tokens, words, often = _totals(on_words, "tokens", "words")
-    lower = Words(tokens, words, often)
-    start_salts = math.ceil((batches.agg(F.sum(F.size("ids"))).first()[0] or 0) / SPLIT_TOKENS)
-    on_pairs = written(_count_pairs(batches, on_words, parts, lower, start_salts), "pair-counts")
+    on_words, on_pairs, lower, start_salts = _answers(batches, parts)
+    model = Model(_stored_words(on_words), _stored_pairs(on_pairs), parts, start_salts, SPLIT_TOKENS)
+    return model, _scores(batches, on_words, on_pairs, lower, parts, start_salts, docs.schema[key].dataType.simpleString())
+
+
+def score_documents(docs: DataFrame, learns: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, learns, n_tokens, n_known, train_tokens, base_score, score); ``learns`` marks training documents."""
+    return fit_and_score(docs, learns, key, text)[1]
+
+
+def score_texts(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of texts that the model need not have seen."""
+    batches = batches_of(docs, F.lit(False), key, text)
+    on_words, on_pairs, lower, _ = _answers(batches, model.parts, model)
+    scores = _scores(batches, on_words, on_pairs, lower, model.parts, model.start_salts, docs.schema[key].dataType.simpleString())
+    return scores.drop("learns")
+
+
+def _scores(batches: DataFrame, on_words: DataFrame, on_pairs: DataFrame, lower: Words, parts: int, start_salts: int, kind: str) -> DataFrame:
+    """Scores of the batches' documents, from the answers they got."""
+    tokens, words = lower.tokens, lower.words
     discounts = Discounts(_totals(on_pairs)[0])
-    shared = docs.sparkSession.sparkContext.broadcast(_split_totals(on_pairs))
+    shared = batches.sparkSession.sparkContext.broadcast(_split_totals(on_pairs))
 
     def scored(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -375,6 +465,6 @@ def score_documents(docs: DataFrame, learns: Column, key: str = "doc_id", text:
         return pd.concat(out)
 
     told = on_words.filter("batch IS NOT NULL").select("part", "batch", "counts", "salts").unionByName(
-        on_pairs.filter("batch IS NOT NULL").drop("often"), allowMissingColumns=True)
+        on_pairs.filter("batch IS NOT NULL").drop("often", *TABLE), allowMissingColumns=True)
     return batches.groupBy("batch").cogroup(told.groupBy("batch")).applyInPandas(
         scored, f"doc_id {kind}, learns boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

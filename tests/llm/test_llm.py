@@ -289,6 +289,32 @@ def test_katz_splits_hot_contexts(spark, monkeypatch):
     assert len(entries) > 5 and max(entries.values()) < 0.3 * sum(entries.values())
 
 
+@pytest.mark.parametrize("split", [30, 100_000])
+def test_katz_tables_score_other_texts(spark, monkeypatch, tmp_path, split):
+    """A stored model scores the corpus as the run that counted it did, and texts outside it as brute force does."""
+    monkeypatch.setattr(katz, "BATCH_TOKENS", 700)
+    monkeypatch.setattr(katz, "PART_TOKENS", 400)
+    monkeypatch.setattr(katz, "SPLIT_TOKENS", split)
+    texts = [(i, t) for i, t in enumerate(prose(90, seed=21, vocabulary=60))]
+    learns = lambda i: zlib.crc32(str(i).encode()) % 7 != 2
+    model, scores = katz.fit_and_score(frame(spark, texts), remainder(7) != 2)
+    model.save(str(tmp_path / "model"))
+    again = katz.Model.load(spark, str(tmp_path / "model"))
+    monkeypatch.setattr(katz, "SPLIT_TOKENS", 17)  # of another build
+    assert again.words.count() > 1 and again.pairs.filter("batch >= 0").count() == 0
+    columns = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    first = {r.doc_id: tuple(r)[1:] for r in scores.select(*columns).collect()}
+    for r in katz.score_texts(frame(spark, texts), again).select(*columns).collect():
+        assert tuple(r)[1:4] == first[r.doc_id][:3] and tuple(r)[4:] == pytest.approx(first[r.doc_id][3:])
+    other = [(1000 + i, t + " never seen words") for i, t in enumerate(prose(25, seed=77, vocabulary=90))] + [(2000, None), (2001, "w1 " * 3000)]
+    want = katz_scores(texts + other, lambda i: i < 1000 and learns(i))
+    got = katz.score_texts(frame(spark, other), again).collect()
+    assert len(got) == len(other)
+    for r in got:
+        assert r.n_tokens == want[r.doc_id][0] and r.base_score == pytest.approx(want[r.doc_id][1]) and r.score == pytest.approx(want[r.doc_id][2])
+    assert katz.score_texts(frame(spark, []), again).count() == 0
+
+
 def test_katz_odd(odd, none):
     assert katz.score_documents(odd, remainder(7) != 2).count() == 10 and katz.score_documents(none, F.lit(True)).count() == 0
     assert {r.score for r in katz.score_documents(odd, F.lit(False)).collect()} == {0.0}

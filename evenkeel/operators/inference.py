@@ -21,18 +21,18 @@ Model = Callable[[np.ndarray], np.ndarray]
 def predict(df: DataFrame, features: str, model: Model, classifier: str, suffixes: Sequence[str]) -> DataFrame:
     """Add one probability column per class; ``model`` maps (rows, features) to (rows, classes).
 
-    Arrow batches stream through the tasks; the model travels once per worker.
+    The features alone stream through the tasks in Arrow batches, all other columns stay where they are; the model
+    travels once per worker.
     """
     names = [f"{classifier}_{s}" for s in suffixes]
-    schema = ", ".join([f.simpleString().replace(":", " ", 1) for f in df.schema] + [f"{n} double" for n in names])
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            if len(pdf):
-                probs = np.asarray(model(np.stack(pdf[features].to_numpy()).astype("float64")))
-                yield pdf.assign(**{n: probs[:, i] for i, n in enumerate(names)})
+    @F.pandas_udf(", ".join(f"{n} double" for n in names))
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for x in parts:
+            probs = np.asarray(model(np.stack(x.to_numpy()).astype("float64"))) if len(x) else np.zeros((0, len(names)))
+            yield pd.DataFrame({n: probs[:, i] for i, n in enumerate(names)})
 
-    return df.mapInPandas(run, schema)
+    return df.withColumn("__probs", run(F.col(features))).select(*df.columns, *[F.col(f"__probs.{n}").alias(n) for n in names])
 
 
 def softmax_model(weights: np.ndarray, bias: np.ndarray) -> Model:

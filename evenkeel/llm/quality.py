@@ -4,7 +4,7 @@ A document is a bag of passages of ``PASSAGE`` words; whole texts are used. Ever
 by counts (kinds of characters, hashed byte pairs, repetition within the passage and the document),
 a learned layer turns the counts into a vector, gated attention weighs the passages of a document,
 and the weighted vector gives the score. Labels belong to documents alone; which passage speaks for
-them is learned. The fit uses a bounded sample of labelled rows, the least by hash: ``SAMPLE``.
+them is learned. The fit uses a bounded sample of labelled rows, the least by hash: ``SAMPLE``, and ``FIT_PASSAGES`` of each.
 
 Defined cases: null text counts as empty; an empty text is one passage without words; a document
 with several labels has the mean; labels null or of unknown documents are ignored; with no labels,
@@ -22,8 +22,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PASSAGE = 64
-#: Labelled documents the fit may use.
+#: Labelled documents the fit may use, and passages of each, evenly spread over longer ones; scores use all passages.
 SAMPLE = 4000
+FIT_PASSAGES = 320
 PAIRS = 64
 HIDDEN = 16
 THRESHOLD = 0.3
@@ -71,6 +72,11 @@ def encode(text: str) -> np.ndarray:
     return np.hstack([kinds, pairs, np.stack(rest, 1)]).astype(np.float32)
 
 
+def spread(passages: np.ndarray, most: int = FIT_PASSAGES) -> np.ndarray:
+    """``most`` of the passages at even distances, all if they are no more."""
+    return passages if len(passages) <= most else passages[np.linspace(0, len(passages) - 1, most).astype(int)]
+
+
 class Attention:
     """Encoder layer, gated attention, logistic score; fitted by Adam."""
 
@@ -155,7 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, label: str = "qua
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blocks = [encode(t).tobytes() for t in batch.column(2).to_pylist()]
+            blocks = [spread(encode(t)).tobytes() for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(blocks, pa.binary())], ["doc_id", "label", "block"])
 
     kind = sample.schema["doc_id"].dataType.simpleString()

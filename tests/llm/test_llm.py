@@ -518,3 +518,30 @@ def test_pipeline(spark, tmp_path):
         elif name == "near_dedup":
             assert set(after) == {i for i, (n, c) in components(list(before.items()), 5).items() if c == i}
         docs = out
+
+
+def test_pipeline_odd(spark, odd, none, tmp_path):
+    """Odd rows through every stage; a table without n_chars and with a column of its own; an empty table."""
+    import corpus_pipeline
+
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(1, 9)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    rows = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=repr)
+    docs = odd.drop("n_chars").withColumn("mine", F.lit(7))
+    good = stages["quality"](spark, docs, str(tmp_path))
+    assert rows(good) == rows(docs) and good.columns == docs.columns  # every label says good
+    lines = stages["line_dedup"](spark, good, str(tmp_path))
+    assert rows(lines) == sorted(((i, t or "") for i, t in rows(docs)), key=repr) and lines.columns == docs.columns
+    near = stages["near_dedup"](spark, lines, str(tmp_path))
+    # rows 4 and 5 have the same words, so the first stays; equal rows of one id stay together
+    assert rows(near) == [r for r in rows(lines) if r[0] != 5]
+    mixed = stages["mixing"](spark, near, str(tmp_path))
+    size = {i: len(words_of(t)) for i, t in rows(near)}
+    assert mixed.columns == docs.columns and {i for i, _ in rows(mixed)} <= {i for i in size if size[i]} and mixed.filter("mine = 7").count() == mixed.count()
+    coded = stages["bpe"](spark, mixed, str(tmp_path))
+    assert coded.count() == mixed.count() and coded.filter("n_tokens = 0").count() == 0
+    empty = none
+    for name, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, empty, str(tmp_path))
+        assert empty.count() == 0, name

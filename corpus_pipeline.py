@@ -1,4 +1,14 @@
-"""A training corpus from the table of documents: five stages, each over all its predecessor kept."""
+"""A training corpus from the table of documents: five stages, each over all its predecessor kept.
+
+Documents that the quality classifier rejects go, lines that ten documents or more share go, one document of each group of
+near-duplicates stays, documents are repeated as the mix of sources takes them, and what is left is encoded. All stages
+but the last return the columns of their input, whatever further ones it has; ``n_chars`` follows the text where it is there.
+
+Defined cases, stage by stage: a null text counts as empty, scores like one, has one empty line and becomes the empty text, links with
+nothing, has no words to be mixed and so leaves in the mixing stage, as do texts that line dedup emptied; a null id takes no part in links and is kept
+by the near-duplicate stage; rows that repeat an id are scored and deduplicated each, are one node of near-duplicates and
+stay or go together; very long texts are whole in every stage; empty tables pass through all stages.
+"""
 
 from __future__ import annotations
 
@@ -18,7 +28,9 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that many of them share; ``n_chars`` follows the text."""
-    out = line_dedup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    out = line_dedup.dedup_lines(docs)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
 
 

@@ -16,7 +16,7 @@ from evenkeel.functions.numeric import safe_divide
 from evenkeel.operators.binning import Edges, edge_table, flat_bin, full_grid, n_bins
 from evenkeel.operators.fractions import correct_fractions, with_fraction
 from evenkeel.operators.ranking import running_sum
-from evenkeel.session import cut_lineage, small
+from evenkeel.session import cut_lineage, small, small_counted
 
 # Weights between two powers of two become whole numbers of this size at least, so that running
 # sums do not depend on order.
@@ -73,7 +73,7 @@ def numbers_per_sample(
 
     limited = sorted({cls for _, cls in (max_upsampling or {})})
     asked = counts.withColumnRenamed("n", "available").join(
-        F.broadcast(targets.select("origin", "fraction", "target")), "origin"
+        targets.select("origin", "fraction", "target"), "origin"
     )
     limit = lookup(max_upsampling, None)
     cap = F.floor(F.col("available") * limit).cast("bigint")
@@ -97,7 +97,7 @@ def density_ratios(hists: DataFrame, target: DataFrame) -> DataFrame:
 
     ``target`` is (origin, bin, n_target).
     """
-    return hists.join(F.broadcast(target), ["origin", "bin"]).withColumn(
+    return hists.join(target, ["origin", "bin"]).withColumn(
         "ratio", safe_divide(F.col("n_target"), F.col("n"), 0.0)
     )
 
@@ -235,7 +235,7 @@ def smooth_weights(df: DataFrame, ratios: DataFrame, axes: Mapping[str, Edges],
     located = df.withColumns({"__ix": ix, "__iy": iy, "__u": u, "__v": v}).withColumn(
         "cell", F.col("__ix") * (len(ky) - 1) + F.col("__iy")
     )
-    joined = located.join(F.broadcast(cells), ["origin", "class", "cell"], "left")
+    joined = located.join(small_counted(cells), ["origin", "class", "cell"], "left")
     value = F.lit(0.0)
     for p in range(3, -1, -1):
         inner = F.lit(0.0)
@@ -252,7 +252,7 @@ def step_weights(df: DataFrame, ratios: DataFrame, axes: Mapping[str, Edges], na
     table = ratios.select("origin", "class", "bin", F.col("ratio").alias(name))
     return (
         df.withColumn("bin", flat_bin(axes))
-        .join(F.broadcast(table), ["origin", "class", "bin"], "left")
+        .join(small_counted(table), ["origin", "class", "bin"], "left")
         .withColumn(name, F.coalesce(name, F.lit(0.0)))
         .drop("bin")
     )

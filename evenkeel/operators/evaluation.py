@@ -22,7 +22,7 @@ from evenkeel.functions.score import discriminant, probability_columns
 from evenkeel.operators.binning import Edges, bin_number
 from evenkeel.operators.histograms import histogram
 from evenkeel.operators.quantiles import exact_quantiles, quantile_arrays
-from evenkeel.session import cut_lineage, small
+from evenkeel.session import cut_lineage, small, small_counted
 
 # Fixed value: keeps the class size away from zero.
 EPSILON = 1e-10
@@ -281,7 +281,7 @@ def efficiency_vs_variable(df: DataFrame, score: str, variable: str, edges: Edge
         joined = inside.withColumn("cut", F.lit(float(cut)))
     elif per_bin:
         cuts = exact_quantiles(inside.filter(signal), "score", [1.0 - eff], ["bin"], len(edges))
-        joined = inside.join(F.broadcast(cuts.select("bin", F.col("quantile").alias("cut"))), "bin")
+        joined = inside.join(small(cuts.select("bin", F.col("quantile").alias("cut")), len(edges)), "bin")
     else:
         cuts = exact_quantiles(binned.filter(signal), "score", [1.0 - eff])
         joined = inside.crossJoin(F.broadcast(cuts.select(F.col("quantile").alias("cut"))))
@@ -337,7 +337,7 @@ def store_records(new: DataFrame, path: str, part: str, keys: Sequence[str], val
     merged = new
     if _has_files(spark, path):
         old = spark.read.schema(new.schema).parquet(path)
-        touched = old.join(F.broadcast(new.select(part).distinct()), part, "left_semi")
+        touched = old.join(small_counted(new.select(part).distinct()), part, "left_semi")
         merged = cut_lineage(upsert(touched, new, [part, *keys], values).select(*columns))
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
 
@@ -399,7 +399,7 @@ def selection_summary(df: DataFrame, score: str, n_items: str, exact: int, effs:
     The cut is taken from the class's own scores.
     """
     cuts = quantile_arrays(df, score, [1.0 - e for e in effs], ["class"], len(classes))
-    chosen = df.filter(F.col(n_items) == exact).join(F.broadcast(cuts), "class")
+    chosen = df.filter(F.col(n_items) == exact).join(small(cuts, len(classes)), "class")
     numbered = chosen.select(
         "class", score, *features, F.posexplode("quantiles").alias("eff_no", "cut")
     ).withColumn("passed", F.when(above(F.col(score), F.col("cut")), True).when(above(F.col("cut"), F.col(score)), False))

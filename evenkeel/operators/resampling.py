@@ -236,7 +236,7 @@ def importance_minima(counts: DataFrame, target_class: str, bins: int) -> DataFr
     """Rows every class can give per bin when scaled below the target's shape."""
     ratios = sampling_ratios(counts, target_class, bins)
     peak = ratios.groupBy("class").agg(F.max("ratio").alias("peak"))
-    scaled = ratios.join(F.broadcast(peak), "class").withColumn(
+    scaled = ratios.join(peak, "class").withColumn(
         "scaled", safe_divide(F.col("n"), F.col("peak"), 0.0) * F.col("ratio")
     )
     return scaled.groupBy("bin").agg(F.floor(F.min("scaled")).cast("bigint").alias("limit"))

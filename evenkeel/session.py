@@ -7,9 +7,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A table known to hold at most this many narrow rows may be broadcast.
 BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 512 << 20
 
 
 def build_session(app_name: str = "evenkeel", master: str | None = None, **conf) -> SparkSession:
@@ -83,6 +85,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_bytes(kind: T.DataType) -> int:
+    """A generous size of a value: 8 bytes a number, 64 a text, 32 entries an array or map."""
+    if isinstance(kind, T.StructType):
+        return sum(row_bytes(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return 32 * row_bytes(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return 32 * (row_bytes(kind.keyType) + row_bytes(kind.valueType))
+    return 64 if isinstance(kind, (T.StringType, T.BinaryType)) else 8
+
+
 def small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` if its proven row bound allows it, else leave it to the planner."""
-    return F.broadcast(df) if max_rows <= BROADCAST_ROWS else df
+    """Broadcast ``df`` if its proven row bound, at the width of its rows, allows it; else leave it to the planner."""
+    fits = max_rows <= BROADCAST_ROWS and max_rows * row_bytes(df.schema) <= BROADCAST_BYTES
+    return F.broadcast(df) if fits else df
+
+
+def small_counted(df: DataFrame) -> DataFrame:
+    """``small`` for a table without a known bound: it is written, counted, and broadcast if it is small."""
+    table = cut_lineage(df)
+    return small(table, table.count())

@@ -257,3 +257,12 @@ def test_fitted_model_learns_and_repeats(spark):
         tables.append(ev.quality(fitted, [F.col("m_a"), F.col("m_b")]).first())
     assert fitted.filter(F.abs(F.col("m_a") + F.col("m_b") - 1) > 1e-9).count() == 0
     assert tables[0] == tables[1] and tables[0]["n"] == 2000 and tables[0]["accuracy"] > 0.85 and tables[0]["loss"] < 0.4
+
+
+def test_broadcasts_are_bounded_by_rows_and_width(spark):
+    from evenkeel import session
+
+    wide = spark.createDataFrame([(1, [[1.0]])], "id int, x array<array<double>>")
+    hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+    assert hinted(session.small(wide, 1000)) and not hinted(session.small(wide, 100_000)) and not hinted(session.small(spark.range(1), 3_000_000))
+    assert hinted(session.small(spark.range(5), 2_000_000)) and hinted(session.small_counted(wide)) and session.small_counted(wide).count() == 1

@@ -20,8 +20,7 @@ their batches' n-grams with its rows by part, bigrams that are not there fall ba
 
 A context of more than ``SPLIT_TOKENS`` tokens is split by a salt of the second word, one salt for
 so many tokens, so that no part grows with one context. A bigram is whole within its salt; the totals
-of a split context are added over its parts on the driver, at most two rows per ``SPLIT_TOKENS``
-tokens of the corpus, and broadcast.
+of a split context are added over its parts on the driver, at most ``2 * SALTS`` rows whatever the corpus, and broadcast.
 
 Words are known by 64-bit hashes, successors within a context by 48 bits.
 
@@ -52,8 +51,9 @@ K = 5
 BATCH_TOKENS = 2_000_000
 #: Tokens of the corpus per partition of the model.
 PART_TOKENS = 1_000_000
-#: Tokens after one context per salt.
+#: Tokens after one context per salt, and salts of all contexts together; a corpus that would need more has more tokens per salt.
 SPLIT_TOKENS = 100_000
+SALTS = 1_000_000
 # Fixed values that stand for the end of a text and for the context of its first word.
 END, START = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
 #: An odd number that sends the salts of a context to different parts.
@@ -372,12 +372,12 @@ def _split_totals(answers: DataFrame) -> tuple[np.ndarray, ...]:
     return context, held + unseen(held, few), few, many, mass
 
 
-def _answers(batches: DataFrame, parts: int, stored: Model | None = None) -> tuple:
+def _answers(batches: DataFrame, parts: int, split: int, stored: Model | None = None) -> tuple:
     """Answers on words and on bigrams, the lower order, and the salts of the context of first words."""
-    on_words = written(_count_words(batches, parts, stored.split_tokens if stored else SPLIT_TOKENS, stored and stored.words), "word-counts")
+    on_words = written(_count_words(batches, parts, split, stored and stored.words), "word-counts")
     tokens, words, often = _totals(on_words, "tokens", "words")
     lower = Words(tokens, words, often)
-    start_salts = stored.start_salts if stored else math.ceil((batches.agg(F.sum(F.size("ids"))).first()[0] or 0) / SPLIT_TOKENS)
+    start_salts = stored.start_salts if stored else math.ceil((batches.agg(F.sum(F.size("ids"))).first()[0] or 0) / split)
     on_pairs = written(_count_pairs(batches, on_words, parts, lower, start_salts, stored and stored.pairs), "pair-counts")
     return on_words, on_pairs, lower, start_salts
 
@@ -408,9 +408,10 @@ def fit_and_score(docs: DataFrame, learns: Column, key: str = "doc_id", text: st
     """The model of the documents that ``learns`` marks, and the scores of all ``docs`` as ``score_documents`` has them."""
     batches = batches_of(docs, learns, key, text)
     # half full on average: the last batch of a task is as full as its partition leaves it
-    parts = max(1, math.ceil(batches.count() * BATCH_TOKENS / PART_TOKENS / 2))
-    on_words, on_pairs, lower, start_salts = _answers(batches, parts)
-    model = Model(_stored_words(on_words), _stored_pairs(on_pairs), parts, start_salts, SPLIT_TOKENS)
+    most = batches.count() * BATCH_TOKENS
+    parts, split = max(1, math.ceil(most / PART_TOKENS / 2)), max(SPLIT_TOKENS, most // SALTS)
+    on_words, on_pairs, lower, start_salts = _answers(batches, parts, split)
+    model = Model(_stored_words(on_words), _stored_pairs(on_pairs), parts, start_salts, split)
     return model, _scores(batches, on_words, on_pairs, lower, parts, start_salts, docs.schema[key].dataType.simpleString())
 
 
@@ -422,7 +423,7 @@ def score_documents(docs: DataFrame, learns: Column, key: str = "doc_id", text:
 def score_texts(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of texts that the model need not have seen."""
     batches = batches_of(docs, F.lit(False), key, text)
-    on_words, on_pairs, lower, _ = _answers(batches, model.parts, model)
+    on_words, on_pairs, lower, _ = _answers(batches, model.parts, model.split_tokens, model)
     scores = _scores(batches, on_words, on_pairs, lower, model.parts, model.start_salts, docs.schema[key].dataType.simpleString())
     return scores.drop("learns")
 

@@ -38,9 +38,9 @@ LEXICON_WORDS = 30_000
 #: Words a counting task holds before it forgets the rarest.
 COUNT_LIMIT = 200_000
 #: Encoded words a task keeps at hand before it starts anew.
-MEMO_LIMIT = 200_000
+MEMO_LIMIT = 150_000
 #: Texts that are parted, encoded and put together at a time.
-ROWS = 2048
+ROWS = 1024
 
 # Unicode white space, and the pattern by which the vocabulary splits text.
 SPACES = "\t-\r \x85\xa0  -     　"
@@ -428,8 +428,8 @@ class Codec:
         lists = pc.split_pattern(texts.filter(pa.array(~slow)), " ")
         sizes = pc.list_value_length(lists).to_numpy()
         coded = lists.flatten().dictionary_encode()
-        chunks, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
-        of_text = np.repeat(np.flatnonzero(~slow), sizes)
+        chunks, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        of_text = np.repeat(np.flatnonzero(~slow).astype(np.int32), sizes)
         first = np.zeros(len(codes), bool)
         first[np.cumsum(sizes) - sizes] = True
         odd = np.array([not c or c[0] in BLANK for c in chunks], bool)
@@ -446,18 +446,22 @@ class Codec:
         heads = len(blocks)
         blocks += [self.encode(t) for t in texts.filter(pa.array(slow)).to_pylist()]
         entry = codes.copy()
-        entry[first] = len(chunks) + np.arange(heads - len(chunks))
-        entry = np.concatenate([entry, np.arange(heads, len(blocks))])
-        of_text = np.concatenate([of_text, np.flatnonzero(slow)])
-        order = np.argsort(of_text, kind="stable")
-        entry, of_text = entry[order], of_text[order]
-
-        length = np.fromiter(map(len, blocks), np.int64, len(blocks)) // 4
-        ids, start = np.frombuffer(b"".join(blocks), np.int32), np.cumsum(length) - length
+        entry[first] = np.arange(len(chunks), heads)
+        if slow.any():
+            entry = np.concatenate([entry, np.arange(heads, len(blocks), dtype=np.int32)])
+            of_text = np.concatenate([of_text, np.flatnonzero(slow).astype(np.int32)])
+            order = np.argsort(of_text, kind="stable")
+            entry, of_text = entry[order], of_text[order]
+
+        # an Arrow array of lists holds less than 2^31 ids, so these numbers are small ones
+        length = np.fromiter(map(len, blocks), np.int32, len(blocks)) // 4
+        ids, start = np.frombuffer(b"".join(blocks), np.int32), np.cumsum(length, dtype=np.int32) - length
         size = length[entry]
-        source = np.repeat(start[entry] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        until = np.cumsum(size, dtype=np.int32)
+        source = np.repeat(start[entry] - (until - size), size)
+        source += np.arange(len(source), dtype=np.int32)
         per_text = np.searchsorted(of_text, np.arange(len(texts) + 1))
-        ends = np.concatenate([[0], np.cumsum(size)])[per_text].astype(np.int32)
+        ends = np.concatenate([np.zeros(1, np.int32), until])[per_text]
         said = self.v.spelled(ids, np.concatenate([[0], np.cumsum(length)]))
         parts = pa.ListArray.from_arrays(pa.array(per_text.astype(np.int32)), said.take(pa.array(entry)))
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids[source])), pc.binary_join(parts, "")
@@ -517,6 +521,7 @@ def encode_documents(
             for start in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(start, ROWS)
                 yield pa.RecordBatch.from_arrays([*batch.columns, *codec.batch(batch.column(text_at))], [*kept, ids, decoded])
+        pa.default_memory_pool().release_unused()  # workers are kept, and other tasks need the memory
 
     text_at = kept.index(text)
     return docs.select(*kept).mapInArrow(code, schema)

@@ -237,9 +237,10 @@ def bucket_of(values: np.ndarray) -> np.ndarray:
 
 
 def value_counts(full: DataFrame) -> np.ndarray:
-    """How many sets hold a value of each of 2^``COUNTERS`` counters; values share counters by hash.
+    """How many sets hold a value of each of 2^``COUNTERS`` counters, as one byte each; values share counters by hash.
 
-    The size is fixed, whatever the number of values. Tasks count for themselves, and their counts are added up
+    The size is fixed, whatever the number of values: none, one, two, and from there on steps of an eighth of a doubling,
+    which any order of values may use. Tasks count for themselves, and their counts are added up
     ``FAN_IN`` at a time, a part of the counters in each group.
     """
     width = 1 << (COUNTERS - 4)
@@ -248,7 +249,7 @@ def value_counts(full: DataFrame) -> np.ndarray:
         return {"part": part, "at": at.astype(np.int64).tobytes(), "n": n.astype(np.int64).tobytes()}
 
     def count(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << COUNTERS, np.int64)
+        total = np.zeros(1 << COUNTERS, np.int32)
         for batch in frames:
             at, n = np.unique(bucket_of(batch.column(0).flatten().to_numpy()), return_counts=True)
             total[at] += n
@@ -268,10 +269,11 @@ def value_counts(full: DataFrame) -> np.ndarray:
     blocks = written(full.select("values").mapInArrow(count, "part int, at binary, n binary").withColumn("turn", F.spark_partition_id()), "counts")
     while (blocks.agg(F.max("turn")).first()[0] or 0) > 0:
         blocks = written(blocks.groupBy("part", F.floor(F.col("turn") / FAN_IN)).applyInPandas(added, "part int, at binary, n binary, turn int"), "counts")
-    total = np.zeros(1 << COUNTERS, np.int64)
-    for row in blocks.select("at", "n").collect():  # 16 parts at most
-        total[np.frombuffer(row["at"], np.int64)] += np.frombuffer(row["n"], np.int64)
-    return total
+    level = np.zeros(1 << COUNTERS, np.uint8)
+    for row in blocks.select("at", "n").collect():  # 16 parts, each of other counters
+        n = np.frombuffer(row["n"], np.int64)
+        level[np.frombuffer(row["at"], np.int64)] = np.where(n < 2, n, np.minimum(2 + 8 * np.log2(np.maximum(n, 2) / 2), 255))
+    return level
 
 
 def linked_in_block(rows: pd.DataFrame, percent: int) -> pd.DataFrame:

@@ -92,7 +92,7 @@ def smallest_thresholds(
     margin = F.lit(sigmas) * (F.sqrt(share * (1.0 - share) / F.col("n")) + 1.0 / F.col("n")) if sigmas else F.lit(0.0)
     bounds = partial.select(*groups, _digits(share - margin).alias("__lo"), _digits(share + margin).alias("__hi"))
     own = F.col(hashed)
-    cells = cut_lineage(
+    cells = (
         _join(df.select(*groups, hashed), small(bounds, max_groups), groups).filter(own < F.col("__hi"))
         .groupBy(*groups, F.when(own >= F.col("__lo"), own).alias("__at")).agg(F.count(F.lit(1)).alias("__n"))
     )
@@ -100,7 +100,7 @@ def smallest_thresholds(
     ranked = cells.withColumn("__upto", F.sum("__n").over(upto)).filter(F.col("__at").isNotNull())
     found = _join(ranked, small(partial, max_groups), groups).filter(F.col("__upto") == F.col("limit"))
     out = cut_lineage(_join(sized, small(found.select(*groups, F.col("__at").alias("threshold")), max_groups), groups, how="left"))
-    if out.filter(cut_off & F.col("threshold").isNull()).limit(1).count():
+    if out.filter(cut_off & F.col("threshold").isNull()).head(1):
         found = _thresholds_by_range(df, groups, partial, max_groups, hashed)
         out = cut_lineage(_join(sized, small(found, max_groups), groups, how="left"))
     return out.drop("n")

@@ -149,9 +149,9 @@ def size_report(selection: Selection, options: ResamplingOptions) -> DataFrame:
     per_class = options.n_rows // len(options.classes)
     found = full_grid(selection.counts.sparkSession, {"class": options.classes}, 1).select("class").join(
         small(selection.counts, len(options.classes)), "class", "left").na.fill(0, ["n"])
-    report = cut_lineage(found.select(
+    report = found.select(
         "class", F.lit(per_class).cast("bigint").alias("requested"), F.col("n").alias("available"),
-        F.least(F.col("n"), F.lit(per_class)).cast("bigint").alias("taken")))
+        F.least(F.col("n"), F.lit(per_class)).cast("bigint").alias("taken"))
     total = report.agg(F.sum("taken")).first()[0]
     if total < per_class * len(options.classes):
         warnings.warn(f"{options.n_rows} rows were asked for, {total} are available", stacklevel=3)

@@ -15,8 +15,8 @@ from evenkeel.functions.keys import shuffled
 from evenkeel.functions.numeric import safe_divide
 from evenkeel.operators.binning import Edges, edge_table, flat_bin, full_grid, n_bins
 from evenkeel.operators.fractions import correct_fractions, with_fraction
-from evenkeel.operators.ranking import running_sum
-from evenkeel.session import cut_lineage, small, small_counted
+from evenkeel.operators.ranking import running_sum_in, sparse_digits
+from evenkeel.session import BROADCAST_ROWS, cut_lineage, small, small_counted
 
 # Weights between two powers of two become whole numbers of this size at least, so that running
 # sums do not depend on order.
@@ -27,14 +27,21 @@ STRATA = 2_100
 OFF_EDGE = 0.7
 
 
+def sample_counts(df: DataFrame, axes: Mapping[str, Edges]) -> DataFrame:
+    """``(origin, class, bin, n)``; a NULL bin for the rows outside the grid."""
+    return df.withColumn("bin", flat_bin(axes)).groupBy("origin", "class", "bin").agg(F.count(F.lit(1)).alias("n"))
+
+
 def sample_histograms(df: DataFrame, origins: Sequence[str], classes: Sequence[str], axes: Mapping[str, Edges]) -> DataFrame:
     """``(origin, class, bin, n)`` on the full grid."""
+    return complete_histograms(sample_counts(df, axes), origins, classes, axes)
+
+
+def complete_histograms(counts: DataFrame, origins: Sequence[str], classes: Sequence[str], axes: Mapping[str, Edges]) -> DataFrame:
+    """``sample_counts`` without the rows outside the grid, empty bins filled in."""
     bins = n_bins(axes)
-    counted = (
-        df.withColumn("bin", flat_bin(axes)).filter(F.col("bin").isNotNull())
-        .groupBy("origin", "class", "bin").agg(F.count(F.lit(1)).alias("n"))
-    )
-    grid = full_grid(df.sparkSession, {"origin": origins, "class": classes}, bins)
+    counted = counts.filter(F.col("bin").isNotNull())
+    grid = full_grid(counts.sparkSession, {"origin": origins, "class": classes}, bins)
     rows = bins * len(origins) * len(classes)
     return grid.join(small(counted, rows), ["origin", "class", "bin"], "left").na.fill(0, ["n"])
 
@@ -280,49 +287,77 @@ def deal_draws(strata: DataFrame, groups: Sequence[str], seed: int) -> DataFrame
     return dealt.withColumn("n_here", F.col("__upto") - before).drop("__mass", "__upto")
 
 
-def draw_with_replacement(
+def drawn_keys(
     df: DataFrame, numbers: DataFrame, groups: Sequence[str], max_groups: int,
     weight: str = "weight", key: str = "row_key", seed: int = 42,
 ) -> DataFrame:
-    """Add ``multiplicity``: exactly ``n_draw`` draws per group, in proportion to weight.
+    """``(key, weight, multiplicity)`` of the drawn rows: exactly ``n_draw`` draws per group, in proportion to weight.
 
     Weights may differ by any factor. A group's rows form strata of weights that differ by a factor
     of two at most; the draws are dealt to the strata by their weight. Within a stratum weights are whole
     numbers of 21 binary digits or more, and sampling is systematic along the hash order: row i covers the stretch of the running
     weight between C(i-1) and C(i), and receives the marks that fall on it.
 
-    The rows are read once for a thin written table (key, hash, stratum, weight) on which all this runs, and
-    once more to join the drawn keys, which must be unique. Rows that are not drawn are dropped. A group with
-    draws but without weight is an error, so is an infinite weight.
+    The rows are read once for a thin written table (key, stratum, weight) on which all this runs. Ranges of the hash order without a
+    mark are only added up; rows of the others are sorted. Keys must be unique. A group with draws but without weight is an
+    error, so is an infinite weight.
     """
     groups = list(groups)
     positive = df.filter(above(F.col(weight), F.lit(0.0)))
     sound = F.when(F.col(weight) == F.lit(float("inf")), F.raise_error(F.lit("an infinite weight"))).otherwise(F.col(weight)).cast("double")
     exponent = power_of_two(F.col("__weight") * OFF_EDGE)
     units = F.round(F.col("__weight") / F.pow(F.lit(2.0), F.col("__e")) * WEIGHT_UNIT).cast("bigint")
-    thin = cut_lineage(
-        positive.select(*groups, key, shuffled(F.col(key), seed).alias("_hash"), sound.alias("__weight"))
-        .withColumn("__e", exponent).withColumn("__w", units).drop("__weight")
-    )
+    thin = cut_lineage(positive.select(*groups, key, sound.alias("__weight")).withColumn("__e", exponent).withColumn("__w", units))
     # one row per group and power of two
-    totals = thin.groupBy(*groups, "__e").agg(F.sum("__w").alias("__total"))
+    totals = thin.groupBy(*groups, "__e").agg(F.sum("__w").alias("__total"), F.count(F.lit(1)).alias("__rows"))
     strata = cut_lineage(numbers.select(*groups, "n_draw").join(totals, groups, "left"))
     lacking = strata.filter("n_draw > 0 AND __total IS NULL").select(*groups).head()
     if lacking:
         raise ValueError(f"draws from a group without weight: {', '.join(map(str, lacking))}")
     plan = cut_lineage(deal_draws(strata.filter("__total IS NOT NULL"), groups, seed).filter("n_here > 0").drop("n_draw"))
+    size = plan.agg(F.sum("__rows"), F.count(F.lit(1)), F.max("n_here"), F.sum(F.col("n_here").cast("decimal(38,0)"))).first()
+    n_rows, n_strata, most_marks, n_draws = (int(x or 0) for x in size)
     per_stratum = [*groups, "__e"]
-    drawable = thin.join(small(plan, max_groups * STRATA), per_stratum)
-    summed = running_sum(drawable, per_stratum, F.col("__w"), "__c", max_groups * STRATA)
-    big = {c: F.col(c).cast("decimal(19,0)") for c in ("n_here", "__c", "__w", "__total")}
+    dealt = small(plan.drop("__rows"), max_groups * STRATA)
+    drawable = thin.join(dealt, per_stratum).withColumn("_hash", shuffled(F.col(key), seed))
     phase = F.expr(f"(cast(__total as decimal(25,0)) * {seed % 1000}) div 1000").cast("decimal(20,0)")
 
+    def whole(x: Column) -> Column:
+        return x.cast("decimal(19,0)")
+
     def marks(upto: Column) -> Column:
-        return F.call_function("div", big["n_here"] * upto + phase, big["__total"])
+        return F.call_function("div", whole(F.col("n_here")) * whole(upto) + phase, whole(F.col("__total")))
+
+    def marks_on(first: Column, stop: Column) -> Column:
+        return (marks(stop) - marks(first)).cast("bigint")
+
+    def near(upto: Column, off: int) -> Column:
+        # marks in doubles, moved by more than their error
+        n = F.col("n_here").cast("double")
+        return F.floor(n * (upto / F.col("__total")) + F.lit(seed % 1000 / 1000) + off * (n * 1e-12 + 1e-6))
 
-    picked = summed.select(
-        key, (marks(big["__c"]) - marks((big["__c"] - big["__w"]).cast("decimal(19,0)"))).cast("bigint").alias("multiplicity"))
-    return df.join(picked.filter(F.col("multiplicity") > 0), key).select(*df.columns, "multiplicity")
+    def marked(ranges: DataFrame) -> DataFrame:
+        return ranges.join(dealt, per_stratum).filter(marks_on(F.col("__offset"), F.col("__offset") + F.col("__s")) > 0)
+
+    summed = running_sum_in(
+        drawable, per_stratum, F.col("__w"), "__c", marked, n_draws, least=sparse_digits(n_rows, n_strata, most_marks))
+    # exact marks only where a mark may be
+    likely = summed.filter(near(F.col("__c"), 1) > near(F.col("__c") - F.col("__w"), -1))
+    picked = likely.select(key, F.col("__weight").alias(weight), marks_on(F.col("__c") - F.col("__w"), F.col("__c")).alias("multiplicity"))
+    picked = picked.filter(F.col("multiplicity") > 0)
+    return small(cut_lineage(picked), n_draws) if n_draws <= BROADCAST_ROWS else picked
+
+
+def draw_with_replacement(
+    df: DataFrame, numbers: DataFrame, groups: Sequence[str], max_groups: int,
+    weight: str = "weight", key: str = "row_key", seed: int = 42,
+) -> DataFrame:
+    """Add ``multiplicity`` to the rows that ``drawn_keys`` names; the others are dropped.
+
+    The rows are read once more to join the drawn keys: by broadcast, unless the draws are too many for it.
+    """
+    picked = drawn_keys(df, numbers, groups, max_groups, weight, key, seed)
+    return df.join(picked.drop(weight), key).select(*df.columns, "multiplicity")
 
 
 def repeat_rows(df: DataFrame, multiplicity: str = "multiplicity") -> DataFrame:

@@ -4,7 +4,7 @@ Selections find one hash threshold per group and then only filter. For ranks and
 a hash order is split into ordered ranges by its leading digits: counts or sums per range
 give every range its offset, and windows run only inside a range. The number of digits
 follows the counted rows of the fullest range, so that a range holds ``RANGE_ROWS`` rows
-at most, whatever a group holds; offsets of many ranges are summed by leading digits in turn, so no
+at most, whatever a group holds (windows name it before the groups, as it tells more rows apart); offsets of many ranges are summed by leading digits in turn, so no
 window over ranges is longer than ``16**OFFSET_DIGITS`` either. Counting the rows runs when
 the function is called.
 """
@@ -12,7 +12,7 @@ the function is called.
 from __future__ import annotations
 
 import warnings
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -50,7 +50,7 @@ def range_totals(
 
 
 def range_offsets(totals: DataFrame, groups: Sequence[str], digits: int, step: int | None = None) -> DataFrame:
-    """``(*groups, range, offset)``: what the ranges before add up to.
+    """``(*groups, range, own sum, offset)``: what a range and what the ranges before it add up to.
 
     Ranges are summed within their leading digits, and the leading digits in the same way.
     """
@@ -59,12 +59,12 @@ def range_offsets(totals: DataFrame, groups: Sequence[str], digits: int, step: i
     lead = F.substring(_RANGE, 1, head) if head else F.lit("")
     before = W.partitionBy(*groups, "__lead").orderBy(_RANGE).rowsBetween(W.unboundedPreceding, -1)
     led = totals.withColumn("__lead", lead)
-    own = led.select(*groups, _RANGE, "__lead", F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__offset"))
+    own = led.select(*groups, _RANGE, "__lead", "__s", F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__offset"))
     if not head:
         return own.drop("__lead")
     upper = led.groupBy(*groups, F.col("__lead").alias(_RANGE)).agg(F.sum("__s").alias("__s"))
     upper = range_offsets(upper, groups, head, step).select(*groups, F.col(_RANGE).alias("__lead"), F.col("__offset").alias("__base"))
-    return own.join(upper, [*groups, "__lead"]).select(*groups, _RANGE, (F.col("__offset") + F.col("__base")).alias("__offset"))
+    return own.join(upper, [*groups, "__lead"]).select(*groups, _RANGE, "__s", (F.col("__offset") + F.col("__base")).alias("__offset"))
 
 
 def smallest_thresholds(
@@ -184,8 +184,8 @@ def running_sum(
     """
     groups = list(groups)
     totals, digits = range_totals(df, groups, hashed, amount, range_rows)
-    offsets = range_offsets(totals, groups, digits)
-    inside = W.partitionBy(*groups, _RANGE).orderBy(hashed).rowsBetween(W.unboundedPreceding, W.currentRow)
+    offsets = range_offsets(totals, groups, digits).drop("__s")
+    inside = W.partitionBy(_RANGE, *groups).orderBy(hashed).rowsBetween(W.unboundedPreceding, W.currentRow)
     return (
         df.withColumn(_RANGE, hash_range(F.col(hashed), digits)).withColumn("__inside", F.sum(amount).over(inside))
         .join(_if_small(offsets, max_groups, digits), [*groups, _RANGE])
@@ -194,6 +194,33 @@ def running_sum(
     )
 
 
+def running_sum_in(
+    df: DataFrame, groups: Sequence[str], amount: Column, name: str, wanted: Callable[[DataFrame], DataFrame], most: int,
+    hashed: str = "_hash", range_rows: int | None = None, least: int = RANGE_DIGITS,
+) -> DataFrame:
+    """``running_sum`` for the rows of some ranges alone: all others are counted, but neither shuffled nor sorted.
+
+    ``wanted`` filters ``(*groups, __range, __s, __offset)``, a range's own sum and that of the ranges before it, to
+    ``most`` ranges at most.
+    """
+    groups = list(groups)
+    totals, digits = range_totals(df, groups, hashed, amount, range_rows, least)
+    kept = wanted(range_offsets(totals, groups, digits)).select(*groups, _RANGE, "__offset")
+    inside = W.partitionBy(_RANGE, *groups).orderBy(hashed).rowsBetween(W.unboundedPreceding, W.currentRow)
+    return (
+        df.withColumn(_RANGE, hash_range(F.col(hashed), digits)).join(small(kept, most), [*groups, _RANGE])
+        .withColumn(name, F.col("__offset") + F.sum(amount).over(inside)).drop(_RANGE, "__offset")
+    )
+
+
+def sparse_digits(rows: int, groups: int, marks: int) -> int:
+    """Digits that make ranges so short that few of them hold one of ``marks`` per group, but hold some rows each."""
+    digits = RANGE_DIGITS
+    while 16**digits < 8 * marks < rows and rows >= 4 * groups * 16 ** (digits + 1):
+        digits += 1
+    return digits
+
+
 def global_rank(
     df: DataFrame, name: str = "rank_no", hashed: str = "_hash",
     groups: Sequence[str] = (), max_groups: int = 1, range_rows: int | None = None,

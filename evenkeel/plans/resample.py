@@ -30,19 +30,20 @@ def pdf_resample(
 ) -> DataFrame:
     """Every (origin, class) drawn with replacement into the target class's density.
 
-    All samples go through one plan. The histograms are read once and written, since
-    target, ratios and weights all need them. ``target`` replaces the class density.
+    All samples go through one plan. The rows are read three times: for their counts per bin, which are written, for
+    the drawn keys, and to join these. ``target`` replaces the class density.
     """
     rows = rs.choose_split(df, options)
     target_class = options.target_class or options.classes[0]
-    counts = cut_lineage(rows.groupBy("origin", "class").agg(F.count(F.lit(1)).alias("n")))
-    hists = cut_lineage(density.sample_histograms(rows, origins, options.classes, options.axes))
+    counted = cut_lineage(density.sample_counts(rows, options.axes))
+    counts = counted.groupBy("origin", "class").agg(F.sum("n").alias("n"))
+    hists = cut_lineage(density.complete_histograms(counted, origins, options.classes, options.axes))
     ratios = density.density_ratios(hists, target if target is not None else density.target_of_class(hists, target_class))
     targets = density.target_numbers(counts, target_class, options.fractions, options.n_rows)
     numbers = density.numbers_per_sample(counts, targets, max_upsampling, sampling_fraction)
     weigh = density.smooth_weights if smooth else density.step_weights
-    drawn = density.draw_with_replacement(
+    picked = density.drawn_keys(
         weigh(rows, ratios, options.axes), numbers, ["origin", "class"], len(origins) * len(options.classes),
         key=options.key, seed=options.seed,
     )
-    return density.repeat_rows(drawn)
+    return density.repeat_rows(rows.join(picked, options.key))

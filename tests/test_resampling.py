@@ -155,6 +155,30 @@ def test_draws_are_exact_and_proportional(spark, rows):
     assert density.repeat_rows(out).count() == 50_100
 
 
+def test_drawn_rows_meet_the_rows_without_a_shuffle_of_them(spark, rows):
+    weighted = rows.withColumn("weight", F.lit(1.0))
+    numbers = spark.createDataFrame([("a", 100), ("b", 50)], "origin string, n_draw long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = density.draw_with_replacement(weighted, numbers, ["origin"], 2)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert out.agg(F.sum("multiplicity")).first()[0] == 150
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_sums_of_wanted_ranges_are_those_of_all(rows):
+    hashed = rows.withColumn("_hash", shuffled(F.col("row_key"), 3)).withColumn("w", F.length("class").cast("bigint"))
+    whole = ranking.running_sum(hashed, ["origin"], F.col("w"), "c", 2).select("row_key", "_hash", "c")
+    some = ranking.running_sum_in(hashed, ["origin"], F.col("w"), "c", lambda ranges: ranges.filter("__s > 0 AND __range < '08'"), 10_000)
+    want = {tuple(r) for r in whole.filter("_hash < '08'").select("row_key", "c").collect()}
+    assert want and {tuple(r) for r in some.select("row_key", "c").collect()} == want
+    # ranges get short where marks are few among many rows, and stay as they are otherwise
+    assert [ranking.sparse_digits(*x) for x in ((172_000_000, 40, 8_000), (1_000, 4, 100), (10**9, 1, 10**10))] == [4, 3, 3]
+
+
 def test_weights_of_any_size_are_drawn_in_proportion(spark):
     """One row as heavy as a thousand million others; a floor under small weights would halve its draws."""
     rows = spark.range(1_000_001).select(

@@ -193,11 +193,11 @@ _STEP_W = f"sw AS (SELECT l.row_key, l.origin, l.class, l.event, l.item_no, l.la
     "nd AS (SELECT DISTINCT origin, class, 15000::BIGINT AS n_draw FROM lab)"))
 def _(spark, sf):
     df = labelled(spark, sf)
-    hists = density.sample_histograms(df, ORIGINS, NAMES, AXES)
+    hists = cut_lineage(density.sample_histograms(df, ORIGINS, NAMES, AXES))
     ratios = density.density_ratios(hists, density.target_of_class(hists, "heavy"))
     numbers = binning.full_grid(spark, {"origin": ORIGINS, "class": NAMES}, 1).select("origin", "class", F.lit(15000).cast("bigint").alias("n_draw"))
     weighted = density.step_weights(df.select("row_key", "origin", "class", "price", "quantity"), ratios, AXES)
-    return density.draw_with_replacement(weighted, numbers, ["origin", "class"], 6).select("row_key", "multiplicity")
+    return density.drawn_keys(weighted, numbers, ["origin", "class"], 6).select("row_key", "multiplicity")
 
 
 _LIMITS = {("F", "light"): 1.5}

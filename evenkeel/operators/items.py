@@ -19,7 +19,8 @@ def nest_items(flat: DataFrame, key: str, order: Sequence[str], fields: Sequence
     ``width`` of them from each input partition.
     """
     if width is None:
-        sorted_ = F.array_sort(F.collect_list(F.struct(
+        # sort_array compares in compiled code, array_sort calls its comparator for every pair
+        sorted_ = F.sort_array(F.collect_list(F.struct(
             F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)]).alias("__o"), F.struct(*fields).alias("__f"))))
         return flat.groupBy(key).agg(sorted_.alias("__s")).select(key, F.col("__s.__f").alias("items"))
     rank = F.row_number().over(W.partitionBy(key).orderBy(*order))
@@ -27,7 +28,7 @@ def nest_items(flat: DataFrame, key: str, order: Sequence[str], fields: Sequence
     entry = F.struct("__rn", *fields)
     nested = first.groupBy(key).agg(
         F.transform(
-            F.array_sort(F.collect_list(entry)),
+            F.sort_array(F.collect_list(entry)),
             lambda x: F.struct(*[x[f].alias(f) for f in fields]),
         ).alias("items")
     )

@@ -160,7 +160,7 @@ def _item_features(strict: bool = True) -> ItemFeatures:
 def _masked_records(spark, sf):
     """Records whose items are real where their probe field is there."""
     items = F.transform("items", lambda x: x.withField("valid", ~F.isnan(x["frac"])))
-    return records(spark, sf).withColumn("items", items)
+    return records(spark, sf, ["item_no", "quantity", "price", "tax", "frac", "kind"]).withColumn("items", items)
 
 
 def _long_collection(df, *keys):

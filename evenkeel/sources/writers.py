@@ -34,8 +34,17 @@ def write_shards(df: DataFrame, path: str, n_shards: int, hashed: str, per_shard
 
 
 def write_training_set(df: DataFrame, path: str, shuffle_key: str | None = None) -> None:
-    """Training rows as Parquet; sorted by ``shuffle_key`` within and across files if given."""
-    ordered = df.repartitionByRange(shuffle_key).sortWithinPartitions(shuffle_key) if shuffle_key else df
+    """Training rows as Parquet; sorted by ``shuffle_key`` within and across files if given.
+
+    The key is a hash in hex digits (``keys.shuffled``): as hashes are spread evenly, the range of every file is known
+    beforehand, and the rows are not computed once more to find it.
+    """
+    ordered = df
+    if shuffle_key:
+        files = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        lead = F.when(F.col(shuffle_key).rlike("^[0-9a-f]{8}"), F.conv(F.substring(shuffle_key, 1, 8), 16, 10).cast("bigint"))
+        number = F.coalesce(lead, F.raise_error(F.lit(f"{shuffle_key} is not a hash in hex digits")).cast("bigint"))
+        ordered = df.repartitionById(files, F.shiftright(number * files, 32).cast("int")).sortWithinPartitions(shuffle_key)
     ordered.write.mode("overwrite").parquet(path)
 
 

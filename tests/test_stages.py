@@ -3,18 +3,20 @@
 import datetime as dt
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from evenkeel.functions.arrays import above
+from evenkeel.functions.keys import shuffled
 from evenkeel.operators import evaluation as ev, inference, items as it
 from evenkeel.operators.features import batches
 from evenkeel.operators.labels import ClassDef, label_classes, select_features
 from evenkeel.operators.scaling import row_statistics
 from evenkeel.plans.evaluate import evaluate
 from evenkeel.plans.prepare import Sample, extract_sample
-from evenkeel.queries.base import MAIN, NET, TREE, rows_of, scored, table
-from evenkeel.sources import readers
+from evenkeel.queries.base import MAIN, NET, TREE, records, rows_of, scored, table
+from evenkeel.sources import readers, writers
 from evenkeel.streaming import incremental as inc
 
 SF = "/root/testdata/sf0.001"
@@ -173,3 +175,28 @@ def test_drift_monitor_equals_the_batch_result(spark, tmp_path):
     own = out.select("window_start", "event_type", "n", "n_passed")
     assert own.count() > 100 and own.exceptAll(batch.select("w.start", "event_type", "n", "n_passed")).count() == 0
     assert own.agg(F.sum("n")).first()[0] == events.count()
+
+
+def test_training_set_takes_one_pass(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(parts):
+        for part in parts:
+            seen.add(len(part))
+            yield part
+
+    df = spark.range(4000, numPartitions=4).mapInPandas(count, "id long").withColumn("_order", shuffled(F.col("id").cast("string"), 8))
+    writers.write_training_set(df, str(tmp_path / "set"), "_order")
+    assert seen.value == 4000
+    stored = [x for f in sorted((tmp_path / "set").glob("*.parquet")) for x in pq.read_table(f)["_order"].to_pylist()]
+    assert len(stored) == 4000 and stored == sorted(stored)
+    plain = spark.range(3).withColumn("_order", F.col("id").cast("string"))
+    with pytest.raises(Exception, match="not a hash"):
+        writers.write_training_set(plain, str(tmp_path / "plain"), "_order")
+
+
+def test_records_nest_only_the_fields_asked_for(spark):
+    nested = records(spark, SF, ["tax", "kind"])
+    assert nested.schema["items"].dataType.elementType.names == ["tax", "kind"]
+    whole = records(spark, SF).select("event", F.transform("items", lambda x: F.struct(x["tax"].alias("tax"), x["kind"].alias("kind"))).alias("all"))
+    assert nested.join(whole, "event").filter(F.col("items") != F.col("all")).count() == 0

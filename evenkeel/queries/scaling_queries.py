@@ -11,6 +11,7 @@ from evenkeel.operators.features import training_rows
 from evenkeel.operators.item_arrays import ItemFeatures, item_arrays
 from evenkeel.queries.base import BASE, ITEMS, LAB, labelled, r, records, rounded, rows, scratch, table
 from evenkeel.queries.registry import query
+from evenkeel.session import cut_lineage
 from evenkeel.sources import readers, writers
 
 VARIABLES = ["price", "mass", "energy"]
@@ -72,7 +73,7 @@ def _masked(spark, sf):
     items = F.transform("items", lambda x: F.struct(
         x["quantity"].alias("quantity"), x["price"].alias("price"), x["tax"].alias("tax"), x["frac"].alias("frac"),
         x["kind"].alias("kind"), (~F.isnan(x["frac"])).alias("valid")))
-    return records(spark, sf).withColumn("items", items)
+    return records(spark, sf, ["quantity", "price", "tax", "frac", "kind"]).withColumn("items", items)
 
 
 def _item_stats(df):
@@ -127,7 +128,8 @@ def _long_items(df, column):
 
 @query("f09_item_scaling", f"WITH {ITEMS}, {_SCALED_ITEMS} SELECT event, pos::INTEGER AS pos, feature_no, {r('value')} AS value FROM sc")
 def _(spark, sf):
-    df = _masked(spark, sf)
+    # written, as statistics and scaling both read the nested items
+    df = cut_lineage(_masked(spark, sf).select("event", "items"))
     stats = scaling.collect_statistics(scaling.check_statistics(_item_stats(df)))
     return _long_items(item_arrays(df, "items", ItemFeatures(["tax"], ["price"], ["quantity"], stats), keep=["event"]), F.col("items_inputs"))
 

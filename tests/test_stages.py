@@ -15,6 +15,7 @@ from evenkeel.operators.labels import ClassDef, label_classes, select_features
 from evenkeel.operators.scaling import row_statistics
 from evenkeel.plans.evaluate import evaluate
 from evenkeel.plans.prepare import Sample, extract_sample
+from evenkeel.queries import QUERIES
 from evenkeel.queries.base import MAIN, NET, TREE, records, rows_of, scored, table
 from evenkeel.sources import readers, writers
 from evenkeel.streaming import incremental as inc
@@ -195,6 +196,12 @@ def test_training_set_takes_one_pass(spark, tmp_path):
         writers.write_training_set(plain, str(tmp_path / "plain"), "_order")
 
 
+@pytest.mark.parametrize("name", ["f09_item_scaling"])
+def test_what_is_read_several_times_is_written_first(spark, name):
+    files = QUERIES[name](spark, SF).inputFiles()
+    assert files and not any("lineitem" in f for f in files)
+
+
 def test_records_nest_only_the_fields_asked_for(spark):
     nested = records(spark, SF, ["tax", "kind"])
     assert nested.schema["items"].dataType.elementType.names == ["tax", "kind"]

@@ -264,8 +264,8 @@ def importance_undersample_reported(df: DataFrame, options: ResamplingOptions) -
 
 
 def weight_rows(df: DataFrame, options: ResamplingOptions) -> DataFrame:
-    """All rows, each with the weight of its (class, bin)."""
+    """All rows, each with the weight of its (class, bin). They are read once for the counts, when the function is called."""
     bins = n_bins(options.axes)
     binned = choose_split(df, options).withColumn("bin", flat_bin(options.axes))
-    counts = bin_counts(binned.filter(F.col("bin").isNotNull()), options.classes, bins)
+    counts = cut_lineage(bin_counts(binned.filter(F.col("bin").isNotNull()), options.classes, bins))
     return attach_weights(binned, bin_weights(counts, options.target_class, bins), bins * len(options.classes))

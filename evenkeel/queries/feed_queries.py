@@ -12,6 +12,7 @@ from evenkeel.plans.training_set import training_feed
 from evenkeel.queries.base import BASE, ITEMS, LAB, NAMES, labelled, r, records, rounded, rows, sql_bin
 from evenkeel.queries.merge_queries import AXES, BIN_SQL
 from evenkeel.queries.registry import query
+from evenkeel.session import cut_lineage
 
 
 @query("g01_batches", f"""WITH {LAB}, n AS (SELECT row_key, row_number() OVER (ORDER BY md5('11|' || row_key)) - 1 AS n FROM lab)
@@ -49,7 +50,9 @@ SELECT b.event, b.label, {r('coalesce(nullif(w, 0), 1)', 9)} AS weight, {r('(b.t
 FROM b JOIN it USING (event) LEFT JOIN w ON w.status = b.status AND w.bin = b.bin""")
 def _(spark, sf):
     items = F.transform("items", lambda x: x.withField("valid", ~F.isnan(x["frac"])))
-    df = records(spark, sf).withColumns({"items": items, "class": F.col("status"), "n_items": F.size("items")})
+    nested = records(spark, sf, ["tax", "frac", "kind"])
+    # written, as weights and inputs both read the nested items
+    df = cut_lineage(nested.withColumns({"items": items, "class": F.col("status"), "n_items": F.size("items")}))
     options = ResamplingOptions("weighting", ["F", "O", "P"], _RECORD_AXES, target_class="O")
     spec = ItemFeatures([], ["tax"], ["frac"], {"tax": {"mean": -3.0, "std": 0.5}, "frac": {"shift": 0.05, "scale": 0.03}}, ["kind"], strict=False)
     feed = training_feed(df, ["total"], _RECORD_STATS, options, keys=["event"], items={"items": spec})

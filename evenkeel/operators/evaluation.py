@@ -396,8 +396,9 @@ def selection_summary(df: DataFrame, score: str, n_items: str, exact: int, effs:
                       features: Sequence[str]) -> DataFrame:
     """Per class, working point and pass/fail: rows with exactly ``exact`` items, and feature means.
 
-    The cut is taken from the class's own scores.
+    The cut is taken from the class's own scores. The columns in use are written first, as they are read several times.
     """
+    df = cut_lineage(df.select(*dict.fromkeys(["class", score, n_items, *features])))
     cuts = quantile_arrays(df, score, [1.0 - e for e in effs], ["class"], len(classes))
     chosen = df.filter(F.col(n_items) == exact).join(small(cuts, len(classes)), "class")
     numbered = chosen.select(
